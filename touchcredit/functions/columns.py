@@ -27,9 +27,13 @@ def event_param(key: str, kind: str = "string", params: str = "event_params") ->
     return F.coalesce(value["string_value"], value["int_value"].cast("string"))
 
 
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def micros_to_ts(micros: Column) -> Column:
-    """Microsecond epoch -> TIMESTAMP_NTZ (UTC wall clock)."""
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    """Microsecond epoch -> TIMESTAMP_NTZ in UTC, independent of the session time zone."""
+    return F.timestamp_add("MICROSECOND", micros, epoch_ntz())
 
 
 def event_key(pseudo_id: Column, name: Column, micros: Column) -> Column:
