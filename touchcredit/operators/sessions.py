@@ -97,7 +97,7 @@ def with_session_end(compressed: DataFrame) -> DataFrame:
     """
     cols = [c for c in compressed.columns if c != MULT]
     tagged = ck.chunk(compressed, non_null_key(F.col("user_pseudo_id")), SESSION_ORDER, cols)
-    scanned = ck.ordered_scan(tagged, SESSION_ORDER, lead={"_next_start": "session_start_ts"}, fix=True)
+    scanned = ck.ordered_scan(tagged, SESSION_ORDER, lead={"_next_start": "session_start_ts"})
     parts = F.array(
         F.struct(F.col("session_start_ts").alias("end"), (F.col(MULT) - 1).alias("m")),
         F.struct(F.col("_next_start").alias("end"), F.lit(1).cast("long").alias("m")))

@@ -102,7 +102,7 @@ def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: Attribu
     )
     tagged = ck.chunk(labelled, non_null_key(F.col("blended_user_id")), TOUCH_ORDER, list(SESSION_KEYS))
     scanned = ck.ordered_scan(tagged, TOUCH_ORDER, row_number="session_seq",
-                              next_non_null={"conversion_cycle_conversion_ts": "converted_ts"}, fix=True)
+                              next_non_null={"conversion_cycle_conversion_ts": "converted_ts"})
     return scanned.filter(F.col("conversion_cycle_conversion_ts") >= F.col("session_start_ts"))
 
 

@@ -15,11 +15,12 @@ work per task:
 2. Windows are partitioned by ``(key, chunk)``: every window group is at most
    one chunk.  One hash exchange on ``(key, chunk)`` is planned; all later
    windows and group statistics reuse it (no further exchange).
-3. The tagged rows are checkpointed once (reliable checkpoint in the
-   session's checkpoint folder).  Range bounds come from a sample, and Spark
-   would plan the range exchange again for every branch that reads the tagged
-   rows; after the checkpoint every branch reads the same tags, and lineage
-   is cut for executor loss.
+3. Range bounds come from a sample, and Spark would plan the range exchange
+   again (with a new sample) for every branch that reads the tagged rows, so
+   the tagged rows are checkpointed (reliable, in the session's checkpoint
+   folder): from then on the tags are data, and lineage is cut there.
+   Each later round persists its rows (keeping the hash partitioning, so no
+   exchange) and checkpoints only its small correction table.
 4. Only keys that cross a chunk boundary need a correction, and in every
    chunk only its first and last key can cross.  Corrections are computed on
    those keys alone, so each correction table has at most 2 rows per chunk
@@ -30,8 +31,12 @@ All columns named here are internal and start with ``_ck_``.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,18 +67,73 @@ class Order:
 
 
 def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chunks: int | None = None) -> DataFrame:
-    """Add ``_ck_key``, ``_ck_tb`` and ``_ck_chunk`` (range-partitioned by key + order)."""
+    """Add ``_ck_key``, ``_ck_tb`` and ``_ck_chunk`` (range-partitioned by key + order).
+
+    The tagged rows are checkpointed, so the tags (which depend on the range
+    partitioner's sample) are data from here on: every branch and every
+    recomputation sees the same chunks.
+    """
     spark = df.sparkSession
     n = num_chunks or shuffle_partitions(spark)
     tagged = df.withColumn(KEY, key).withColumn(TB, F.xxhash64(*[F.col(c) for c in tiebreak]))
-    return (tagged.repartitionByRange(n, F.col(KEY).asc(), *order.asc())
-            .withColumn(CHUNK, F.spark_partition_id()))
+    ranged = (tagged.repartitionByRange(n, F.col(KEY).asc(), *order.asc())
+              .withColumn(CHUNK, F.spark_partition_id()))
+    out = checkpoint(ranged)
+    _retire()
+    return out
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's checkpoint folder (never local)."""
+    """Reliable, eager checkpoint in the session's checkpoint folder (never local).
+
+    One job computes and writes the rows; the result is a leaf plan.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    t = time.time()
+    out = df.checkpoint(eager=True)
+    if os.environ.get("TOUCHCREDIT_TRACE"):
+        print(f"[chunked] checkpoint {time.time() - t:.2f}s", file=sys.stderr, flush=True)
+    return out
+
+
+_STAGED: list[DataFrame] = []
+
+
+def _stage(df: DataFrame) -> DataFrame:
+    """Persist a round's rows: read by the main chain and by its correction table.
+
+    The cached rows keep their (key, chunk) hash partitioning and sort, so
+    later rounds add no exchange.  Everything after :func:`chunk` is a
+    deterministic function of checkpointed data, so a lost block is
+    recomputed to the same values.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _STAGED.append(kept)
+    return kept
+
+
+def _retire(keep: DataFrame | None = None) -> None:
+    """Drop cached rows of earlier rounds once a later round is materialised."""
+    for d in list(_STAGED):
+        if d is not keep:
+            d.unpersist()
+            _STAGED.remove(d)
+
+
+def _correction(table: DataFrame, local: DataFrame) -> DataFrame:
+    """Materialise a round's correction table (<= 4 rows per chunk) as a leaf.
+
+    The eager checkpoint also fills ``local``'s cache; the main chain then
+    joins ``local`` to a leaf, so plans grow by one round, not threefold.
+    """
+    out = checkpoint(table)
+    _retire(keep=local)
+    return out
+
+
+def release() -> None:
+    """Unpersist the cached rows of the last round."""
+    _retire()
 
 
 def _boundary_keys(df: DataFrame) -> DataFrame:
@@ -88,17 +148,14 @@ def _w(order: Order) -> Window:
 
 def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
                  running_sums: dict[str, str] | None = None, lead: dict[str, str] | None = None,
-                 lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None,
-                 fix: bool = False) -> DataFrame:
+                 lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None) -> DataFrame:
     """Per-key scans over rows already tagged by :func:`chunk`.
 
     ``running_sums``/``lead``/``lag``/``next_non_null`` map output column ->
     input column.  ``next_non_null`` is the first non-NULL value at or after
     the row (a forward-looking FIRST_VALUE IGNORE NULLS), computed by a
     running frame over the reversed order, so its cost stays linear.
-    Also sets ``_ck_rn``/``_ck_cnt``.  ``fix=True`` checkpoints the locally
-    scanned rows before any branch reads them (required the first time the
-    chunk tags are used).
+    Also sets ``_ck_rn``/``_ck_cnt``.  The round ends with a checkpoint.
     """
     running_sums = running_sums or {}
     lead = lead or {}
@@ -122,9 +179,7 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     for out, c in next_non_null.items():
         cols[f"_ck_ln_{out}"] = F.last(c, ignorenulls=True).over(wrev)
         cols[f"_ck_lq_{out}"] = F.first(c, ignorenulls=True).over(wall)
-    local = df.withColumns(cols)
-    if fix:
-        local = checkpoint(local)
+    local = _stage(df.withColumns(cols))
 
     # Carry across chunks, for keys that cross chunk boundaries only.
     summary_cols = [KEY, CHUNK, CNT] + [c for c in cols if c.startswith(("_ck_lt_", "_ck_lf_", "_ck_lz_", "_ck_lq_"))]
@@ -143,7 +198,7 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         carry_cols.append(F.lag(f"_ck_lz_{out}").over(wc).alias(f"_ck_c_{out}"))
     for out in next_non_null:
         carry_cols.append(F.last(f"_ck_lq_{out}", ignorenulls=True).over(after).alias(f"_ck_c_{out}"))
-    carry = summary.select(*carry_cols)  # <= 2 rows per chunk
+    carry = _correction(summary.select(*carry_cols), local)  # <= 2 rows per chunk
 
     joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
     out_cols: dict[str, Column] = {}
@@ -158,8 +213,10 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     for out in next_non_null:
         out_cols[out] = F.coalesce(F.col(f"_ck_ln_{out}"), F.col(f"_ck_c_{out}"))
     result = joined.withColumns(out_cols)
-    return result.drop(*[c for c in result.columns if c.startswith(("_ck_ls_", "_ck_lt_", "_ck_ll_", "_ck_lf_", "_ck_lg_",
-                                                                     "_ck_lz_", "_ck_ln_", "_ck_lq_", "_ck_c_"))])
+    result = result.drop(*[c for c in result.columns if c.startswith(("_ck_ls_", "_ck_lt_", "_ck_ll_", "_ck_lf_",
+                                                                       "_ck_lg_", "_ck_lz_", "_ck_ln_", "_ck_lq_",
+                                                                       "_ck_c_"))])
+    return result
 
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -180,15 +237,15 @@ def group_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]
     g = "_ck_g"
     with_g = df.withColumn(g, group)
     wg = Window.partitionBy(KEY, CHUNK, g)
-    local = with_g.withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()})
+    local = _stage(with_g.withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
 
     edge = (local.filter((F.col(RN) == 1) | (F.col(RN) == F.col(CNT)))
             .join(F.broadcast(_boundary_keys(local)), [CHUNK, KEY], "left_semi")
             .select(KEY, CHUNK, g, *aggs.keys())
             .dropDuplicates([KEY, CHUNK, g]))
-    cross = (edge.groupBy(KEY, g)
-             .agg(*[_COMBINE[comb](name).alias(f"_ck_x_{name}") for name, (_, comb) in aggs.items()],
-                  F.lit(True).alias("_ck_x")))  # <= 4 rows per chunk
+    cross = _correction(edge.groupBy(KEY, g)
+                        .agg(*[_COMBINE[comb](name).alias(f"_ck_x_{name}") for name, (_, comb) in aggs.items()],
+                             F.lit(True).alias("_ck_x")), local)  # <= 4 rows per chunk
     joined = local.join(F.broadcast(cross), [KEY, g], "left")
     fixed = joined.withColumns({
         name: F.when(F.col("_ck_x"), F.col(f"_ck_x_{name}")).otherwise(F.col(name)) for name in aggs})

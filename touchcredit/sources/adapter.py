@@ -57,7 +57,7 @@ def sessionize(events: DataFrame) -> DataFrame:
                           F.get_json_object("props", "$.k").cast("long").alias("k")))
     order = ck.Order(("ts", "event_id"))
     tagged = ck.chunk(base, non_null_key(F.col("user_id")), order, ["event_id"])
-    with_prev = ck.ordered_scan(tagged, order, lag={"prev_ts": "ts"}, fix=True)
+    with_prev = ck.ordered_scan(tagged, order, lag={"prev_ts": "ts"})
     flagged = with_prev.withColumn(
         "is_new", F.when(F.col("prev_ts").isNull() | (F.col("ts") > F.col("prev_ts") + F.expr(SESSION_GAP)), 1)
         .otherwise(0))
