@@ -205,7 +205,9 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     if row_number:
         out_cols[row_number] = (F.col(RN) + F.coalesce(F.col("_ck_c_rn"), F.lit(0))).cast("long")
     for out in running_sums:
-        out_cols[out] = F.col(f"_ck_ls_{out}") + F.coalesce(F.col(f"_ck_c_{out}"), F.lit(0))
+        loc, car = F.col(f"_ck_ls_{out}"), F.col(f"_ck_c_{out}")
+        out_cols[out] = F.when(loc.isNull() & car.isNull(), F.lit(None)).otherwise(
+            F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0)))
     for out in lead:
         out_cols[out] = F.when(F.col(RN) == F.col(CNT), F.col(f"_ck_c_{out}")["v"]).otherwise(F.col(f"_ck_ll_{out}"))
     for out in lag:
