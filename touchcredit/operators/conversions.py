@@ -22,7 +22,8 @@ CONVERTING_SESSION_COLUMNS = (
 )
 
 
-def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
+                          logins: DataFrame | None = None) -> DataFrame:
     """Order and registration events with ``blended_user_id``.
 
     The first-registration / first-order lookups only ever read these two
@@ -30,7 +31,7 @@ def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionCon
     before the id join keeps every other event out of the shuffles.
     """
     relevant = events.filter(F.col("event_type").isin(cfg.order_event, cfg.registration_event))
-    return blend_users(relevant, ids)
+    return blend_users(relevant, ids, logins)
 
 
 def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:

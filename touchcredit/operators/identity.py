@@ -30,16 +30,17 @@ def login_map(ids: DataFrame) -> DataFrame:
             .select("user_pseudo_id", F.col("user_id").alias("_login")))
 
 
-def blend_users(df: DataFrame, ids: DataFrame) -> DataFrame:
+def blend_users(df: DataFrame, ids: DataFrame, logins: DataFrame | None = None) -> DataFrame:
     """``df`` + ``blended_user_id = coalesce(login, user_pseudo_id)``.
 
     Left join on ``user_pseudo_id``.  Rows with a NULL pseudo id can never
     match, so they bypass the join instead of all hashing to one partition;
     a hot non-NULL pseudo id is split by AQE's skew join (the big side is the
     left side of a left outer join).  AQE broadcasts the login map when its
-    measured size is under the broadcast threshold.
+    measured size is under the broadcast threshold.  ``logins`` is
+    ``login_map(ids)`` when the caller already has it.
     """
-    lookup = login_map(ids)
+    lookup = logins if logins is not None else login_map(ids)
     cols = df.columns
     matched = df.filter(F.col("user_pseudo_id").isNotNull()).join(lookup, "user_pseudo_id", "left")
     unmatched = df.filter(F.col("user_pseudo_id").isNull()).withColumn("_login", F.lit(None).cast("string"))

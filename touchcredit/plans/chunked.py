@@ -112,6 +112,14 @@ def _stage(df: DataFrame) -> DataFrame:
     return kept
 
 
+def share(df: DataFrame) -> DataFrame:
+    """Persist a small table read by several branches of the next job.
+
+    Released with the next round's cached rows (after the job that reads it).
+    """
+    return _stage(df)
+
+
 def _retire(keep: DataFrame | None = None) -> None:
     """Drop cached rows of earlier rounds once a later round is materialised."""
     for d in list(_STAGED):

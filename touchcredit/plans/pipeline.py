@@ -30,6 +30,11 @@ class Attribution:
     def ids(self) -> DataFrame:
         return identity.stitch_identities(self.events)
 
+    @cached_property
+    def logins(self) -> DataFrame:
+        """pseudo id -> login (logged-in pseudo ids only); read by both blends, computed once."""
+        return ck.share(identity.login_map(self.ids))
+
     @cached_property
     def sessions(self) -> DataFrame:
         """Compressed session rows with ends and ``_mult``."""
@@ -37,12 +42,16 @@ class Attribution:
 
     @cached_property
     def blended_sessions(self) -> DataFrame:
-        return identity.blend_users(self.sessions, self.ids)
+        return identity.blend_users(self.sessions, self.ids, self.logins)
+
+    @cached_property
+    def conversion_candidates(self) -> DataFrame:
+        """Order and registration events with blended ids: read twice (first ids, join back)."""
+        return ck.share(conversions.conversion_candidates(self.events, self.ids, self.cfg, self.logins))
 
     @cached_property
     def converting_events_filtered(self) -> DataFrame:
-        return conversions.select_converting_events(
-            conversions.conversion_candidates(self.events, self.ids, self.cfg), self.cfg)
+        return conversions.select_converting_events(self.conversion_candidates, self.cfg)
 
     @cached_property
     def converting_events(self) -> DataFrame:

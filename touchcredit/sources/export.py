@@ -32,9 +32,11 @@ def land_export(export: DataFrame, path: str, partition_by_date: bool = True, mo
     itself needs the full history (logins and later conversions relabel
     earlier sessions), so it reads every partition.
     """
-    writer = export.write.mode(mode)
     if partition_by_date:
-        writer = writer.partitionBy("event_date")
+        # one file per day (per task), not one per day per task
+        writer = export.repartition("event_date").write.mode(mode).partitionBy("event_date")
+    else:
+        writer = export.write.mode(mode)
     writer.parquet(path)
 
 
