@@ -21,10 +21,11 @@ work per task:
    folder): from then on the tags are data, and lineage is cut there.
    Each later round persists its rows (keeping the hash partitioning, so no
    exchange) and checkpoints only its small correction table.
-4. Only keys that cross a chunk boundary need a correction, and in every
-   chunk only its first and last key can cross.  Corrections are computed on
-   those keys alone, so each correction table has at most 2 rows per chunk
-   (2P rows in total, P = number of chunks) and is broadcast with that bound.
+4. Only keys that cross a chunk boundary need a correction.  Such a key
+   equals one of the P-1 range bounds, so there are at most P-1 of them; they
+   are found once per stage (a hash aggregation) and flagged on their rows.
+   Each correction table has at most 2-4 rows per chunk and is broadcast
+   with that bound.
 
 All columns named here are internal and start with ``_ck_``.
 """
@@ -46,6 +47,7 @@ from ..session import ensure_checkpoint_dir, shuffle_partitions
 KEY = "_ck_key"
 CHUNK = "_ck_chunk"
 TB = "_ck_tb"
+EDGE = "_ck_edge"  # the row's key spans more than one chunk
 RN = "_ck_rn"      # row number inside (key, chunk)
 CNT = "_ck_cnt"    # rows inside (key, chunk)
 
@@ -78,9 +80,17 @@ def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chu
     tagged = df.withColumn(KEY, key).withColumn(TB, F.xxhash64(*[F.col(c) for c in tiebreak]))
     ranged = (tagged.repartitionByRange(n, F.col(KEY).asc(), *order.asc())
               .withColumn(CHUNK, F.spark_partition_id()))
-    out = checkpoint(ranged)
+    pinned = checkpoint(ranged)
+    # Keys found in more than one chunk.  Chunks are consecutive ranges of
+    # (key, order), so such a key equals one of the P-1 range bounds: at most
+    # P-1 rows, broadcast with that bound.  Hash aggregation with int buffers.
+    spanning = checkpoint(pinned.groupBy(KEY)
+                          .agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
+                          .filter(F.col("_lo") < F.col("_hi"))
+                          .select(KEY, F.lit(True).alias(EDGE)))
     _retire()
-    return out
+    return (pinned.join(F.broadcast(spanning), KEY, "left")
+            .withColumn(EDGE, F.coalesce(F.col(EDGE), F.lit(False))))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -144,12 +154,6 @@ def release() -> None:
     _retire()
 
 
-def _boundary_keys(df: DataFrame) -> DataFrame:
-    """(chunk, key) for the first and last key of every chunk: <= 2 rows per chunk."""
-    b = df.groupBy(CHUNK).agg(F.min(KEY).alias("_lo"), F.max(KEY).alias("_hi"))
-    return b.select(CHUNK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(KEY))
-
-
 def _w(order: Order) -> Window:
     return Window.partitionBy(KEY, CHUNK).orderBy(*order.asc())
 
@@ -191,9 +195,7 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
 
     # Carry across chunks, for keys that cross chunk boundaries only.
     summary_cols = [KEY, CHUNK, CNT] + [c for c in cols if c.startswith(("_ck_lt_", "_ck_lf_", "_ck_lz_", "_ck_lq_"))]
-    summary = (local.filter(F.col(RN) == 1)
-               .join(F.broadcast(_boundary_keys(local)), [CHUNK, KEY], "left_semi")
-               .select(*summary_cols))
+    summary = local.filter((F.col(RN) == 1) & F.col(EDGE)).select(*summary_cols)
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
     before = wc.rowsBetween(_UNB, -1)
     after = Window.partitionBy(KEY).orderBy(F.col(CHUNK).desc()).rowsBetween(_UNB, -1)
@@ -249,8 +251,7 @@ def group_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]
     wg = Window.partitionBy(KEY, CHUNK, g)
     local = _stage(with_g.withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
 
-    edge = (local.filter((F.col(RN) == 1) | (F.col(RN) == F.col(CNT)))
-            .join(F.broadcast(_boundary_keys(local)), [CHUNK, KEY], "left_semi")
+    edge = (local.filter(((F.col(RN) == 1) | (F.col(RN) == F.col(CNT))) & F.col(EDGE))
             .select(KEY, CHUNK, g, *aggs.keys())
             .dropDuplicates([KEY, CHUNK, g]))
     cross = _correction(edge.groupBy(KEY, g)
