@@ -29,7 +29,8 @@ def test_scan_and_group_stats_match_plain_windows(spark):
     hot_chunks = tagged.filter(F.col("k") == "hot").select(ck.CHUNK).distinct().count()
     assert hot_chunks >= 5  # the hot key is split, not left in one task
     out = ck.ordered_scan(tagged, order, row_number="rn", running_sums={"s": "v"}, lead={"nx": "t"},
-                          lag={"pv": "t"}, next_non_null={"nn": "v"})
+                          lag={"pv": "t"}, next_non_null={"nn": "v"},
+                          prev_non_null={"pn": "v"})
     out = ck.group_stats(out, F.floor(F.col("t") / 50).cast("long"),
                          {"g_max": (F.max("v"), "max"), "g_cnt": (F.count("v"), "sum"),
                           "g_sum": (F.sum("v"), "sum"), "g_min": (F.min("id"), "min")})
@@ -43,12 +44,13 @@ def test_scan_and_group_stats_match_plain_windows(spark):
                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("s"),
                     F.lead("t").over(w).alias("nx"), F.lag("t").over(w).alias("pv"),
                     F.last("v", ignorenulls=True).over(rev).alias("nn"),
+                    F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("pn"),
                     F.max("v").over(g).alias("g_max"), F.count("v").over(g).alias("g_cnt"),
                     F.sum("v").over(g).alias("g_sum"), F.min("id").over(g).alias("g_min"))
     n = 0
     for r in ref.collect():
         x = got[r.id]
-        for c in ("rn", "s", "nx", "pv", "nn", "g_max", "g_cnt", "g_sum", "g_min"):
+        for c in ("rn", "s", "nx", "pv", "nn", "pn", "g_max", "g_cnt", "g_sum", "g_min"):
             assert x[c] == r[c], (r.id, c, x[c], r[c])
         n += 1
     assert n == 4000 == len(got)

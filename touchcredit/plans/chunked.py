@@ -160,19 +160,22 @@ def _w(order: Order) -> Window:
 
 def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
                  running_sums: dict[str, str] | None = None, lead: dict[str, str] | None = None,
-                 lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None) -> DataFrame:
+                 lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None,
+                 prev_non_null: dict[str, str] | None = None) -> DataFrame:
     """Per-key scans over rows already tagged by :func:`chunk`.
 
     ``running_sums``/``lead``/``lag``/``next_non_null`` map output column ->
     input column.  ``next_non_null`` is the first non-NULL value at or after
     the row (a forward-looking FIRST_VALUE IGNORE NULLS), computed by a
-    running frame over the reversed order, so its cost stays linear.
+    running frame over the reversed order, so its cost stays linear;
+    ``prev_non_null`` is the last non-NULL value at or before the row.
     Also sets ``_ck_rn``/``_ck_cnt``.  The round ends with a checkpoint.
     """
     running_sums = running_sums or {}
     lead = lead or {}
     lag = lag or {}
     next_non_null = next_non_null or {}
+    prev_non_null = prev_non_null or {}
     w = _w(order)
     wrun = w.rowsBetween(_UNB, Window.currentRow)
     wall = w.rowsBetween(_UNB, _UNF)
@@ -191,10 +194,14 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     for out, c in next_non_null.items():
         cols[f"_ck_ln_{out}"] = F.last(c, ignorenulls=True).over(wrev)
         cols[f"_ck_lq_{out}"] = F.first(c, ignorenulls=True).over(wall)
+    for out, c in prev_non_null.items():
+        cols[f"_ck_lb_{out}"] = F.last(c, ignorenulls=True).over(wrun)
+        cols[f"_ck_le_{out}"] = F.last(c, ignorenulls=True).over(wall)
     local = _stage(df.withColumns(cols))
 
     # Carry across chunks, for keys that cross chunk boundaries only.
-    summary_cols = [KEY, CHUNK, CNT] + [c for c in cols if c.startswith(("_ck_lt_", "_ck_lf_", "_ck_lz_", "_ck_lq_"))]
+    summary_cols = [KEY, CHUNK, CNT] + [c for c in cols if c.startswith(("_ck_lt_", "_ck_lf_", "_ck_lz_", "_ck_lq_",
+                                                                           "_ck_le_"))]
     summary = local.filter((F.col(RN) == 1) & F.col(EDGE)).select(*summary_cols)
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
     before = wc.rowsBetween(_UNB, -1)
@@ -208,6 +215,8 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         carry_cols.append(F.lag(f"_ck_lz_{out}").over(wc).alias(f"_ck_c_{out}"))
     for out in next_non_null:
         carry_cols.append(F.last(f"_ck_lq_{out}", ignorenulls=True).over(after).alias(f"_ck_c_{out}"))
+    for out in prev_non_null:
+        carry_cols.append(F.last(f"_ck_le_{out}", ignorenulls=True).over(before).alias(f"_ck_c_{out}"))
     carry = _correction(summary.select(*carry_cols), local)  # <= 2 rows per chunk
 
     joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
@@ -224,10 +233,12 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         out_cols[out] = F.when(F.col(RN) == 1, F.col(f"_ck_c_{out}")["v"]).otherwise(F.col(f"_ck_lg_{out}"))
     for out in next_non_null:
         out_cols[out] = F.coalesce(F.col(f"_ck_ln_{out}"), F.col(f"_ck_c_{out}"))
+    for out in prev_non_null:
+        out_cols[out] = F.coalesce(F.col(f"_ck_lb_{out}"), F.col(f"_ck_c_{out}"))
     result = joined.withColumns(out_cols)
     result = result.drop(*[c for c in result.columns if c.startswith(("_ck_ls_", "_ck_lt_", "_ck_ll_", "_ck_lf_",
                                                                        "_ck_lg_", "_ck_lz_", "_ck_ln_", "_ck_lq_",
-                                                                       "_ck_c_"))])
+                                                                       "_ck_lb_", "_ck_le_", "_ck_c_"))])
     return result
 
 

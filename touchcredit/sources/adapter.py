@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import non_null_key, nulls_last_key
+from ..functions.columns import non_null_key
 from ..plans import chunked as ck
 
 # Fixed values of the adapter rules: the session gap, the mapping of event
@@ -60,11 +60,10 @@ def sessionize(events: DataFrame) -> DataFrame:
     with_prev = ck.ordered_scan(tagged, order, lag={"prev_ts": "ts"})
     flagged = with_prev.withColumn(
         "is_new", F.when(F.col("prev_ts").isNull() | (F.col("ts") > F.col("prev_ts") + F.expr(SESSION_GAP)), 1)
-        .otherwise(0))
-    numbered = ck.ordered_scan(flagged, order, running_sums={"sn": "is_new"})
-    first_k = ck.group_stats(numbered, F.col("sn").cast("long"),
-                             {"_first": (F.min(nulls_last_key(F.col("ts"), F.col("event_id"), F.col("k"))), "min")})
-    return ck.drop_internal(first_k.withColumn("sk", F.col("_first")["_v2"]).drop("_first", "prev_ts"))
+        .otherwise(0)).withColumn("_k_new", F.when(F.col("is_new") == 1, F.struct(F.col("k").alias("v"))))
+    numbered = ck.ordered_scan(flagged, order, running_sums={"sn": "is_new"},
+                               prev_non_null={"sk": "_k_new"})
+    return ck.drop_internal(numbered).withColumn("sk", F.col("sk")["v"]).drop("prev_ts", "_k_new")
 
 
 def events_to_export(events: DataFrame) -> DataFrame:
