@@ -34,3 +34,13 @@ def test_load_export_pattern_and_missing_fields(spark, scratch_dir):
     rows = df.collect()
     assert [r.user_pseudo_id for r in rows] == ["p1"]
     assert rows[0].traffic_source is None and rows[0].geo is None  # absent fields read as NULL
+
+
+def test_variant_landing_round_trip(spark):
+    from touchcredit.sources.export import from_variant, to_variant
+
+    ex = make_export(spark, [export_row("p1", "session_start", "2024-01-01 10:00", 1, source="google", medium="cpc",
+                                        revenue=3.5, txn="T"),
+                             export_row("p2", "x", "2024-01-01 11:00", 2)])
+    back = from_variant(to_variant(ex))
+    assert sorted(map(str, back.collect())) == sorted(map(str, ex.collect()))

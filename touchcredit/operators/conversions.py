@@ -106,3 +106,19 @@ def rollup_conversions(scored: DataFrame, cfg: AttributionConfig = DEFAULT_CONFI
     if cfg.session_key == "session":
         aggs.insert(0, F.max("blended_user_id").alias("blended_user_id"))
     return scored.groupBy(*keys).agg(*aggs).select(*CONVERTING_SESSION_COLUMNS)
+
+
+def lost_conversions(conv_sessions: DataFrame, session_ids: DataFrame) -> DataFrame:
+    """Data-quality report: converting sessions with no ``session_start`` row.
+
+    Their conversions never reach a touchpoint (the join starts from
+    sessions).  One row: count of such sessions, their conversions and
+    revenue.  ``session_ids``: a ``session_id`` column of session starts.
+    A left anti join (NULL ids never match, so they count as lost).
+    """
+    lost = conv_sessions.join(session_ids.select("session_id").distinct(), "session_id", "left_anti")
+    revenue = F.coalesce(F.col("first_order_revenue"), F.lit(0.0)) + F.coalesce(F.col("repeat_order_revenue"),
+                                                                                  F.lit(0.0))
+    return lost.agg(F.count(F.lit(1)).alias("lost_converting_sessions"),
+                    F.coalesce(F.sum("count_conversions"), F.lit(0).cast("long")).alias("lost_conversions"),
+                    F.coalesce(F.sum(revenue), F.lit(0.0)).alias("lost_revenue"))

@@ -360,6 +360,11 @@ def oracle_sql() -> dict[str, str]:
             FROM o_ce"""),
         "converting_sessions": _with(d, f"""SELECT * REPLACE ({_r('first_order_revenue')},
             {_r('repeat_order_revenue')}) FROM o_cs"""),
+        "lost_conversions": _with(d, """SELECT CAST(COUNT(*) AS BIGINT) AS lost_converting_sessions,
+            CAST(COALESCE(SUM(count_conversions), 0) AS BIGINT) AS lost_conversions,
+            ROUND(COALESCE(SUM(COALESCE(first_order_revenue, 0) + COALESCE(repeat_order_revenue, 0)), 0), 6)
+              AS lost_revenue
+            FROM o_cs c WHERE NOT EXISTS (SELECT 1 FROM o_sess0 s WHERE s.session_id = c.session_id)"""),
         "channel_flags": _with(d, f"""SELECT user_pseudo_id, session_start_ts, session_id, utm_source, utm_medium,
             CASE WHEN LOWER(utm_source) IN ({", ".join(_q(s) for s in d.direct_sources)}) THEN FALSE ELSE TRUE END
               AS is_non_direct_channel,

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .config import DEFAULT_CONFIG, FIRST_NON_DIRECT, AttributionConfig
 from .functions.columns import device_class, event_param, micros_to_ts
-from .operators import cycles, identity, models, sessions, touchpoints, weights
+from .operators import conversions, cycles, identity, models, sessions, touchpoints, weights
 from .plans.pipeline import Attribution
 from .session import ensure_checkpoint_dir
 from .sources.adapter import events_to_export
@@ -134,6 +134,12 @@ def q_converting_sessions(spark, sf_dir):
     return _pipe(spark, sf_dir).converting_sessions
 
 
+def q_lost_conversions(spark, sf_dir):
+    p = _pipe(spark, sf_dir)
+    starts = sessions.session_start_rows(p.export, p.cfg, ("session_id",))
+    return conversions.lost_conversions(p.converting_sessions, starts)
+
+
 def q_channel_flags(spark, sf_dir):
     x = sessions.session_start_rows(landed_export(spark, sf_dir), DEFAULT_CONFIG,
                                     ("user_pseudo_id", "session_start_ts", "session_id", "utm_source", "utm_medium"))
@@ -209,6 +215,7 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "converting_events_filtered": q_converting_events_filtered,
     "converting_events": q_converting_events,
     "converting_sessions": q_converting_sessions,
+    "lost_conversions": q_lost_conversions,
     "channel_flags": q_channel_flags,
     "touchpoints": q_touchpoints,
     "running_conversions": q_running_conversions,
