@@ -8,7 +8,8 @@ user (NULL ids, bots) holding a third of all rows would become one task over
 a third of the data.  This module runs the same computations with bounded
 work per task:
 
-1. ``chunk``: range-partition the rows by ``(key, order...)`` into P chunks.
+1. ``chunk``: range-partition the rows by ``(key, order...)`` into P chunks
+   (P <= spark.sql.shuffle.partitions; AQE merges small adjacent ranges).
    The sampled range bounds cut by the full order, so a single hot key is
    spread over many consecutive chunks.  ``spark_partition_id()`` tags each
    row with its chunk.
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir
 
 KEY = "_ck_key"
 CHUNK = "_ck_chunk"
@@ -75,11 +76,14 @@ def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chu
     partitioner's sample) are data from here on: every branch and every
     recomputation sees the same chunks.
     """
-    spark = df.sparkSession
-    n = num_chunks or shuffle_partitions(spark)
     tagged = df.withColumn(KEY, key).withColumn(TB, F.xxhash64(*[F.col(c) for c in tiebreak]))
-    ranged = (tagged.repartitionByRange(n, F.col(KEY).asc(), *order.asc())
-              .withColumn(CHUNK, F.spark_partition_id()))
+    sort = [F.col(KEY).asc(), *order.asc()]
+    # Without an explicit count, AQE may merge adjacent range partitions up to
+    # the advisory partition size: chunks stay contiguous ranges, sized by
+    # bytes (small inputs get few chunks, large ones ~advisory-size chunks),
+    # and their number never exceeds spark.sql.shuffle.partitions.
+    ranged = tagged.repartitionByRange(num_chunks, *sort) if num_chunks else tagged.repartitionByRange(*sort)
+    ranged = ranged.withColumn(CHUNK, F.spark_partition_id())
     pinned = checkpoint(ranged)
     # Keys found in more than one chunk.  Chunks are consecutive ranges of
     # (key, order), so such a key equals one of the P-1 range bounds: at most
