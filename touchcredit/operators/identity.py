@@ -8,24 +8,38 @@ from pyspark.sql import functions as F
 from ..functions.columns import nulls_last_key
 
 
-def stitch_identities(events: DataFrame) -> DataFrame:
-    """One row per ``user_pseudo_id``: last non-NULL login, first and last seen.
+def last_logins(events: DataFrame) -> DataFrame:
+    """Last non-NULL ``user_id`` per ``user_pseudo_id`` (NULL pseudo id is one group).
 
     "Last" follows ``event_ts ASC NULLS LAST`` (ties: greater ``user_id``).
-    A ``groupBy`` with max of an ordering struct replaces the DISTINCT over a
-    whole-partition window: partial aggregation runs map-side, so a hot
-    pseudo id costs one partial row per task, and no sort is needed.
+    Only rows carrying a login are read (the filter reaches the Parquet
+    scan), so this never aggregates the whole event table.
+    """
+    logged = events.filter(F.col("user_id").isNotNull())
+    return (logged.groupBy("user_pseudo_id")
+            .agg(F.max(nulls_last_key(F.col("event_ts"), F.col("user_id")))["_v1"].alias("user_id")))
+
+
+def stitch_identities(events: DataFrame) -> DataFrame:
+    """One row per ``user_pseudo_id``: last non-NULL login, first and last seen.
+
+    A group-by replaces the DISTINCT over whole-partition windows.  First and
+    last seen are a hash aggregation with fixed-width buffers (partial,
+    map-side, so a hot pseudo id costs one row per task); the login comes from
+    :func:`last_logins` and is attached with a NULL-safe join.
     """
-    last_login = F.max(F.when(F.col("user_id").isNotNull(),
-                              nulls_last_key(F.col("event_ts"), F.col("user_id"))))
-    return (events.groupBy("user_pseudo_id")
-            .agg(last_login["_v1"].alias("user_id"),
-                 F.min("event_ts").alias("first_seen_at"),
-                 F.max("event_ts").alias("last_seen_at")))
+    seen = events.groupBy("user_pseudo_id").agg(F.min("event_ts").alias("first_seen_at"),
+                                                F.max("event_ts").alias("last_seen_at"))
+    logins = last_logins(events).withColumnRenamed("user_pseudo_id", "_p")
+    joined = seen.join(logins, seen["user_pseudo_id"].eqNullSafe(logins["_p"]), "left")
+    return joined.select("user_pseudo_id", "user_id", "first_seen_at", "last_seen_at")
 
 
 def login_map(ids: DataFrame) -> DataFrame:
-    """pseudo id -> login, for pseudo ids that ever logged in (the only ones a join can change)."""
+    """pseudo id -> login, for pseudo ids that ever logged in (the only ones a join can change).
+
+    ``ids`` is :func:`last_logins` output or :func:`stitch_identities` output.
+    """
     return (ids.filter(F.col("user_pseudo_id").isNotNull() & F.col("user_id").isNotNull())
             .select("user_pseudo_id", F.col("user_id").alias("_login")))
 

@@ -33,7 +33,7 @@ class Attribution:
     @cached_property
     def logins(self) -> DataFrame:
         """pseudo id -> login (logged-in pseudo ids only); read by both blends, computed once."""
-        return ck.share(identity.login_map(self.ids))
+        return ck.share(identity.login_map(identity.last_logins(self.events)))
 
     @cached_property
     def sessions(self) -> DataFrame:
