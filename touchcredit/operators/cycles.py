@@ -34,9 +34,14 @@ MEASURES = ("count_registration_conversions", "count_first_order_conversions", "
             "first_order_revenue", "repeat_order_revenue")
 
 
-def running_conversions(tp: DataFrame) -> DataFrame:
-    """Five running totals per blended user in start order (kept touchpoints only)."""
-    scanned = ck.ordered_scan(tp, TOUCH_ORDER, running_sums=RUNNING)
+def running_conversions(tp: DataFrame, day_counts: dict | None = None) -> DataFrame:
+    """Five running totals per blended user in start order (kept touchpoints only).
+
+    ``day_counts`` (from ``weights.day_session_counts``) computes the per-day
+    session counts of O18 in the same round; they do not depend on cycles.
+    """
+    group, aggs = (day_counts["group"], day_counts["aggs"]) if day_counts else (None, None)
+    scanned = ck.ordered_scan(tp, TOUCH_ORDER, running_sums=RUNNING, group=group, group_aggs=aggs)
     return scanned.withColumns({c: F.col(c).cast("long") for c in RUNNING})
 
 

@@ -27,6 +27,13 @@ def _counted(cfg: AttributionConfig):
     return F.lit(True) if cfg.include_conversion_session else ~F.col("conversion_session")
 
 
+def day_session_counts(cfg: AttributionConfig = DEFAULT_CONFIG) -> dict:
+    """Per (user, start day) count of session ids that split time-decay scores."""
+    day_key = non_null_long(F.unix_date(F.to_date(F.col("session_start_ts"))))
+    return {"group": day_key,
+            "aggs": {"_day_sessions": (F.count(F.when(_counted(cfg), F.col("session_id"))), "sum")}}
+
+
 def time_decay_scores(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Score, weighting, sessions per user-day, split weighting, apportioned score.
 
@@ -35,9 +42,11 @@ def time_decay_scores(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) ->
     session count covers the user's sessions of that calendar day across all
     cycles; a converting session always counts as 1.
     """
-    day_key = non_null_long(F.unix_date(F.to_date(F.col("session_start_ts"))))
-    per_day = ck.group_stats(df, day_key, {
-        "_day_sessions": (F.count(F.when(_counted(cfg), F.col("session_id"))), "sum")})
+    if "_day_sessions" in df.columns:
+        per_day = df
+    else:
+        counts = day_session_counts(cfg)
+        per_day = ck.group_stats(df, counts["group"], counts["aggs"])
     days = F.col("days_before_conversion")
     exponent = days - 1 if cfg.time_decay_direction == "reference" else -days
     power = F.pow(F.lit(2.0), exponent)

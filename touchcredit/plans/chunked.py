@@ -88,10 +88,11 @@ def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chu
     # Keys found in more than one chunk.  Chunks are consecutive ranges of
     # (key, order), so such a key equals one of the P-1 range bounds: at most
     # P-1 rows, broadcast with that bound.  Hash aggregation with int buffers.
-    spanning = checkpoint(pinned.groupBy(KEY)
-                          .agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
-                          .filter(F.col("_lo") < F.col("_hi"))
-                          .select(KEY, F.lit(True).alias(EDGE)))
+    # Evaluated inside the first round's job (pinned rows are fixed data).
+    spanning = (pinned.groupBy(KEY)
+                .agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
+                .filter(F.col("_lo") < F.col("_hi"))
+                .select(KEY, F.lit(True).alias(EDGE)))
     _retire()
     return (pinned.join(F.broadcast(spanning), KEY, "left")
             .withColumn(EDGE, F.coalesce(F.col(EDGE), F.lit(False))))
@@ -165,7 +166,8 @@ def _w(order: Order) -> Window:
 def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
                  running_sums: dict[str, str] | None = None, lead: dict[str, str] | None = None,
                  lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None,
-                 prev_non_null: dict[str, str] | None = None) -> DataFrame:
+                 prev_non_null: dict[str, str] | None = None,
+                 group: Column | None = None, group_aggs: dict[str, tuple[Column, str]] | None = None) -> DataFrame:
     """Per-key scans over rows already tagged by :func:`chunk`.
 
     ``running_sums``/``lead``/``lag``/``next_non_null`` map output column ->
@@ -173,6 +175,8 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     the row (a forward-looking FIRST_VALUE IGNORE NULLS), computed by a
     running frame over the reversed order, so its cost stays linear;
     ``prev_non_null`` is the last non-NULL value at or before the row.
+    ``group``/``group_aggs`` add :func:`group_stats` in the same round (the
+    statistics must not depend on the scan outputs).
     Also sets ``_ck_rn``/``_ck_cnt``.  The round ends with a checkpoint.
     """
     running_sums = running_sums or {}
@@ -201,6 +205,10 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     for out, c in prev_non_null.items():
         cols[f"_ck_lb_{out}"] = F.last(c, ignorenulls=True).over(wrun)
         cols[f"_ck_le_{out}"] = F.last(c, ignorenulls=True).over(wall)
+    if group_aggs:
+        wg = Window.partitionBy(KEY, CHUNK, _G)
+        df = df.withColumn(_G, group)
+        cols.update({name: agg.over(wg) for name, (agg, _) in group_aggs.items()})
     local = _stage(df.withColumns(cols))
 
     # Carry across chunks, for keys that cross chunk boundaries only.
@@ -224,6 +232,9 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     carry = _correction(summary.select(*carry_cols), local)  # <= 2 rows per chunk
 
     joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
+    if group_aggs:
+        cross = _correction(_group_cross(local, group_aggs), local)
+        joined = _group_apply(joined.join(F.broadcast(cross), [KEY, _G], "left"), group_aggs)
     out_cols: dict[str, Column] = {}
     if row_number:
         out_cols[row_number] = (F.col(RN) + F.coalesce(F.col("_ck_c_rn"), F.lit(0))).cast("long")
@@ -247,6 +258,23 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
 
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
+_G = "_ck_g"
+
+
+def _group_cross(local: DataFrame, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Merged statistics of groups that span chunks (<= 4 rows per chunk)."""
+    edge = (local.filter(((F.col(RN) == 1) | (F.col(RN) == F.col(CNT))) & F.col(EDGE))
+            .select(KEY, CHUNK, _G, *aggs.keys())
+            .dropDuplicates([KEY, CHUNK, _G]))
+    return (edge.groupBy(KEY, _G)
+            .agg(*[_COMBINE[comb](name).alias(f"_ck_x_{name}") for name, (_, comb) in aggs.items()],
+                 F.lit(True).alias("_ck_x")))
+
+
+def _group_apply(joined: DataFrame, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+    fixed = joined.withColumns({
+        name: F.when(F.col("_ck_x"), F.col(f"_ck_x_{name}")).otherwise(F.col(name)) for name in aggs})
+    return fixed.drop(_G, "_ck_x", *[f"_ck_x_{name}" for name in aggs])
 
 
 def group_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
@@ -261,21 +289,10 @@ def group_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]
     (key, chunk) partitioning; groups that span chunks are corrected from a
     table of at most 4 rows per chunk.
     """
-    g = "_ck_g"
-    with_g = df.withColumn(g, group)
-    wg = Window.partitionBy(KEY, CHUNK, g)
-    local = _stage(with_g.withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
-
-    edge = (local.filter(((F.col(RN) == 1) | (F.col(RN) == F.col(CNT))) & F.col(EDGE))
-            .select(KEY, CHUNK, g, *aggs.keys())
-            .dropDuplicates([KEY, CHUNK, g]))
-    cross = _correction(edge.groupBy(KEY, g)
-                        .agg(*[_COMBINE[comb](name).alias(f"_ck_x_{name}") for name, (_, comb) in aggs.items()],
-                             F.lit(True).alias("_ck_x")), local)  # <= 4 rows per chunk
-    joined = local.join(F.broadcast(cross), [KEY, g], "left")
-    fixed = joined.withColumns({
-        name: F.when(F.col("_ck_x"), F.col(f"_ck_x_{name}")).otherwise(F.col(name)) for name in aggs})
-    return fixed.drop(g, "_ck_x", *[f"_ck_x_{name}" for name in aggs])
+    wg = Window.partitionBy(KEY, CHUNK, _G)
+    local = _stage(df.withColumn(_G, group).withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
+    cross = _correction(_group_cross(local, aggs), local)
+    return _group_apply(local.join(F.broadcast(cross), [KEY, _G], "left"), aggs)
 
 
 def drop_internal(df: DataFrame) -> DataFrame:

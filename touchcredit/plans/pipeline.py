@@ -67,7 +67,7 @@ class Attribution:
 
     @cached_property
     def running(self) -> DataFrame:
-        return cycles.running_conversions(self.touchpoints_chunked)
+        return cycles.running_conversions(self.touchpoints_chunked, weights.day_session_counts(self.cfg))
 
     @cached_property
     def cycles(self) -> DataFrame:
