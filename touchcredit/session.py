@@ -56,3 +56,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_partitions: int = 50_000) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of export Parquet.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (AQE then merges small ones), capped at ``max_partitions``; the cap also
+    bounds the number of range chunks P, hence every broadcast correction
+    table (<= 4P rows).  Scan splits match the target size so one task never
+    decodes more than about that much Parquet.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
