@@ -33,8 +33,10 @@ def land_export(export: DataFrame, path: str, partition_by_date: bool = True, mo
     earlier sessions), so it reads every partition.
     """
     if partition_by_date:
-        # one file per day (per task), not one per day per task
-        writer = export.repartition("event_date").write.mode(mode).partitionBy("event_date")
+        # Range-partition by (day, time): few files per day, and a day holding
+        # a large share of the export is still split over several tasks.
+        writer = (export.repartitionByRange(F.col("event_date"), F.col("event_timestamp"))
+                  .write.mode(mode).partitionBy("event_date"))
     else:
         writer = export.write.mode(mode)
     writer.parquet(path)
