@@ -44,3 +44,19 @@ def test_variant_landing_round_trip(spark):
                              export_row("p2", "x", "2024-01-01 11:00", 2)])
     back = from_variant(to_variant(ex))
     assert sorted(map(str, back.collect())) == sorted(map(str, ex.collect()))
+
+
+def test_attribution_sinks(spark, scratch_dir):
+    from test_golden import g1_rows
+
+    from touchcredit.plans.pipeline import attribution
+    from touchcredit.sources.sinks import register_view, write_attribution
+
+    result = attribution(make_export(spark, g1_rows()))
+    out = os.path.join(scratch_dir, "attribution")
+    write_attribution(result, out)
+    back = spark.read.parquet(out)
+    assert back.count() == 35 and back.select("model").distinct().count() == 7
+    register_view(back, "attribution_g1")
+    row = spark.sql("SELECT SUM(first_order_revenue) AS r FROM attribution_g1 WHERE model = 'Linear'").first()
+    assert round(row.r, 6) == 50.0
