@@ -229,11 +229,19 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         carry_cols.append(F.last(f"_ck_lq_{out}", ignorenulls=True).over(after).alias(f"_ck_c_{out}"))
     for out in prev_non_null:
         carry_cols.append(F.last(f"_ck_le_{out}", ignorenulls=True).over(before).alias(f"_ck_c_{out}"))
-    carry = _correction(summary.select(*carry_cols), local)  # <= 2 rows per chunk
+    carry_table = summary.select(*carry_cols)  # <= 2 rows per chunk
+    if group_aggs:
+        # One job writes both correction tables (tagged, then split again).
+        both = _correction(carry_table.withColumn("_ck_kind", F.lit(0)).unionByName(
+            _group_cross(local, group_aggs).withColumn("_ck_kind", F.lit(1)), allowMissingColumns=True), local)
+        carry = both.filter(F.col("_ck_kind") == 0).select(*carry_table.columns)
+        cross = both.filter(F.col("_ck_kind") == 1).select(
+            KEY, _G, *[f"_ck_x_{name}" for name in group_aggs], "_ck_x")
+    else:
+        carry = _correction(carry_table, local)
 
     joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
     if group_aggs:
-        cross = _correction(_group_cross(local, group_aggs), local)
         joined = _group_apply(joined.join(F.broadcast(cross), [KEY, _G], "left"), group_aggs)
     out_cols: dict[str, Column] = {}
     if row_number:
