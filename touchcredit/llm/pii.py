@@ -46,7 +46,7 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE_BODY = re.compile(r"[ ().0-9-]+")
 _AFTER_CUE = re.compile(r"(?: (?:is|no\.?|number))?[\s:#=.]{1,4}", re.IGNORECASE)
-_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])")
 _ACCOUNT = re.compile(r"[A-Za-z]{0,3}[0-9](?:[ -]?[0-9]){5,19}(?![0-9])")
 _LOGIN = re.compile(r"[^\s/@:]+:[^\s/@]+@")
@@ -78,8 +78,8 @@ def _luhn(digits: str) -> bool:
 def _iban_end(text: str, m: re.Match) -> int | None:
     """End of the longest prefix of the match that passes the checksum."""
     for end in range(m.end(), m.start() + 14, -1):
-        code = text[m.start():end].replace(" ", "").upper()
-        if text[end - 1] != " " and 15 <= len(code) <= 34:
+        code = text[m.start():end].replace(" ", "")
+        if text[end - 1] != " " and not text[end:end + 1].isalnum() and 15 <= len(code) <= 34:
             if int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
                 return end
     return None
