@@ -1,12 +1,12 @@
 """Fast exact encoders for two public ``tokenizers`` vocabularies.
 
 ``tokenizers`` splits a text into words before it merges bytes, so a text's
-ids are the ids of its space-separated pieces put together.  Each distinct
-piece is encoded once per Python worker and remembered (bounded); pieces of
-plain Latin text are merged by tiktoken's byte-pair core under ranks read from
-the same ``.json`` file, every other piece (other scripts, control characters,
-special strings) by ``tokenizers`` itself.  The ids equal ``tokenizers`` on
-whole texts; tests/llm compares them.
+ids are the ids of its space-separated pieces put together.  Plain Latin text is
+merged by tiktoken's byte-pair core under ranks read from the same ``.json``
+file.  In every other text (other scripts, control characters, special strings)
+each distinct piece is encoded by ``tokenizers`` itself, once per Python worker,
+and remembered (bounded).  The ids equal ``tokenizers`` on whole texts;
+tests/llm compares them.
 """
 
 from __future__ import annotations
@@ -17,22 +17,19 @@ import re
 import sys
 from array import array
 
-import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 MEMO_ENTRIES = 600_000  # remembered pieces per encoder and Python worker (about 200 bytes each)
 MEMO_CHARS = 64  # longer pieces are encoded anew each time
 
-# The byte-level word pattern of the two vocabularies.
+# Fixed value: the word pattern of the byte-level vocabulary.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 _PLAIN = re.compile(r"[\n\x20-\x7e\xa1-įı-ɏ]*\Z")
 _UNEVEN_SPACE = re.compile(r" (?:\s|\Z)")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \n\t])")
-_TAIL = ".,!?;:#$%&*"  # marks that may follow a word; they always start a word of their own
-_END = b"\xff"  # stands for the end-of-word mark; no UTF-8 text holds this byte
+_SET_OFF = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼-¾]|[^\w\s]+(?:_+[^\w\s]*)*|_+(?:[^\w\s]+_*)*")
 
 
 @functools.lru_cache(maxsize=1)
@@ -43,14 +40,15 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _ranks(path: str) -> dict[bytes, int]:
+def _ranks(path: str, end: bytes) -> dict[bytes, int]:
+    """Ids by bytes; ``end`` stands for the end-of-word mark."""
     with open(path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
     chars, ranks = byte_of_char(), {}
     for token, i in vocab.items():
         stem = token.removesuffix("</w>")
         if stem and all(c in chars for c in stem):
-            ranks[bytes(chars[c] for c in stem) + (_END if stem != token else b"")] = i
+            ranks[bytes(chars[c] for c in stem) + (end if stem != token else b"")] = i
     return ranks
 
 
@@ -61,61 +59,47 @@ class ByteBpe:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.ranks = {k: v for k, v in _ranks(path).items() if k != self.special.encode()}
+        self.ranks = {k: v for k, v in _ranks(path, b"").items() if k != self.special.encode()}
         self.core = tiktoken.Encoding("byte", pat_str=BYTE_PATTERN, mergeable_ranks=self.ranks,
                                       special_tokens={})._core_bpe
         self.after_space: dict[str, bytes] = {}
         self.alone: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece as little-endian unsigned 16-bit integers."""
-        stem = piece.rstrip(_TAIL)
-        if stem != piece and stem[1:].isalpha():
-            return (_remember(self.stems, stem, stem, self.piece)
-                    + _remember(self.alone, piece[len(stem):], piece[len(stem):], self.piece))
-        if _PLAIN.match(piece) and self.special not in piece:
-            if stem[1:].isalpha() and (stem[0] == " " or stem[0].isalpha()):
-                ids = self.core.encode_single_piece(piece.encode())
-            else:
-                ids = self.core.encode_ordinary(piece)
-        else:
-            ids = self.library.encode(piece, add_special_tokens=False).ids
-        return _pack(ids)
 
     def ids16(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 16-bit integers."""
+        if _PLAIN.match(text) and self.special not in text:
+            return _pack(self.core.encode_ordinary(text))
         if _UNEVEN_SPACE.search(text):
-            return b"".join([_remember(self.alone, p, p, self.piece) for p in _BEFORE_SPACE.split(text)])
+            return b"".join([_remember(self.alone, p, p, self._piece) for p in _BEFORE_SPACE.split(text)])
         first, *rest = text.split(" ")
-        return _remember(self.alone, first, first, self.piece) + _join(self.after_space, rest, " ", self.piece)
+        return _remember(self.alone, first, first, self._piece) + _join(self.after_space, rest, " ", self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return _pack(self.library.encode(piece, add_special_tokens=False).ids)
 
 
 class WordBpe:
-    """Ids of a lower-cased vocabulary with end-of-word marks (white space dropped)."""
+    """Ids of a lower-cased vocabulary with end-of-word marks (white space dropped).
+
+    In a plain text every word is set off by spaces, so that the space after a
+    word can stand for its end mark.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.core = tiktoken.Encoding("word", pat_str=WORD_PATTERN, mergeable_ranks=_ranks(path),
+        self.core = tiktoken.Encoding("word", pat_str=r"[^ ]+ ", mergeable_ranks=_ranks(path, b" "),
                                       special_tokens={})._core_bpe
-        self.words = regex.compile(WORD_PATTERN)
         self.memo: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        stem = piece.rstrip(_TAIL).lower()
-        if stem != piece and stem.isalpha() and _PLAIN.match(piece):
-            return (_remember(self.stems, stem, stem, self.piece)
-                    + _remember(self.memo, piece[len(stem):], piece[len(stem):], self.piece))
-        if _PLAIN.match(piece) and "<|" not in piece:
-            one = self.core.encode_single_piece
-            words = (stem,) if stem.isalpha() and stem == piece else self.words.findall(piece.lower())
-            ids = [i for w in words for i in one(w.encode() + _END)]
-        else:
-            ids = self.library.encode(piece, add_special_tokens=False).ids
-        return _pack(ids)
 
     def ids16(self, text: str) -> bytes:
-        return _join(self.memo, text.split(" "), "", self.piece)
+        """Ids of a text as little-endian unsigned 16-bit integers."""
+        if _PLAIN.match(text) and "<|" not in text:
+            spaced = _SET_OFF.sub(r" \g<0> ", text.lower()).replace("\n", " ")
+            return _pack(self.core.encode_ordinary(f"{spaced} "))
+        return _join(self.memo, text.split(" "), "", self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return _pack(self.library.encode(piece, add_special_tokens=False).ids)
 
 
 def _pack(ids: list[int]) -> bytes:
