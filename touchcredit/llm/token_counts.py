@@ -53,7 +53,11 @@ class PrefixCounter:
     def __init__(self, path: str):
         self.bpe = bpe.ByteBpe(path)
         self.ranks, self.core = self.bpe.ranks, self.bpe.core
-        self.longest = max(map(len, self.ranks))
+        by_tail: dict[bytes, set[int]] = {}
+        for token in self.ranks:
+            by_tail.setdefault(token[-3:], set()).add(len(token))
+        # Token lengths by the last three bytes (fewer for short tokens), longest first.
+        self.lengths = {t: sorted(n, reverse=True) for t, n in by_tail.items()}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
         self.after_space: dict[str, bytes] = {}
@@ -82,7 +86,7 @@ class PrefixCounter:
         return out
 
     def _word_counts(self, word: str) -> list[int]:
-        raw, ranks, longest, stable = word.encode(), self.ranks, self.longest, self.stable
+        raw, ranks, lengths, stable = word.encode(), self.ranks, self.lengths, self.stable
         start, last, count = 0, [-1], [0]
         for k in PREFIXES:  # words that begin alike share the table so far
             if k < len(raw) and (known := self.prefixes.get(raw[:k])):
@@ -91,9 +95,9 @@ class PrefixCounter:
         last += [-1] * (len(raw) - start)
         count += [0] * (len(raw) - start)
         for i in range(start + 1, len(raw) + 1):
-            for j in range(max(0, i - longest), i):
-                token = ranks.get(raw[j:i])
-                if token is None:
+            for n in (*lengths.get(raw[i - 3:i] if i > 2 else b"", ()), 2, 1):
+                j = i - n
+                if j < 0 or (token := ranks.get(raw[j:i])) is None:
                     continue
                 before = last[j]
                 ok = before < 0 or stable.get((before, token))
