@@ -3,7 +3,8 @@
 Documents are tokenised once and dealt at random into shards of about
 ``SHARD_TOKENS`` tokens.  Each shard builds a BM25 inverted index over its
 documents whose terms are token ids, so the document frequencies, counted over
-*all* documents, fit one array of the vocabulary's size.  A window starts with
+*all* documents, fit one array of the vocabulary's size.  Terms of more than a
+quarter of all documents are stop words.  A window starts with
 a seed document; the index returns the seed's neighbours among the unused
 documents by descending score, and they fill the window greedily.  The document
 that crosses the window's end is cut there, its rest opens the next window and
@@ -39,6 +40,7 @@ WINDOW = 2048
 SHARD_TOKENS = 1 << 20
 VOCABULARY = 1 << 16
 K1, B = 1.2, 0.75
+COMMON = 0.25  # terms of more than this share of all documents are not indexed: they tell no neighbours apart
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -50,6 +52,7 @@ class Bm25:
         terms, rows, weights = [], [], []
         for i, ids in enumerate(docs):
             t, n = np.unique(ids, return_counts=True)
+            t, n = t[idf[t] > 0], n[idf[t] > 0]
             terms.append(t)
             rows.append(np.full(len(t), i, np.int32))
             weights.append(idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean_length)))
@@ -62,6 +65,8 @@ class Bm25:
     def scores(self, seed: int) -> np.ndarray:
         """Scores of all documents for the seed's distinct terms, accumulated term by term."""
         t = self.terms_of[seed].astype(np.int64)
+        if not len(t):
+            return np.zeros(self.n)
         lo, hi = self.bounds[t].tolist(), self.bounds[t + 1].tolist()
         rows = np.concatenate([self.rows[a:b] for a, b in zip(lo, hi)])
         weights = np.concatenate([self.weights[a:b] for a, b in zip(lo, hi)])
@@ -164,7 +169,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: in
     spark = docs.sparkSession
     tokens = tokenised(docs, tokenizer, end_id, id_col, text_col)
     df, n_docs, n_tokens = term_statistics(tokens)
-    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
+    idf = np.where(df > COMMON * n_docs, 0.0, np.log1p((n_docs - df + 0.5) / (df + 0.5)))
     mean = max(1.0, n_tokens / max(1, n_docs))
     shards = max(1, -(-n_tokens // shard_tokens))
     shared = spark.sparkContext.broadcast(idf)  # one number per token id
