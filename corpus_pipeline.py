@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from touchcredit.llm import exact_dedup, lang_id, mixing, packing, simhash
 from touchcredit.llm.common import pin
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.3  # a short text of words that several languages share is kept
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

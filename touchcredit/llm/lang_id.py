@@ -23,21 +23,21 @@ read.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, strings
+from .common import pin, ship, strings
 
 UNKNOWN = "und"
 GRAMS = (5, 4, 3, 2, 1)
 EVIDENCE_WORDS = 20  # the score is the posterior after at most so many average words
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _MEMO = 400_000
 
 
@@ -84,42 +84,57 @@ class BackoffModel:
     def __init__(self, languages: list[str], words: dict[str, np.ndarray], pieces: dict[str, np.ndarray],
                  totals: tuple[np.ndarray, np.ndarray]):
         self.languages, half = languages, 0.5
-        self.words = {w: np.log((c + half) / (totals[0] + half * (len(words) + 1))) for w, c in words.items()}
-        self.pieces = {g: np.log((c + half) / (totals[1] + half * (len(pieces) + 1))) for g, c in pieces.items()}
-        self.memo: dict[str, np.ndarray | None] = {}
+        self.words, self.pieces = (
+            {k: tuple(np.log((c + half) / (total + half * (len(table) + 1))).tolist()) for k, c in table.items()}
+            for table, total in zip((words, pieces), totals))
+        self.memo: dict[str, int] = {}  # piece to its row of ``rows``: summed scores, then the number of words
+        self.rows = np.zeros((0, len(languages) + 1))
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> tuple[float, ...]:
         """Score of one word in every language."""
         known = self.words.get(word)
         if known is not None:
             return known
+        marked, get = f"<{word}>", self.pieces.get
         for n in GRAMS:
-            found = [self.pieces[g] for g in grams(word, n) if g in self.pieces]
+            found = [v for i in range(len(marked) - n + 1) if (v := get(marked[i:i + n]))]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
-
-    def _piece(self, piece: str) -> np.ndarray | None:
-        """Summed scores and number of the words in a white-space separated piece; None without letters."""
-        if piece not in self.memo:
-            words = _LETTERS.findall(piece)
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            value = np.append(sum(map(self.word, words)), len(words)) if words else None
-            if len(piece) > 64:
-                return value
-            self.memo[piece] = value
-        return self.memo[piece]
+                return tuple(sum(x) / len(found) for x in zip(*found))
+        return (0.0,) * len(self.languages)
+
+    def _scores(self, piece: str) -> tuple[float, ...]:
+        words = _LETTERS.findall(piece)
+        scored = [self.word(w) for w in words]
+        return (*(map(sum, zip(*scored)) if words else (0.0,) * len(self.languages)), float(len(words)))
+
+    def _sum(self, pieces: list[str], times: list[int]) -> np.ndarray:
+        if not len(self.rows):
+            self.rows = np.zeros((_MEMO, len(self.languages) + 1))
+        if len(self.memo) + len(pieces) > _MEMO:
+            self.memo.clear()
+        at, memo, total = list(map(self.memo.get, pieces)), self.memo, np.zeros(len(self.languages) + 1)
+        if None in at:
+            for i, row in enumerate(at):
+                if row is not None:
+                    continue
+                if len(pieces[i]) > 64:  # not worth remembering
+                    total += np.array(self._scores(pieces[i])) * times[i]
+                    at[i], times[i] = 0, 0
+                else:
+                    at[i] = memo[pieces[i]] = len(memo)
+                    self.rows[at[i]] = self._scores(pieces[i])
+        return total + np.array(times, float) @ self.rows[at]
 
     def predict(self, text: str) -> tuple[str, float]:
         if not self.languages:
             return UNKNOWN, 0.0
         seen = Counter(text.lower().split())
-        scored = [(v, n) for p, n in seen.items() if (v := self._piece(p)) is not None]
-        if not scored:
-            return UNKNOWN, 0.0
-        total = np.array([n for _, n in scored], float) @ np.array([v for v, _ in scored])
+        pieces, times = list(seen), list(seen.values())
+        total = sum((self._sum(pieces[i:i + _MEMO // 4], times[i:i + _MEMO // 4])
+                     for i in range(0, len(pieces), _MEMO // 4)), np.zeros(len(self.languages) + 1))
         count, sums = total[-1], total[:-1]
+        if not count:
+            return UNKNOWN, 0.0
         best = int(np.argmax(sums))
         rest = (sums - sums[best]) * (min(count, EVIDENCE_WORDS) / count)
         return self.languages[best], float(1.0 / np.exp(rest).sum())
@@ -139,10 +154,12 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         .agg(F.sum("n").alias("n")))
     per_item = counts.groupBy("kind", "item").agg(F.sum("n").alias("n"), F.map_from_entries(
         F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    per_item = pin(per_item, "language-counts")
     tables = []
     for kind, most in (("w", max_words), ("g", max_grams)):
         top = per_item.filter(F.col("kind") == kind).orderBy(F.desc("n"), "item").limit(most)
-        tables.append({r["item"]: r["by_lang"] for r in top.select("item", "by_lang").collect()})
+        found = top.select("item", "by_lang").toArrow()
+        tables.append({k: dict(by) for k, by in zip(*(c.to_pylist() for c in found.columns))})
     languages = sorted({x for t in tables for by in t.values() for x in by})
     vectors = [{k: np.array([by.get(x, 0) for x in languages], float) for k, by in t.items()} for t in tables]
     totals = tuple(sum(t.values(), np.zeros(len(languages))) for t in vectors)
