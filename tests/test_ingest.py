@@ -60,3 +60,31 @@ def test_attribution_sinks(spark, scratch_dir):
     register_view(back, "attribution_g1")
     row = spark.sql("SELECT SUM(first_order_revenue) AS r FROM attribution_g1 WHERE model = 'Linear'").first()
     assert round(row.r, 6) == 50.0
+
+
+def test_load_export_by_regular_expression_and_partition_folders(spark, scratch_dir):
+    from touchcredit.sources.export import land_export
+
+    root = os.path.join(scratch_dir, "stage")
+    make_export(spark, [export_row("p1", "session_start", "2024-01-01 10:00", 1)]).write.parquet(f"{root}/daily/a")
+    make_export(spark, [export_row("p2", "x", "2024-01-01 11:00", 2)]).write.parquet(f"{root}/other")
+    assert [r.user_pseudo_id for r in load_export(spark, root, pattern="daily/.*").collect()] == ["p1"]
+    assert load_export(spark, root, pattern="daily/*").count() == 1
+    assert load_export(spark, root, pattern="none/.*").count() == 0
+    landed = os.path.join(scratch_dir, "landed")
+    land_export(make_export(spark, [export_row("p1", "x", "2024-01-01 10:00", 1),
+                                    export_row("p1", "x", "2024-01-02 10:00", 1)]), landed)
+    by_pattern = load_export(spark, landed, pattern=".*[.]parquet")
+    assert sorted(r.event_date for r in by_pattern.collect()) == ["20240101", "20240102"]
+    table, ckpt = os.path.join(scratch_dir, "again"), os.path.join(scratch_dir, "history")
+    assert load_export_incremental(spark, landed, table, ckpt) == 2
+    assert sorted(r.event_date for r in load_export(spark, table).collect()) == ["20240101", "20240102"]
+
+
+def test_incremental_count_past_a_hundred_batches(spark, scratch_dir):
+    src = os.path.join(scratch_dir, "many")
+    make_export(spark, [export_row("p1", "x", "2024-01-01 10:00", i) for i in range(130)]) \
+        .repartition(130).write.option("maxRecordsPerFile", 1).parquet(src)
+    table, ckpt = os.path.join(scratch_dir, "t"), os.path.join(scratch_dir, "c")
+    assert load_export_incremental(spark, src, table, ckpt, max_files_per_trigger=1) == 130
+    assert load_export(spark, table).count() == 130

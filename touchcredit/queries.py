@@ -9,6 +9,7 @@ workload lands its export before defining the view.  Doubles are rounded to
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ def landed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _LANDED.get(key)
     if path is None or not _fs_exists(spark, f"{path}/_SUCCESS"):
         root = ensure_checkpoint_dir(spark)
-        path = f"{root.rstrip('/')}/landing/{abs(hash(key[1])):x}"
+        path = f"{root.rstrip('/')}/landing/{hashlib.sha256(key[1].encode()).hexdigest()[:16]}"
         events_df = spark.read.parquet(f"{key[1]}/events.parquet")
         land_export(events_to_export(events_df), path, partition_by_date=True)
         _LANDED[key] = path

@@ -2,27 +2,52 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import EXPORT_SCHEMA
 
 
+def staged_files(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Data files under ``path`` whose path below it matches ``pattern``.
+
+    The pattern is a regular expression for the whole relative path
+    (``daily/.*``); a glob (``daily/*.parquet``, where ``*`` spans folders) is
+    understood as well.  Names that start with ``_`` or ``.`` are never data.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    found, listing = [], fs.listFiles(root, True)
+    while listing.hasNext():
+        full = listing.next().getPath().toString()
+        relative = full.removeprefix(base)
+        if any(part[0] in "_." for part in relative.split("/")):
+            continue
+        if re.fullmatch(pattern, relative) or fnmatch.fnmatchcase(relative, pattern):
+            found.append(full)
+    return sorted(found)
+
+
 def load_export(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Read staged Parquet export files under the declared export schema.
 
-    ``pattern`` restricts the files read (a glob on file names, e.g.
-    ``"daily/*"`` becomes ``path/daily/*``; sub-folders are searched
-    recursively).  Nothing is inferred: fields absent from a file read as
-    NULL, and only the leaves a query uses are decoded (nested pruning).
+    ``pattern`` restricts the files read (see ``staged_files``); no match reads
+    as an empty export.  Partition folders such as ``event_date=20240101`` fill
+    their column either way.  Nothing is inferred: fields absent from a file
+    read as NULL, and only the leaves a query uses are decoded (nested pruning).
     """
     reader = spark.read.schema(EXPORT_SCHEMA)
-    if pattern:
-        directory, _, glob = pattern.rpartition("/")
-        root = f"{path.rstrip('/')}/{directory}" if directory else path
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob or "*")
-        return reader.parquet(root)
-    return reader.parquet(path)
+    if pattern is None:
+        return reader.parquet(path)
+    files = staged_files(spark, path, pattern)
+    if not files:
+        return spark.createDataFrame([], EXPORT_SCHEMA)
+    return reader.option("basePath", path).parquet(*files)
 
 
 def land_export(export: DataFrame, path: str, partition_by_date: bool = True, mode: str = "overwrite") -> None:

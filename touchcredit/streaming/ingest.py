@@ -10,9 +10,12 @@ earlier rows, so it is recomputed over the landed table.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import EXPORT_SCHEMA
 
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
 
 def load_export_incremental(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                             glob: str = "*.parquet", max_files_per_trigger: int | None = None) -> int:
@@ -26,12 +29,23 @@ def load_export_incremental(spark: SparkSession, source: str, table_path: str, c
               .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    query = (reader.parquet(source).writeStream
-             .format("parquet")
-             .option("path", table_path)
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    # The recursive lookup leaves partition folders unread, so the day comes from
+    # the file's path, or from the event's own time.
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "event_date=([^/]+)/", 1)
+    day = F.date_format(F.timestamp_micros("event_timestamp"), "yyyyMMdd")
+    rows = reader.parquet(source)
+    rows = rows.withColumn("event_date", F.coalesce("event_date", F.when(folder != "", folder), day))
+    kept = spark.conf.get(_PROGRESS, "100")
+    spark.conf.set(_PROGRESS, str(2 ** 31 - 1))  # the count below needs the progress of every batch
+    try:
+        query = (rows.writeStream
+                 .format("parquet")
+                 .option("path", table_path)
+                 .option("checkpointLocation", checkpoint)
+                 .outputMode("append")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set(_PROGRESS, kept)
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
