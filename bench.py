@@ -15,7 +15,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from touchcredit.plans import chunked  # noqa: E402
 from touchcredit.queries import QUERIES, landed_export  # noqa: E402
 from touchcredit.session import local_session  # noqa: E402
 
@@ -27,7 +26,6 @@ def run(spark, name, sf_dir):
     t = time.time()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     sec = time.time() - t
-    chunked.release()
     return sec
 
 

@@ -68,3 +68,19 @@ def test_cycles_end_converting_and_have_no_gaps(stages):
         for c in numbers:
             last = [r for r in rows if r.user_conversion_cycle == c][-1]
             assert last.conversion_session and last.days_before_conversion == 0
+
+
+def test_credit_stays_whole_without_conversion_sessions(spark):
+    cfg = DEFAULT_CONFIG.with_(include_conversion_session=False)
+    with Attribution(landed_export(spark, SF0001), cfg) as a:
+        rows = a.stage("weights").collect()
+    cycles = defaultdict(list)
+    for r in rows:
+        cycles[r.blended_user_id, r.user_conversion_cycle].append(r)
+    assert any(len(c) == 1 for c in cycles.values()) and any(len(c) > 1 for c in cycles.values())
+    for cycle in cycles.values():
+        eligible = [r for r in cycle if not r.conversion_session and r.is_within_attribution_lookback_window]
+        decaying = [r for r in eligible if r.is_within_attribution_time_decay_days_window]
+        for c in WEIGHT_COLUMNS:
+            some = decaying if c == "time_decay_attrib_pct" else eligible
+            assert abs(sum(r[c] or 0 for r in cycle) - (1.0 if some else 0.0)) < 1e-9, c

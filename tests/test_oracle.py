@@ -10,9 +10,13 @@ import pytest
 from conftest import SF0001
 
 import __spark_entry__ as E
+from touchcredit.oracle import oracle_sql
+from touchcredit.queries import QUERIES
 
 NAMES = ["export_scan", "events_flat", "id_stitching", "sessions", "session_event_count", "converting_sessions",
-         "touchpoints", "attribution", "attribution_user_session", "attribution_no_conversion_session"]
+         "touchpoints", "attribution", "attribution_user_session", "attribution_no_conversion_session",
+         "blended_sessions", "sessions_irregular", "attribution_irregular", "attribution_irregular_user_session",
+         "attribution_irregular_no_conversion_session", "lost_conversions_irregular"]
 
 
 def _norm(v):
@@ -43,4 +47,12 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+
+
+def test_irregular_rows_tell_the_options_apart(con):
+    sql = oracle_sql()
+    assert con.sql(sql["lost_conversions_irregular"]).fetchall()[0][1] > 0
+    assert con.sql(f"SELECT MAX(events) FROM ({sql['sessions_irregular']})").fetchall()[0][0] > 1
+    assert con.sql(f"SELECT COUNT(*) FROM ({sql['attribution_irregular']} EXCEPT ALL "
+                   f"({sql['attribution_irregular_user_session']}))").fetchall()[0][0] > 0

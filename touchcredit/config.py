@@ -57,7 +57,9 @@ class AttributionConfig:
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     time_decay_days: int = DEFAULT_TIME_DECAY_DAYS
     time_decay_divisor: float = DEFAULT_TIME_DECAY_DIVISOR
-    # False: converting sessions get weight 0 and leave the linear denominator.
+    # False: only non-converting sessions are eligible for credit: they alone
+    # are candidates of the click models and denominators of the others.  A
+    # cycle without an eligible session credits nobody.
     include_conversion_session: bool = True
     direct_sources: tuple[str, ...] = DEFAULT_DIRECT_SOURCES
     paid_medium_pattern: str = DEFAULT_PAID_MEDIUM_PATTERN
@@ -69,12 +71,17 @@ class AttributionConfig:
     # workload's behaviour); "user_session": on (blended user, session_id).
     session_key: str = "session"
     models: tuple[str, ...] = field(default=DEFAULT_MODELS)
+    # Range chunks of the ordered stages; None: sized by bytes at run time (at
+    # most spark.sql.shuffle.partitions).  Results never depend on it.
+    num_chunks: int | None = None
 
     def __post_init__(self) -> None:
         if self.time_decay_direction not in ("reference", "recent"):
             raise ValueError(f"time_decay_direction: {self.time_decay_direction!r}")
         if self.session_key not in ("session", "user_session"):
             raise ValueError(f"session_key: {self.session_key!r}")
+        if self.num_chunks is not None and self.num_chunks < 1:
+            raise ValueError(f"num_chunks: {self.num_chunks!r}")
         unknown = [m for m in self.models if m not in MODEL_WEIGHTS]
         if unknown:
             raise ValueError(f"unknown models: {unknown}")

@@ -13,18 +13,19 @@ _KINDS = ("int", "string", "double")
 def event_param(key: str, kind: str = "string", params: str = "event_params") -> Column:
     """Value of the first ``event_params`` entry whose key is ``key``.
 
-    The entry's populated slot is read for the requested kind; NULL when the
-    key is absent.  ``filter`` + ``get`` tolerates repeated keys, which
+    Whichever of the entry's slots is populated is read and cast to the kind;
+    NULL when the key is absent or its value does not cast.  ``filter`` + ``get`` tolerates repeated keys, which
     ``map_from_entries`` would reject.
     """
     if kind not in _KINDS:
         raise ValueError(f"kind must be one of {_KINDS}")
     value = F.get(F.filter(F.col(params), lambda p: p["key"] == F.lit(key)), 0)["value"]
+    real = F.coalesce(value["double_value"], value["float_value"])
     if kind == "int":
-        return F.coalesce(value["int_value"], value["string_value"].try_cast("bigint"))
+        return F.coalesce(value["int_value"], value["string_value"].try_cast("bigint"), real.try_cast("bigint"))
     if kind == "double":
-        return F.coalesce(value["double_value"], value["float_value"], value["int_value"].cast("double"))
-    return F.coalesce(value["string_value"], value["int_value"].cast("string"))
+        return F.coalesce(real, value["int_value"].cast("double"), value["string_value"].try_cast("double"))
+    return F.coalesce(value["string_value"], value["int_value"].cast("string"), real.cast("string"))
 
 
 def epoch_ntz() -> Column:

@@ -22,16 +22,20 @@ CONVERTING_SESSION_COLUMNS = (
 )
 
 
+# Event columns that scoring and roll-up read.
+CANDIDATE_COLUMNS = ("event_ts", "event_id", "user_pseudo_id", "event_type", "session_id", "order_value", "order_id")
+
+
 def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                          logins: DataFrame | None = None) -> DataFrame:
-    """Order and registration events with ``blended_user_id``.
+                          logins: DataFrame | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Order and registration events with ``blended_user_id`` (all event columns, or ``columns``).
 
     The first-registration / first-order lookups only ever read these two
     event types, and only these survive the conversion filter, so filtering
     before the id join keeps every other event out of the shuffles.
     """
     relevant = events.filter(F.col("event_type").isin(cfg.order_event, cfg.registration_event))
-    return blend_users(relevant, ids, logins)
+    return blend_users(relevant.select(*columns) if columns else relevant, ids, logins)
 
 
 def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -47,16 +47,17 @@ def login_map(ids: DataFrame) -> DataFrame:
 def blend_users(df: DataFrame, ids: DataFrame, logins: DataFrame | None = None) -> DataFrame:
     """``df`` + ``blended_user_id = coalesce(login, user_pseudo_id)``.
 
-    Left join on ``user_pseudo_id``.  Rows with a NULL pseudo id can never
-    match, so they bypass the join instead of all hashing to one partition;
-    a hot non-NULL pseudo id is split by AQE's skew join (the big side is the
+    Left join on ``user_pseudo_id``, in one pass over ``df``.  A NULL pseudo id
+    never matches: such rows join on a hash of the row behind a mark that no
+    login has, so they spread over all partitions; a hot non-NULL pseudo id is split by AQE's skew join (the big side is the
     left side of a left outer join).  AQE broadcasts the login map when its
     measured size is under the broadcast threshold.  ``logins`` is
     ``login_map(ids)`` when the caller already has it.
     """
     lookup = logins if logins is not None else login_map(ids)
-    cols = df.columns
-    matched = df.filter(F.col("user_pseudo_id").isNotNull()).join(lookup, "user_pseudo_id", "left")
-    unmatched = df.filter(F.col("user_pseudo_id").isNull()).withColumn("_login", F.lit(None).cast("string"))
-    both = matched.select(*cols, "_login").unionByName(unmatched.select(*cols, "_login"))
-    return both.withColumn("blended_user_id", F.coalesce(F.col("_login"), F.col("user_pseudo_id"))).drop("_login")
+    spread = F.concat(F.lit("0"), F.xxhash64(*df.columns).cast("string"))
+    keyed = df.withColumn("_pk", F.coalesce(F.concat(F.lit("1"), F.col("user_pseudo_id")), spread))
+    lookup = lookup.select(F.concat(F.lit("1"), F.col("user_pseudo_id")).alias("_pk"), "_login")
+    return (keyed.join(lookup, "_pk", "left")
+            .withColumn("blended_user_id", F.coalesce(F.col("_login"), F.col("user_pseudo_id")))
+            .select(*df.columns, "blended_user_id"))

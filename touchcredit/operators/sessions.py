@@ -89,14 +89,14 @@ def compress(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(MULT))
 
 
-def with_session_end(compressed: DataFrame) -> DataFrame:
+def with_session_end(compressed: DataFrame, num_chunks: int | None = None) -> DataFrame:
     """Add ``session_end_ts`` to compressed session rows.
 
     A distinct row with multiplicity m becomes (end = own start, m - 1) and
     (end = next distinct row's start, 1): the LEAD of m identical rows.
     """
     cols = [c for c in compressed.columns if c != MULT]
-    tagged = ck.chunk(compressed, non_null_key(F.col("user_pseudo_id")), SESSION_ORDER, cols)
+    tagged = ck.chunk(compressed, non_null_key(F.col("user_pseudo_id")), SESSION_ORDER, cols, num_chunks)
     scanned = ck.ordered_scan(tagged, SESSION_ORDER, lead={"_next_start": "session_start_ts"})
     parts = F.array(
         F.struct(F.col("session_start_ts").alias("end"), (F.col(MULT) - 1).alias("m")),
@@ -110,7 +110,7 @@ def with_session_end(compressed: DataFrame) -> DataFrame:
 
 def attribution_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Compressed sessions with ends: the attribution's session input."""
-    return with_session_end(compress(session_start_rows(export, cfg)))
+    return with_session_end(compress(session_start_rows(export, cfg)), cfg.num_chunks)
 
 
 def session_event_count(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -161,6 +161,6 @@ def derive_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG)
     session id.
     """
     base_cols = tuple(c for c in SESSION_COLUMNS if c not in ("session_end_ts", "events"))
-    ended = with_session_end(compress(session_start_rows(export, cfg, base_cols)))
+    ended = with_session_end(compress(session_start_rows(export, cfg, base_cols)), cfg.num_chunks)
     counted = attach_event_count(ended, session_event_count(export, cfg))
     return expand(counted).select(*SESSION_COLUMNS)

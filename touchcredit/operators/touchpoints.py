@@ -50,18 +50,19 @@ def channel_flags(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
 
 
 def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    c = conv.select(*( ["session_id"] if cfg.session_key == "session" else ["blended_user_id", "session_id"]),
-                    *[F.col(x).alias(f"c_{x}") for x in _C_COLS])
     keys = ["session_id"] if cfg.session_key == "session" else ["blended_user_id", "session_id"]
-    # NULL ids never match; they skip the join instead of hashing to one task.
-    has_key = F.col("session_id").isNotNull()
-    if cfg.session_key == "user_session":
-        has_key = has_key & F.col("blended_user_id").isNotNull()
-    matched = s.filter(has_key).join(c, keys, "left")
-    unmatched = s.filter(~has_key)
-    for x in _C_COLS:
-        unmatched = unmatched.withColumn(f"c_{x}", F.lit(None).cast(conv.schema[x].dataType))
-    return matched.unionByName(unmatched)
+    # NULL ids never match.  They get a hash of their row as key, flagged so
+    # that it meets no conversion, instead of all hashing to one task.
+    absent = F.lit(False)
+    for k in keys:
+        absent = absent | F.col(k).isNull()
+    c = conv.filter(~absent).select(F.lit(False).alias("_absent"), F.col("session_id").alias("_sid"),
+                                    *[F.col(k).alias("_user") for k in keys[:-1]],
+                                    *[F.col(x).alias(f"c_{x}") for x in _C_COLS])
+    s = s.withColumns({"_absent": absent, "_sid": F.when(absent, F.xxhash64(*SESSION_KEYS)).otherwise(F.col("session_id")),
+                       **{"_user": F.coalesce(F.col(k), F.lit("")) for k in keys[:-1]}})
+    on = ["_absent", "_sid", "_user"][:1 + len(keys)]
+    return s.join(c, on, "left").drop(*on)
 
 
 def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -100,7 +101,8 @@ def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: Attribu
         F.col("c_first_order_revenue").alias("first_order_revenue"),
         F.col("c_repeat_order_revenue").alias("repeat_order_revenue"),
     )
-    tagged = ck.chunk(labelled, non_null_key(F.col("blended_user_id")), TOUCH_ORDER, list(SESSION_KEYS))
+    tagged = ck.chunk(labelled, non_null_key(F.col("blended_user_id")), TOUCH_ORDER, list(SESSION_KEYS),
+                      cfg.num_chunks)
     scanned = ck.ordered_scan(tagged, TOUCH_ORDER, row_number="session_seq",
                               next_non_null={"conversion_cycle_conversion_ts": "converted_ts"})
     return scanned.filter(F.col("conversion_cycle_conversion_ts") >= F.col("session_start_ts"))

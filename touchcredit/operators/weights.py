@@ -66,7 +66,7 @@ def time_decay_scores(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) ->
 def cycle_stats(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per-cycle first/last qualifying sessions, counts and score sum, one pass."""
     order = nulls_last_key(F.col("session_start_ts"), F.col("session_id"))
-    lb = F.col("is_within_attribution_lookback_window")
+    lb = F.col("is_within_attribution_lookback_window") & _counted(cfg)
     sid_ok = F.col("session_id").isNotNull()
     nd = lb & (F.col("is_non_direct_channel") == True)  # noqa: E712  (NULL-aware)
     paid = lb & (F.col("is_paid_channel") == True)  # noqa: E712
@@ -79,8 +79,8 @@ def cycle_stats(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataF
         "_n_paid": (F.count(F.when(paid, F.lit(1))), "sum"),
         "_first_lb": (F.min(F.when(lb & sid_ok, order)), "min"),
         "_last_lb": (F.max(F.when(lb & sid_ok, order)), "max"),
-        "_n_lb": (F.count(F.when(lb & _counted(cfg), F.col("session_id"))), "sum"),
-        "_sum_apportioned": (F.sum("apportioned_time_decay_score"), "sum"),
+        "_n_lb": (F.count(F.when(lb, F.col("session_id"))), "sum"),
+        "_sum_apportioned": (F.sum(F.when(_counted(cfg), F.col("apportioned_time_decay_score"))), "sum"),
     })
 
 
@@ -108,7 +108,7 @@ def model_weights(flags: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) ->
     has none).  Linear splits evenly over look-back sessions; time decay
     normalises apportioned scores inside the decay window and is NULL
     outside it.  With ``include_conversion_session=False`` converting
-    sessions get 0 and leave the linear denominator.
+    sessions get 0 and the credit of every model is shared among the others.
     """
     excluded = F.col("conversion_session") & F.lit(not cfg.include_conversion_session)
     last_click = _is("_last_lb")

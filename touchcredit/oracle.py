@@ -11,7 +11,9 @@ Orders are total: ``NULLS LAST`` everywhere, ties broken by ``session_id``,
 from __future__ import annotations
 
 from .config import DEFAULT_CONFIG, FIRST_NON_DIRECT, MODEL_WEIGHTS, AttributionConfig
-from .sources.adapter import DEVICE_CATEGORIES, GEO_NAMES, TRAFFIC_CLASSES
+from .schema import DEVICE
+from .sources.adapter import (DEVICE_CATEGORIES, GAP_USERS, GEO_NAMES, NO_START, NULL_PSEUDO_USERS, NULL_SESSION_ID,
+                              SHARED_ID_USERS, TRAFFIC_CLASSES, TWO_STARTS)
 
 TORD = ("session_start_ts ASC NULLS LAST, session_id ASC NULLS LAST, utm_source ASC NULLS LAST, "
         "session_end_ts ASC NULLS LAST")
@@ -57,7 +59,12 @@ def _case(expr, values):
     return f"CAST(CASE {expr} {arms} END AS VARCHAR)" if arms else "CAST(NULL AS VARCHAR)"
 
 
-def _ctes(cfg: AttributionConfig) -> list[tuple[str, str]]:
+def _rule(column: str, rule: tuple[int, int], irregular: bool) -> str:
+    """Condition of an irregular-export rule; never true in the regular export."""
+    return f"COALESCE({column} % {rule[0]} = {rule[1]}, FALSE)" if irregular else "FALSE"
+
+
+def _ctes(cfg: AttributionConfig, irregular: bool = False) -> list[tuple[str, str]]:
     c = "(sk // 5) % 6"
     reg, order, start = _q(cfg.registration_event), _q(cfg.order_event), _q(cfg.session_event)
     direct = ", ".join(_q(s) for s in cfg.direct_sources)
@@ -68,27 +75,34 @@ def _ctes(cfg: AttributionConfig) -> list[tuple[str, str]]:
         "POW(2, -days_before_conversion)"
     return [
         # ---- adapter: driver events -> flat export (FIXTURES.md section 2)
-        ("o_ev0", """SELECT event_id AS eid, ts, user_id AS uid, event_type, value,
+        ("o_ev0", f"""SELECT event_id AS eid, user_id AS uid, event_type, value,
+                 ts + IF({_rule("user_id", GAP_USERS, irregular)} AND day(ts) >= 16, INTERVAL 40 DAY, INTERVAL 0 DAY)
+                   AS ts,
                  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""),
         ("o_ev1", "SELECT *, LAG(ts) OVER (PARTITION BY uid ORDER BY ts, eid) AS prev_ts FROM o_ev0"),
         ("o_ev2", """SELECT *, CASE WHEN prev_ts IS NULL OR ts > prev_ts + INTERVAL 12 HOUR THEN 1 ELSE 0 END
                  AS is_new FROM o_ev1"""),
         ("o_ev3", f"SELECT *, SUM(is_new) OVER (PARTITION BY uid ORDER BY ts, eid {RUN}) AS sn FROM o_ev2"),
         ("o_ev4", f"SELECT *, FIRST_VALUE(k) OVER (PARTITION BY uid, sn ORDER BY ts, eid {WHOLE}) AS sk FROM o_ev3"),
-        ("o_xr", """SELECT eid, ts, uid, value, sn, sk, k,
+        ("o_xr", f"""SELECT eid, ts, uid, value, sn, sk, k,
                  CASE WHEN event_type = 'signup' THEN 'Form Submitted'
                       WHEN event_type = 'purchase' AND k % 5 = 0 THEN 'file_download'
                       ELSE event_type END AS event_name FROM o_ev4
                UNION ALL
-               SELECT eid, ts, uid, CAST(NULL AS DOUBLE), sn, sk, sk, 'session_start' FROM o_ev4 WHERE is_new = 1"""),
+               SELECT eid, ts, uid, CAST(NULL AS DOUBLE), sn, sk, sk, 'session_start'
+               FROM o_ev4, (VALUES (1), (2)) copies (nth)
+               WHERE is_new = 1 AND NOT {_rule("sk", NO_START, irregular)}
+                 AND (nth = 1 OR {_rule("sk", TWO_STARTS, irregular)})"""),
         ("o_export", f"""SELECT epoch_us(ts) AS event_timestamp, strftime(ts, '%Y%m%d') AS event_date, event_name,
-                 'p' || CAST(uid AS VARCHAR) AS user_pseudo_id,
+                 IF({_rule("uid", NULL_PSEUDO_USERS, irregular)}, NULL, 'p' || CAST(uid AS VARCHAR)) AS user_pseudo_id,
                  CASE WHEN event_name = 'Form Submitted' THEN 'u' || CAST(uid // 2 AS VARCHAR) END AS user_id,
                  'WEB' AS platform,
                  {_case(c, [t[2] for t in TRAFFIC_CLASSES])} AS ts_name,
                  {_case(c, [t[1] for t in TRAFFIC_CLASSES])} AS ts_medium,
                  {_case(c, [t[0] for t in TRAFFIC_CLASSES])} AS ts_source,
-                 CAST(uid * 1000 + sn AS BIGINT) AS p_ga_session_id, CAST(sn AS BIGINT) AS p_ga_session_number,
+                 IF({_rule("sk", NULL_SESSION_ID, irregular)}, NULL,
+                    CAST(uid * 1000 + sn - IF({_rule("uid", SHARED_ID_USERS, irregular)}, 1000, 0) AS BIGINT))
+                   AS p_ga_session_id, CAST(sn AS BIGINT) AS p_ga_session_number,
                  CASE WHEN k >= 10 THEN 'ref' || CAST(k % 7 AS VARCHAR) END AS p_page_referrer,
                  '/p' || CAST(k AS VARCHAR) AS p_page_location, 'Page ' || CAST(k AS VARCHAR) AS p_page_title,
                  CASE WHEN event_name = 'file_download' THEN value END AS purchase_revenue,
@@ -167,11 +181,11 @@ def _ctes(cfg: AttributionConfig) -> list[tuple[str, str]]:
         ("o_cs", f"""SELECT session_id, {"blended_user_id" if by_user else "MAX(blended_user_id) AS blended_user_id"},
                  SUM(IF(is_first, order_value, 0)) AS first_order_revenue,
                  SUM(IF(is_repeat, order_value, 0)) AS repeat_order_revenue,
-                 CAST(COUNT_IF(is_first) AS BIGINT) AS count_first_order_conversions,
-                 CAST(COUNT_IF(is_repeat) AS BIGINT) AS count_repeat_order_conversions,
-                 CAST(COUNT_IF(is_order) AS BIGINT) AS count_order_conversions,
-                 CAST(COUNT_IF(is_reg) AS BIGINT) AS count_registration_conversions,
-                 CAST(COUNT_IF(is_reg OR is_first OR is_repeat) AS BIGINT) AS count_conversions,
+                 CAST(COUNT(*) FILTER (WHERE is_first) AS BIGINT) AS count_first_order_conversions,
+                 CAST(COUNT(*) FILTER (WHERE is_repeat) AS BIGINT) AS count_repeat_order_conversions,
+                 CAST(COUNT(*) FILTER (WHERE is_order) AS BIGINT) AS count_order_conversions,
+                 CAST(COUNT(*) FILTER (WHERE is_reg) AS BIGINT) AS count_registration_conversions,
+                 CAST(COUNT(*) FILTER (WHERE is_reg OR is_first OR is_repeat) AS BIGINT) AS count_conversions,
                  MAX(event_ts) AS converted_ts, MIN(event_ts) AS min_converted_ts
                FROM o_kind GROUP BY session_id{", blended_user_id" if by_user else ""}"""),
         # ---- touchpoints (O13, O14): equal session rows first collapse into one row with a number of copies
@@ -266,6 +280,18 @@ OUTPUT_TAIL = """blended_user_id, session_id, session_start_ts, session_end_ts,
     continent, country, region"""
 
 
+SESSION_COLUMNS = """user_pseudo_id, session_start_ts, session_end_ts, session_id, session_number,
+    referrer_host, landing_page_path, landing_page_title, utm_campaign, utm_medium, utm_source, channel,
+    device, CAST(NULL AS VARCHAR) AS mobile_brand_name, CAST(NULL AS VARCHAR) AS mobile_model_name,
+    CAST(NULL AS VARCHAR) AS mobile_marketing_name, CAST(NULL AS VARCHAR) AS mobile_os_hardware_model,
+    CAST(NULL AS VARCHAR) AS operating_system, CAST(NULL AS VARCHAR) AS operating_system_version,
+    CAST(NULL AS VARCHAR) AS vendor_id, CAST(NULL AS VARCHAR) AS advertising_id,
+    CAST(NULL AS VARCHAR) AS language, CAST(NULL AS BOOLEAN) AS is_limited_ad_tracking,
+    CAST(NULL AS INTEGER) AS time_zone_offset_seconds, CAST(NULL AS VARCHAR) AS browser,
+    CAST(NULL AS VARCHAR) AS browser_version, CAST(NULL AS VARCHAR) AS hostname,
+    continent, country, region, city, events"""
+
+
 def _models_sql(models: tuple[str, ...]) -> str:
     pairs = ", ".join(f"{{'model': {_q(m)}, 'weight': CAST({MODEL_WEIGHTS[m]} AS DOUBLE)}}" for m in models)
     measures = ", ".join(f"ROUND(CAST(cyc_{m} AS DOUBLE) * share.weight, 6) AS {out}" for out, m in MEASURES.items())
@@ -273,8 +299,8 @@ def _models_sql(models: tuple[str, ...]) -> str:
         FROM (SELECT *, UNNEST([{pairs}]) AS share FROM o_pct)"""
 
 
-def _with(cfg: AttributionConfig, select: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in _ctes(cfg)) + "\n" + select
+def _with(cfg: AttributionConfig, select: str, irregular: bool = False) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in _ctes(cfg, irregular)) + "\n" + select
 
 
 TP = "blended_user_id, session_id, session_start_ts, session_end_ts, session_seq"
@@ -287,30 +313,25 @@ def _r(col: str) -> str:
 def oracle_sql() -> dict[str, str]:
     d = DEFAULT_CONFIG
     sql = {
-        "export_scan": _with(d, """SELECT event_timestamp, event_date, event_name, user_pseudo_id, user_id, platform,
+        "export_scan": _with(d, f"""SELECT event_timestamp, event_date, event_name, user_pseudo_id, user_id, platform,
             ts_name AS traffic_source_name, ts_medium AS traffic_source_medium, ts_source AS traffic_source_source,
-            5 AS n_event_params, ROUND(purchase_revenue, 6) AS purchase_revenue, transaction_id, app_id,
-            device_category, continent, country, region, city FROM o_export"""),
+            5 AS n_event_params, concat('ga_session_id=|', p_ga_session_id, '|||;ga_session_number=|',
+              p_ga_session_number, '|||;page_location=', p_page_location, '||||;page_title=', p_page_title,
+              '||||;page_referrer=', p_page_referrer, '||||') AS event_params,
+            ROUND(purchase_revenue, 6) AS purchase_revenue, transaction_id, app_id, device_category,
+            {", ".join(f"CAST(NULL AS {'INTEGER' if f.name == 'time_zone_offset_seconds' else 'VARCHAR'}) AS {f.name}"
+                       for f in DEVICE.fields if f.name not in ("category", "web_info"))},
+            CAST(NULL AS VARCHAR) AS browser_version, continent, country, region, city FROM o_export"""),
         "event_params": _with(d, """SELECT event_timestamp, user_pseudo_id, event_name,
             p_ga_session_id AS ga_session_id, p_ga_session_number AS ga_session_number,
             p_page_referrer AS page_referrer, p_page_location AS page_location, p_page_title AS page_title,
             CAST(NULL AS VARCHAR) AS missing_param FROM o_export"""),
         "events_flat": _with(d, "SELECT * REPLACE (ROUND(order_value, 6) AS order_value) FROM o_events"),
         "id_stitching": _with(d, "SELECT * FROM o_ids"),
-        "sessions": _with(d, """SELECT user_pseudo_id, session_start_ts, session_end_ts, session_id, session_number,
-            referrer_host, landing_page_path, landing_page_title, utm_campaign, utm_medium, utm_source, channel,
-            device, CAST(NULL AS VARCHAR) AS mobile_brand_name, CAST(NULL AS VARCHAR) AS mobile_model_name,
-            CAST(NULL AS VARCHAR) AS mobile_marketing_name, CAST(NULL AS VARCHAR) AS mobile_os_hardware_model,
-            CAST(NULL AS VARCHAR) AS operating_system, CAST(NULL AS VARCHAR) AS operating_system_version,
-            CAST(NULL AS VARCHAR) AS vendor_id, CAST(NULL AS VARCHAR) AS advertising_id,
-            CAST(NULL AS VARCHAR) AS language, CAST(NULL AS BOOLEAN) AS is_limited_ad_tracking,
-            CAST(NULL AS INTEGER) AS time_zone_offset_seconds, CAST(NULL AS VARCHAR) AS browser,
-            CAST(NULL AS VARCHAR) AS browser_version, CAST(NULL AS VARCHAR) AS hostname,
-            continent, country, region, city, events FROM o_sess"""),
+        "sessions": _with(d, f"SELECT {SESSION_COLUMNS} FROM o_sess"),
         "session_event_count": _with(d, "SELECT session_id, events FROM o_sec"),
         "device_class": _with(d, "SELECT user_pseudo_id, session_start_ts, device_category, app_id, device FROM o_sess0"),
-        "blended_sessions": _with(d, """SELECT user_pseudo_id, session_start_ts, session_end_ts, session_id, utm_source,
-            blended_user_id FROM o_uss"""),
+        "blended_sessions": _with(d, f"SELECT {SESSION_COLUMNS}, blended_user_id FROM o_uss"),
         "blended_events": _with(d, "SELECT * REPLACE (ROUND(order_value, 6) AS order_value) FROM o_use"),
         "converting_events_filtered": _with(d, "SELECT * REPLACE (ROUND(order_value, 6) AS order_value) FROM o_ef"),
         "converting_events": _with(d, f"""SELECT * REPLACE ({_r('first_order_revenue')}, {_r('repeat_order_revenue')})
@@ -368,4 +389,14 @@ def oracle_sql() -> dict[str, str]:
                       ("attribution_no_conversion_session", d.with_(include_conversion_session=False)),
                       ("attribution_recent_decay", d.with_(time_decay_direction="recent"))):
         sql[name] = _with(cfg, _models_sql(cfg.models))
+    # Chunks are a matter of the Spark plan alone.
+    for name in ("sessions", "touchpoints", "time_decay_scores", "attribution"):
+        sql[f"{name}_16_chunks"] = sql[name]
+    for name in ("session_event_count", "converting_sessions", "lost_conversions", "sessions", "touchpoints",
+                 "time_decay_scores", "attribution"):
+        select = sql[name].removeprefix(_with(d, ""))
+        sql[f"{name}_irregular"] = _with(d, select, irregular=True)
+    for name, cfg in (("user_session", d.with_(session_key="user_session")),
+                      ("no_conversion_session", d.with_(include_conversion_session=False))):
+        sql[f"attribution_irregular_{name}"] = _with(cfg, _models_sql(cfg.models), irregular=True)
     return sql

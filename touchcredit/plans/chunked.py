@@ -22,11 +22,14 @@ work per task:
    folder): from then on the tags are data, and lineage is cut there.
    Each later round persists its rows (keeping the hash partitioning, so no
    exchange) and checkpoints only its small correction table.
-4. Only keys that cross a chunk boundary need a correction.  Such a key
-   equals one of the P-1 range bounds, so there are at most P-1 of them; they
-   are found once per stage (a hash aggregation) and flagged on their rows.
-   Each correction table has at most 2-4 rows per chunk and is broadcast
-   with that bound.
+4. Only keys that cross a chunk boundary need a correction.  Such a key is
+   the greatest of one chunk and the least of the next, so there are at most
+   P-1 of them; they are found once per stage from every chunk's least and
+   greatest key (2P rows) and flagged on their rows.  Each correction table has
+   at most 2-4 rows per chunk and is broadcast with that bound.
+
+Cached rounds belong to a :class:`Rounds`; a pipeline opens its own
+(:func:`owned_by`), so pipelines in one session never drop each other's rows.
 
 All columns named here are internal and start with ``_ck_``.
 """
@@ -36,7 +39,10 @@ from __future__ import annotations
 import os
 import sys
 import time
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -86,12 +92,13 @@ def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chu
     ranged = ranged.withColumn(CHUNK, F.spark_partition_id())
     pinned = checkpoint(ranged)
     # Keys found in more than one chunk.  Chunks are consecutive ranges of
-    # (key, order), so such a key equals one of the P-1 range bounds: at most
-    # P-1 rows, broadcast with that bound.  Hash aggregation with int buffers.
+    # (key, order), so such a key ends one chunk and begins the next: one row
+    # per chunk is shuffled, and at most P-1 keys are broadcast.
     # Evaluated inside the first round's job (pinned rows are fixed data).
-    spanning = (pinned.groupBy(KEY)
-                .agg(F.min(CHUNK).alias("_lo"), F.max(CHUNK).alias("_hi"))
-                .filter(F.col("_lo") < F.col("_hi"))
+    ends = pinned.groupBy(CHUNK).agg(F.min(KEY).alias("_lo"), F.max(KEY).alias("_hi"))
+    spanning = (ends.select(F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(KEY))
+                .groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > 1)
                 .select(KEY, F.lit(True).alias(EDGE)))
     _retire()
     return (pinned.join(F.broadcast(spanning), KEY, "left")
@@ -111,7 +118,38 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
-_STAGED: list[DataFrame] = []
+@dataclass
+class Rounds:
+    """Cached rows of one pipeline's rounds."""
+
+    staged: list[DataFrame] = field(default_factory=list)
+
+    def retire(self, keep: DataFrame | None = None) -> None:
+        """Drop cached rows of earlier rounds (they recompute from the pinned rows if read again)."""
+        for d in [d for d in self.staged if d is not keep]:
+            d.unpersist()
+        self.staged = [d for d in self.staged if d is keep]
+
+
+_ROUNDS: ContextVar[Rounds] = ContextVar("touchcredit_rounds")
+
+
+def _rounds() -> Rounds:
+    current = _ROUNDS.get(None)
+    if current is None:
+        current = Rounds()
+        _ROUNDS.set(current)
+    return current
+
+
+@contextmanager
+def owned_by(rounds: Rounds) -> Iterator[Rounds]:
+    """Rounds built inside the block belong to ``rounds``."""
+    token = _ROUNDS.set(rounds)
+    try:
+        yield rounds
+    finally:
+        _ROUNDS.reset(token)
 
 
 def _stage(df: DataFrame) -> DataFrame:
@@ -123,7 +161,7 @@ def _stage(df: DataFrame) -> DataFrame:
     recomputed to the same values.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _STAGED.append(kept)
+    _rounds().staged.append(kept)
     return kept
 
 
@@ -137,10 +175,7 @@ def share(df: DataFrame) -> DataFrame:
 
 def _retire(keep: DataFrame | None = None) -> None:
     """Drop cached rows of earlier rounds once a later round is materialised."""
-    for d in list(_STAGED):
-        if d is not keep:
-            d.unpersist()
-            _STAGED.remove(d)
+    _rounds().retire(keep)
 
 
 def _correction(table: DataFrame, local: DataFrame) -> DataFrame:
@@ -155,7 +190,7 @@ def _correction(table: DataFrame, local: DataFrame) -> DataFrame:
 
 
 def release() -> None:
-    """Unpersist the cached rows of the last round."""
+    """Unpersist the cached rows of rounds that were built outside a pipeline."""
     _retire()
 
 

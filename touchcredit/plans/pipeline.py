@@ -8,7 +8,7 @@ plans.chunked); everything else stays lazy until an action.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame
 
@@ -17,79 +17,114 @@ from ..operators import conversions, cycles, events, identity, models, sessions,
 from ..plans import chunked as ck
 
 
+def _stage(build):
+    """A stage built once, whose cached rounds belong to the instance."""
+
+    @wraps(build)
+    def owned(self):
+        with ck.owned_by(self.rounds):
+            return build(self)
+
+    return cached_property(owned)
+
+
 class Attribution:
+    """The stages of one attribution run.
+
+    The last round's rows stay cached for the result's readers until
+    ``close()``; afterwards they are recomputed from the pinned chunks.
+    """
+
     def __init__(self, export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG):
         self.export = export
         self.cfg = cfg
+        self.rounds = ck.Rounds()
+
+    def close(self) -> None:
+        """Release the cached rows; every DataFrame made from the stages stays valid."""
+        self.rounds.retire()
+
+    def __enter__(self) -> "Attribution":
+        return self
 
-    @cached_property
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+    @_stage
     def events(self) -> DataFrame:
         return events.normalize_events(self.export)
 
-    @cached_property
+    @_stage
     def ids(self) -> DataFrame:
         return identity.stitch_identities(self.events)
 
-    @cached_property
+    @_stage
     def logins(self) -> DataFrame:
         """pseudo id -> login (logged-in pseudo ids only); read by both blends, computed once."""
         return ck.share(identity.login_map(identity.last_logins(self.events)))
 
-    @cached_property
+    @_stage
     def sessions(self) -> DataFrame:
         """Compressed session rows with ends and ``_mult``."""
         return sessions.attribution_sessions(self.export, self.cfg)
 
-    @cached_property
+    @_stage
     def blended_sessions(self) -> DataFrame:
         return identity.blend_users(self.sessions, self.ids, self.logins)
 
-    @cached_property
+    @_stage
     def conversion_candidates(self) -> DataFrame:
-        """Order and registration events with blended ids: read twice (first ids, join back)."""
-        return ck.share(conversions.conversion_candidates(self.events, self.ids, self.cfg, self.logins))
+        """Order and registration events with blended ids: read twice (first ids, join back).
+
+        Only the columns that are scored are cached and so scanned.
+        """
+        return ck.share(conversions.conversion_candidates(self.events, self.ids, self.cfg, self.logins,
+                                                          conversions.CANDIDATE_COLUMNS))
 
-    @cached_property
+    @_stage
     def converting_events_filtered(self) -> DataFrame:
-        return conversions.select_converting_events(self.conversion_candidates, self.cfg)
+        """O10 with every event column; ``converting_events`` does not read it."""
+        wide = conversions.conversion_candidates(self.events, self.ids, self.cfg, self.logins)
+        return conversions.select_converting_events(wide, self.cfg)
 
-    @cached_property
+    @_stage
     def converting_events(self) -> DataFrame:
-        return conversions.score_conversions(self.converting_events_filtered, self.cfg)
+        return conversions.score_conversions(
+            conversions.select_converting_events(self.conversion_candidates, self.cfg), self.cfg)
 
-    @cached_property
+    @_stage
     def converting_sessions(self) -> DataFrame:
         return conversions.rollup_conversions(self.converting_events, self.cfg)
 
-    @cached_property
+    @_stage
     def touchpoints_chunked(self) -> DataFrame:
         return touchpoints.label_touchpoints_chunked(self.blended_sessions, self.converting_sessions, self.cfg)
 
-    @cached_property
+    @_stage
     def running(self) -> DataFrame:
         return cycles.running_conversions(self.touchpoints_chunked, weights.day_session_counts(self.cfg))
 
-    @cached_property
+    @_stage
     def cycles(self) -> DataFrame:
         return cycles.conversion_cycles(self.running)
 
-    @cached_property
+    @_stage
     def lookback(self) -> DataFrame:
         return cycles.lookback_windows(self.cycles, self.cfg)
 
-    @cached_property
+    @_stage
     def time_decay(self) -> DataFrame:
         return weights.time_decay_scores(self.lookback, self.cfg)
 
-    @cached_property
+    @_stage
     def channel_flags(self) -> DataFrame:
         return weights.cycle_channel_flags(weights.cycle_stats(self.time_decay, self.cfg))
 
-    @cached_property
+    @_stage
     def weights(self) -> DataFrame:
         return weights.model_weights(self.channel_flags, self.cfg)
 
-    @cached_property
+    @_stage
     def result(self) -> DataFrame:
         return models.attribution_long(self.weights, self.cfg)
 

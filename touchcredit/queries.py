@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,15 @@ from pyspark.sql import types as T
 from .config import DEFAULT_CONFIG, FIRST_NON_DIRECT, AttributionConfig
 from .functions.columns import device_class, event_param, micros_to_ts
 from .operators import conversions, cycles, identity, models, sessions, touchpoints, weights
+from .plans import chunked as ck
 from .plans.pipeline import Attribution
+from .schema import DEVICE
 from .session import ensure_checkpoint_dir
 from .sources.adapter import events_to_export
 from .sources.export import land_export, load_export
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, bool], str] = {}
+_RUN: list[Attribution] = []  # the pipeline of the query built last
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
@@ -33,15 +37,16 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def landed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_export(spark: SparkSession, sf_dir: str, irregular: bool = False) -> DataFrame:
     """The export derived from ``sf_dir``'s events, landed once, read by ``load_export``."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), irregular)
     path = _LANDED.get(key)
     if path is None or not _fs_exists(spark, f"{path}/_SUCCESS"):
         root = ensure_checkpoint_dir(spark)
         path = f"{root.rstrip('/')}/landing/{hashlib.sha256(key[1].encode()).hexdigest()[:16]}"
+        path += "-irregular" if irregular else ""
         events_df = spark.read.parquet(f"{key[1]}/events.parquet")
-        land_export(events_to_export(events_df), path, partition_by_date=True)
+        land_export(events_to_export(events_df, irregular), path, partition_by_date=True)
         _LANDED[key] = path
     return load_export(spark, path)
 
@@ -56,8 +61,18 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 TP_KEYS = ("blended_user_id", "session_id", "session_start_ts", "session_end_ts", "session_seq")
 
 
-def _pipe(spark, sf_dir, cfg=DEFAULT_CONFIG) -> Attribution:
-    return Attribution(landed_export(spark, sf_dir), cfg)
+def _pipe(spark, sf_dir, cfg=DEFAULT_CONFIG, irregular=False) -> Attribution:
+    """A pipeline; the cached rows of the query built before are released."""
+    while _RUN:
+        _RUN.pop().close()
+    _RUN.append(Attribution(landed_export(spark, sf_dir, irregular), cfg))
+    return _RUN[0]
+
+
+def _param_text(p):
+    v = p["value"]
+    slots = [v["string_value"], *(v[n].cast("string") for n in ("int_value", "float_value", "double_value"))]
+    return F.concat(p["key"], F.lit("="), *[F.concat(F.coalesce(x, F.lit("")), F.lit("|")) for x in slots])
 
 
 def q_export_scan(spark, sf_dir):
@@ -68,10 +83,13 @@ def q_export_scan(spark, sf_dir):
         F.col("traffic_source.medium").alias("traffic_source_medium"),
         F.col("traffic_source.source").alias("traffic_source_source"),
         F.size("event_params").alias("n_event_params"),
+        F.array_join(F.transform("event_params", _param_text), ";").alias("event_params"),
         F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
         F.col("ecommerce.transaction_id").alias("transaction_id"),
         F.col("app_info.id").alias("app_id"),
         F.col("device.category").alias("device_category"),
+        *[F.col(f"device.{f.name}").alias(f.name) for f in DEVICE.fields if f.name not in ("category", "web_info")],
+        F.col("device.web_info.browser_version").alias("browser_version"),
         F.col("geo.continent").alias("continent"), F.col("geo.country").alias("country"),
         F.col("geo.region").alias("region"), F.col("geo.city").alias("city"))
 
@@ -96,12 +114,14 @@ def q_id_stitching(spark, sf_dir):
     return _pipe(spark, sf_dir).ids
 
 
-def q_sessions(spark, sf_dir):
-    return sessions.derive_sessions(landed_export(spark, sf_dir))
+def q_sessions(spark, sf_dir, cfg=DEFAULT_CONFIG, irregular=False):
+    p = _pipe(spark, sf_dir, cfg, irregular)
+    with ck.owned_by(p.rounds):
+        return sessions.derive_sessions(p.export, cfg)
 
 
-def q_session_event_count(spark, sf_dir):
-    return sessions.session_event_count(landed_export(spark, sf_dir))
+def q_session_event_count(spark, sf_dir, irregular=False):
+    return sessions.session_event_count(landed_export(spark, sf_dir, irregular))
 
 
 def q_device_class(spark, sf_dir):
@@ -113,9 +133,8 @@ def q_device_class(spark, sf_dir):
 
 def q_blended_sessions(spark, sf_dir):
     p = _pipe(spark, sf_dir)
-    b = p.blended_sessions.select("user_pseudo_id", "session_start_ts", "session_end_ts", "session_id",
-                                  "utm_source", "blended_user_id", sessions.MULT)
-    return sessions.expand(b)
+    with ck.owned_by(p.rounds):
+        return identity.blend_users(sessions.derive_sessions(p.export, p.cfg), p.ids, p.logins)
 
 
 def q_blended_events(spark, sf_dir):
@@ -131,12 +150,12 @@ def q_converting_events(spark, sf_dir):
     return _pipe(spark, sf_dir).converting_events
 
 
-def q_converting_sessions(spark, sf_dir):
-    return _pipe(spark, sf_dir).converting_sessions
+def q_converting_sessions(spark, sf_dir, irregular=False):
+    return _pipe(spark, sf_dir, irregular=irregular).converting_sessions
 
 
-def q_lost_conversions(spark, sf_dir):
-    p = _pipe(spark, sf_dir)
+def q_lost_conversions(spark, sf_dir, irregular=False):
+    p = _pipe(spark, sf_dir, irregular=irregular)
     starts = sessions.session_start_rows(p.export, p.cfg, ("session_id",))
     return conversions.lost_conversions(p.converting_sessions, starts)
 
@@ -147,10 +166,11 @@ def q_channel_flags(spark, sf_dir):
     return touchpoints.channel_flags(x)
 
 
-def q_touchpoints(spark, sf_dir):
-    p = _pipe(spark, sf_dir)
+def q_touchpoints(spark, sf_dir, cfg=DEFAULT_CONFIG, irregular=False):
+    p = _pipe(spark, sf_dir, cfg, irregular)
     counts = sessions.session_event_count(p.export)
-    return touchpoints.label_touchpoints(p.blended_sessions, p.converting_sessions, p.cfg, counts)
+    with ck.owned_by(p.rounds):
+        return touchpoints.label_touchpoints(p.blended_sessions, p.converting_sessions, p.cfg, counts)
 
 
 def q_running_conversions(spark, sf_dir):
@@ -167,8 +187,8 @@ def q_lookback_windows(spark, sf_dir):
         "is_within_attribution_lookback_window", "is_within_attribution_time_decay_days_window")
 
 
-def q_time_decay_scores(spark, sf_dir):
-    return _pipe(spark, sf_dir).stage("time_decay").select(
+def q_time_decay_scores(spark, sf_dir, cfg=DEFAULT_CONFIG, irregular=False):
+    return _pipe(spark, sf_dir, cfg, irregular).stage("time_decay").select(
         *TP_KEYS, "user_conversion_cycle", "time_decay_score", "weighting", "sessions_within_day_to_conversion",
         "weighting_split_by_days_sessions", "apportioned_time_decay_score")
 
@@ -192,9 +212,9 @@ def q_attribution(spark, sf_dir):
     return _pipe(spark, sf_dir).result
 
 
-def _attribution_with(cfg: AttributionConfig):
+def _attribution_with(cfg: AttributionConfig, irregular: bool = False):
     def q(spark, sf_dir):
-        return _pipe(spark, sf_dir, cfg).result
+        return _pipe(spark, sf_dir, cfg, irregular).result
     return q
 
 
@@ -202,6 +222,7 @@ LOOKBACK5 = DEFAULT_CONFIG.with_(lookback_days=5)
 USER_SESSION = DEFAULT_CONFIG.with_(session_key="user_session")
 NO_CONVERSION_SESSION = DEFAULT_CONFIG.with_(include_conversion_session=False)
 RECENT_DECAY = DEFAULT_CONFIG.with_(time_decay_direction="recent")
+CHUNKS16 = DEFAULT_CONFIG.with_(num_chunks=16)  # chunk edges, carries and spanning keys at every data size
 
 _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_scan": q_export_scan,
@@ -240,6 +261,22 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_user_session": _attribution_with(USER_SESSION),
     "attribution_no_conversion_session": _attribution_with(NO_CONVERSION_SESSION),
     "attribution_recent_decay": _attribution_with(RECENT_DECAY),
+    "sessions_16_chunks": partial(q_sessions, cfg=CHUNKS16),
+    "touchpoints_16_chunks": partial(q_touchpoints, cfg=CHUNKS16),
+    "time_decay_scores_16_chunks": partial(q_time_decay_scores, cfg=CHUNKS16),
+    "attribution_16_chunks": _attribution_with(CHUNKS16),
+    # The irregular export (sources.adapter), in 16 chunks where there are chunks.
+    "session_event_count_irregular": partial(q_session_event_count, irregular=True),
+    "converting_sessions_irregular": partial(q_converting_sessions, irregular=True),
+    "lost_conversions_irregular": partial(q_lost_conversions, irregular=True),
+    "sessions_irregular": partial(q_sessions, cfg=CHUNKS16, irregular=True),
+    "touchpoints_irregular": partial(q_touchpoints, cfg=CHUNKS16, irregular=True),
+    "time_decay_scores_irregular": partial(q_time_decay_scores, cfg=CHUNKS16, irregular=True),
+    "attribution_irregular": _attribution_with(CHUNKS16, irregular=True),
+    "attribution_irregular_user_session": _attribution_with(
+        CHUNKS16.with_(session_key="user_session"), irregular=True),
+    "attribution_irregular_no_conversion_session": _attribution_with(
+        CHUNKS16.with_(include_conversion_session=False), irregular=True),
 }
 
 

@@ -18,6 +18,7 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
@@ -60,16 +61,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20, max_partitions: int = 50_000) -> dict:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict:
     """Settings for a cluster run over ``input_bytes`` of export Parquet.
 
-    Shuffle partitions start at one per ``target_partition_bytes`` of input
-    (AQE then merges small ones), capped at ``max_partitions``; the cap also
-    bounds the number of range chunks P, hence every broadcast correction
-    table (<= 4P rows).  Scan splits match the target size so one task never
+    Shuffle partitions start at one per ``target_partition_bytes`` of input and
+    AQE merges small ones, so a shuffle of the whole export has partitions of
+    that size and the ordered stages get as many range chunks as their own
+    bytes need.  ``AttributionConfig.num_chunks`` fixes that number P, which
+    bounds every broadcast correction table (<= 4P rows).  Scan splits match the target size so one task never
     decodes more than about that much Parquet.
     """
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(200, -(-input_bytes // target_partition_bytes))
     return {
         **RECOMMENDED_CONF,
         "spark.sql.shuffle.partitions": str(n),

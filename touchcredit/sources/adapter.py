@@ -6,11 +6,16 @@ schema.  It is not an attribution operator; it only feeds the operators with
 data that grows with the ``events`` table.  Sessionisation (a new session at a
 user's first event and after every gap over 12 hours) runs on the skew-safe
 chunked scans, like the attribution itself.
+
+``irregular=True`` adds the oddities that real exports have and the driver
+data lacks, by fixed rules on the user id, the event and the session's first k:
+long gaps, session ids shared by two users, session ids and pseudo ids that are
+NULL, session starts that are missing or repeated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_null_key
@@ -37,7 +42,13 @@ GEO_NAMES = [  # (continent, country, region, city) for user_id % 5 = 0..4
     ("Europe", "France", "Ile-de-France", "Paris"),
     ("Oceania", "Australia", "New South Wales", "Sydney"),
 ]
-
+# Fixed values of the irregular export: a rule holds where the modulus gives the remainder.
+GAP_USERS = (7, 3)           # user id: events from day 16 of a month on come 40 days later
+SHARED_ID_USERS = (10, 8)    # user id: session ids are those of the user before
+NULL_PSEUDO_USERS = (25, 24)  # user id: no pseudo id
+NO_START = (17, 0)           # first k: the session has no start row
+TWO_STARTS = (13, 0)         # first k: the start row comes twice
+NULL_SESSION_ID = (19, 0)    # first k: the session has no id
 
 
 def _epoch_ntz():
@@ -66,8 +77,15 @@ def sessionize(events: DataFrame) -> DataFrame:
     return ck.drop_internal(numbered).withColumn("sk", F.col("sk")["v"]).drop("prev_ts", "_k_new")
 
 
-def events_to_export(events: DataFrame) -> DataFrame:
+def _rule(column: str, rule: tuple[int, int]) -> Column:
+    return F.coalesce(F.col(column) % rule[0] == rule[1], F.lit(False))
+
+
+def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
     """Driver ``events`` -> rows in ``schema.EXPORT_SCHEMA`` (plus session starts)."""
+    if irregular:
+        late = _rule("user_id", GAP_USERS) & (F.dayofmonth("ts") >= 16)
+        events = events.withColumn("ts", F.when(late, F.col("ts") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("ts")))
     s = sessionize(events)
     named = F.when(F.col("event_type") == "signup", F.lit("Form Submitted")) \
         .when((F.col("event_type") == "purchase") & (F.col("k") % 5 == 0), F.lit("file_download")) \
@@ -76,11 +94,21 @@ def events_to_export(events: DataFrame) -> DataFrame:
     starts = s.filter(F.col("is_new") == 1).select(
         "event_id", "ts", "user_id", F.lit(None).cast("double").alias("value"), "sn", "sk",
         F.col("sk").alias("k"), F.lit("session_start").alias("event_name"))
+    if irregular:
+        times = F.when(_rule("sk", NO_START), 0).when(_rule("sk", TWO_STARTS), 2).otherwise(1)
+        starts = (starts.withColumn("_n", times).filter("_n > 0")
+                  .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"))
     u = rows.unionByName(starts)
 
     c = F.floor(F.col("sk") / 5) % 6
     uid = F.col("user_id")
     k = F.col("k")
+    pseudo = F.concat(F.lit("p"), uid.cast("string"))
+    session_id = (uid * 1000 + F.col("sn")).cast("long")
+    if irregular:
+        pseudo = F.when(~_rule("user_id", NULL_PSEUDO_USERS), pseudo)
+        session_id = session_id - F.when(_rule("user_id", SHARED_ID_USERS), 1000).otherwise(0)
+        session_id = F.when(~_rule("sk", NULL_SESSION_ID), session_id)
 
     def param(key, string=None, integer=None):
         return F.struct(F.lit(key).alias("key"), F.struct(
@@ -95,7 +123,7 @@ def events_to_export(events: DataFrame) -> DataFrame:
         F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts").cast("timestamp_ntz")).alias("event_timestamp"),
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.col("event_name"),
-        F.concat(F.lit("p"), uid.cast("string")).alias("user_pseudo_id"),
+        pseudo.alias("user_pseudo_id"),
         F.when(F.col("event_name") == "Form Submitted",
                F.concat(F.lit("u"), F.floor(uid / 2).cast("string"))).alias("user_id"),
         F.lit("WEB").alias("platform"),
@@ -103,7 +131,7 @@ def events_to_export(events: DataFrame) -> DataFrame:
                  _pick(c, [t[1] for t in TRAFFIC_CLASSES]).alias("medium"),
                  _pick(c, [t[0] for t in TRAFFIC_CLASSES]).alias("source")).alias("traffic_source"),
         F.array(
-            param("ga_session_id", integer=(uid * 1000 + F.col("sn")).cast("long")),
+            param("ga_session_id", integer=session_id),
             param("ga_session_number", integer=F.col("sn").cast("long")),
             param("page_location", string=F.concat(F.lit("/p"), k.cast("string"))),
             param("page_title", string=F.concat(F.lit("Page "), k.cast("string"))),
@@ -127,6 +155,6 @@ def events_to_export(events: DataFrame) -> DataFrame:
     )
 
 
-def export_from_tables(spark, sf_dir: str) -> DataFrame:
+def export_from_tables(spark, sf_dir: str, irregular: bool = False) -> DataFrame:
     """The export derived from ``{sf_dir}/events.parquet``."""
-    return events_to_export(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return events_to_export(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"), irregular)

@@ -50,9 +50,13 @@ def load_export(spark: SparkSession, path: str, pattern: str | None = None) -> D
     return reader.option("basePath", path).parquet(*files)
 
 
-def land_export(export: DataFrame, path: str, partition_by_date: bool = True, mode: str = "overwrite") -> None:
+def land_export(export: DataFrame, path: str | None = None, partition_by_date: bool = True, mode: str = "overwrite",
+                table: str | None = None) -> None:
     """Write a typed landing copy of the export, partitioned by ``event_date``.
 
+    ``table`` names a catalog table to create or replace, at ``path`` when one
+    is given; without it the copy is files under ``path``.
+
     Partitioning by day lets later reads prune whole days; the attribution
     itself needs the full history (logins and later conversions relabel
     earlier sessions), so it reads every partition.
@@ -64,7 +68,10 @@ def land_export(export: DataFrame, path: str, partition_by_date: bool = True, mo
                   .write.mode(mode).partitionBy("event_date"))
     else:
         writer = export.write.mode(mode)
-    writer.parquet(path)
+    if table is None:
+        writer.parquet(path)
+    else:
+        (writer.option("path", path) if path else writer).format("parquet").saveAsTable(table)
 
 
 def to_variant(export: DataFrame) -> DataFrame:
