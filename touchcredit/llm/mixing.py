@@ -6,33 +6,33 @@ own words; what is above is shared again among the others by weight until no
 source is above.  A document's expected number of copies is its source's target
 over the source's words.  The whole part is allocated to every document for
 certain.  The fraction p is an inclusion probability: documents draw a uniform
-U (a hash of the id and the seed) and are ranked by the ratio of the random
-odds U / (1 - U) to the inclusion odds p / (1 - p); the sample of a source is
-the documents of lowest rank whose words fill what is left of its target.
-
-The cut is found without sorting a source: U is split into 4,096 bins, the words
-per (source, bin) are summed, and the bin in which the target is reached is
-split again until it holds at most ``BOUNDARY`` documents (more only when one
-value of U repeats).  The documents just beyond the cut (a few hundred per
+U (a hash of seed, id and text) and are ranked by the Pareto quotient
+``Q = (U / (1 - U)) / (p / (1 - p))``, random odds over inclusion odds, kept as
+the integer part of ``2^48 Q / (1 + Q)``; the sample of a source is the
+documents of lowest rank whose words fill what is left of its target.
+
+The cut is found without sorting a source: ranks are split into 4,096 bins, the
+words per (source, bin) are summed, and the bin in which the target is reached is
+split again until it holds at most ``BOUNDARY`` documents (more only when rows
+repeat id and text).  The documents just beyond the cut (a few hundred per
 source) are walked in rank order, and those that still fit are taken, so the
 target is met to within about the size of one small document.
 
 Per-source totals are collected (one row per source); document rows never are.
 
 Defined cases: NULL or blank text has size 0 and is never taken; a NULL source
-is a source of its own and sorts last; NULL ids share one U; repeated rows are
-documents of their own with equal U; a source without words has target 0; an
+is a source of its own and sorts last; NULL ids draw by their text; repeated rows
+are documents of their own with equal U; a source without words has target 0; an
 empty table gives an empty table; extra columns of any name are kept by
 ``mixed_documents`` and not read by ``mix_sources``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from fractions import Fraction
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, pin, ship
@@ -42,7 +42,7 @@ TOTAL_SHARE = Fraction(3, 2)
 MAX_COPIES = 2
 BOUNDARY = 4096
 TAIL = 512  # documents beyond the cut that are tried one by one
-_BITS, _STEP = 48, 12  # U has 48 bits and is split by 12 at a time
+_BITS, _STEP = 48, 12  # ranks have 48 bits and are split by 12 at a time
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, total_share: Fraction = TOTAL_SHARE,
@@ -72,14 +72,21 @@ def _key(source_col: str):
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, *more) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col(id_col)), 64 - _BITS)
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col(id_col), F.col(text_col)), 12)
+    u = (draw + F.lit(0.5)) / F.lit(float(1 << 52))  # strictly between 0 and 1
     return docs.select(F.col(id_col).alias("doc_id"), _key(source_col).alias("source_key"), size.alias("size"),
                        u.alias("u"), *more)
 
 
-def _take_boundary(groups: Iterator[pd.DataFrame] | pd.DataFrame) -> pd.DataFrame:
+def pareto_rank(u: Column, p: Column) -> Column:
+    """Random odds over inclusion odds, Q, as the 48-bit integer part of ``2^48 Q / (1 + Q)`` (ascending in Q)."""
+    quotient = (u / (1 - u)) / (p / (1 - p))
+    return F.floor(quotient / (1 + quotient) * float(1 << _BITS)).cast("long")
+
+
+def _take_boundary(g: pd.DataFrame) -> pd.DataFrame:
     """Rank order walk over one source's boundary documents; ``room`` is what its target has left."""
-    g = groups.sort_values(["u", "doc_id", "size"], na_position="first")
+    g = g.sort_values(["rank", "doc_id", "size"], na_position="first")
     room, extra = float(g["room"].iloc[0]), []
     for size in g["size"].tolist():
         extra.append(0 < size <= room)
@@ -99,16 +106,18 @@ def _allocation(sized: DataFrame) -> DataFrame:
     goal = {named[s]: t for s, t in targets({s: totals[k] for s, k in named.items()}).items()}
     whole = {k: min(MAX_COPIES, int(goal[k] / totals[k])) if totals[k] else 0 for k in totals}
     room = {k: float(goal[k] - whole[k] * totals[k]) for k in totals}
-    # Search state per source: documents with u < lo are in, those with u >= hi are out.
+    odds = {k: min(room[k] / totals[k], 1 - 2 ** -53) if totals[k] else 0.0 for k in totals}  # p, below 1 when rounded
+    # Search state per source: documents with rank < lo are in, those with rank >= hi are out.
     lo = {k: 0 for k in totals}
     hi = {k: 1 << _BITS if room[k] > 0 else 0 for k in totals}
     shift, searching = _BITS, [k for k in totals if room[k] > 0]
     while searching and shift > 0:
         shift -= _STEP
-        state = spark.createDataFrame([(k, lo[k], hi[k], room[k]) for k in searching],
-                                      "source_key string, lo long, hi long, room double")
+        state = spark.createDataFrame([(k, lo[k], hi[k], room[k], odds[k]) for k in searching],
+                                      "source_key string, lo long, hi long, room double, p double")
         bins = (sized.join(F.broadcast(state) if len(searching) <= 10_000 else state, "source_key")
-                .filter("u >= lo and u < hi").groupBy("source_key", "room", F.expr(f"shiftright(u, {shift})").alias("bin"))
+                .withColumn("rank", pareto_rank(F.col("u"), F.col("p"))).filter("rank >= lo and rank < hi")
+                .groupBy("source_key", "room", F.shiftright("rank", shift).alias("bin"))
                 .agg(F.sum("size").alias("words"), F.count("*").alias("docs")))
         run = Window.partitionBy("source_key").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
         run = (bins.withColumn("words_to", F.sum("words").over(run)).withColumn("docs_to", F.sum("docs").over(run)))
@@ -131,12 +140,14 @@ def _allocation(sized: DataFrame) -> DataFrame:
                 searching.append(k)
             elif r["last"] is not None:
                 hi[k] = min(hi[k], (max(r["last"], c["bin"]) + 1) << shift)
-    state = spark.createDataFrame([(k, totals[k], float(goal[k]), whole[k], lo[k], hi[k], room[k]) for k in totals],
-                                  "source_key string, source_size long, target double, whole int, lo long, hi long, "
-                                  "room double")
-    told = sized.join(F.broadcast(state) if len(totals) <= 10_000 else state, "source_key")
-    near = (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))
-    clear = told.filter(~near).withColumn("extra", F.col("u") < F.col("lo")).drop("lo", "hi", "room")
+    state = spark.createDataFrame(
+        [(k, totals[k], float(goal[k]), whole[k], lo[k], hi[k], room[k], odds[k]) for k in totals],
+        "source_key string, source_size long, target double, whole int, lo long, hi long, room double, p double")
+    told = (sized.join(F.broadcast(state) if len(totals) <= 10_000 else state, "source_key")
+            .withColumn("rank", F.when(F.col("p") > 0, pareto_rank(F.col("u"), F.col("p"))).otherwise(1 << _BITS))
+            .drop("p"))
+    near = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    clear = told.filter(~near).withColumn("extra", F.col("rank") < F.col("lo")).drop("lo", "hi", "room")
     edge = told.filter(near).drop("lo", "hi")
     schema = clear.schema
     return clear.unionByName(edge.groupBy("source_key").applyInPandas(
