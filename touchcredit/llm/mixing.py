@@ -70,12 +70,19 @@ def _key(source_col: str):
     return F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col)))
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, *more) -> DataFrame:
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col(id_col), F.col(text_col)), 12)
-    u = (draw + F.lit(0.5)) / F.lit(float(1 << 52))  # strictly between 0 and 1
-    return docs.select(F.col(id_col).alias("doc_id"), _key(source_col).alias("source_key"), size.alias("size"),
-                       u.alias("u"), *more)
+def _draw(id_col: str, text_col: str, seed: int) -> Column:
+    """U, strictly between 0 and 1, from what the row holds: every pass over the rows draws the same."""
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), F.col(id_col), F.col(text_col)), 12)
+    return (h + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def _size(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), _key(source_col).alias("source_key"),
+                       _size(text_col).alias("size"), _draw(id_col, text_col, seed).alias("u"))
 
 
 def pareto_rank(u: Column, p: Column) -> Column:
@@ -98,8 +105,8 @@ def _take_boundary(g: pd.DataFrame) -> pd.DataFrame:
     return g.drop(columns=["room"])
 
 
-def _allocation(sized: DataFrame) -> DataFrame:
-    """``sized`` (pinned) with target, source_size, whole copies and whether a further copy is taken (``extra``)."""
+def _cuts(sized: DataFrame) -> DataFrame:
+    """One row per source: size, target, whole copies, inclusion probability, and between which ranks its cut lies."""
     spark = sized.sparkSession
     totals = {r[0]: int(r[1]) for r in sized.groupBy("source_key").agg(F.sum("size")).collect()}
     named = {(None if k == "n" else k[1:]): k for k in totals}
@@ -143,15 +150,26 @@ def _allocation(sized: DataFrame) -> DataFrame:
     state = spark.createDataFrame(
         [(k, totals[k], float(goal[k]), whole[k], lo[k], hi[k], room[k], odds[k]) for k in totals],
         "source_key string, source_size long, target double, whole int, lo long, hi long, room double, p double")
-    told = (sized.join(F.broadcast(state) if len(totals) <= 10_000 else state, "source_key")
-            .withColumn("rank", F.when(F.col("p") > 0, pareto_rank(F.col("u"), F.col("p"))).otherwise(1 << _BITS))
-            .drop("p"))
-    near = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    clear = told.filter(~near).withColumn("extra", F.col("rank") < F.col("lo")).drop("lo", "hi", "room")
-    edge = told.filter(near).drop("lo", "hi")
-    schema = clear.schema
-    return clear.unionByName(edge.groupBy("source_key").applyInPandas(
-        lambda g: _take_boundary(g)[[f.name for f in schema.fields]], schema))
+    return F.broadcast(state) if len(totals) <= 10_000 else state
+
+
+def _ranked(rows: DataFrame, u: str = "u", rank: str = "rank", cut: str = "cut") -> DataFrame:
+    """Rows that are joined to their source's cut, with their rank; where nothing is sampled all rank last."""
+    p = F.col(f"{cut}.p")
+    return rows.withColumn(rank, F.when(p > 0, pareto_rank(F.col(u), p)).otherwise(1 << _BITS))
+
+
+def _near(rank: str = "rank", cut: str = "cut") -> Column:
+    return (F.col(rank) >= F.col(f"{cut}.lo")) & (F.col(rank) < F.col(f"{cut}.hi"))
+
+
+def _edge(sized: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The documents next to their source's cut, with ``extra``: whether a further copy is taken."""
+    cut = cuts.select("source_key", F.struct(*cuts.columns).alias("cut"))
+    edge = _ranked(sized.join(cut, "source_key")).filter(_near())
+    edge = edge.select("doc_id", "source_key", "size", "rank", F.col("cut.room").alias("room"))
+    schema = edge.drop("room").schema.add("extra", "boolean")
+    return edge.groupBy("source_key").applyInPandas(lambda g: _take_boundary(g)[schema.names], schema)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -159,19 +177,44 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, size, source_size, target, taken`` of every document; ``taken`` counts words with repeats."""
     ship(docs.sparkSession)
     sized = pin(_sized(docs, id_col, text_col, source_col, seed), "mix-sizes")
-    taken = (F.col("size") * (F.col("whole") + F.col("extra").cast("int"))).alias("taken")
-    return _allocation(sized).select("doc_id", "size", "source_size", "target", taken)
+    cuts = _cuts(sized)
+    cut = cuts.select("source_key", F.struct(*cuts.columns).alias("cut"))
+    clear = _ranked(sized.join(cut, "source_key")).filter(~_near())
+    clear = clear.withColumn("extra", F.col("rank") < F.col("cut.lo"))
+    edge = _edge(sized, cuts).join(cut, "source_key")
+    taken = (F.col("size") * (F.col("cut.whole") + F.col("extra").cast("int"))).alias("taken")
+    columns = ["doc_id", "size", "cut.source_size", "cut.target", taken]
+    return clear.select(*columns).unionAll(edge.select(*columns))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     seed: int = 7) -> DataFrame:
-    """The mixed corpus: every document as often as it is taken (0, 1 or 2 times), with all its columns."""
+    """The mixed corpus: every document as often as it is taken (0, 1 or 2 times), with all its columns.
+
+    Ranks are drawn again from the rows, so a document beyond doubt is decided
+    where it is read; only the documents next to a cut are shuffled.
+    """
     ship(docs.sparkSession)
-    row = fresh(docs, "row")
-    whole = pin(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
-    sized = pin(_sized(whole, id_col, text_col, source_col, seed, F.col(row).alias("row")), "mix-sizes")
-    copies = (_allocation(sized).withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("extra").cast("int"))
-                                            .otherwise(0)).filter("copies > 0").select("row", "copies"))
-    out = whole.join(copies.withColumnRenamed("row", "copy_row"), whole[row] == F.col("copy_row"))
-    numbers = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return out.select(*[whole[c] for c in docs.columns], numbers.alias(fresh(docs, "copy"))).drop(fresh(docs, "copy"))
+    sized = pin(_sized(docs, id_col, text_col, source_col, seed), "mix-sizes")
+    cuts = _cuts(sized)
+    key, u, rank, copies, cut = (fresh(docs, f"mix_{x}") for x in ("key", "u", "rank", "copies", "cut"))
+    cut_of = cuts.select(F.col("source_key").alias(key), F.struct(*cuts.columns).alias(cut))
+    whole = docs.withColumn(key, _key(source_col)).withColumn(u, _draw(id_col, text_col, seed)).join(cut_of, key)
+    whole = _ranked(whole, u, rank, cut)
+    some = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))  # a text without words is not taken
+    clear = (whole.filter(~_near(rank, cut)).filter(some)
+             .withColumn(copies, F.col(f"{cut}.whole") + (F.col(rank) < F.col(f"{cut}.lo")).cast("int")))
+    # Next to a cut: rows of equal id, rank and size are alike, so the first of them get the copies.
+    alike = _edge(sized, cuts).groupBy("source_key", "doc_id", "size", "rank").agg(
+        F.sum(F.col("extra").cast("int")).alias("extras"))
+    more = fresh(docs, "mix_extra")
+    found = alike.select(F.struct(*alike.columns).alias(more))
+    edge = whole.filter(_near(rank, cut))
+    same = ((edge[key] == found[f"{more}.source_key"]) & (edge[rank] == found[f"{more}.rank"])
+            & edge[id_col].eqNullSafe(found[f"{more}.doc_id"]) & (_size(text_col) == found[f"{more}.size"]))
+    edge = edge.filter(some).join(found, same)
+    number = F.row_number().over(Window.partitionBy(key, rank, id_col, F.col(f"{more}.size")).orderBy(rank))
+    edge = edge.withColumn(copies, F.col(f"{cut}.whole") + (number <= F.col(f"{more}.extras")).cast("int"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = clear.select(*columns, copies).unionAll(edge.select(*columns, copies)).filter(F.col(copies) > 0)
+    return out.select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)
