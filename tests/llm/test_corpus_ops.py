@@ -216,6 +216,42 @@ def test_neighbours_follow_bm25():
 
 # ---- WARC
 
+def topic_rows(topics, each):
+    """Documents of about 250 tokens: half words of their topic, half words that all share."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    shared, own = [word() for _ in range(60)], [[word() for _ in range(30)] for _ in range(topics)]
+    rows = [(i, " ".join(rng.choices(own[i % topics], k=40) + rng.choices(shared, k=40)))
+            for i in range(topics * each)]
+    return rng.sample(rows, len(rows))
+
+
+def test_neighbours_come_from_the_whole_corpus(spark):
+    topics = 30
+    rows = topic_rows(topics, 24)
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), BYTE,
+                          shard_tokens=20_000).collect()
+    check_packing(spark.createDataFrame(rows, "doc_id long, text string").collect(), pieces)
+    assert len({p.sequence_id >> 32 for p in pieces}) >= 5
+    inside, windows = defaultdict(set), defaultdict(set)
+    for p in pieces:
+        inside[p.doc_id % topics].add(p.sequence_id >> 32)
+        windows[p.sequence_id].add(p.doc_id % topics)
+    assert np.mean([len(x) for x in inside.values()]) < 1.5  # a topic lies in one shard, not dealt over all
+    assert np.mean([len(x) for x in windows.values()]) < 2.5
+
+
+def test_groups_of_copies_are_split_over_shards(spark):
+    rows = [(i, "the same words again " * 30) for i in range(400)] + topic_rows(5, 20)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), BYTE,
+                          shard_tokens=10_000).collect()
+    held = defaultdict(int)
+    for p in pieces:
+        held[p.sequence_id >> 32] += p.length
+    assert sum(held.values()) == sum(p.length for p in pieces) and max(held.values()) < 30_000
+
+
 def slow_warc(rows, least=0):
     best = defaultdict(list)
     for r in rows:
