@@ -252,6 +252,38 @@ def test_groups_of_copies_are_split_over_shards(spark):
     assert sum(held.values()) == sum(p.length for p in pieces) and max(held.values()) < 30_000
 
 
+def test_common_terms_count(spark):
+    rows = topic_rows(6, 20)
+    rows += [(len(rows) + i, rows[0][1]) for i in range(len(rows) // 2)]  # a third of the table are copies
+    rows = [(i, t) for i, (_, t) in enumerate(random.Random(3).sample(rows, len(rows)))]
+    copies = {i for i, t in rows if sum(t == x for _, x in rows) > 1}
+    assert 3 * len(copies) > len(rows)
+    windows = defaultdict(set)
+    for p in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), BYTE).collect():
+        windows[p.sequence_id].add(p.doc_id in copies)
+    mixed = sum(len(x) == 2 for x in windows.values())
+    assert mixed <= 3, (mixed, len(windows))  # where the copies start and end
+
+
+def test_every_term_is_indexed():
+    docs = [np.array(x, np.uint16) for x in ([5, 6, 1], [8, 9, 1], [5, 6, 7, 1])]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=packing.VOCABULARY)
+    idf = np.log1p((3 - df + 0.5) / (df + 0.5))
+    index = packing.Bm25(docs, idf, 10 / 3)
+    for seed in range(3):
+        want = [sum(idf[t] * 2.2 / (1 + 1.2 * (0.25 + 0.75 * len(d) / (10 / 3))) for t in set(docs[seed]) & set(d))
+                for d in docs]
+        assert np.allclose(index.scores(seed), want) and (index.scores(seed) > 0).all()
+
+
+def test_a_table_of_three_documents_retrieves(spark):
+    text = ["lorem ipsum dolor " * 300, "wholly other words " * 300, "lorem ipsum dolor sit " * 300]
+    df = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string").coalesce(1)
+    pieces = sorted(packing.pack(df, BYTE).collect(), key=lambda p: (p.sequence_id, p.offset))
+    order = list(dict.fromkeys(p.doc_id for p in pieces))
+    assert order == [0, 2, 1]  # the like one before the other
+
+
 def slow_warc(rows, least=0):
     best = defaultdict(list)
     for r in rows:

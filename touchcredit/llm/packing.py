@@ -9,8 +9,8 @@ come to its shard from wherever they lie in the corpus; only a group of more
 than a shard's tokens (copies, one large topic) is split, by a hash of the row.
 Each shard builds a BM25 inverted index over its documents whose terms are
 token ids, so the document frequencies, counted over *all* documents, fit one
-array of the vocabulary's size.  Terms of more than a quarter of all documents
-are stop words.  A window starts with
+array of the vocabulary's size.  Every term is indexed; those that many of the
+shard's documents hold are kept as whole rows of weights.  A window starts with
 a seed document; the index returns the seed's neighbours among the unused
 documents by descending score, and they fill the window greedily.  The document
 that crosses the window's end is cut there, its rest opens the next window and
@@ -50,7 +50,7 @@ WINDOW = 2048
 SHARD_TOKENS = 1 << 20
 VOCABULARY = 1 << 16
 K1, B = 1.2, 0.75
-COMMON = 0.25  # terms of more than this share of all documents are not indexed: they tell no neighbours apart
+DENSE = 0.25  # terms of more than this share of a shard's documents are kept as a whole row of weights
 SKETCH = 128  # numbers of a sketch
 SAMPLE = 128  # sampled documents per shard: half make the groups, half tell how much they hold
 MOST_SAMPLED = 1 << 19  # and in all (70 MB of sketches on the driver)
@@ -62,7 +62,6 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def bm25_weights(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
     """Distinct terms of a document and their weights."""
     t, n = np.unique(ids, return_counts=True)
-    t, n = t[idf[t] > 0], n[idf[t] > 0]
     return t, idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean_length))
 
 
@@ -77,20 +76,31 @@ class Bm25:
             rows.append(np.full(len(t), i, np.int32))
             weights.append(w)
         self.terms_of, self.n = terms, len(docs)
-        flat = np.concatenate(terms)
+        flat, row, weight = np.concatenate(terms), np.concatenate(rows), np.concatenate(weights)
+        often = np.flatnonzero(np.bincount(flat, minlength=VOCABULARY) > DENSE * len(docs))
+        self.dense_of = np.full(VOCABULARY, -1, np.int32)  # term to its row of ``dense``
+        self.dense_of[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), len(docs)))
+        at = self.dense_of[flat]
+        self.dense[at[at >= 0], row[at >= 0]] = weight[at >= 0]
+        flat, row, weight = flat[at < 0], row[at < 0], weight[at < 0]
         order = np.argsort(flat, kind="stable")
-        self.rows, self.weights = np.concatenate(rows)[order], np.concatenate(weights)[order]
+        self.rows, self.weights = row[order], weight[order]
         self.bounds = np.searchsorted(flat[order], np.arange(VOCABULARY + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         """Scores of all documents for the seed's distinct terms, accumulated term by term."""
         t = self.terms_of[seed].astype(np.int64)
-        if not len(t):
-            return np.zeros(self.n)
-        lo, hi = self.bounds[t].tolist(), self.bounds[t + 1].tolist()
-        rows = np.concatenate([self.rows[a:b] for a, b in zip(lo, hi)])
-        weights = np.concatenate([self.weights[a:b] for a, b in zip(lo, hi)])
-        return np.bincount(rows, weights=weights, minlength=self.n)
+        at = self.dense_of[t]
+        out, t = np.zeros(self.n), t[at < 0]
+        for row in self.dense[at[at >= 0]]:  # in the same order for every document, so copies score the same
+            out += row
+        if len(t):
+            lo, hi = self.bounds[t].tolist(), self.bounds[t + 1].tolist()
+            rows = np.concatenate([self.rows[a:b] for a, b in zip(lo, hi)])
+            weights = np.concatenate([self.weights[a:b] for a, b in zip(lo, hi)])
+            out += np.bincount(rows, weights=weights, minlength=self.n)
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -323,7 +333,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: in
     spark = docs.sparkSession
     tokens = tokenised(docs, tokenizer, end_id, id_col, text_col)
     df, n_docs, n_tokens = term_statistics(tokens)
-    idf = np.where(df > COMMON * n_docs, 0.0, np.log1p((n_docs - df + 0.5) / (df + 0.5)))
+    idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     mean = max(1.0, n_tokens / max(1, n_docs))
     shared = spark.sparkContext.broadcast(idf)  # one number per token id
 
