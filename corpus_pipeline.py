@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from touchcredit.llm import exact_dedup, lang_id, mixing, packing, simhash
 from touchcredit.llm.common import pin
 
-MIN_LANGUAGE_SCORE = 0.3  # a short text of words that several languages share is kept
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found; texts without a letter and undecided ones go."""
+    """Documents with a letter, however alike the languages score; all of them when nothing is labelled."""
     model = lang_id.train(docs.filter(~lang_id.held_out()))
+    if not model.languages:
+        return docs
     found = lang_id.predictor(spark, model)(F.col("text"))
-    return docs.filter((found["lang_pred"] != lang_id.UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
+    return docs.filter(found["lang_pred"] != lang_id.UNKNOWN)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

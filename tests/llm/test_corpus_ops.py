@@ -403,6 +403,20 @@ def test_top_k_equals_brute_force(spark):
 
 # ---- Pipeline
 
+def test_language_stage_keeps_shared_words(spark):
+    import corpus_pipeline as cp
+
+    own = {"en": "the thing", "de": "der ding", "fr": "le truc", "es": "la cosa", "it": "il coso"}
+    rows = [(i * 5 + j, f"{text} anna berlin", lang) for i in range(8) for j, (lang, text) in enumerate(own.items())]
+    rows += [(100, "Anna", None), (101, "anna berlin", "en"), (102, "Berlin!", None), (103, "12 !!", "en"),
+             (104, None, None), (None, "berlin", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in cp.language_stage(spark, df, "").collect()}
+    assert kept == {r[0] for r in rows} - {103, 104}
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    assert cp.language_stage(spark, unlabelled, "").count() == len(rows)
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     import corpus_pipeline as cp
     from touchcredit.llm.common import pin
