@@ -144,6 +144,17 @@ def test_added_kinds():
     assert pii.find_spans("1" * 300_000) == [] and pii.find_spans("1." * 100_000 + "@" * 100_000)[0][0] == "ip"
 
 
+def test_cues_in_any_case_and_before_brackets():
+    def accounts(text):
+        return [text[s:e] for k, s, e in pii.find_spans(text) if k == "account"]
+
+    iban = "GB82 WEST 1234 5698 7654 32"
+    assert accounts("Social Security number: 078-05-1120") == ["078-05-1120"]
+    assert accounts(f"iBAN {iban}. Routing NUMBER 021000021, Passport nO: X1234567") == [iban, "021000021", "X1234567"]
+    assert accounts(f"IBAN ({iban}) or SSN: \"078-05-1120\"") == [iban, "078-05-1120"]
+    assert accounts("İİ été Acct [00123-456789] and sSn('078-05-1120')") == ["00123-456789", "078-05-1120"]
+
+
 def test_personal_data_rows(nasty, empty):
     rows = {r.doc_id: r for r in pii.personal_data(nasty).collect()}
     assert rows[3].n_email == 0 and rows[3].spans == "" and rows[3].base_sha256 == hashlib.sha256(b"").hexdigest()

@@ -11,7 +11,7 @@ Kinds, in the order of the output:
   a match that fails its check (address part over 255, 13 to 19 digits and the
   Luhn sum, 9 to 15 digits) is dropped and its characters are not tried again.
 * ``account``: the identifier after a cue such as ``IBAN``, ``SSN`` or
-  ``account number``; IBANs must pass their checksum, SSNs their shape, other
+  ``account number`` in any case, or after an opening bracket or quote there; IBANs must pass their checksum, SSNs their shape, other
   identifiers have 6 to 20 digits.
 * ``login``: user name and password before the host of a URL.
 
@@ -39,13 +39,14 @@ KINDS = (*BASE, "account", "login")
 CUES = ("iban", "ssn", "social security number", "account number", "account no", "acct", "passport number",
         "passport no", "routing number", "sort code")
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE_BODY = re.compile(r"[ ().0-9-]+")
-_AFTER_CUE = re.compile(r"(?: (?:is|no\.?|number))?[\s:#=.]{1,4}", re.IGNORECASE)
+_AFTER_CUE = re.compile(r"""(?: (?:is|no\.?|number))?(?:[\s:#=.]{1,4}[(\[{<"'“‘„«]{0,2}|[(\[{<"'“‘„«]{1,2})""", re.IGNORECASE)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])")
 _ACCOUNT = re.compile(r"[A-Za-z]{0,3}[0-9](?:[ -]?[0-9]){5,19}(?![0-9])")
@@ -61,12 +62,16 @@ def _anchors() -> ahocorasick.Automaton:
     a.add_word("+", ("plus", 1))
     a.add_word("://", ("scheme", 3))
     for cue in CUES:
-        for form in (cue, cue.upper(), cue.capitalize(), cue.title()):
-            a.add_word(form, ("cue", len(form)))
+        a.add_word(cue, ("cue", len(cue)))
     a.make_automaton()
     return a
 
 
+def _folded(text: str) -> str:
+    """The text with A-Z in lower case and every offset as it was."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -101,7 +106,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` in code points, by kind as listed, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_from = ip_from = card_from = phone_from = 0
-    for last, (anchor, length) in _anchors().iter(text):
+    for last, (anchor, length) in _anchors().iter(_folded(text)):
         i = last - length + 1
         if anchor == "digit":
             if i >= card_from:
