@@ -183,3 +183,18 @@ def test_language_backoff_and_cases(spark, nasty, empty):
     assert lang_id.identify_languages(empty).count() == 0
     unlabelled = nasty.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in lang_id.identify_languages(unlabelled).collect()} == {"und"}
+
+
+def test_small_languages_are_learned(spark):
+    rows = [(i, f"alpha{i} beta{i} gamma{i}", "xx") for i in range(600)]
+    rows += [(7000 + i, "żółw kość", "pl") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.train(df, max_train_docs=40, max_words=20, max_grams=30)
+    assert model.languages == ["pl", "xx"]  # 2 rows of 602
+    assert model.predict("żółw")[0] == model.predict("Kość żółw")[0] == "pl"
+    assert model.predict("alpha7 gamma9 beta")[0] == "xx"
+    assert "<" not in model.pieces and ">" not in model.pieces
+    same = spark.createDataFrame([(5, f"alpha beta w{chr(97 + i // 26)}{chr(97 + i % 26)}", "xx") for i in range(600)],
+                                 "doc_id long, text string, lang string")  # one id on all the rows
+    words = lang_id.train(same, max_train_docs=40).words
+    assert 10 < len([w for w in words if w.startswith("w")]) < 120

@@ -10,9 +10,13 @@ language is the one with the largest sum over its words.
 Training counts words and n-grams of labelled documents in every partition and
 sums them by key (pre-aggregated, so a language with most of the rows is no hot
 spot).  The bounds are parameters: about ``max_train_docs`` labelled documents
-(chosen by a hash of the id, whole texts), the ``max_words`` most frequent
-words and the ``max_grams`` most frequent n-grams; the model that is broadcast
-has at most ``max_words + max_grams`` rows of one number per language.
+of every language (chosen by a hash of id and text, whole texts), the
+``max_words`` most frequent words and the ``max_grams`` most frequent n-grams
+over all languages, and besides these every language's own most frequent ones,
+an equal share of the same numbers (``LEAST`` at least); so the model that is
+broadcast has at most twice ``max_words + max_grams`` rows (of one number per
+language) for up to 100 languages.  A piece that a language lacks scores alike
+in all languages, however much text of them was seen.
 
 Defined cases: NULL text, or a text without a letter, is ``und`` with score 0;
 so is every document when nothing is labelled.  Ties go to the language that
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pin, ship, strings
@@ -39,6 +43,7 @@ GRAMS = (5, 4, 3, 2, 1)
 EVIDENCE_WORDS = 20  # the score is the posterior after at most so many average words
 _LETTERS = regex.compile(r"\p{L}+")
 _MEMO = 400_000
+LEAST = 1000  # words and n-grams of every language that stay at least
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -60,7 +65,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for w, c in seen.items():
                 rows[lang, "w", w] = c
                 for n in GRAMS:
-                    for g in grams(w, n):
+                    for g in grams(w, n) if n > 1 else w:
                         sub[g] += c
             rows.update({(lang, "g", g): c for g, c in sub.items()})
         keys = list(rows)
@@ -85,11 +90,18 @@ class BackoffModel:
                  totals: tuple[np.ndarray, np.ndarray]):
         self.languages, half = languages, 0.5
         self.words, self.pieces = (
-            {k: tuple(np.log((c + half) / (total + half * (len(table) + 1))).tolist()) for k, c in table.items()}
+            {k: tuple(x) for k, x in zip(table, self._logs(table, total, half))}
             for table, total in zip((words, pieces), totals))
         self.memo: dict[str, int] = {}  # piece to its row of ``rows``: summed scores, then the number of words
         self.rows = np.zeros((0, len(languages) + 1))
 
+    @staticmethod
+    def _logs(table: dict[str, np.ndarray], total: np.ndarray, half: float) -> list[list[float]]:
+        """Log frequencies, smoothed as if every language had as much text as the largest."""
+        most = total.max(initial=1.0)
+        counts = np.array(list(table.values())).reshape(len(table), len(total)) * (most / np.maximum(total, 1.0))
+        return np.log((counts + half) / (most + half * (len(table) + 1))).tolist()
+
     def word(self, word: str) -> tuple[float, ...]:
         """Score of one word in every language."""
         known = self.words.get(word)
@@ -97,6 +109,8 @@ class BackoffModel:
             return known
         marked, get = f"<{word}>", self.pieces.get
         for n in GRAMS:
+            if n == 1:
+                marked = word  # the marks are in every language's words and tell nothing
             found = [v for i in range(len(marked) - n + 1) if (v := get(marked[i:i + n]))]
             if found:
                 return tuple(sum(x) / len(found) for x in zip(*found))
@@ -145,10 +159,14 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Fit the model on the rows with a label; NULL labels and NULL ids are left out."""
     ship(labelled.sparkSession)
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    n = rows.count()
     step = 1 << 20
-    keep = min(step, -(-max_train_docs * step // n)) if n else step
-    sample = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(step)) < keep)
+    sizes = rows.groupBy(lang_col).count().collect()  # one row per language
+    share = {lang: -(-max_train_docs * step // n) for lang, n in sizes if n > max_train_docs}
+    keep = F.lit(step)
+    if share:
+        pairs = [F.lit(x) for pair in share.items() for x in pair]
+        keep = F.coalesce(F.element_at(F.create_map(*pairs), F.col(lang_col)), keep)
+    sample = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(step)) < keep)
     counts = (sample.select(F.col(lang_col), F.col(text_col)).mapInArrow(
         _count, "lang string, kind string, item string, n long").groupBy("kind", "item", "lang")
         .agg(F.sum("n").alias("n")))
@@ -157,8 +175,12 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     per_item = pin(per_item, "language-counts")
     tables = []
     for kind, most in (("w", max_words), ("g", max_grams)):
-        top = per_item.filter(F.col("kind") == kind).orderBy(F.desc("n"), "item").limit(most)
-        found = top.select("item", "by_lang").toArrow()
+        here = per_item.filter(F.col("kind") == kind)
+        top = here.orderBy(F.desc("n"), "item").limit(most).select("item")
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("m"), "item"))
+        own = (here.select("item", F.explode("by_lang").alias("lang", "m")).withColumn("place", place)
+               .filter(F.col("place") <= max(LEAST, most // max(1, len(sizes)))).select("item"))
+        found = here.join(top.unionAll(own).distinct(), "item").select("item", "by_lang").toArrow()
         tables.append({k: dict(by) for k, by in zip(*(c.to_pylist() for c in found.columns))})
     languages = sorted({x for t in tables for by in t.values() for x in by})
     vectors = [{k: np.array([by.get(x, 0) for x in languages], float) for k, by in t.items()} for t in tables]
