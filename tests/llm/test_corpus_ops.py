@@ -401,6 +401,18 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(few, query).count() == 2 and topk.top_k(df.limit(0), query).count() == 0
 
 
+def test_invalid_queries_hide_no_valid_one(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 4)
+    rows = [(i, [float(i), 1.0]) for i in range(1, 12)]
+    rows += [(20, [1.0, 2.0]), (20, [None, 2.0]), (20, [float("-inf"), 2.0]), (40, [None, 1.0]), (60, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    want = slow_top([(a, b) for a, b in rows])
+    assert len(want) == 11 and {q for q, *_ in want} == {20}
+    assert sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 20 == 0).collect())) == want
+    bad = df.filter("vec_id <> 20")  # no valid query at all, more candidates than a block
+    assert topk.top_k(bad, F.col("vec_id") % 20 == 0).count() == 0
+
+
 # ---- Pipeline
 
 def test_language_stage_keeps_shared_words(spark):

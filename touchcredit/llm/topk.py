@@ -14,7 +14,7 @@ of candidates sends at most k rows per query.  No pair list is ever made.
 Defined cases: NULL vectors, and vectors with a NULL or non-finite component,
 take no part; a shorter vector counts as padded with zeros; rows that share the
 query's id are not its candidates; a query id that occurs twice is asked once
-(its smallest vector); fewer than k candidates give fewer rows; an empty table
+(its smallest vector that takes part); fewer than k candidates give fewer rows; an empty table
 gives an empty table; other columns are not read.
 """
 
@@ -121,6 +121,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCALE
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     asked = vectors.filter(is_query).select(F.col(id_col).cast("long").alias("vec_id"),
                                             F.col(vector_col).alias("embedding")).filter("vec_id is not null")
+    whole = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double") * F.lit(scale)) < float("inf"),
+                                                       F.lit(False)))  # NaN is above infinity here
+    asked = asked.filter(F.coalesce(whole, F.lit(False)))  # before one of an id's vectors is chosen
     blocks = max(1, -(-asked.count() // query_block))  # hashing fills them evenly
     parts = []
     for number in range(blocks):
@@ -129,6 +132,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCALE
         if not table.num_rows:
             continue
         query_ids, queries = weights(table.combine_chunks().to_batches()[0], scale)
+        if not len(query_ids):
+            continue
         shared = spark.sparkContext.broadcast((query_ids, queries))
 
         def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
