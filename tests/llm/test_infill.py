@@ -30,7 +30,7 @@ def slow(doc_id, text, seed=42):
 
 
 def fast(ids, texts):
-    flat, offsets = infill._buffer(pa.array(texts, pa.string()))
+    flat, offsets = infill.text_bytes(pa.array(texts, pa.string()))
     draws = np.array([[int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[8 * k:8 * k + 8], 16)
                        for k in range(4)] for i in ids], np.int64).reshape(-1, 4)
     out, out_at, form, n, cut1, cut2 = infill.transform(flat, offsets, draws, 50, 80)
@@ -82,6 +82,6 @@ def test_empty_table(empty):
 
 
 def test_a_damaged_output_is_refused():
-    flat, offsets = infill._buffer(pa.array(["<P>a<S>b"]))
+    flat, offsets = infill.text_bytes(pa.array(["<P>a<S>b"]))
     with pytest.raises(ValueError):
         infill.restore_batch(flat, offsets, np.array([infill.PSM]))

@@ -104,6 +104,15 @@ def shard_of(keys: pa.Array, bounds: list[int]) -> np.ndarray:
     return out.astype(np.int32)
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text or binary column, and the offsets of its rows in them (NULL as empty)."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return flat[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Python strings of a text column, NULL as empty."""
     return [x or "" for x in column.to_pylist()]

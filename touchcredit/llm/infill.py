@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, text_bytes
 
 FORMS = ("plain", "psm", "spm")
 PLAIN, PSM, SPM = range(3)
@@ -38,15 +38,6 @@ PREFIX, SUFFIX, MIDDLE = range(3)
 SLICE_BYTES = 1 << 22
 
 
-def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text column, and the offsets of its rows in them (NULL as empty)."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return flat[offsets[0]:offsets[-1]], offsets - offsets[0]
-
-
 def _texts(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(offsets) - 1,
@@ -183,7 +174,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for whole in batches:
             for low, high in _slices(whole.column(1)):
                 b = whole.slice(low, high - low)
-                flat, offsets = _buffer(b.column(1))
+                flat, offsets = text_bytes(b.column(1))
                 draws = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, 4)
                 out, out_at, form, n, cut1, cut2 = transform(flat, offsets, draws, fim_percent, spm_percent)
                 plain = form == PLAIN
@@ -206,7 +197,7 @@ def restore(transformed: DataFrame) -> DataFrame:
             for low, high in _slices(whole.column(output)):
                 b = whole.slice(low, high - low)
                 form = np.array([FORMS.index(f) for f in b.column(form_col).to_pylist()], np.int64)
-                text, text_at = restore_batch(*_buffer(b.column(output)), form)
+                text, text_at = restore_batch(*text_bytes(b.column(output)), form)
                 yield pa.RecordBatch.from_arrays([*b.columns, _texts(text, text_at).cast(pa.string())],
                                                  [*b.schema.names, "restored"])
 

@@ -23,6 +23,24 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+_OP12 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+w AS (SELECT r, coalesce(doc_id, -9223372036854775808) AS k, p, substr(h, 2 * p + 1, 100) AS s
+      FROM (SELECT r, doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS p FROM d)),
+g AS (SELECT r, p FROM (SELECT r, p, k, min(k) OVER (PARTITION BY s) AS least FROM w) WHERE least < k),
+b AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM g),
+c AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS span FROM b),
+s AS (SELECT r, span, min(p) AS a, max(p) + 50 AS z FROM c GROUP BY r, span),
+e AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM s),
+t AS (SELECT e.r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS pre
+      FROM e JOIN d USING (r) GROUP BY e.r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(pre || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN t USING (r)
+"""
+
 _OP13 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
@@ -43,4 +61,5 @@ FROM p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op13_fill_in_middle": _OP13}
+    return {"op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op12_passages": _OP12,
+            "op13_fill_in_middle": _OP13}

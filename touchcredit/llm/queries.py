@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, infill, lang_id, mixing, packing, pii, simhash, token_codec, token_counts, topk, warc, whitening
+from . import exact_dedup, infill, lang_id, mixing, packing, passages, pii, simhash, token_codec, token_counts, topk, warc, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op11_whitening(spark, sf_dir):
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_passages(spark, sf_dir):
+    return passages.passage_digests(documents(spark, sf_dir))
+
+
 def op13_fill_in_middle(spark, sf_dir):
     return infill.fim_digests(documents(spark, sf_dir))
 
@@ -70,4 +74,4 @@ def pipeline(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_token_counts, op3_token_files, op4_personal_data, op5_simhash,
-                            op6_packing, op7_warc, op8_mixing, op9_exact_dedup, op10_top_k, op11_whitening, op13_fill_in_middle, pipeline)}
+                            op6_packing, op7_warc, op8_mixing, op9_exact_dedup, op10_top_k, op11_whitening, op12_passages, op13_fill_in_middle, pipeline)}
