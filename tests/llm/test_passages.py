@@ -69,10 +69,10 @@ def rounds(rows, block_rows, owners):
 
     said = one(lambda b: passages._send_keys(b, owners), passages._answer_keys)
     hot = one(lambda b: passages._send_windows(b, said[b.number], owners), passages._answer_keys)
-    found = one(lambda b: passages._send_pieces(b, said[b.number], hot[b.number], owners), passages._answer_pieces)
+    found = one(lambda b: passages._send_pieces(b, said[b.number], hot[b.number], owners, owners + 2), passages._answer_pieces)
     out = []
     for b in blocks:
-        got = passages._mark(b, said[b.number], hot[b.number], found[b.number], owners)
+        got = passages._mark(b, said[b.number], hot[b.number], found[b.number], owners, owners + 2)
         out += [([(s["start"], s["end"]) for s in r["spans"]], r["kept"]) for r in got.to_pylist()]
     return out
 

@@ -48,10 +48,11 @@ from .suffix_array import ragged, suffix_arrays
 
 LENGTH, ANCHOR = 50, 25
 HOT = 128  # different pieces of an anchor that are compared in one suffix array
-BLOCK_BYTES = 8 << 20
-OWNER_BYTES = 16 << 20  # text per owner
+BLOCK_BYTES = 4 << 20
+OWNER_BYTES = 16 << 20  # text per owner of anchors
+SHARD_BYTES = 4 << 20  # text per owner of pieces
 SLICE = (1 << 16) - 2 * LENGTH  # windows hashed at a time; places in a slice fit 16 bits
-SYMBOLS = 1 << 20  # symbols whose suffix arrays are built together
+SYMBOLS = 1 << 19  # symbols whose suffix arrays are built together
 _MULTIPLY, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW16 = np.uint64(0xFFFF)
 NO_ID = np.iinfo(np.int64).min
@@ -190,10 +191,14 @@ def pieces(block: Block) -> Pieces:
     start, key = np.concatenate(starts), np.concatenate(keys)
     doc = np.searchsorted(offsets, start, side="right") - 1
     end = np.minimum(np.append(start[1:], fits), offsets[doc + 1] - LENGTH + 1)
-    words = _words(text)
-    mark = _hash_at(words, start, LENGTH) + _hash_at(words, end - 1 + LENGTH - ANCHOR, ANCHOR) * _FINISH
-    mark = _chain(iter((mark, (end - start).astype(np.uint64))))
-    return Pieces(start, end - start, key, mark, doc)
+    return Pieces(start, end - start, key, _mark_of(_words(text), start, end - start), doc)
+
+
+def _mark_of(words: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Hash of whole pieces: their first window, the end of their last, and how many they have."""
+    head = _hash_at(words, start, LENGTH)
+    tail = _hash_at(words, start + windows - 1 + LENGTH - ANCHOR, ANCHOR)
+    return _chain(iter((head + tail * _FINISH, windows.astype(np.uint64))))
 
 
 # ---- messages
@@ -293,8 +298,12 @@ def _sorted_pieces(block: Block, keys_said: dict[int, bytes], owners: int):
 def _hot_windows(block: Block, p: Pieces, hot: np.ndarray) -> Pieces:
     """The single windows of hot pieces, dealt by their own hash."""
     start = ragged(p.start[hot], p.windows[hot])
-    key = _hash_at(_words(block.text), start, LENGTH) if len(start) else np.zeros(0, np.uint64)
-    return Pieces(start, np.ones(len(start), np.int64), key, key, np.repeat(p.doc[hot], p.windows[hot]))
+    one = np.ones(len(start), np.int64)
+    if not len(start):
+        return Pieces(start, one, start.astype(np.uint64), start.astype(np.uint64), start)
+    words = _words(block.text)
+    return Pieces(start, one, _hash_at(words, start, LENGTH), _mark_of(words, start, one),
+                  np.repeat(p.doc[hot], p.windows[hot]))
 
 
 def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int) -> Iterator[tuple[int, bytes]]:
@@ -306,7 +315,7 @@ def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int) -> Ite
                            np.ones(mine.stop - mine.start, np.uint8), np.zeros(mine.stop - mine.start, np.uint16))
 
 
-def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int):
+def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int) -> tuple:
     """Pieces that other documents may hold, and per distinct one, in the order sent, its first place in the list."""
     p, shared, hot = _sorted_pieces(block, keys_said, owners)
     w = _hot_windows(block, p, hot)
@@ -323,17 +332,16 @@ def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[in
     return both, by, np.flatnonzero(new), kind
 
 
-def _send_pieces(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes],
-                 owners: int) -> Iterator[tuple[int, bytes]]:
+def _send_pieces(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int,
+                 shards: int) -> Iterator[tuple[int, bytes]]:
     both, by, first, _ = _candidates(block, keys_said, windows_said, owners)
     if not len(by):
         return
     one = by[first]
     key, start, windows = both.key[one], both.start[one], both.windows[one]
     least = np.minimum.reduceat(block.ids[both.doc[by]], first)
-    for owner, mine in _by_owner(key, owners):
+    for owner, mine in _by_owner(key, shards):
         yield owner, _pack(np.diff(key[mine], prepend=np.uint64(0)), windows[mine].astype(np.uint8), least[mine],
-                           both.mark[one][mine],
                            block.text[ragged(start[mine], windows[mine] + LENGTH - 1)])
 
 
@@ -385,13 +393,15 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
 def _answer_pieces(messages: list[bytes]) -> list[bytes]:
     """For every list: each window's least id, as runs of equal ones."""
     lists = [_unpack(m) for m in messages]
+    held = [len(x[0]) for x in lists]
     key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in lists])
     windows = np.concatenate([x[1] for x in lists]).astype(np.int64)
     ids = np.concatenate([x[2] for x in lists])
-    mark = np.concatenate([x[3] for x in lists])
-    text = np.concatenate([x[4] for x in lists])
+    text = np.concatenate([x[3] for x in lists])
+    del lists
     size = windows + LENGTH - 1
     start = np.cumsum(size) - size
+    mark = _mark_of(_words(text), start, windows)
     by = np.lexsort((mark, key))
     new = np.ones(len(by), bool)
     new[1:] = (key[by][1:] != key[by][:-1]) | (mark[by][1:] != mark[by][:-1])
@@ -402,8 +412,8 @@ def _answer_pieces(messages: list[bytes]) -> list[bytes]:
     found = _window_ids(text, start[one], windows[one], key[one], np.minimum.reduceat(ids[by], first))
     at = np.cumsum(windows[one]) - windows[one]
     out, low = [], 0
-    for x in lists:
-        mine = slice(low, low + len(x[0]))
+    for n in held:
+        mine = slice(low, low + n)
         low = mine.stop
         ids_of = found[ragged(at[kind[mine]], windows[mine])]
         run = np.flatnonzero(np.concatenate([[True], ids_of[1:] != ids_of[:-1]]))
@@ -452,7 +462,7 @@ def _round(blocks: DataFrame, send: Send, answer: Answer, owners: int, name: str
     return path
 
 
-def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int) -> pa.RecordBatch:
+def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shards: int) -> pa.RecordBatch:
     """The block's documents with their removed runs and what is left."""
     both, by, first, kind = _candidates(block, keys_said, windows_said, owners)
     text, offsets = block.text, block.offsets
@@ -462,7 +472,7 @@ def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int) -> pa
         sizes = both.windows[one]
         least = np.empty(int(sizes.sum()), np.int64)
         at = np.cumsum(sizes) - sizes
-        for owner, mine in _by_owner(both.key[one], owners):
+        for owner, mine in _by_owner(both.key[one], shards):
             ids, runs = _unpack(pieces_said[owner])
             least[at[mine.start]:at[mine.stop - 1] + sizes[mine.stop - 1]] = np.repeat(ids, runs)
         own = np.repeat(block.ids[both.doc], both.windows)
@@ -494,16 +504,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     blocks = pin(rows.mapInArrow(_blocks_of, "block long, n_bytes long, ids array<long>, sizes array<long>, text binary"),
                  "passage-blocks")
-    owners = max(1, -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 0) // OWNER_BYTES))
+    size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    owners, shards = max(1, -(-size // OWNER_BYTES)), max(1, -(-size // SHARD_BYTES))
     said = _round(blocks, lambda b: _send_keys(b, owners), _answer_keys, owners, "passage-anchors")
     hot = _round(blocks, lambda b: _send_windows(b, _answers(said, b.number), owners), _answer_keys, owners,
                  "passage-windows")
-    found = _round(blocks, lambda b: _send_pieces(b, _answers(said, b.number), _answers(hot, b.number), owners),
-                   _answer_pieces, owners, "passage-pieces")
+    found = _round(blocks, lambda b: _send_pieces(b, _answers(said, b.number), _answers(hot, b.number), owners, shards),
+                   _answer_pieces, shards, "passage-pieces")
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _read_blocks(batches):
-            yield _mark(b, _answers(said, b.number), _answers(hot, b.number), _answers(found, b.number), owners)
+            yield _mark(b, _answers(said, b.number), _answers(hot, b.number), _answers(found, b.number), owners, shards)
 
     return blocks.mapInArrow(marked, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
