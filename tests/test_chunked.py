@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,19 +23,27 @@ def _data(spark, n=4000, seed=7):
     return spark.createDataFrame(rows, "k string, t long, id long, v long")
 
 
-def test_scan_and_group_stats_match_plain_windows(spark):
+@pytest.mark.parametrize("chunk_rows", [250, 40, 3, 10 ** 6])
+def test_scan_and_group_stats_match_plain_windows(spark, chunk_rows):
     df = _data(spark)
     order = ck.Order(("t", "id"))
-    tagged = ck.chunk(df, non_null_key(F.col("k")), order, ["id"], num_chunks=16)
-    hot_chunks = tagged.filter(F.col("k") == "hot").select(ck.CHUNK).distinct().count()
-    assert hot_chunks >= 5  # the hot key is split, not left in one task
+    key = non_null_key(F.col("k"))
+    heavy = ck.heavy_keys(ck.key_counts(df, key), chunk_rows)
+    tagged = ck.arrange(df, key, order, ["id"], heavy=heavy, chunk_rows=chunk_rows)
+    if chunk_rows == 10 ** 6:
+        assert heavy is None and tagged.cut is None
+    else:
+        assert heavy.count() <= 4000 / chunk_rows
+        sizes = [r["count"] for r in tagged.cut.groupBy(ck.KEY, ck.CHUNK).count().collect()]
+        assert max(sizes) <= 3 * chunk_rows  # no key is left in one task
+        assert tagged.plain.groupBy(ck.KEY).count().filter(F.col("count") > chunk_rows).isEmpty()
     out = ck.ordered_scan(tagged, order, row_number="rn", running_sums={"s": "v"}, lead={"nx": "t"},
                           lag={"pv": "t"}, next_non_null={"nn": "v"},
                           prev_non_null={"pn": "v"})
     out = ck.group_stats(out, F.floor(F.col("t") / 50).cast("long"),
                          {"g_max": (F.max("v"), "max"), "g_cnt": (F.count("v"), "sum"),
                           "g_sum": (F.sum("v"), "sum"), "g_min": (F.min("id"), "min")})
-    got = {r.id: r for r in out.collect()}
+    got = {r.id: r for r in out.rows().collect()}
 
     w = Window.partitionBy("k").orderBy("t", "id")
     rev = Window.partitionBy("k").orderBy(F.col("t").desc(), F.col("id").desc()).rowsBetween(
@@ -54,3 +63,20 @@ def test_scan_and_group_stats_match_plain_windows(spark):
             assert x[c] == r[c], (r.id, c, x[c], r[c])
         n += 1
     assert n == 4000 == len(got)
+
+
+def test_copies_under_a_heavy_key_become_one_row(spark):
+    df = spark.createDataFrame([("hot", i % 7, 1) for i in range(3000)] + [("k", 1, 1), ("k", 1, 1), (None, 2, 1)],
+                               "k string, t long, m long").repartition(6)
+    key = non_null_key(F.col("k"))
+    heavy = ck.heavy_keys(ck.key_counts(df, key), 100)
+    out = ck.arrange(df, key, ck.Order(("t",)), ["k", "t"], "m", heavy, 100).rows()
+    assert sorted((r.k or "", r.t, r.m) for r in out.collect()) == sorted(
+        [("hot", i, 3000 // 7 + (i < 3000 % 7)) for i in range(7)] + [("k", 1, 2), ("", 2, 1)])
+
+
+def test_split_points_are_searched_by_halving(spark):
+    rows = [(points, x) for points in ([], [5], [1, 3, 5, 7], list(range(0, 60, 3))) for x in range(-1, 62)]
+    df = spark.createDataFrame(rows, "p array<long>, x long")
+    got = df.select("p", "x", ck._points_passed(F.col("p"), F.col("x")).alias("n")).collect()
+    assert all(r.n == sum(p <= r.x for p in r.p) for r in got if r.p)

@@ -24,6 +24,8 @@ DEFAULT_DIRECT_SOURCES = ("(direct)", "(data deleted)", "<other>")
 DEFAULT_PAID_MEDIUM_PATTERN = "%paid%"
 DEFAULT_EPOCH_DATE = "2018-01-01"
 
+DEFAULT_CHUNK_ROWS = 1 << 18
+
 # Model labels, in the order the models are emitted.
 LAST_CLICK = "Last Click"
 FIRST_CLICK = "First Click"
@@ -71,17 +73,17 @@ class AttributionConfig:
     # workload's behaviour); "user_session": on (blended user, session_id).
     session_key: str = "session"
     models: tuple[str, ...] = field(default=DEFAULT_MODELS)
-    # Range chunks of the ordered stages; None: sized by bytes at run time (at
-    # most spark.sql.shuffle.partitions).  Results never depend on it.
-    num_chunks: int | None = None
+    # Rows of one user that stay together in the ordered stages; a user with
+    # more is cut into chunks of about that many.  Results never depend on it.
+    chunk_rows: int = DEFAULT_CHUNK_ROWS
 
     def __post_init__(self) -> None:
         if self.time_decay_direction not in ("reference", "recent"):
             raise ValueError(f"time_decay_direction: {self.time_decay_direction!r}")
         if self.session_key not in ("session", "user_session"):
             raise ValueError(f"session_key: {self.session_key!r}")
-        if self.num_chunks is not None and self.num_chunks < 1:
-            raise ValueError(f"num_chunks: {self.num_chunks!r}")
+        if self.chunk_rows < 1:
+            raise ValueError(f"chunk_rows: {self.chunk_rows!r}")
         unknown = [m for m in self.models if m not in MODEL_WEIGHTS]
         if unknown:
             raise ValueError(f"unknown models: {unknown}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
 from ..functions.columns import non_null_key, nulls_last_key
+from ..plans import chunked as ck
 from .identity import blend_users
 
 CONVERTING_COLUMNS = (
@@ -27,7 +28,8 @@ CANDIDATE_COLUMNS = ("event_ts", "event_id", "user_pseudo_id", "event_type", "se
 
 
 def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                          logins: DataFrame | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
+                          logins: DataFrame | None = None, columns: tuple[str, ...] | None = None,
+                          heavy: DataFrame | None = None) -> DataFrame:
     """Order and registration events with ``blended_user_id`` (all event columns, or ``columns``).
 
     The first-registration / first-order lookups only ever read these two
@@ -35,10 +37,11 @@ def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionCon
     before the id join keeps every other event out of the shuffles.
     """
     relevant = events.filter(F.col("event_type").isin(cfg.order_event, cfg.registration_event))
-    return blend_users(relevant.select(*columns) if columns else relevant, ids, logins)
+    return blend_users(relevant.select(*columns) if columns else relevant, ids, logins, heavy)
 
 
-def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
+                             heavy: DataFrame | None = None) -> DataFrame:
     """Every order, plus each blended user's first registration.
 
     Adds ``first_registration_event_id`` and ``first_order_event_id``: the
@@ -46,7 +49,8 @@ def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig =
     ``event_ts ASC NULLS LAST`` then ``event_id``.  Computed as a grouped min
     of an ordering struct (partial aggregation, so a hot user costs one row
     per task) and joined back on a NULL-safe user key (NULL users are one
-    group, as in a window); AQE splits a hot user on the join.
+    group, as in a window); ``heavy`` users (keys of ``ck.heavy_keys``) take theirs
+    from a small broadcast.
     """
     ev = blended_events.withColumn("_uk", non_null_key(F.col("blended_user_id")))
 
@@ -56,7 +60,8 @@ def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig =
 
     firsts = ev.groupBy("_uk").agg(first_id(cfg.registration_event).alias("first_registration_event_id"),
                                    first_id(cfg.order_event).alias("first_order_event_id"))
-    joined = ev.join(firsts, "_uk", "left").drop("_uk")
+    joined = ck.join_unique(ev, firsts.withColumnRenamed("_uk", "_first_of"), F.col("_uk"), F.col("_first_of"),
+                            heavy).drop("_uk", "_first_of")
     keep = (F.col("event_type") == cfg.order_event) | (
         (F.col("event_type") == cfg.registration_event)
         & (F.col("event_id") == F.col("first_registration_event_id")))

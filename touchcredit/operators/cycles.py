@@ -1,13 +1,11 @@
 """O15 running conversions, O16 conversion cycles, O17 look-back windows.
 
-All run inside the (user, chunk) partitioning set up by the touchpoint scan:
-no further exchange, and cross-chunk corrections use tables of <= 4 rows per
-chunk (plans.chunked).
+All run inside the partitioning by user that the touchpoint scan set up (no
+further exchange) on the skew-safe plan (plans.chunked).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
@@ -34,7 +32,7 @@ MEASURES = ("count_registration_conversions", "count_first_order_conversions", "
             "first_order_revenue", "repeat_order_revenue")
 
 
-def running_conversions(tp: DataFrame, day_counts: dict | None = None) -> DataFrame:
+def running_conversions(tp: ck.Ordered, day_counts: dict | None = None) -> ck.Ordered:
     """Five running totals per blended user in start order (kept touchpoints only).
 
     ``day_counts`` (from ``weights.day_session_counts``) computes the per-day
@@ -45,7 +43,7 @@ def running_conversions(tp: DataFrame, day_counts: dict | None = None) -> DataFr
     return scanned.withColumns({c: F.col(c).cast("long") for c in RUNNING})
 
 
-def conversion_cycles(df: DataFrame) -> DataFrame:
+def conversion_cycles(df: ck.Ordered) -> ck.Ordered:
     """cycle = running total, plus one unless this session converts.
 
     The running totals never decrease, so the running MAX over them is the
@@ -56,7 +54,7 @@ def conversion_cycles(df: DataFrame) -> DataFrame:
         for name, (total, flag) in CYCLES.items()})
 
 
-def lookback_windows(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def lookback_windows(df: ck.Ordered, cfg: AttributionConfig = DEFAULT_CONFIG) -> ck.Ordered:
     """Day number, days before the cycle's last session day, window flags.
 
     The same per-cycle pass also keeps the cycle maxima of the five measures

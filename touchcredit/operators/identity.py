@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions.columns import nulls_last_key
+from ..plans import chunked as ck
 
 
 def last_logins(events: DataFrame) -> DataFrame:
@@ -15,9 +16,16 @@ def last_logins(events: DataFrame) -> DataFrame:
     Only rows carrying a login are read (the filter reaches the Parquet
     scan), so this never aggregates the whole event table.
     """
-    logged = events.filter(F.col("user_id").isNotNull())
-    return (logged.groupBy("user_pseudo_id")
-            .agg(F.max(nulls_last_key(F.col("event_ts"), F.col("user_id")))["_v1"].alias("user_id")))
+    # Per login its latest time: fixed-width buffers, so a hash aggregate that
+    # combines before the shuffle; the window then sees distinct logins, and
+    # its group limit keeps one of them per task before its own exchange.
+    latest = (events.filter(F.col("user_id").isNotNull()).groupBy("user_pseudo_id", "user_id")
+              .agg(F.max(F.col("event_ts").isNull()).alias("_no_ts"), F.max("event_ts").alias("_ts")))
+    last = Window.partitionBy("user_pseudo_id").orderBy(F.desc("_no_ts"), F.desc("_ts"), F.desc("user_id"))
+    # Among logins with a NULL time the greatest user_id is last, whatever their other times.
+    return (latest.withColumn("_ts", F.when(~F.col("_no_ts"), F.col("_ts")))
+            .withColumn("_place", F.row_number().over(last)).filter(F.col("_place") == 1)
+            .select("user_pseudo_id", "user_id"))
 
 
 def stitch_identities(events: DataFrame) -> DataFrame:
@@ -44,20 +52,52 @@ def login_map(ids: DataFrame) -> DataFrame:
             .select("user_pseudo_id", F.col("user_id").alias("_login")))
 
 
-def blend_users(df: DataFrame, ids: DataFrame, logins: DataFrame | None = None) -> DataFrame:
+def blend_users(df: DataFrame, ids: DataFrame, logins: DataFrame | None = None,
+                heavy: DataFrame | None = None) -> DataFrame:
     """``df`` + ``blended_user_id = coalesce(login, user_pseudo_id)``.
 
     Left join on ``user_pseudo_id``, in one pass over ``df``.  A NULL pseudo id
     never matches: such rows join on a hash of the row behind a mark that no
-    login has, so they spread over all partitions; a hot non-NULL pseudo id is split by AQE's skew join (the big side is the
-    left side of a left outer join).  AQE broadcasts the login map when its
-    measured size is under the broadcast threshold.  ``logins`` is
-    ``login_map(ids)`` when the caller already has it.
+    login has, so they spread over all partitions; ``heavy`` pseudo ids (keys of
+    ``ck.heavy_keys``) take their login from a small broadcast, others that are hot
+    are split by AQE's skew join.  ``logins`` is ``login_map(ids)`` when the caller
+    already has it.
     """
     lookup = logins if logins is not None else login_map(ids)
     spread = F.concat(F.lit("0"), F.xxhash64(*df.columns).cast("string"))
-    keyed = df.withColumn("_pk", F.coalesce(F.concat(F.lit("1"), F.col("user_pseudo_id")), spread))
-    lookup = lookup.select(F.concat(F.lit("1"), F.col("user_pseudo_id")).alias("_pk"), "_login")
-    return (keyed.join(lookup, "_pk", "left")
+    key = F.concat(F.lit("1"), F.col("user_pseudo_id"))
+    lookup = lookup.select(key.alias("_pk"), "_login")
+    return (ck.join_unique(df, lookup, F.coalesce(key, spread), F.col("_pk"), heavy)
             .withColumn("blended_user_id", F.coalesce(F.col("_login"), F.col("user_pseudo_id")))
             .select(*df.columns, "blended_user_id"))
+
+
+def login_keys(logins: DataFrame) -> DataFrame:
+    """The login map under the ordered stages' key."""
+    return logins.select(F.concat(F.lit("1"), F.col("user_pseudo_id")).alias(ck.KEY), "_login")
+
+
+def blend_ordered(rows: ck.Ordered, logins: DataFrame) -> DataFrame:
+    """:func:`blend_users` of rows that are dealt by pseudo id.
+
+    Plain rows stay where they are: the join reuses their exchange and only the
+    login map moves.  Cut rows take their logins from a broadcast of at most one
+    row per heavy key.
+    """
+    lookup = login_keys(logins)
+    blended = F.coalesce(F.col("_login"), F.col("user_pseudo_id"))
+
+    def joined(part: DataFrame, known: DataFrame) -> DataFrame:
+        return ck.drop_internal(part.join(known, ck.KEY, "left").withColumn("blended_user_id", blended).drop("_login"))
+
+    plain = joined(rows.plain, lookup)
+    if rows.cut is None:
+        return plain
+    known = lookup.join(F.broadcast(rows.heavy), ck.KEY, "left_semi")
+    return plain.unionByName(joined(rows.cut, F.broadcast(known)))
+
+
+def user_counts(counts: DataFrame, logins: DataFrame) -> DataFrame:
+    """Row counts per pseudo id (``_ck_key, n``) as counts per blended user."""
+    return (counts.join(login_keys(logins), ck.KEY, "left")
+            .select(F.coalesce(F.concat(F.lit("1"), F.col("_login")), F.col(ck.KEY)).alias(ck.KEY), "n"))

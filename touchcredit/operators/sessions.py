@@ -6,11 +6,10 @@ start time; ties are broken by ``session_id`` then ``utm_source`` (NULLS
 LAST), so results are deterministic.
 
 Exact copies of a start row are legal input (a copy's end is its own start,
-only the last copy of a run sees the next start).  They are first collapsed to
-one row with a multiplicity by a partial-aggregated ``groupBy``, so a run of
-copies of any length costs one row per task before the shuffle, and the
-next-start scan sees distinct rows only (the range partitioner can then split
-any user).  The scan runs on the chunked skew-safe plan (plans.chunked).
+only the last copy of a run sees the next start).  They become one row with a
+multiplicity inside the exchange that the next-start scan needs anyway; under a
+pseudo id with very many rows they are combined before it.  The scan runs on
+the skew-safe plan (plans.chunked).
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
-from ..functions.columns import device_class, event_key, event_param, micros_to_ts, non_null_key, non_null_long, null_str
+from ..functions.columns import device_class, event_key, event_param, micros_to_ts, non_null_key, null_str
 from ..plans import chunked as ck
 
 MULT = "_mult"
@@ -42,7 +41,7 @@ ATTRIBUTION_SESSION_COLUMNS = (
 SESSION_ORDER = ck.Order(("session_start_ts", "session_id", "utm_source"))
 
 
-def _session_exprs() -> dict:
+def session_exprs() -> dict:
     return {
         "user_pseudo_id": F.col("user_pseudo_id"),
         "session_start_ts": micros_to_ts(F.col("event_timestamp")),
@@ -80,37 +79,35 @@ def _session_exprs() -> dict:
 def session_start_rows(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                        columns: tuple[str, ...] = ATTRIBUTION_SESSION_COLUMNS) -> DataFrame:
     """``session_start`` rows projected to ``columns`` (filter before any window)."""
-    exprs = _session_exprs()
+    exprs = session_exprs()
     return export.filter(F.col("event_name") == cfg.session_event).select(*[exprs[c].alias(c) for c in columns])
 
 
-def compress(rows: DataFrame) -> DataFrame:
-    """Distinct rows with their multiplicity ``_mult`` (map-side partial aggregation)."""
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(MULT))
+def visitor_counts(rows: DataFrame) -> DataFrame:
+    """Rows per pseudo id, under the ordered stage's key."""
+    return ck.key_counts(rows, non_null_key(F.col("user_pseudo_id")))
 
 
-def with_session_end(compressed: DataFrame, num_chunks: int | None = None) -> DataFrame:
-    """Add ``session_end_ts`` to compressed session rows.
+def with_session_end(rows: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
+                     heavy: DataFrame | None = None) -> ck.Ordered:
+    """Distinct start rows with ``session_end_ts`` and the multiplicity ``_mult``, dealt by pseudo id.
+
+    ``heavy``: pseudo ids with more than ``cfg.chunk_rows`` rows (``ck.heavy_keys`` of
+    :func:`visitor_counts`).
 
     A distinct row with multiplicity m becomes (end = own start, m - 1) and
     (end = next distinct row's start, 1): the LEAD of m identical rows.
     """
-    cols = [c for c in compressed.columns if c != MULT]
-    tagged = ck.chunk(compressed, non_null_key(F.col("user_pseudo_id")), SESSION_ORDER, cols, num_chunks)
-    scanned = ck.ordered_scan(tagged, SESSION_ORDER, lead={"_next_start": "session_start_ts"})
+    cols = rows.columns
+    distinct = ck.arrange(rows.withColumn(MULT, F.lit(1).cast("long")), non_null_key(F.col("user_pseudo_id")),
+                          SESSION_ORDER, cols, MULT, heavy, cfg.chunk_rows)
+    scanned = ck.ordered_scan(distinct, SESSION_ORDER, lead={"_next_start": "session_start_ts"})
     parts = F.array(
         F.struct(F.col("session_start_ts").alias("end"), (F.col(MULT) - 1).alias("m")),
         F.struct(F.col("_next_start").alias("end"), F.lit(1).cast("long").alias("m")))
-    out = (ck.drop_internal(scanned)
-           .select(*cols, F.explode(parts).alias("_p"))
-           .filter(F.col("_p.m") > 0)
-           .select(*cols, F.col("_p.end").alias("session_end_ts"), F.col("_p.m").alias(MULT)))
-    return out
-
-
-def attribution_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Compressed sessions with ends: the attribution's session input."""
-    return with_session_end(compress(session_start_rows(export, cfg)), cfg.num_chunks)
+    return scanned.each(lambda d: d.select(*ck.internal(d), *cols, F.explode(parts).alias("_p"))
+                        .filter(F.col("_p.m") > 0)
+                        .select(*ck.internal(d), *cols, F.col("_p.end").alias("session_end_ts"), F.col("_p.m").alias(MULT)))
 
 
 def session_event_count(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -126,11 +123,15 @@ def session_event_count(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONF
     return rows.groupBy("session_id").agg(F.count_distinct("_k").alias("events"))
 
 
-def attach_event_count(df: DataFrame, counts: DataFrame) -> DataFrame:
-    """``df`` + ``events`` by NULL-safe match on ``session_id`` (hot ids: AQE skew join)."""
-    c = counts.select(non_null_long(F.col("session_id")).alias("_sk"), "events")
-    return (df.withColumn("_sk", non_null_long(F.col("session_id")))
-            .join(c, "_sk", "left").drop("_sk"))
+def session_counts(rows: DataFrame) -> DataFrame:
+    """Rows per session id, for joins by it."""
+    return ck.key_counts(rows, non_null_key(F.col("session_id")))
+
+
+def attach_event_count(df: DataFrame, counts: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """``df`` + ``events`` by NULL-safe match on ``session_id``; ``heavy`` ids (``session_counts``) stay spread."""
+    return ck.join_unique(df, counts.withColumnRenamed("session_id", "_sid"), non_null_key(F.col("session_id")),
+                          non_null_key(F.col("_sid")), heavy).drop("_sid")
 
 
 _BLOCK = 1 << 16
@@ -139,18 +140,14 @@ _BLOCK = 1 << 16
 def expand(df: DataFrame, mult: str = MULT) -> DataFrame:
     """One output row per unit of ``mult`` (drops the column).
 
-    Rows with at most 65,536 copies expand in place; larger runs are cut
-    into blocks of that size which are hashed over all tasks before
-    expanding, so no task generates more than one block per row it holds.
+    A row's copies come in blocks of at most 65,536, one generated row each; the
+    second generator turns a block into its rows.  One pass over the input.
     """
     cols = [c for c in df.columns if c != mult]
-    small = df.filter(F.col(mult) <= _BLOCK).select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col(mult))).alias("_i"))
-    big = (df.filter(F.col(mult) > _BLOCK)
-           .select(*cols, F.col(mult), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(mult) - 1) / _BLOCK).cast("long"))).alias("_b"))
-           .repartition(*[F.col(c) for c in cols], F.col("_b"))
-           .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(_BLOCK).cast("long"), F.col(mult) - F.col("_b") * _BLOCK)))
-                   .alias("_i")))
-    return small.unionByName(big).drop("_i")
+    last = F.floor((F.col(mult) - 1) / _BLOCK).cast("long")
+    blocks = df.select(*cols, F.col(mult), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_b"))
+    size = F.least(F.lit(_BLOCK).cast("long"), F.col(mult) - F.col("_b") * _BLOCK)
+    return (blocks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_i"))).drop("_i")
 
 
 def derive_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -161,6 +158,8 @@ def derive_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG)
     session id.
     """
     base_cols = tuple(c for c in SESSION_COLUMNS if c not in ("session_end_ts", "events"))
-    ended = with_session_end(compress(session_start_rows(export, cfg, base_cols)), cfg.num_chunks)
-    counted = attach_event_count(ended, session_event_count(export, cfg))
+    rows = session_start_rows(export, cfg, base_cols)
+    heavy = ck.heavy_by_kind({"visitor": visitor_counts(rows), "session": session_counts(rows)}, cfg.chunk_rows)
+    ended = with_session_end(rows, cfg, heavy["visitor"]).rows()
+    counted = attach_event_count(ended, session_event_count(export, cfg), heavy["session"])
     return expand(counted).select(*SESSION_COLUMNS)

@@ -1,6 +1,6 @@
 """O13 channel flags and O14 touchpoint labelling.
 
-Sessions are joined to converting sessions, collapsed over the 27 labelling
+Sessions are joined to converting sessions, collapsed over the labelling
 columns, then scanned per blended user in start order for the next
 conversion time and the session sequence; sessions without a conversion at
 or after their start are dropped (open cycles).
@@ -8,18 +8,17 @@ or after their start are dropped (open cycles).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
 from ..functions.columns import is_non_direct, is_paid, non_null_key, null_str
 from ..plans import chunked as ck
-from .sessions import MULT
+from .sessions import MULT, attach_event_count, session_counts
 
 # Session-side labelling columns.  The reference groups the joined rows by 27
 # columns; the converting-session columns among them depend on session_id
-# alone, so grouping the session side by these 13 before the join is the same
-# grouping, done before the join so the join's big side is already collapsed.
+# alone, so grouping the session side by these 13 is the same grouping.
 SESSION_KEYS = (
     "blended_user_id", "session_id", "session_start_ts", "session_end_ts", "utm_source", "utm_medium",
     "utm_campaign", "referrer_host", "channel", "city", "continent", "country", "region",
@@ -49,30 +48,41 @@ def channel_flags(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                            "is_paid_channel": is_paid(F.col(medium), cfg)})
 
 
-def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig) -> DataFrame:
+def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig, heavy: DataFrame | None) -> DataFrame:
+    """Sessions with the conversions of their session id (of the user's session id, if so configured)."""
     keys = ["session_id"] if cfg.session_key == "session" else ["blended_user_id", "session_id"]
-    # NULL ids never match.  They get a hash of their row as key, flagged so
-    # that it meets no conversion, instead of all hashing to one task.
-    absent = F.lit(False)
-    for k in keys:
-        absent = absent | F.col(k).isNull()
-    c = conv.filter(~absent).select(F.lit(False).alias("_absent"), F.col("session_id").alias("_sid"),
-                                    *[F.col(k).alias("_user") for k in keys[:-1]],
-                                    *[F.col(x).alias(f"c_{x}") for x in _C_COLS])
-    s = s.withColumns({"_absent": absent, "_sid": F.when(absent, F.xxhash64(*SESSION_KEYS)).otherwise(F.col("session_id")),
-                       **{"_user": F.coalesce(F.col(k), F.lit("")) for k in keys[:-1]}})
-    on = ["_absent", "_sid", "_user"][:1 + len(keys)]
-    return s.join(c, on, "left").drop(*on)
-
-
-def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """O14 on the chunked plan; keeps the ``_ck_`` columns for later passes.
+    known = conv.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(x).alias(f"c_{x}") for x in _C_COLS])
+
+    def key(prefix: str) -> Column:
+        """Text of the key; the id is a number, so the parts cannot run into each other.  NULL if a part is."""
+        return F.concat(F.lit("1"), F.col(f"{prefix}session_id").cast("string"),
+                        *[F.concat(F.lit(" "), F.col(f"{prefix}{k}")) for k in keys[:-1]])
+
+    # NULL ids never match.  They get a hash of their row as key, which no
+    # conversion has, instead of all hashing to one task.
+    nowhere = F.concat(F.lit("0"), F.xxhash64(*SESSION_KEYS).cast("string"))
+    names = [f"_{k}" for k in keys]
+    known = known.filter(key("_").isNotNull())
+    return ck.join_unique(s, known, F.coalesce(key(""), nowhere), key("_"), heavy).drop(*names)
+
+
+def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
+                              heavy: dict[str, DataFrame | None] | None = None) -> ck.Ordered:
+    """O14 on the skew-safe plan; keeps the ``_ck_`` columns for later passes.
 
     ``sessions``: blended sessions with ends and multiplicity ``_mult``
-    (sessions.attribution_sessions + identity.blend_users).
+    (sessions.with_session_end + identity.blend_ordered).  ``heavy``: the ``user`` and ``session``
+    keys with more than ``cfg.chunk_rows`` rows; counted from ``sessions`` if not given.
     """
-    s = sessions.groupBy(*SESSION_KEYS).agg(F.sum(MULT).alias(MULT))
-    j = _join_conversions(s, conv, cfg)
+    key = non_null_key(F.col("blended_user_id"))
+    if heavy is None:
+        heavy = ck.heavy_by_kind({"user": ck.key_counts(sessions, key), "session": session_counts(sessions)},
+                                 cfg.chunk_rows)
+    by_session = heavy["session"] if cfg.session_key == "session" else None
+    # Rows are collapsed behind the join, inside the exchange by user: what it
+    # adds depends on the session alone, so the groups are those of SESSION_KEYS.
+    j = ck.arrange(_join_conversions(sessions.select(*SESSION_KEYS, MULT), conv, cfg, by_session), key,
+                   TOUCH_ORDER, list(SESSION_KEYS), MULT, heavy["user"], cfg.chunk_rows)
 
     def times_mult(x):
         return F.coalesce(F.col(MULT) * F.col(f"c_{x}"), F.lit(0).cast("long"))
@@ -80,8 +90,8 @@ def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: Attribu
     def event_flag(x):
         return F.when(F.col(f"c_{x}") > 0, F.lit(1)).otherwise(F.lit(0))
 
-    labelled = j.select(
-        *SESSION_KEYS,
+    labelled = j.each(lambda d: d.select(
+        *ck.internal(d), *SESSION_KEYS,
         F.col("c_converted_ts").alias("converted_ts"),
         F.col("c_min_converted_ts").alias("min_converted_ts"),
         times_mult("count_conversions").alias("count_conversions"),
@@ -100,22 +110,19 @@ def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: Attribu
         is_paid(F.col("utm_medium"), cfg).alias("is_paid_channel"),
         F.col("c_first_order_revenue").alias("first_order_revenue"),
         F.col("c_repeat_order_revenue").alias("repeat_order_revenue"),
-    )
-    tagged = ck.chunk(labelled, non_null_key(F.col("blended_user_id")), TOUCH_ORDER, list(SESSION_KEYS),
-                      cfg.num_chunks)
-    scanned = ck.ordered_scan(tagged, TOUCH_ORDER, row_number="session_seq",
+    ))
+    scanned = ck.ordered_scan(labelled, TOUCH_ORDER, row_number="session_seq",
                               next_non_null={"conversion_cycle_conversion_ts": "converted_ts"})
     return scanned.filter(F.col("conversion_cycle_conversion_ts") >= F.col("session_start_ts"))
 
 
 def label_touchpoints(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                      event_counts: DataFrame | None = None) -> DataFrame:
+                      event_counts: DataFrame | None = None,
+                      heavy: dict[str, DataFrame | None] | None = None) -> DataFrame:
     """O14 output: 34 columns (``events`` NULL unless ``event_counts`` is given)."""
-    from .sessions import attach_event_count
-
-    tp = ck.drop_internal(label_touchpoints_chunked(sessions, conv, cfg))
+    tp = label_touchpoints_chunked(sessions, conv, cfg, heavy).rows()
     if event_counts is not None:
-        tp = attach_event_count(tp, event_counts)
+        tp = attach_event_count(tp, event_counts, (heavy or {}).get("session"))
     else:
         tp = tp.withColumn("events", F.lit(None).cast("long"))
     return tp.select(*TOUCHPOINT_COLUMNS)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
@@ -34,7 +33,7 @@ def day_session_counts(cfg: AttributionConfig = DEFAULT_CONFIG) -> dict:
             "aggs": {"_day_sessions": (F.count(F.when(_counted(cfg), F.col("session_id"))), "sum")}}
 
 
-def time_decay_scores(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def time_decay_scores(df: ck.Ordered, cfg: AttributionConfig = DEFAULT_CONFIG) -> ck.Ordered:
     """Score, weighting, sessions per user-day, split weighting, apportioned score.
 
     ``cfg.time_decay_direction == "reference"`` scores 2^(days-1)/divisor,
@@ -63,7 +62,7 @@ def time_decay_scores(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) ->
     return out.drop("_day_sessions")
 
 
-def cycle_stats(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def cycle_stats(df: ck.Ordered, cfg: AttributionConfig = DEFAULT_CONFIG) -> ck.Ordered:
     """Per-cycle first/last qualifying sessions, counts and score sum, one pass."""
     order = nulls_last_key(F.col("session_start_ts"), F.col("session_id"))
     lb = F.col("is_within_attribution_lookback_window") & _counted(cfg)
@@ -88,7 +87,7 @@ def _is(stat: str) -> F.Column:
     return F.coalesce(F.col(stat)["_v1"] == F.col("session_id"), F.lit(False))
 
 
-def cycle_channel_flags(stats: DataFrame) -> DataFrame:
+def cycle_channel_flags(stats: ck.Ordered) -> ck.Ordered:
     """first/last/any non-direct and paid session in the cycle's look-back."""
     return stats.withColumns({
         "is_first_non_direct_channel_in_conversion_cycle": _is("_first_nd"),
@@ -100,7 +99,7 @@ def cycle_channel_flags(stats: DataFrame) -> DataFrame:
     })
 
 
-def model_weights(flags: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:
+def model_weights(flags: ck.Ordered, cfg: AttributionConfig = DEFAULT_CONFIG) -> ck.Ordered:
     """The eight attribution weights per session.
 
     Click models give 1 to one session of the cycle's look-back (first or

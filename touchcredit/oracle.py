@@ -322,11 +322,15 @@ def oracle_sql() -> dict[str, str]:
             {", ".join(f"CAST(NULL AS {'INTEGER' if f.name == 'time_zone_offset_seconds' else 'VARCHAR'}) AS {f.name}"
                        for f in DEVICE.fields if f.name not in ("category", "web_info"))},
             CAST(NULL AS VARCHAR) AS browser_version, continent, country, region, city FROM o_export"""),
+        "export_by_pattern": _with(d, """SELECT event_timestamp, event_date, event_name, user_pseudo_id, user_id,
+            ts_source AS traffic_source_source, p_ga_session_id AS ga_session_id FROM o_export
+            WHERE CAST(event_date AS INTEGER) % 2 = 0"""),
         "event_params": _with(d, """SELECT event_timestamp, user_pseudo_id, event_name,
             p_ga_session_id AS ga_session_id, p_ga_session_number AS ga_session_number,
             p_page_referrer AS page_referrer, p_page_location AS page_location, p_page_title AS page_title,
             CAST(NULL AS VARCHAR) AS missing_param FROM o_export"""),
         "events_flat": _with(d, "SELECT * REPLACE (ROUND(order_value, 6) AS order_value) FROM o_events"),
+        "events_flat_variant": _with(d, "SELECT * REPLACE (ROUND(order_value, 6) AS order_value) FROM o_events"),
         "id_stitching": _with(d, "SELECT * FROM o_ids"),
         "sessions": _with(d, f"SELECT {SESSION_COLUMNS} FROM o_sess"),
         "session_event_count": _with(d, "SELECT session_id, events FROM o_sec"),

@@ -8,27 +8,27 @@ user (NULL ids, bots) holding a third of all rows would become one task over
 a third of the data.  This module runs the same computations with bounded
 work per task:
 
-1. ``chunk``: range-partition the rows by ``(key, order...)`` into P chunks
-   (P <= spark.sql.shuffle.partitions; AQE merges small adjacent ranges).
-   The sampled range bounds cut by the full order, so a single hot key is
-   spread over many consecutive chunks.  ``spark_partition_id()`` tags each
-   row with its chunk.
-2. Windows are partitioned by ``(key, chunk)``: every window group is at most
-   one chunk.  One hash exchange on ``(key, chunk)`` is planned; all later
-   windows and group statistics reuse it (no further exchange).
-3. Range bounds come from a sample, and Spark would plan the range exchange
-   again (with a new sample) for every branch that reads the tagged rows, so
-   the tagged rows are checkpointed (reliable, in the session's checkpoint
-   folder): from then on the tags are data, and lineage is cut there.
-   Each later round persists its rows (keeping the hash partitioning, so no
-   exchange) and checkpoints only its small correction table.
-4. Only keys that cross a chunk boundary need a correction.  Such a key is
-   the greatest of one chunk and the least of the next, so there are at most
-   P-1 of them; they are found once per stage from every chunk's least and
-   greatest key (2P rows) and flagged on their rows.  Each correction table has
-   at most 2-4 rows per chunk and is broadcast with that bound.
-
-Cached rounds belong to a :class:`Rounds`; a pipeline opens its own
+1. ``arrange`` counts rows per key (partial counts, one column read).  Keys with
+   more than ``chunk_rows`` rows are heavy: there are at most rows / chunk_rows
+   of them, the proven bound of every broadcast here.
+2. All other rows are ``plain``: one hash exchange on the key, and every later
+   window, grouping and join on the key reuses it.  Nothing of them is pinned
+   or cached; they are ordinary lazy plans.
+3. Rows of heavy keys are ``cut``: collapsed map-side, pinned by a reliable
+   checkpoint, and dealt to chunks along their order.  The chunk is a function of
+   the row: a table of split points (every ``SAMPLE``-th row, in order, of a
+   sample by row hash) is searched by halving.  Windows run per (key, chunk),
+   so no window group is much over ``chunk_rows`` rows, and one exchange on (key,
+   chunk) serves all of them.
+4. Results of cut rows that cross a chunk boundary are corrected: carries for
+   scans, merged partials for per-cycle and per-day statistics, from tables of
+   2-4 rows per chunk, broadcast with that bound.  Each such round caches its
+   rows and checkpoints only its small correction table; everything after the
+   pin is a function of checkpointed data, so a lost block is recomputed to the
+   same values.
+
+:class:`Ordered` holds the two sets of rows; a table without heavy keys never has
+the second.  Cached rounds belong to a :class:`Rounds`; a pipeline opens its own
 (:func:`owned_by`), so pipelines in one session never drop each other's rows.
 
 All columns named here are internal and start with ``_ck_``.
@@ -39,7 +39,7 @@ from __future__ import annotations
 import os
 import sys
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass, field
@@ -49,14 +49,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..config import DEFAULT_CHUNK_ROWS
+from ..functions.columns import nulls_last_key
 from ..session import ensure_checkpoint_dir
 
 KEY = "_ck_key"
 CHUNK = "_ck_chunk"
 TB = "_ck_tb"
-EDGE = "_ck_edge"  # the row's key spans more than one chunk
-RN = "_ck_rn"      # row number inside (key, chunk)
-CNT = "_ck_cnt"    # rows inside (key, chunk)
+RN = "_ck_rn"      # row number inside (key, chunk), cut rows only
+CNT = "_ck_cnt"    # rows inside (key, chunk), cut rows only
+_AT = "_ck_at"
+_KIND = "_ck_kind"
+_JOIN = "_ck_join"
+
+SAMPLE = 32  # sampled rows per chunk
 
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
@@ -75,34 +81,132 @@ class Order:
         return [F.col(c).desc_nulls_first() for c in self.columns] + [F.col(TB).desc_nulls_first()]
 
 
-def chunk(df: DataFrame, key: Column, order: Order, tiebreak: list[str], num_chunks: int | None = None) -> DataFrame:
-    """Add ``_ck_key``, ``_ck_tb`` and ``_ck_chunk`` (range-partitioned by key + order).
+@dataclass(frozen=True)
+class Ordered:
+    """Rows of an ordered stage: those of ordinary keys, and those of heavy keys, cut into chunks."""
+
+    plain: DataFrame
+    cut: DataFrame | None = None
+    heavy: DataFrame | None = None  # the keys of ``cut``
+
+    def each(self, step: Callable[[DataFrame], DataFrame]) -> "Ordered":
+        """The same row-wise step on both."""
+        return Ordered(step(self.plain), None if self.cut is None else step(self.cut), self.heavy)
+
+    @property
+    def columns(self) -> list[str]:
+        return self.plain.columns
+
+    def withColumn(self, name: str, column: Column) -> "Ordered":
+        return self.each(lambda d: d.withColumn(name, column))
+
+    def withColumns(self, columns: dict[str, Column]) -> "Ordered":
+        return self.each(lambda d: d.withColumns(columns))
+
+    def filter(self, condition: Column) -> "Ordered":
+        return self.each(lambda d: d.filter(condition))
+
+    def drop(self, *names: str) -> "Ordered":
+        return self.each(lambda d: d.drop(*names))
+
+    def rows(self) -> DataFrame:
+        """All rows, without internal columns."""
+        plain = drop_internal(self.plain)
+        return plain if self.cut is None else plain.unionByName(drop_internal(self.cut))
+
+
+def heavy_by_kind(counts: dict[str, DataFrame], limit: int) -> dict[str, DataFrame | None]:
+    """Per kind the keys (``_ck_key``) whose ``n`` add up to more than ``limit``; None if there are none.
 
-    The tagged rows are checkpointed, so the tags (which depend on the range
-    partitioner's sample) are data from here on: every branch and every
-    recomputation sees the same chunks.
+    One job finds and pins them all: at most rows / limit keys a kind.
     """
-    tagged = df.withColumn(KEY, key).withColumn(TB, F.xxhash64(*[F.col(c) for c in tiebreak]))
-    sort = [F.col(KEY).asc(), *order.asc()]
-    # Without an explicit count, AQE may merge adjacent range partitions up to
-    # the advisory partition size: chunks stay contiguous ranges, sized by
-    # bytes (small inputs get few chunks, large ones ~advisory-size chunks),
-    # and their number never exceeds spark.sql.shuffle.partitions.
-    ranged = tagged.repartitionByRange(num_chunks, *sort) if num_chunks else tagged.repartitionByRange(*sort)
-    ranged = ranged.withColumn(CHUNK, F.spark_partition_id())
-    pinned = checkpoint(ranged)
-    # Keys found in more than one chunk.  Chunks are consecutive ranges of
-    # (key, order), so such a key ends one chunk and begins the next: one row
-    # per chunk is shuffled, and at most P-1 keys are broadcast.
-    # Evaluated inside the first round's job (pinned rows are fixed data).
-    ends = pinned.groupBy(CHUNK).agg(F.min(KEY).alias("_lo"), F.max(KEY).alias("_hi"))
-    spanning = (ends.select(F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(KEY))
-                .groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > 1)
-                .select(KEY, F.lit(True).alias(EDGE)))
-    _retire()
-    return (pinned.join(F.broadcast(spanning), KEY, "left")
-            .withColumn(EDGE, F.coalesce(F.col(EDGE), F.lit(False))))
+    parts = [c.groupBy(KEY).agg(F.sum("n").alias("n")).filter(F.col("n") > limit).select(F.lit(k).alias(_KIND), KEY)
+             for k, c in counts.items()]
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionAll(p)
+    table = checkpoint(table)
+    present = {r[0] for r in table.select(_KIND).distinct().collect()}  # at most one row a kind
+    return {k: table.filter(F.col(_KIND) == k).select(KEY) if k in present else None for k in counts}
+
+
+def heavy_keys(counts: DataFrame, limit: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
+    """:func:`heavy_by_kind` of one kind."""
+    return heavy_by_kind({"": counts}, limit)[""]
+
+
+def key_counts(rows: DataFrame, key: Column) -> DataFrame:
+    """``_ck_key, n`` of ``rows``: pre-aggregated where the rows are read."""
+    return rows.groupBy(key.alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column, heavy: DataFrame | None) -> DataFrame:
+    """``big`` LEFT JOIN ``small``, which has one row per key.
+
+    Keys are strings (as in ``heavy``); a NULL key matches nothing.  Rows of ``big`` under a heavy key
+    never share a task because of it: their matches are a broadcast of at most one row per heavy key.
+    """
+    small = small.withColumn(_JOIN, small_key)
+    big = big.withColumn(KEY, key)
+
+    def joined(rows: DataFrame, matches: DataFrame) -> DataFrame:
+        return rows.join(matches, F.col(KEY) == F.col(_JOIN), "left").drop(KEY, _JOIN)
+
+    if heavy is None:
+        return joined(big, small)
+    known = F.broadcast(heavy)
+    matches = small.join(F.broadcast(heavy.withColumnRenamed(KEY, _JOIN)), _JOIN, "left_semi")
+    return joined(big.join(known, KEY, "left_anti"), small).unionByName(
+        joined(big.join(known, KEY, "left_semi"), F.broadcast(matches)))
+
+
+def arrange(rows: DataFrame, key: Column, order: Order, tiebreak: list[str], mult: str | None = None,
+            heavy: DataFrame | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Ordered:
+    """``rows`` with ``_ck_key`` and ``_ck_tb``, dealt by key; those of ``heavy`` keys cut into chunks.
+
+    ``mult`` names a multiplicity: rows equal in all other columns become one,
+    with the sum.  For plain rows that grouping reuses the key's exchange; copies
+    under a heavy key are combined before they are shuffled.
+    """
+    tagged = rows.withColumn(KEY, key)
+
+    def collapsed(df: DataFrame) -> DataFrame:
+        one = df.groupBy(*[c for c in df.columns if c != mult]).agg(F.sum(mult).alias(mult)) if mult else df
+        return one.withColumn(TB, F.xxhash64(*[F.col(c) for c in tiebreak]))
+
+    if heavy is None:
+        return Ordered(collapsed(tagged.repartition(KEY)))
+    plain = tagged.join(F.broadcast(heavy), KEY, "left_anti")
+    cut = checkpoint(collapsed(tagged.join(F.broadcast(heavy), KEY, "left_semi")))
+    return Ordered(collapsed(plain.repartition(KEY)), _in_chunks(cut, order, chunk_rows), heavy)
+
+
+def _in_chunks(cut: DataFrame, order: Order, chunk_rows: int) -> DataFrame:
+    """Pinned rows with ``_ck_chunk``: how many of the key's split points are at or before the row."""
+    at = nulls_last_key(*[F.col(c) for c in (*order.columns, TB)])
+    step = max(1, chunk_rows // SAMPLE)
+    per_chunk = max(1, chunk_rows // step)
+    sample = cut.select(KEY, TB, at.alias(_AT)).filter(F.pmod(F.xxhash64(KEY, TB), F.lit(step)) == 0)
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy(_AT))
+    points = checkpoint(sample.select(KEY, _AT, place.alias(RN)).filter(F.col(RN) % per_chunk == 0)
+                        .groupBy(KEY).agg(F.sort_array(F.collect_list(_AT)).alias("_ck_points")))
+    return (cut.join(F.broadcast(points), KEY, "left")
+            .withColumn(CHUNK, F.coalesce(_points_passed(F.col("_ck_points"), at), F.lit(0)))
+            .drop("_ck_points"))
+
+
+def _points_passed(points: Column, at: Column) -> Column:
+    """Number of the ascending ``points`` that are <= ``at``, by halving."""
+    size = F.size(points)
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        passed = F.get(points, middle) <= at
+        return F.when(s["lo"] < s["hi"], F.struct(F.when(passed, middle + 1).otherwise(s["lo"]).alias("lo"),
+                                                  F.when(passed, s["hi"]).otherwise(middle).alias("hi"))).otherwise(s)
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(size + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve, lambda s: s["lo"])
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -153,26 +257,16 @@ def owned_by(rounds: Rounds) -> Iterator[Rounds]:
 
 
 def _stage(df: DataFrame) -> DataFrame:
-    """Persist a round's rows: read by the main chain and by its correction table.
+    """Persist a round's cut rows: read by the main chain and by its correction table.
 
     The cached rows keep their (key, chunk) hash partitioning and sort, so
-    later rounds add no exchange.  Everything after :func:`chunk` is a
-    deterministic function of checkpointed data, so a lost block is
-    recomputed to the same values.
+    later rounds add no exchange.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     _rounds().staged.append(kept)
     return kept
 
 
-def share(df: DataFrame) -> DataFrame:
-    """Persist a small table read by several branches of the next job.
-
-    Released with the next round's cached rows (after the job that reads it).
-    """
-    return _stage(df)
-
-
 def _retire(keep: DataFrame | None = None) -> None:
     """Drop cached rows of earlier rounds once a later round is materialised."""
     _rounds().retire(keep)
@@ -194,16 +288,18 @@ def release() -> None:
     _retire()
 
 
-def _w(order: Order) -> Window:
-    return Window.partitionBy(KEY, CHUNK).orderBy(*order.asc())
+def _frames(keys: list[str], order: Order) -> tuple[Window, Window, Window, Window]:
+    w = Window.partitionBy(*keys).orderBy(*order.asc())
+    back = Window.partitionBy(*keys).orderBy(*order.desc()).rowsBetween(_UNB, Window.currentRow)
+    return w, w.rowsBetween(_UNB, Window.currentRow), w.rowsBetween(_UNB, _UNF), back
 
 
-def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
+def ordered_scan(df: Ordered, order: Order, *, row_number: str | None = None,
                  running_sums: dict[str, str] | None = None, lead: dict[str, str] | None = None,
                  lag: dict[str, str] | None = None, next_non_null: dict[str, str] | None = None,
                  prev_non_null: dict[str, str] | None = None,
-                 group: Column | None = None, group_aggs: dict[str, tuple[Column, str]] | None = None) -> DataFrame:
-    """Per-key scans over rows already tagged by :func:`chunk`.
+                 group: Column | None = None, group_aggs: dict[str, tuple[Column, str]] | None = None) -> Ordered:
+    """Per-key scans over rows from :func:`arrange`.
 
     ``running_sums``/``lead``/``lag``/``next_non_null`` map output column ->
     input column.  ``next_non_null`` is the first non-NULL value at or after
@@ -212,18 +308,37 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
     ``prev_non_null`` is the last non-NULL value at or before the row.
     ``group``/``group_aggs`` add :func:`group_stats` in the same round (the
     statistics must not depend on the scan outputs).
-    Also sets ``_ck_rn``/``_ck_cnt``.  The round ends with a checkpoint.
     """
-    running_sums = running_sums or {}
-    lead = lead or {}
-    lag = lag or {}
-    next_non_null = next_non_null or {}
-    prev_non_null = prev_non_null or {}
-    w = _w(order)
-    wrun = w.rowsBetween(_UNB, Window.currentRow)
-    wall = w.rowsBetween(_UNB, _UNF)
-    wrev = Window.partitionBy(KEY, CHUNK).orderBy(*order.desc()).rowsBetween(_UNB, Window.currentRow)
+    scans = {"running_sums": running_sums or {}, "lead": lead or {}, "lag": lag or {},
+             "next_non_null": next_non_null or {}, "prev_non_null": prev_non_null or {}}
+    cut = None if df.cut is None else _cut_scan(df.cut, order, row_number, group=group, group_aggs=group_aggs, **scans)
+    return Ordered(_plain_scan(df.plain, order, row_number, group, group_aggs, **scans), cut, df.heavy)
+
+
+def _plain_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag, next_non_null, prev_non_null):
+    w, run, _, back = _frames([KEY], order)
+    ahead = {out: F.last(c, ignorenulls=True).over(back) for out, c in next_non_null.items()}
+    cols: dict[str, Column] = {}
+    if row_number:
+        cols[row_number] = F.row_number().over(w).cast("long")
+    cols.update({out: F.sum(c).over(run) for out, c in running_sums.items()})
+    cols.update({out: F.lead(c).over(w) for out, c in lead.items()})
+    cols.update({out: F.lag(c).over(w) for out, c in lag.items()})
+    cols.update({out: F.last(c, ignorenulls=True).over(run) for out, c in prev_non_null.items()})
+    if ahead:  # backwards first, so that the forward order is left for what follows
+        df = df.withColumns(ahead)
+    out = df.withColumns(cols)
+    return out if not group_aggs else _plain_stats(out, group, group_aggs)
 
+
+def _plain_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+    w = Window.partitionBy(KEY, _G)
+    return df.withColumn(_G, group).withColumns({name: agg.over(w) for name, (agg, _) in aggs.items()}).drop(_G)
+
+
+def _cut_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag, next_non_null, prev_non_null):
+    """The same over (key, chunk), and what must be carried from chunk to chunk."""
+    w, wrun, wall, wrev = _frames([KEY, CHUNK], order)
     cols: dict[str, Column] = {RN: F.row_number().over(w), CNT: F.count(F.lit(1)).over(wall)}
     for out, c in running_sums.items():
         cols[f"_ck_ls_{out}"] = F.sum(c).over(wrun)
@@ -246,10 +361,10 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         cols.update({name: agg.over(wg) for name, (agg, _) in group_aggs.items()})
     local = _stage(df.withColumns(cols))
 
-    # Carry across chunks, for keys that cross chunk boundaries only.
+    # Carry across the chunks of a key.
     summary_cols = [KEY, CHUNK, CNT] + [c for c in cols if c.startswith(("_ck_lt_", "_ck_lf_", "_ck_lz_", "_ck_lq_",
                                                                            "_ck_le_"))]
-    summary = local.filter((F.col(RN) == 1) & F.col(EDGE)).select(*summary_cols)
+    summary = local.filter(F.col(RN) == 1).select(*summary_cols)
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
     before = wc.rowsBetween(_UNB, -1)
     after = Window.partitionBy(KEY).orderBy(F.col(CHUNK).desc()).rowsBetween(_UNB, -1)
@@ -264,13 +379,13 @@ def ordered_scan(df: DataFrame, order: Order, *, row_number: str | None = None,
         carry_cols.append(F.last(f"_ck_lq_{out}", ignorenulls=True).over(after).alias(f"_ck_c_{out}"))
     for out in prev_non_null:
         carry_cols.append(F.last(f"_ck_le_{out}", ignorenulls=True).over(before).alias(f"_ck_c_{out}"))
-    carry_table = summary.select(*carry_cols)  # <= 2 rows per chunk
+    carry_table = summary.select(*carry_cols)  # one row per chunk
     if group_aggs:
         # One job writes both correction tables (tagged, then split again).
-        both = _correction(carry_table.withColumn("_ck_kind", F.lit(0)).unionByName(
-            _group_cross(local, group_aggs).withColumn("_ck_kind", F.lit(1)), allowMissingColumns=True), local)
-        carry = both.filter(F.col("_ck_kind") == 0).select(*carry_table.columns)
-        cross = both.filter(F.col("_ck_kind") == 1).select(
+        both = _correction(carry_table.withColumn(_KIND, F.lit(0)).unionByName(
+            _group_cross(local, group_aggs).withColumn(_KIND, F.lit(1)), allowMissingColumns=True), local)
+        carry = both.filter(F.col(_KIND) == 0).select(*carry_table.columns)
+        cross = both.filter(F.col(_KIND) == 1).select(
             KEY, _G, *[f"_ck_x_{name}" for name in group_aggs], "_ck_x")
     else:
         carry = _correction(carry_table, local)
@@ -306,7 +421,7 @@ _G = "_ck_g"
 
 def _group_cross(local: DataFrame, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
     """Merged statistics of groups that span chunks (<= 4 rows per chunk)."""
-    edge = (local.filter(((F.col(RN) == 1) | (F.col(RN) == F.col(CNT))) & F.col(EDGE))
+    edge = (local.filter((F.col(RN) == 1) | (F.col(RN) == F.col(CNT)))
             .select(KEY, CHUNK, _G, *aggs.keys())
             .dropDuplicates([KEY, CHUNK, _G]))
     return (edge.groupBy(KEY, _G)
@@ -320,23 +435,29 @@ def _group_apply(joined: DataFrame, aggs: dict[str, tuple[Column, str]]) -> Data
     return fixed.drop(_G, "_ck_x", *[f"_ck_x_{name}" for name in aggs])
 
 
-def group_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+def group_stats(df: Ordered, group: Column, aggs: dict[str, tuple[Column, str]]) -> Ordered:
     """Whole-group aggregates per (key, group), attached to every row.
 
     ``group`` must be non-null and non-decreasing along the scan order within
     a key (a cycle number, a day), so every group is a contiguous run of rows.
     ``aggs`` maps output column -> (aggregate Column, combine) where combine
     in {"sum", "min", "max"} merges partial results across chunks (use "sum"
-    for counts).  Needs ``_ck_rn``/``_ck_cnt`` from :func:`ordered_scan` on
-    the same rows.  Windows run per (key, chunk, group), inside the existing
-    (key, chunk) partitioning; groups that span chunks are corrected from a
-    table of at most 4 rows per chunk.
+    for counts).  Needs an :func:`ordered_scan` before.  Windows run per (key,
+    group) inside the existing partitioning; groups of cut rows that span
+    chunks are corrected from a table of at most 4 rows per chunk.
     """
-    wg = Window.partitionBy(KEY, CHUNK, _G)
-    local = _stage(df.withColumn(_G, group).withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
-    cross = _correction(_group_cross(local, aggs), local)
-    return _group_apply(local.join(F.broadcast(cross), [KEY, _G], "left"), aggs)
+    cut = None
+    if df.cut is not None:
+        wg = Window.partitionBy(KEY, CHUNK, _G)
+        local = _stage(df.cut.withColumn(_G, group).withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
+        cross = _correction(_group_cross(local, aggs), local)
+        cut = _group_apply(local.join(F.broadcast(cross), [KEY, _G], "left"), aggs)
+    return Ordered(_plain_stats(df.plain, group, aggs), cut, df.heavy)
+
+
+def internal(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("_ck_")]
 
 
 def drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_ck_")])
+    return df.drop(*internal(df))

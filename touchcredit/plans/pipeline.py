@@ -2,8 +2,9 @@
 
 Each property is one operator of the chain; stages are built on first use and
 shared, so a caller asking for several stages builds the common prefix once.
-Building the touchpoint stage runs the chunk checkpoints (see
-plans.chunked); everything else stays lazy until an action.
+The flagship scans the export once (``roles``, pinned); an ordered stage counts
+its rows per key when it is built (plans.chunked), everything else stays lazy
+until an action.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import cached_property, wraps
 from pyspark.sql import DataFrame
 
 from ..config import DEFAULT_CONFIG, AttributionConfig
-from ..operators import conversions, cycles, events, identity, models, sessions, touchpoints, weights
+from ..operators import conversions, cycles, events, identity, models, roles, sessions, touchpoints, weights
 from ..plans import chunked as ck
 
 
@@ -31,8 +32,8 @@ def _stage(build):
 class Attribution:
     """The stages of one attribution run.
 
-    The last round's rows stay cached for the result's readers until
-    ``close()``; afterwards they are recomputed from the pinned chunks.
+    Only users cut into chunks have cached rounds; the last one stays for the
+    result's readers until ``close()``, and is recomputed from pinned rows then.
     """
 
     def __init__(self, export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG):
@@ -58,28 +59,40 @@ class Attribution:
     def ids(self) -> DataFrame:
         return identity.stitch_identities(self.events)
 
+    @_stage
+    def roles(self) -> DataFrame:
+        """The export's one scan for the attribution, pinned: session starts, conversions and logins."""
+        return ck.checkpoint(roles.role_rows(self.export, self.cfg))
+
     @_stage
     def logins(self) -> DataFrame:
-        """pseudo id -> login (logged-in pseudo ids only); read by both blends, computed once."""
-        return ck.share(identity.login_map(identity.last_logins(self.events)))
+        """pseudo id -> login (logged-in pseudo ids only); read by both blends."""
+        return identity.login_map(identity.last_logins(roles.login_rows(self.roles)))
 
     @_stage
-    def sessions(self) -> DataFrame:
-        """Compressed session rows with ends and ``_mult``."""
-        return sessions.attribution_sessions(self.export, self.cfg)
+    def heavy(self) -> dict[str, DataFrame | None]:
+        """Keys with more than ``chunk_rows`` rows, for every stage and join that deals rows by them."""
+        starts, converting = roles.start_rows(self.roles), roles.conversion_rows(self.roles)
+        visitors, converters = sessions.visitor_counts(starts), sessions.visitor_counts(converting)
+        return ck.heavy_by_kind(
+            {"visitor": visitors, "user": identity.user_counts(visitors, self.logins), "converter": converters,
+             "buyer": identity.user_counts(converters, self.logins), "session": sessions.session_counts(starts)},
+            self.cfg.chunk_rows)
+
+    @_stage
+    def sessions(self) -> ck.Ordered:
+        """Distinct session rows with ends and ``_mult``, dealt by pseudo id."""
+        return sessions.with_session_end(roles.start_rows(self.roles), self.cfg, self.heavy["visitor"])
 
     @_stage
     def blended_sessions(self) -> DataFrame:
-        return identity.blend_users(self.sessions, self.ids, self.logins)
+        return identity.blend_ordered(self.sessions, self.logins)
 
     @_stage
     def conversion_candidates(self) -> DataFrame:
-        """Order and registration events with blended ids: read twice (first ids, join back).
-
-        Only the columns that are scored are cached and so scanned.
-        """
-        return ck.share(conversions.conversion_candidates(self.events, self.ids, self.cfg, self.logins,
-                                                          conversions.CANDIDATE_COLUMNS))
+        """Order and registration events with blended ids, only the columns that are scored."""
+        return identity.blend_users(roles.conversion_rows(self.roles), self.logins, self.logins,
+                                    self.heavy["converter"])
 
     @_stage
     def converting_events_filtered(self) -> DataFrame:
@@ -90,47 +103,49 @@ class Attribution:
     @_stage
     def converting_events(self) -> DataFrame:
         return conversions.score_conversions(
-            conversions.select_converting_events(self.conversion_candidates, self.cfg), self.cfg)
+            conversions.select_converting_events(self.conversion_candidates, self.cfg, self.heavy["buyer"]), self.cfg)
 
     @_stage
     def converting_sessions(self) -> DataFrame:
         return conversions.rollup_conversions(self.converting_events, self.cfg)
 
     @_stage
-    def touchpoints_chunked(self) -> DataFrame:
-        return touchpoints.label_touchpoints_chunked(self.blended_sessions, self.converting_sessions, self.cfg)
+    def touchpoints_chunked(self) -> ck.Ordered:
+        return touchpoints.label_touchpoints_chunked(self.blended_sessions, self.converting_sessions, self.cfg,
+                                                     self.heavy)
 
     @_stage
-    def running(self) -> DataFrame:
+    def running(self) -> ck.Ordered:
         return cycles.running_conversions(self.touchpoints_chunked, weights.day_session_counts(self.cfg))
 
     @_stage
-    def cycles(self) -> DataFrame:
+    def cycles(self) -> ck.Ordered:
         return cycles.conversion_cycles(self.running)
 
     @_stage
-    def lookback(self) -> DataFrame:
+    def lookback(self) -> ck.Ordered:
         return cycles.lookback_windows(self.cycles, self.cfg)
 
     @_stage
-    def time_decay(self) -> DataFrame:
+    def time_decay(self) -> ck.Ordered:
         return weights.time_decay_scores(self.lookback, self.cfg)
 
     @_stage
-    def channel_flags(self) -> DataFrame:
+    def channel_flags(self) -> ck.Ordered:
         return weights.cycle_channel_flags(weights.cycle_stats(self.time_decay, self.cfg))
 
     @_stage
-    def weights(self) -> DataFrame:
+    def weights(self) -> ck.Ordered:
         return weights.model_weights(self.channel_flags, self.cfg)
 
     @_stage
     def result(self) -> DataFrame:
-        return models.attribution_long(self.weights, self.cfg)
+        return models.attribution_long(self.weights.rows(), self.cfg)
 
     def stage(self, name: str) -> DataFrame:
-        """A stage without internal columns."""
-        return ck.drop_internal(getattr(self, name))
+        """A stage's rows without internal columns."""
+        found = getattr(self, name)
+        return found.rows() if isinstance(found, ck.Ordered) else ck.drop_internal(found)
 
 
 def attribution(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -19,15 +19,15 @@ from pyspark.sql import types as T
 
 from .config import DEFAULT_CONFIG, FIRST_NON_DIRECT, AttributionConfig
 from .functions.columns import device_class, event_param, micros_to_ts
-from .operators import conversions, cycles, identity, models, sessions, touchpoints, weights
+from .operators import conversions, cycles, events, identity, models, sessions, touchpoints, weights
 from .plans import chunked as ck
 from .plans.pipeline import Attribution
 from .schema import DEVICE
 from .session import ensure_checkpoint_dir
 from .sources.adapter import events_to_export
-from .sources.export import land_export, load_export
+from .sources.export import land_export, land_variant, load_export, variant_leaves
 
-_LANDED: dict[tuple[str, str, bool], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 _RUN: list[Attribution] = []  # the pipeline of the query built last
 
 
@@ -37,18 +37,33 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def landed_export(spark: SparkSession, sf_dir: str, irregular: bool = False) -> DataFrame:
-    """The export derived from ``sf_dir``'s events, landed once, read by ``load_export``."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), irregular)
+def _landed(spark: SparkSession, sf_dir: str, form: str, land: Callable[[DataFrame, str], None]) -> str:
+    """Folder of a landed form of ``sf_dir``'s export, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), form)
     path = _LANDED.get(key)
     if path is None or not _fs_exists(spark, f"{path}/_SUCCESS"):
         root = ensure_checkpoint_dir(spark)
-        path = f"{root.rstrip('/')}/landing/{hashlib.sha256(key[1].encode()).hexdigest()[:16]}"
-        path += "-irregular" if irregular else ""
-        events_df = spark.read.parquet(f"{key[1]}/events.parquet")
-        land_export(events_to_export(events_df, irregular), path, partition_by_date=True)
+        path = f"{root.rstrip('/')}/landing/{hashlib.sha256(key[1].encode()).hexdigest()[:16]}{form}"
+        land(spark.read.parquet(f"{key[1]}/events.parquet"), path)
         _LANDED[key] = path
-    return load_export(spark, path)
+    return path
+
+
+def landed_path(spark: SparkSession, sf_dir: str, irregular: bool = False) -> str:
+    """Folder of the export derived from ``sf_dir``'s events, by day."""
+    return _landed(spark, sf_dir, "-irregular" if irregular else "",
+                   lambda events, path: land_export(events_to_export(events, irregular), path, partition_by_date=True))
+
+
+def landed_export(spark: SparkSession, sf_dir: str, irregular: bool = False) -> DataFrame:
+    """The export derived from ``sf_dir``'s events, landed once, read by ``load_export``."""
+    return load_export(spark, landed_path(spark, sf_dir, irregular))
+
+
+def landed_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same export landed as one shredded VARIANT column."""
+    path = _landed(spark, sf_dir, "-variant", lambda _, path: land_variant(landed_export(spark, sf_dir), path))
+    return spark.read.schema("v variant").parquet(path)
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
@@ -94,6 +109,20 @@ def q_export_scan(spark, sf_dir):
         F.col("geo.region").alias("region"), F.col("geo.city").alias("city"))
 
 
+EVEN_DAYS = r"event_date=\d{7}[02468]/.*"
+
+
+def q_export_by_pattern(spark, sf_dir):
+    x = load_export(spark, landed_path(spark, sf_dir), pattern=EVEN_DAYS)
+    return x.select("event_timestamp", "event_date", "event_name", "user_pseudo_id", "user_id",
+                    F.col("traffic_source.source").alias("traffic_source_source"),
+                    event_param("ga_session_id", "int").alias("ga_session_id"))
+
+
+def q_events_flat_variant(spark, sf_dir):
+    return events.normalize_events(variant_leaves(landed_variant(spark, sf_dir)))
+
+
 def q_event_params(spark, sf_dir):
     x = landed_export(spark, sf_dir)
     return x.select(
@@ -170,7 +199,7 @@ def q_touchpoints(spark, sf_dir, cfg=DEFAULT_CONFIG, irregular=False):
     p = _pipe(spark, sf_dir, cfg, irregular)
     counts = sessions.session_event_count(p.export)
     with ck.owned_by(p.rounds):
-        return touchpoints.label_touchpoints(p.blended_sessions, p.converting_sessions, p.cfg, counts)
+        return touchpoints.label_touchpoints(p.blended_sessions, p.converting_sessions, p.cfg, counts, p.heavy)
 
 
 def q_running_conversions(spark, sf_dir):
@@ -205,7 +234,7 @@ def _weight_query(column: str, cfg: AttributionConfig = DEFAULT_CONFIG):
 
 
 def q_attributed_measures(spark, sf_dir):
-    return models.apply_model(_pipe(spark, sf_dir).weights, FIRST_NON_DIRECT)
+    return models.apply_model(_pipe(spark, sf_dir).stage("weights"), FIRST_NON_DIRECT)
 
 
 def q_attribution(spark, sf_dir):
@@ -222,10 +251,12 @@ LOOKBACK5 = DEFAULT_CONFIG.with_(lookback_days=5)
 USER_SESSION = DEFAULT_CONFIG.with_(session_key="user_session")
 NO_CONVERSION_SESSION = DEFAULT_CONFIG.with_(include_conversion_session=False)
 RECENT_DECAY = DEFAULT_CONFIG.with_(time_decay_direction="recent")
-CHUNKS16 = DEFAULT_CONFIG.with_(num_chunks=16)  # chunk edges, carries and spanning keys at every data size
+CHUNKS = DEFAULT_CONFIG.with_(chunk_rows=4)  # nearly every user is cut: chunk edges and carries at every data size
 
 _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_scan": q_export_scan,
+    "export_by_pattern": q_export_by_pattern,
+    "events_flat_variant": q_events_flat_variant,
     "event_params": q_event_params,
     "events_flat": q_events_flat,
     "id_stitching": q_id_stitching,
@@ -261,22 +292,22 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attribution_user_session": _attribution_with(USER_SESSION),
     "attribution_no_conversion_session": _attribution_with(NO_CONVERSION_SESSION),
     "attribution_recent_decay": _attribution_with(RECENT_DECAY),
-    "sessions_16_chunks": partial(q_sessions, cfg=CHUNKS16),
-    "touchpoints_16_chunks": partial(q_touchpoints, cfg=CHUNKS16),
-    "time_decay_scores_16_chunks": partial(q_time_decay_scores, cfg=CHUNKS16),
-    "attribution_16_chunks": _attribution_with(CHUNKS16),
-    # The irregular export (sources.adapter), in 16 chunks where there are chunks.
+    "sessions_16_chunks": partial(q_sessions, cfg=CHUNKS),
+    "touchpoints_16_chunks": partial(q_touchpoints, cfg=CHUNKS),
+    "time_decay_scores_16_chunks": partial(q_time_decay_scores, cfg=CHUNKS),
+    "attribution_16_chunks": _attribution_with(CHUNKS),
+    # The irregular export (sources.adapter), users cut as well.
     "session_event_count_irregular": partial(q_session_event_count, irregular=True),
     "converting_sessions_irregular": partial(q_converting_sessions, irregular=True),
     "lost_conversions_irregular": partial(q_lost_conversions, irregular=True),
-    "sessions_irregular": partial(q_sessions, cfg=CHUNKS16, irregular=True),
-    "touchpoints_irregular": partial(q_touchpoints, cfg=CHUNKS16, irregular=True),
-    "time_decay_scores_irregular": partial(q_time_decay_scores, cfg=CHUNKS16, irregular=True),
-    "attribution_irregular": _attribution_with(CHUNKS16, irregular=True),
+    "sessions_irregular": partial(q_sessions, cfg=CHUNKS, irregular=True),
+    "touchpoints_irregular": partial(q_touchpoints, cfg=CHUNKS, irregular=True),
+    "time_decay_scores_irregular": partial(q_time_decay_scores, cfg=CHUNKS, irregular=True),
+    "attribution_irregular": _attribution_with(CHUNKS, irregular=True),
     "attribution_irregular_user_session": _attribution_with(
-        CHUNKS16.with_(session_key="user_session"), irregular=True),
+        CHUNKS.with_(session_key="user_session"), irregular=True),
     "attribution_irregular_no_conversion_session": _attribution_with(
-        CHUNKS16.with_(include_conversion_session=False), irregular=True),
+        CHUNKS.with_(include_conversion_session=False), irregular=True),
 }
 
 

@@ -66,10 +66,10 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> d
 
     Shuffle partitions start at one per ``target_partition_bytes`` of input and
     AQE merges small ones, so a shuffle of the whole export has partitions of
-    that size and the ordered stages get as many range chunks as their own
-    bytes need.  ``AttributionConfig.num_chunks`` fixes that number P, which
-    bounds every broadcast correction table (<= 4P rows).  Scan splits match the target size so one task never
-    decodes more than about that much Parquet.
+    that size.  ``AttributionConfig.chunk_rows`` bounds what one user puts into
+    one task, and so (rows / chunk_rows) every broadcast of the ordered stages.
+    Scan splits match the target size so one task never decodes more than about
+    that much Parquet.
     """
     n = max(200, -(-input_bytes // target_partition_bytes))
     return {

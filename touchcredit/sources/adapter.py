@@ -67,14 +67,15 @@ def sessionize(events: DataFrame) -> DataFrame:
     base = (events.select("event_id", "ts", "user_id", "event_type", "value",
                           F.get_json_object("props", "$.k").cast("long").alias("k")))
     order = ck.Order(("ts", "event_id"))
-    tagged = ck.chunk(base, non_null_key(F.col("user_id")), order, ["event_id"])
+    key = non_null_key(F.col("user_id"))
+    tagged = ck.arrange(base, key, order, ["event_id"], heavy=ck.heavy_keys(ck.key_counts(base, key)))
     with_prev = ck.ordered_scan(tagged, order, lag={"prev_ts": "ts"})
     flagged = with_prev.withColumn(
         "is_new", F.when(F.col("prev_ts").isNull() | (F.col("ts") > F.col("prev_ts") + F.expr(SESSION_GAP)), 1)
         .otherwise(0)).withColumn("_k_new", F.when(F.col("is_new") == 1, F.struct(F.col("k").alias("v"))))
     numbered = ck.ordered_scan(flagged, order, running_sums={"sn": "is_new"},
                                prev_non_null={"sk": "_k_new"})
-    return ck.drop_internal(numbered).withColumn("sk", F.col("sk")["v"]).drop("prev_ts", "_k_new")
+    return numbered.rows().withColumn("sk", F.col("sk")["v"]).drop("prev_ts", "_k_new")
 
 
 def _rule(column: str, rule: tuple[int, int]) -> Column:

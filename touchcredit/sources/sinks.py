@@ -36,10 +36,13 @@ def refresh_view(export: Callable[[], DataFrame], cfg: AttributionConfig = DEFAU
 
 
 def write_attribution(result: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the long-form result as Parquet, one folder per model.
+    """Write the long-form result as Parquet, one folder per model, in files of about the advisory size.
 
-    Written straight from the result's partitions (no shuffle): each task
-    writes at most one file per model it holds, so no model or user is
-    gathered into one task.
+    Adaptive execution deals the rows by model and then merges small parts and
+    splits large ones by their measured bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so no model is gathered
+    in one task.  Without it the rows are written where they are.
     """
+    if result.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        result = result.hint("rebalance", "model")
     result.write.mode(mode).partitionBy("model").parquet(path)
