@@ -47,10 +47,10 @@ from .common import open_fs, pin, ship, text_bytes, work_dir
 from .suffix_array import ragged, suffix_arrays
 
 LENGTH, ANCHOR = 50, 25
-HOT = 128  # different pieces of an anchor that are compared in one suffix array
+HOT = 24  # different pieces of an anchor that are compared in one suffix array
 BLOCK_BYTES = 4 << 20
 OWNER_BYTES = 16 << 20  # text per owner of anchors
-SHARD_BYTES = 4 << 20  # text per owner of pieces
+SHARD_BYTES = 8 << 20  # text per owner of pieces
 SLICE = (1 << 16) - 2 * LENGTH  # windows hashed at a time; places in a slice fit 16 bits
 SYMBOLS = 1 << 19  # symbols whose suffix arrays are built together
 _MULTIPLY, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -70,12 +70,15 @@ class Block:
     null: np.ndarray
     text: np.ndarray  # bytes of all documents
     offsets: np.ndarray
+    windows: np.ndarray  # per piece: its windows, and where its anchor is in the first one
+    anchors: np.ndarray
 
 
 def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows gathered to blocks, one row each."""
     schema = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int64())),
-                        ("sizes", pa.list_(pa.int64())), ("text", pa.binary())])
+                        ("sizes", pa.list_(pa.int64())), ("text", pa.binary()), ("windows", pa.binary()),
+                        ("anchors", pa.binary())])
     number = TaskContext.get().partitionId() << 32
     ids: list = []
     sizes: list[int] = []
@@ -83,9 +86,12 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def out():
+        text = b"".join(texts)
+        cut = find_pieces(np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([held], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-             pa.array([sizes], pa.list_(pa.int64())), pa.array([b"".join(texts)], pa.binary())], schema=schema)
+             pa.array([sizes], pa.list_(pa.int64())), pa.array([text], pa.binary()),
+             *(pa.array([x.tobytes()], pa.binary()) for x in cut)], schema=schema)
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
@@ -105,13 +111,13 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for b in batches:
         for i in range(b.num_rows):
-            ids = b.column(b.schema.get_field_index("ids"))[i].values
-            sizes = b.column(b.schema.get_field_index("sizes"))[i].values.to_numpy(zero_copy_only=False)
-            text, _ = text_bytes(b.column(b.schema.get_field_index("text")).slice(i, 1))
-            yield Block(b.column(b.schema.get_field_index("block"))[i].as_py(),
-                        ids.fill_null(NO_ID).to_numpy(zero_copy_only=False),
-                        ids.is_null().to_numpy(zero_copy_only=False), text,
-                        np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+            row = {name: b.column(k)[i] for k, name in enumerate(b.schema.names)}
+            sizes = row["sizes"].values.to_numpy(zero_copy_only=False)
+            text, windows, anchors = (np.frombuffer(row[c].as_buffer(), np.uint8) if len(row[c].as_buffer())
+                                      else np.zeros(0, np.uint8) for c in ("text", "windows", "anchors"))
+            yield Block(row["block"].as_py(), row["ids"].values.fill_null(NO_ID).to_numpy(zero_copy_only=False),
+                        row["ids"].values.is_null().to_numpy(zero_copy_only=False), text,
+                        np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), windows, anchors)
 
 
 # ---- windows, anchors, pieces
@@ -137,15 +143,17 @@ def _hash_at(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return _chain(words[at + s] for s in steps)
 
 
-def _anchors(text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per slice of windows: the first window, every window's anchor place, and the anchor hash from that place on."""
+_ANCHOR_STEPS = [*range(0, ANCHOR - 7, 8)] + ([ANCHOR - 8] if ANCHOR % 8 else [])
+
+
+def _anchors(text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Per slice of windows: the first window, and every window's anchor place."""
     words = _words(text)
     width = LENGTH - ANCHOR + 1
-    steps = [*range(0, ANCHOR - 7, 8)] + ([ANCHOR - 8] if ANCHOR % 8 else [])
     for start in range(0, len(text) - LENGTH + 1, SLICE):
         windows = min(SLICE, len(text) - LENGTH + 1 - start)
         grams = windows + width - 1
-        h = _chain(words[start + s:start + s + grams].copy() for s in steps)
+        h = _chain(words[start + s:start + s + grams].copy() for s in _ANCHOR_STEPS)
         least = (h & ~_LOW16) | np.arange(grams, dtype=np.uint64)  # of equal hashes the first
         span = 1
         while 2 * span <= width:
@@ -153,45 +161,57 @@ def _anchors(text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             span *= 2
         if span < width:
             least = np.minimum(least[:span - width], least[width - span:])
-        yield start, (least & _LOW16).astype(np.int64) + start, h
-
-
-@dataclass
-class Pieces:
-    """Runs of consecutive windows of one anchor, in text order."""
+        yield start, (least & _LOW16).astype(np.int64) + start
 
-    start: np.ndarray
-    windows: np.ndarray
-    key: np.ndarray  # anchor hash
-    mark: np.ndarray  # hash of the whole piece
-    doc: np.ndarray
 
-
-def pieces(block: Block) -> Pieces:
-    text, offsets = block.text, block.offsets
+def find_pieces(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows of one anchor, in text order: number of windows, and the anchor's place in the first one."""
     fits = max(len(text) - LENGTH + 1, 0)
     change = np.zeros(len(text) + 2, np.int8)  # windows that would leave their document are none
     np.add.at(change, np.maximum(offsets[:-1], offsets[1:] - LENGTH + 1), 1)
     np.add.at(change, offsets[1:], -1)
     whole = np.cumsum(change, dtype=np.int8)[:fits] == 0
-    starts, keys = [], []
+    starts, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     anchor_before, whole_before = -1, False
-    for at, anchor, h in _anchors(text):
+    for at, anchor in _anchors(text):
         ok = whole[at:at + len(anchor)]
         new = np.empty(len(anchor), bool)
         new[0] = anchor[0] != anchor_before or not whole_before
         new[1:] = (anchor[1:] != anchor[:-1]) | ~ok[:-1]
         begin = np.flatnonzero(new & ok)
         starts.append(begin + at)
-        keys.append(h[anchor[begin] - at])
+        places.append(anchor[begin] - (begin + at))
         anchor_before, whole_before = anchor[-1], ok[-1]
-    if not starts:
-        none = np.zeros(0, np.int64)
-        return Pieces(none, none, none.astype(np.uint64), none.astype(np.uint64), none)
-    start, key = np.concatenate(starts), np.concatenate(keys)
+    start = np.concatenate(starts)
     doc = np.searchsorted(offsets, start, side="right") - 1
-    end = np.minimum(np.append(start[1:], fits), offsets[doc + 1] - LENGTH + 1)
-    return Pieces(start, end - start, key, _mark_of(_words(text), start, end - start), doc)
+    end = np.minimum(np.append(start[1:], fits)[:len(start)], offsets[doc + 1] - LENGTH + 1)
+    return (end - start).astype(np.uint8), np.concatenate(places).astype(np.uint8)
+
+
+@dataclass
+class Pieces:
+    """Runs of consecutive windows of one anchor, in text order."""
+
+    start: np.ndarray
+    windows: np.ndarray
+    key: np.ndarray  # anchor hash, spread over all 64-bit integers
+    mark: np.ndarray  # hash of the whole piece
+    doc: np.ndarray
+
+
+def pieces(block: Block) -> Pieces:
+    """The block's pieces: documents' windows follow each other, so run lengths tell where each piece starts."""
+    windows = block.windows.astype(np.int64)
+    fit = np.concatenate([[0], np.cumsum(np.maximum(np.diff(block.offsets) - LENGTH + 1, 0))])
+    number = np.cumsum(windows) - windows  # of the first window, among those of all documents
+    doc = np.searchsorted(fit, number, side="right") - 1
+    start = block.offsets[doc] + number - fit[doc]
+    words = _words(block.text)
+    # Anchors are least hashes, so small ones: hashed once more they fall to all owners alike.
+    key = _chain(iter((_hash_at(words, start + block.anchors, ANCHOR), np.uint64(LENGTH)))) if len(start) \
+        else np.zeros(0, np.uint64)
+    mark = _mark_of(words, start, windows) if len(start) else key
+    return Pieces(start, windows, key, mark, doc)
 
 
 def _mark_of(words: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -502,8 +522,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = pin(rows.mapInArrow(_blocks_of, "block long, n_bytes long, ids array<long>, sizes array<long>, text binary"),
-                 "passage-blocks")
+    blocks = pin(rows.mapInArrow(_blocks_of, "block long, n_bytes long, ids array<long>, sizes array<long>, text binary, "
+                                         "windows binary, anchors binary"), "passage-blocks")
     size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     owners, shards = max(1, -(-size // OWNER_BYTES)), max(1, -(-size // SHARD_BYTES))
     said = _round(blocks, lambda b: _send_keys(b, owners), _answer_keys, owners, "passage-anchors")

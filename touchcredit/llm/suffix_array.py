@@ -24,8 +24,8 @@ import numpy as np
 
 def ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``first[i], first[i] + 1, ...`` for ``size[i]`` places, one after the other."""
-    end = np.cumsum(size)
-    return np.repeat(first - end + size, size) + np.arange(int(end[-1]) if len(end) else 0)
+    end = np.cumsum(size, dtype=first.dtype)
+    return np.repeat(first - end + size, size) + np.arange(int(end[-1]) if len(end) else 0, dtype=first.dtype)
 
 
 def suffix_arrays(symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -34,29 +34,32 @@ def suffix_arrays(symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     ``symbols`` (unsigned 16-bit) holds the texts one after the other; each ends
     with a 0 that occurs nowhere else in it.
     """
+    bounds = bounds.astype(np.int32 if len(symbols) < 2 ** 30 else np.int64)
     group, length = _lyndon_groups(symbols, bounds)
     return _emit(group, length, bounds)
 
 
 def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every suffix's final group (the place where it begins) and the length of its Lyndon prefix."""
-    n = len(symbols)
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    n, kind = len(symbols), bounds.dtype
+    text = np.repeat(np.arange(len(bounds) - 1, dtype=kind), np.diff(bounds))
     order = np.argsort(symbols, kind="stable")
-    order = order[np.argsort(text[order], kind="stable")]
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order = order[np.argsort(text[order], kind="stable")].astype(kind)
+    place = np.empty(n, kind)
+    place[order] = np.arange(n, dtype=kind)
     by_symbol, by_text = symbols[order], text[order]
     heads = np.flatnonzero(np.concatenate([[True], (by_symbol[1:] != by_symbol[:-1]) | (by_text[1:] != by_text[:-1])]))
-    sizes = np.diff(np.append(heads, n))
-    group = np.empty(n, np.int64)
+    heads = heads.astype(kind)
+    sizes = np.diff(np.append(heads, kind.type(n)))
+    group = np.empty(n, kind)
     group[order] = np.repeat(heads, sizes)
-    size = np.zeros(n, np.int64)
+    size = np.zeros(n, kind)
     size[heads] = sizes
-    smaller = np.arange(-1, n - 1)  # the previous smaller suffix, or a place on the way to it
+    smaller = np.arange(-1, n - 1, dtype=kind)  # the previous smaller suffix, or a place on the way to it
     smaller[bounds[:-1]] = -1
-    length = np.ones(n, np.int64)
+    length = np.ones(n, kind)
     pointed = np.zeros(n, bool)
+    times_of, last_of = np.zeros(n, kind), np.empty(n, kind)  # scratch, by place
     low, high = bounds[:-1], bounds[1:]
     while len(high):
         head = group[order[high - 1]]
@@ -69,10 +72,18 @@ def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
             to[way] = smaller[to[way]]
             smaller[member[way]] = to[way]
             way = way[(to[way] >= 0) & (group[to[way]] >= floor[way])]
-        hit = to >= 0
-        target, first, times = np.unique(to[hit], return_index=True, return_counts=True)
-        if len(target):
-            length[target] += times * length[member[hit][first]]
+        hit = np.flatnonzero(to >= 0)
+        if len(hit):
+            to, member = to[hit], member[hit]
+            number = np.arange(len(to), dtype=kind)
+            last_of[to] = number
+            one = last_of[to] == number  # of equal targets the last
+            target = to[one]
+            more, extra = np.unique(to[~one], return_counts=True)
+            times_of[more] = extra
+            times = times_of[target] + kind.type(1)
+            times_of[more] = 0
+            length[target] += times * length[member[one]]
             _split(target, times, order, place, group, size, pointed)
         go = head > low
         low, high = low[go], head[go]
@@ -82,11 +93,11 @@ def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
 def _split(target, times, order, place, group, size, pointed) -> None:
     """Move ``target`` behind the rest of their groups, into new groups by ``times``."""
     old = group[target]
-    by = np.lexsort((times, old))
+    by = np.argsort(old.astype(np.int64) << 31 | times)
     target, times, old = target[by], times[by], old[by]
     new_old = np.concatenate([[True], old[1:] != old[:-1]])
     segment = np.flatnonzero(new_old)
-    moving = np.diff(np.append(segment, len(old)))
+    moving = np.diff(np.append(segment, len(old))).astype(old.dtype)
     home = old[segment]
     tail = home + size[home] - moving
     to = ragged(tail, moving)
@@ -108,15 +119,15 @@ def _split(target, times, order, place, group, size, pointed) -> None:
 
 
 def _emit(group: np.ndarray, length: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    n = len(group)
+    n, kind = len(group), bounds.dtype
     last = bounds[1:] - 1
-    following = np.arange(n) + length  # the next smaller suffix
+    following = np.arange(n, dtype=kind) + length  # the next smaller suffix
     following[last] = n
-    by = np.argsort(following, kind="stable")
-    count = np.bincount(following, minlength=n + 1)
-    first = np.cumsum(count) - count
-    free = np.arange(n)
-    out = np.empty(n, np.int64)
+    by = np.argsort(following, kind="stable").astype(kind)
+    count = np.bincount(following, minlength=n + 1).astype(kind)
+    first = np.cumsum(count, dtype=kind) - count
+    free = np.arange(n, dtype=kind)
+    out = np.empty(n, kind)
     out[bounds[:-1]] = last
     sizes = np.diff(bounds)
     longest = np.argsort(-sizes, kind="stable")
