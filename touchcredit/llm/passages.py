@@ -33,7 +33,7 @@ table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,7 @@ BLOCK_BYTES = 4 << 20
 OWNER_BYTES = 16 << 20  # text per owner of anchors
 SHARD_BYTES = 8 << 20  # text per owner of pieces
 SLICE = (1 << 16) - 2 * LENGTH  # windows hashed at a time; places in a slice fit 16 bits
-SYMBOLS = 1 << 19  # symbols whose suffix arrays are built together
+SYMBOLS, TEXTS = 1 << 18, 512  # suffix arrays built together: so many symbols, or so many texts
 _MULTIPLY, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW16 = np.uint64(0xFFFF)
 NO_ID = np.iinfo(np.int64).min
@@ -200,7 +200,7 @@ class Pieces:
 
 
 def pieces(block: Block) -> Pieces:
-    """The block's pieces: documents' windows follow each other, so run lengths tell where each piece starts."""
+    """The block's pieces, not yet marked: documents' windows follow each other, so run lengths tell where each starts."""
     windows = block.windows.astype(np.int64)
     fit = np.concatenate([[0], np.cumsum(np.maximum(np.diff(block.offsets) - LENGTH + 1, 0))])
     number = np.cumsum(windows) - windows  # of the first window, among those of all documents
@@ -210,8 +210,14 @@ def pieces(block: Block) -> Pieces:
     # Anchors are least hashes, so small ones: hashed once more they fall to all owners alike.
     key = _chain(iter((_hash_at(words, start + block.anchors, ANCHOR), np.uint64(LENGTH)))) if len(start) \
         else np.zeros(0, np.uint64)
-    mark = _mark_of(words, start, windows) if len(start) else key
-    return Pieces(start, windows, key, mark, doc)
+    return Pieces(start, windows, key, key, doc)
+
+
+def marked(block: Block, p: Pieces) -> Pieces:
+    """The same with ``mark`` filled in."""
+    if not len(p.start):
+        return p
+    return replace(p, mark=_mark_of(_words(block.text), p.start, p.windows))
 
 
 def _mark_of(words: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -270,7 +276,7 @@ def _distinct(key: np.ndarray, doc: np.ndarray, mark: np.ndarray | None = None):
 
 
 def _send_keys(block: Block, owners: int) -> Iterator[tuple[int, bytes]]:
-    p = pieces(block)
+    p = marked(block, pieces(block))
     key, several, count, total = _distinct(p.key, p.doc, p.mark)
     for owner, mine in _by_owner(key, owners):
         yield owner, _pack(np.diff(key[mine], prepend=np.uint64(0)), np.packbits(several[mine]),
@@ -307,12 +313,19 @@ def _bits(answers: dict[int, bytes], key: np.ndarray, owners: int, which: int) -
     return out
 
 
-def _sorted_pieces(block: Block, keys_said: dict[int, bytes], owners: int):
-    """All pieces with, per piece, whether its anchor is shared, and hot."""
-    p = pieces(block)
-    key = np.unique(p.key)
-    at = np.searchsorted(key, p.key)
-    return p, _bits(keys_said, key, owners, 0)[at], _bits(keys_said, key, owners, 1)[at]
+def _told(key: np.ndarray, said: dict[int, bytes], owners: int, which: tuple[int, ...]) -> list[np.ndarray]:
+    """What the owners say of every key, in the keys' own order."""
+    by = np.argsort(key)
+    k = key[by]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    distinct, number = k[new], np.cumsum(new) - 1
+    out = []
+    for w in which:
+        bits = np.empty(len(key), bool)
+        bits[by] = _bits(said, distinct, owners, w)[number]
+        out.append(bits)
+    return out
 
 
 def _hot_windows(block: Block, p: Pieces, hot: np.ndarray) -> Pieces:
@@ -322,13 +335,13 @@ def _hot_windows(block: Block, p: Pieces, hot: np.ndarray) -> Pieces:
     if not len(start):
         return Pieces(start, one, start.astype(np.uint64), start.astype(np.uint64), start)
     words = _words(block.text)
-    return Pieces(start, one, _hash_at(words, start, LENGTH), _mark_of(words, start, one),
-                  np.repeat(p.doc[hot], p.windows[hot]))
+    key = _hash_at(words, start, LENGTH)
+    return Pieces(start, one, key, key, np.repeat(p.doc[hot], p.windows[hot]))
 
 
 def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int) -> Iterator[tuple[int, bytes]]:
-    p, _, hot = _sorted_pieces(block, keys_said, owners)
-    w = _hot_windows(block, p, hot)
+    p = pieces(block)
+    w = _hot_windows(block, p, *_told(p.key, keys_said, owners, (1,)))
     key, several = _distinct(w.key, w.doc)
     for owner, mine in _by_owner(key, owners):
         yield owner, _pack(np.diff(key[mine], prepend=np.uint64(0)), np.packbits(several[mine]),
@@ -337,13 +350,13 @@ def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int) -> Ite
 
 def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int) -> tuple:
     """Pieces that other documents may hold, and per distinct one, in the order sent, its first place in the list."""
-    p, shared, hot = _sorted_pieces(block, keys_said, owners)
+    p = pieces(block)
+    shared, hot = _told(p.key, keys_said, owners, (0, 1))
     w = _hot_windows(block, p, hot)
-    known = np.unique(w.key)
-    again = _bits(windows_said, known, owners, 0)[np.searchsorted(known, w.key)]
+    again, = _told(w.key, windows_said, owners, (0,))
     take = shared & ~hot
-    both = Pieces(*(np.concatenate([getattr(p, f)[take], getattr(w, f)[again]])
-                    for f in ("start", "windows", "key", "mark", "doc")))
+    both = marked(block, Pieces(*(np.concatenate([getattr(p, f)[take], getattr(w, f)[again]])
+                    for f in ("start", "windows", "key", "mark", "doc"))))
     by = np.lexsort((both.mark, both.key))
     new = np.ones(len(by), bool)
     new[1:] = (both.key[by][1:] != both.key[by][:-1]) | (both.mark[by][1:] != both.mark[by][:-1])
@@ -378,13 +391,13 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
     held = np.diff(np.append(first, len(key)))
     total = np.add.reduceat(size + 1, first) + 1
     shortest = np.argsort(total, kind="stable")
-    cuts = np.searchsorted(np.cumsum(total[shortest]), np.arange(SYMBOLS, int(total.sum()) + SYMBOLS, SYMBOLS))
+    upto = np.cumsum(total[shortest])
     low = 0
-    for high in np.unique(np.append(cuts + 1, len(shortest))).tolist():
-        some = shortest[low:min(high, len(shortest))]
+    while low < len(shortest):
+        most = max(SYMBOLS, TEXTS * int(total[shortest[low]]))
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + most, side="right")))
+        some = shortest[low:high]
         low = high
-        if not len(some):
-            continue
         piece = ragged(first[some], held[some])
         bounds = np.concatenate([[0], np.cumsum(total[some])])
         at = np.cumsum(size[piece] + 1) - size[piece] - 1 + np.repeat(np.arange(len(some)), held[some])
@@ -532,11 +545,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = _round(blocks, lambda b: _send_pieces(b, _answers(said, b.number), _answers(hot, b.number), owners, shards),
                    _answer_pieces, shards, "passage-pieces")
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _read_blocks(batches):
             yield _mark(b, _answers(said, b.number), _answers(hot, b.number), _answers(found, b.number), owners, shards)
 
-    return blocks.mapInArrow(marked, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return blocks.mapInArrow(cleaned, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def passage_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
