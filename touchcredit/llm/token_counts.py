@@ -1,6 +1,6 @@
 """Token counts by prefix dynamic programming (byte-level BPE).
 
-The exact token count of *every* prefix of a text is stored, one signed 16-bit
+The exact token count of *every* prefix of a text is stored, one signed 32-bit
 step per code point, so "how many tokens are the first n characters" and
 "where must I cut to stay within a budget" are answered from the stored array
 without encoding anything again.
@@ -12,7 +12,8 @@ one token ending there that is stable after the last token of the prefix it
 leaves, and ``count[i] = count[i - len(token)] + 1``.  Stability of a pair is
 looked up in a bounded memo.  Texts are cut into units (white space plus the
 word it precedes) that never influence each other's tokens; the steps of a
-unit are remembered per Python worker (bounded).
+unit are remembered per Python worker (bounded); new words of many texts are
+sorted, and each continues the table of the word before it.
 
 Defined cases: NULL text counts as empty (0 bytes, 0 tokens); special strings
 inside a text are single tokens, as in the library; NULL ids and repeated rows
@@ -23,6 +24,7 @@ input are not read.
 from __future__ import annotations
 
 import functools
+import operator
 import sys
 from array import array
 from collections.abc import Iterator
@@ -42,9 +44,7 @@ _UNIT = regex.compile(rf"'(?:[sdmt]|ll|ve|re)|[{_SPACE}]*[{_SPACE[:5] + _SPACE[6
                       rf"|[{_SPACE}]*\p{{L}}+|[{_SPACE}]*\p{{N}}+|[{_SPACE}]*[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+")
 _CONTRACTION = {"'re", "'ve", "'ll"}
 PAIR_MEMO = 1_000_000
-PREFIXES = (16, 12, 9, 6)  # lengths in bytes at which tables are remembered
-PREFIX_MEMO = 200_000
-OVERFLOW = "prefix counts of one unit differ by more than 16 bits"
+LEARN = 4096  # texts whose new words are sorted together
 
 
 class PrefixCounter:
@@ -53,17 +53,13 @@ class PrefixCounter:
     def __init__(self, path: str):
         self.bpe = bpe.ByteBpe(path)
         self.ranks, self.core = self.bpe.ranks, self.bpe.core
-        by_tail: dict[bytes, set[int]] = {}
-        for token in self.ranks:
-            by_tail.setdefault(token[-3:], set()).add(len(token))
-        # Token lengths by the last three bytes (fewer for short tokens), longest first.
-        self.lengths = {t: sorted(n, reverse=True) for t, n in by_tail.items()}
+        self.tails = _tails(self.ranks)
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
         self.after_space: dict[str, bytes] = {}
         self.alone: dict[str, bytes] = {}
         self.words: dict[str, list[int]] = {}
-        self.prefixes: dict[bytes, tuple[list[int], list[int]]] = {}
+        self.units: dict[str, bytes] = {}  # steps of units that are one word
 
     def _is_stable(self, a: int, b: int) -> bool:
         out = self.stable.get((a, b))
@@ -80,41 +76,99 @@ class PrefixCounter:
         if out is None:
             out = self._word_counts(word)
             if len(word) <= bpe.MEMO_CHARS:
-                if len(self.words) >= bpe.MEMO_ENTRIES // 2:
+                if len(self.words) >= bpe.MEMO_ENTRIES:
                     self.words.clear()
                 self.words[word] = out
         return out
 
     def _word_counts(self, word: str) -> list[int]:
-        raw, ranks, lengths, stable = word.encode(), self.ranks, self.lengths, self.stable
-        start, last, count = 0, [-1], [0]
-        for k in PREFIXES:  # words that begin alike share the table so far
-            if k < len(raw) and (known := self.prefixes.get(raw[:k])):
-                start, last, count = k, [*known[0]], [*known[1]]
-                break
-        last += [-1] * (len(raw) - start)
-        count += [0] * (len(raw) - start)
-        for i in range(start + 1, len(raw) + 1):
-            for n in (*lengths.get(raw[i - 3:i] if i > 2 else b"", ()), 2, 1):
+        raw, last, count = word.encode(), [-1], [0]
+        self._extend(raw, last, count)
+        return _at_code_points(word, raw, count)
+
+    def _extend(self, raw: bytes, last: list[int], count: list[int]) -> None:
+        """Continue a table, which holds the first ``len(last) - 1`` bytes of ``raw``, to its end."""
+        ranks, stable = self.ranks.get, self.stable.get
+        four, three, two, one = (t.get for t in self.tails)
+        for i in range(len(last), len(raw) + 1):
+            ends = i > 3 and four(raw[i - 4:i]) or i > 2 and three(raw[i - 3:i]) or i > 1 and two(raw[i - 2:i]) \
+                or one(raw[i - 1:i], ())
+            for n, token in ends:
                 j = i - n
-                if j < 0 or (token := ranks.get(raw[j:i])) is None:
+                if j < 0:
+                    continue
+                if token is None and (token := ranks(raw[j:i])) is None:
                     continue
                 before = last[j]
-                ok = before < 0 or stable.get((before, token))
+                ok = before < 0 or stable((before, token))
                 if ok is None:
                     ok = self._is_stable(before, token)
                 if ok:
-                    last[i], count[i] = token, count[j] + 1
+                    last.append(token)
+                    count.append(count[j] + 1)
                     break
             else:
                 raise ValueError(f"no token of the vocabulary ends {raw[:i]!r}")
-            if i in PREFIXES and i < len(raw):
-                if len(self.prefixes) >= PREFIX_MEMO:
-                    self.prefixes.clear()
-                self.prefixes[raw[:i]] = last[:i + 1], count[:i + 1]
-        if len(raw) == len(word):
-            return count[1:]
-        return [c for i, c in enumerate(count) if i and (i == len(raw) or raw[i] & 0xC0 != 0x80)]
+
+    def learn(self, texts: list[str]) -> None:
+        """Remember the steps of all new pieces of some texts, their words in sorted order.
+
+        Neighbours share a prefix, and the table of a prefix does not depend on
+        what follows, so each word continues the table of the one before it.
+        """
+        even, other = set(), set()
+        for text in texts:
+            if bpe._UNEVEN_SPACE.search(text):
+                other.update(bpe._BEFORE_SPACE.split(text))
+            else:
+                first, *rest = text.split(" ")
+                other.add(first)
+                even.update(rest)
+        even = {w for w in even.difference(self.after_space) if len(w) <= bpe.MEMO_CHARS}
+        other = {w for w in other.difference(self.alone) if len(w) <= bpe.MEMO_CHARS}
+        words = {" " + w for w in even if w.isalpha()}
+        mixed = [(self.after_space, w, _UNIT.findall(" " + w)) for w in even if not w.isalpha()]
+        mixed += [(self.alone, w, _UNIT.findall(w)) for w in other]
+        for _, _, units in mixed:
+            words.update(map(_word_of, units))
+        self._learn_words(sorted(words.difference(self.units)))
+        for w in even:
+            if w.isalpha() and (known := self.units.get(" " + w)) is not None:
+                _keep(self.after_space, w, known)
+        for memo, w, units in mixed:
+            steps = None if self.bpe.special in w else self._of_units(units)
+            if steps is not None:
+                _keep(memo, w, steps)
+
+    def _learn_words(self, words: list[str]) -> None:
+        if len(self.units) + len(words) > bpe.MEMO_ENTRIES:
+            self.units.clear()
+        before, last, count = b"", [-1], [0]
+        for word in words[:bpe.MEMO_ENTRIES]:
+            raw = word.encode()
+            k = 0
+            for a, b in zip(raw, before):
+                if a != b:
+                    break
+                k += 1
+            del last[k + 1:], count[k + 1:]
+            self._extend(raw, last, count)
+            before = raw
+            if word not in _CONTRACTION:
+                self.units[word] = _packed_steps(_at_code_points(word, raw, count))
+
+    def _of_units(self, units: list[str]) -> bytes | None:
+        """Steps of a piece whose units are single words, or words behind one line break or tab."""
+        out = []
+        for unit in units:
+            if (known := self.units.get(unit)) is None:
+                head, rest = self.units.get(unit[0]), self.units.get(unit[1:])
+                if unit[0] not in "\n\t" or head is None or rest is None or unit[1] in _SPACE:
+                    return None
+                out.append(head)
+                known = rest
+            out.append(known)
+        return b"".join(out)
 
     def _unit_counts(self, unit: str) -> list[int]:
         """Counts of every prefix of a unit, each prefix taken as the end of the text."""
@@ -160,17 +214,10 @@ class PrefixCounter:
         return out
 
     def _steps(self, piece: str) -> bytes:
-        counts = self.word_counts(piece) if piece[1:].isalpha() and piece[0] == " " else self.counts(piece)
-        try:
-            out = array("h", [b - a for a, b in zip([0, *counts], counts)])
-        except OverflowError as e:
-            raise OverflowError(OVERFLOW) from e
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
+        return _packed_steps(self.word_counts(piece) if piece[1:].isalpha() and piece[0] == " " else self.counts(piece))
 
     def steps(self, text: str) -> bytes:
-        """Little-endian 16-bit steps between the counts of successive prefixes of ``text``."""
+        """Little-endian 32-bit steps between the counts of successive prefixes of ``text``."""
         if bpe._UNEVEN_SPACE.search(text):
             return b"".join([bpe._remember(self.alone, p, p, self._steps) for p in bpe._BEFORE_SPACE.split(text)])
         first, *rest = text.split(" ")
@@ -178,6 +225,49 @@ class PrefixCounter:
                 + bpe._join(self.after_space, rest, " ", self._steps))
 
 
+def _tails(ranks: dict[bytes, int]) -> tuple[dict, dict, dict, dict]:
+    """By the last four, three, two bytes and one byte: lengths of the tokens that may end there, longest first.
+
+    Tokens of at most four bytes come with their id, longer ones are looked up (None).
+    """
+    by_tail: dict[bytes, set[int]] = {}
+    for token in ranks:
+        if len(token) >= 4:
+            by_tail.setdefault(token[-4:], set()).add(len(token))
+
+    def short(tail: bytes) -> tuple[tuple[int, int], ...]:
+        return tuple((n, ranks[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in ranks)
+
+    four = {t: (*((n, None) for n in sorted(ns - {4}, reverse=True)), *short(t)) for t, ns in by_tail.items()}
+    return four, *({t: short(t) for t in ranks if len(t) == k} for k in (3, 2, 1))
+
+
+def _keep(memo: dict[str, bytes], key: str, value: bytes) -> None:
+    if len(memo) >= bpe.MEMO_ENTRIES:
+        memo.clear()
+    memo[key] = value
+
+
+def _word_of(unit: str) -> str:
+    """What of a unit is looked up as one word: its text with the space right before it."""
+    body = unit.lstrip(_SPACE)
+    return unit[len(unit) - len(body) - 1:] if unit[:len(unit) - len(body)][-1:] == " " else body
+
+
+def _at_code_points(word: str, raw: bytes, count: list[int]) -> list[int]:
+    """Counts behind every code point, from those behind every byte (entry 0: none)."""
+    if len(raw) == len(word):
+        return count[1:]
+    return [c for i, c in enumerate(count) if i and (i == len(raw) or raw[i] & 0xC0 != 0x80)]
+
+
+def _packed_steps(counts: list[int]) -> bytes:
+    out = array("i", map(operator.sub, counts, [0, *counts]))
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 @functools.lru_cache(maxsize=2)
 def prefix_counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
@@ -185,12 +275,12 @@ def prefix_counter(path: str) -> PrefixCounter:
 
 def decode_steps(steps: bytes) -> np.ndarray:
     """Stored steps to counts: entry n is the token count of the first n code points (entry 0 is 0)."""
-    return np.concatenate([[0], np.cumsum(np.frombuffer(steps, "<i2"), dtype=np.int64)])
+    return np.concatenate([[0], np.cumsum(np.frombuffer(steps, "<i4"), dtype=np.int64)])
 
 
 def count_at(steps: bytes, chars: int) -> int:
     """Exact token count of the first ``chars`` code points."""
-    return int(np.frombuffer(steps, "<i2")[:max(0, chars)].sum(dtype=np.int64))
+    return int(np.frombuffer(steps, "<i4")[:max(0, chars)].sum(dtype=np.int64))
 
 
 def cut_for_budget(steps: bytes, budget: int) -> int:
@@ -216,6 +306,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, keep_prefixe
         counter = prefix_counter(tokenizer)
         for b in batches:
             texts = strings(b.column(1))
+            for i in range(0, len(texts), LEARN):
+                counter.learn(texts[i:i + LEARN])
             steps = [counter.steps(t) for t in texts]
             total = [count_at(s, len(t)) for s, t in zip(steps, texts)]
             cut = [cut_for_budget(s, limit) if n > limit else len(t) for s, n, t in zip(steps, total, texts)]
