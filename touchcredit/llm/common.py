@@ -104,6 +104,32 @@ def shard_of(keys: pa.Array, bounds: list[int]) -> np.ndarray:
     return out.astype(np.int32)
 
 
+def pair_bounds(df: DataFrame, key: str, salt: str, shards: int, per_shard: int = 64) -> list[tuple[int, int]]:
+    """:func:`range_bounds` of (key, salt) pairs, for keys that many rows repeat: an id's rows may fill several shards."""
+    n = df.filter(F.col(key).isNotNull()).count()
+    if shards <= 1 or not n:
+        return []
+    step = max(1, n // (shards * per_shard))
+    hit = F.pmod(F.xxhash64(F.col(key), F.col(salt)), F.lit(step)) == 0
+    pairs = sorted({tuple(r) for r in df.filter(F.col(key).isNotNull() & hit).select(key, salt).distinct().collect()})
+    return sorted({pairs[len(pairs) * i // shards] for i in range(1, shards)}) if pairs else []
+
+
+def shard_of_pair(keys: pa.Array, salts: pa.Array, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Number of bounds at or below each (key, salt) pair (NULL keys: 0, they sort first)."""
+    null = keys.is_null().to_numpy(zero_copy_only=False)
+    k = keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    s = salts.to_numpy(zero_copy_only=False).astype(np.int64)
+    edge_k = np.array([b[0] for b in bounds], np.int64)
+    edge_s = np.array([b[1] for b in bounds], np.int64)
+    out = np.searchsorted(edge_k, k, side="left")
+    last = np.searchsorted(edge_k, k, side="right")
+    for i in np.flatnonzero(last > out):  # among the bounds of the same key
+        out[i] += np.searchsorted(edge_s[out[i]:last[i]], s[i], side="right")
+    out[null] = 0
+    return out.astype(np.int32)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text or binary column, and the offsets of its rows in them (NULL as empty)."""
     column = column.cast(pa.large_binary()).fill_null(b"")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import open_fs, pin, range_bounds, shard_of, ship, shuffle_partitions, strings, work_dir
+from .common import open_fs, pair_bounds, pin, shard_of_pair, ship, shuffle_partitions, strings, work_dir
 
 MAGIC = b"S8BT"
 BLOCK_IDS = 65_536
@@ -179,22 +179,31 @@ def write_atomically(uri: str, name: str, data: bytes) -> None:
     store.move(temp, f"{root}/{name}")
 
 
+def read_whole(uri: str, name: str) -> bytes:
+    """The bytes of one file of a folder."""
+    store, root = open_fs(uri)
+    with store.open_input_file(f"{root}/{name}") as f:
+        return f.read()
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int | None = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text into token files under ``path``; returns the pinned manifest (one row per file)."""
     spark = docs.sparkSession
     ship(spark)
     shards = shuffle_partitions(spark)
-    bounds = range_bounds(docs, id_col, shards)
+    salted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(F.col(text_col)).alias("salt"))
+    bounds = pair_bounds(salted, "doc_id", "salt", shards)
     end = b"" if end_id is None else int(end_id).to_bytes(2, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = bpe.word_bpe(tokenizer)
         for b in batches:
             ids = [vocabulary.ids16(t) + end for t in strings(b.column(1))]
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(b.column(0), bounds)), b.column(0),
-                                              pa.array(ids, pa.large_binary()).cast(pa.binary())],
-                                             ["shard", "doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of_pair(b.column(0), b.column(2), bounds)), b.column(0),
+                                              b.column(2), pa.array(ids, pa.large_binary()).cast(pa.binary())],
+                                             ["shard", "doc_id", "salt", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, base, number = None, 0, 0
@@ -212,7 +221,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int |
             return row.cast(_MANIFEST)
 
         for b in batches:
-            for s, d, ids in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for s, d, _, ids in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if docs_ and (s != shard or held >= FILE_IDS):
                     yield flush()
                 if s != shard:
@@ -224,9 +233,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int |
         if docs_:
             yield flush()
 
-    encoded = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        encode, "shard int, doc_id long, ids binary")
-    files = (encoded.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id")
+    encoded = salted.mapInArrow(encode, "shard int, doc_id long, salt long, ids binary")
+    # A total order but for equal rows: whatever the input's partitions, the files' bytes are the same.
+    files = (encoded.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "salt", "ids")
              .mapInArrow(write, _MANIFEST_DDL))
     return pin(files, "token-manifest")
 
@@ -239,6 +248,8 @@ _MANIFEST = pa.schema([("shard", pa.int32()), ("number", pa.int32()), ("file", p
 def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the files.
 
+    The manifest says which files there are and what their checksums must be;
+    other files in the folder (of an attempt that failed) are never read.
     ``start`` counts the ids of all documents before it.  The driver gets one
     total per shard (at most ``spark.sql.shuffle.partitions`` rows).
     """
@@ -250,9 +261,12 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, content in zip(b.column(0), b.column(1)):
-                file = TokenFile(content.as_buffer().to_pybytes())
-                base = before[int(name.as_py().split("-")[-2])] + file.base
+            for shard, name, checksum in zip(*(c.to_pylist() for c in b.columns)):
+                data = read_whole(path, name)
+                if zlib.crc32(data) != checksum:
+                    raise ValueError(f"{name} differs from its manifest")
+                file = TokenFile(data)
+                base = before[shard] + file.base
                 crc = [zlib.crc32(ids.astype("<u4").tobytes()) for _, _, ids in file.documents()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(file.doc_ids, pa.int64()), pa.array(base + file.starts), pa.array(file.counts),
@@ -261,8 +275,7 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if not totals:
         return spark.createDataFrame([], schema)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.s8b").load(path)
-             .select("path", "content"))
+    files = manifest.select("shard", "file", "crc32").repartition(shuffle_partitions(spark))
     return files.mapInArrow(decode, schema)
 
 

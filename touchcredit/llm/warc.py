@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pin, range_bounds, shard_of, ship, shuffle_partitions, work_dir
-from .token_codec import write_atomically
+from .token_codec import read_whole, write_atomically
 
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 32 << 20
@@ -176,13 +176,18 @@ def write_warc(pages: DataFrame, path: str, min_payload: int = 0, roll_bytes: in
 def read_warc(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every page record of the archives.
 
-    Digests and lengths of blocks and payloads are checked; a mismatch fails.
+    The manifest says which files there are; others in the folder are never read.
+    Digests of files, and digests and lengths of blocks and payloads, are
+    checked; a mismatch fails.
     """
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column(0):
+            for name, digest_of_file in zip(*(c.to_pylist() for c in b.columns)):
+                data = read_whole(path, name)
+                if sha1_base32(data) != digest_of_file:
+                    raise ValueError(f"{name} differs from its manifest")
                 rows = []
-                for h, block in records(content.as_buffer().to_pybytes()):
+                for h, block in records(data):
                     if h["WARC-Type"] == "warcinfo":
                         continue
                     if h["WARC-Block-Digest"] != f"sha1:{sha1_base32(block)}":
@@ -203,8 +208,7 @@ def read_warc(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     if manifest.isEmpty():
         return spark.createDataFrame([], schema)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "pages-*.warc.gz").load(path).select("content"))
-    return files.mapInArrow(parse, schema)
+    return manifest.select("file", "sha1").repartition(shuffle_partitions(spark)).mapInArrow(parse, schema)
 
 
 def warc_round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
