@@ -16,7 +16,9 @@ words per (source, bin) are summed, and the bin in which the target is reached i
 split again until it holds at most ``BOUNDARY`` documents (more only when rows
 repeat id and text).  The documents just beyond the cut (a few hundred per
 source) are walked in rank order, and those that still fit are taken, so the
-target is met to within about the size of one small document.
+target is met to within about the size of one small document.  Rows of equal
+rank, id and size are counted first and walked as one entry, so repeated rows,
+however many, are never gathered.
 
 Per-source totals are collected (one row per source); document rows never are.
 
@@ -35,12 +37,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sessions import expand
 from .common import fresh, pin, ship
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = Fraction(3, 2)
 MAX_COPIES = 2
 BOUNDARY = 4096
+SALTS = 256
 TAIL = 512  # documents beyond the cut that are tried one by one
 _BITS, _STEP = 48, 12  # ranks have 48 bits and are split by 12 at a time
 
@@ -92,16 +96,17 @@ def pareto_rank(u: Column, p: Column) -> Column:
 
 
 def _take_boundary(g: pd.DataFrame) -> pd.DataFrame:
-    """Rank order walk over one source's boundary documents; ``room`` is what its target has left."""
+    """Rank order walk over one source's boundary entries of ``n`` equal rows; ``room`` is what its target has left."""
     g = g.sort_values(["rank", "doc_id", "size"], na_position="first")
-    room, extra = float(g["room"].iloc[0]), []
-    for size in g["size"].tolist():
-        extra.append(0 < size <= room)
-        room -= size if extra[-1] else 0
-    rest = [(s, i) for i, (s, x) in enumerate(zip(g["size"].tolist(), extra)) if not x and s > 0]
+    room, extras = float(g["room"].iloc[0]), []
+    sizes, counts = g["size"].tolist(), g["n"].tolist()
+    for size, n in zip(sizes, counts):
+        extras.append(min(n, int(room // size)) if size > 0 else 0)
+        room -= size * extras[-1]
+    rest = [(size, i) for i, (size, n) in enumerate(zip(sizes, counts)) if size > 0 and extras[i] < n]
     if rest and abs(min(rest)[0] - room) < room:
-        extra[min(rest)[1]] = True
-    g["extra"] = extra
+        extras[min(rest)[1]] += 1
+    g["extras"] = extras
     return g.drop(columns=["room"])
 
 
@@ -164,12 +169,14 @@ def _near(rank: str = "rank", cut: str = "cut") -> Column:
 
 
 def _edge(sized: DataFrame, cuts: DataFrame) -> DataFrame:
-    """The documents next to their source's cut, with ``extra``: whether a further copy is taken."""
+    """The documents next to their source's cut: ``n`` equal rows an entry, of which ``extras`` get a further copy."""
     cut = cuts.select("source_key", F.struct(*cuts.columns).alias("cut"))
     edge = _ranked(sized.join(cut, "source_key")).filter(_near())
-    edge = edge.select("doc_id", "source_key", "size", "rank", F.col("cut.room").alias("room"))
-    schema = edge.drop("room").schema.add("extra", "boolean")
-    return edge.groupBy("source_key").applyInPandas(lambda g: _take_boundary(g)[schema.names], schema)
+    entries = edge.groupBy("doc_id", "source_key", "size", "rank", F.col("cut.room").alias("room")).agg(
+        F.count(F.lit(1)).alias("n"))
+    entries = entries.select("doc_id", "source_key", "size", "rank", "n", "room")
+    schema = entries.drop("room").schema.add("extras", "long")
+    return entries.groupBy("source_key").applyInPandas(lambda g: _take_boundary(g)[schema.names], schema)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -181,7 +188,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = cuts.select("source_key", F.struct(*cuts.columns).alias("cut"))
     clear = _ranked(sized.join(cut, "source_key")).filter(~_near())
     clear = clear.withColumn("extra", F.col("rank") < F.col("cut.lo"))
-    edge = _edge(sized, cuts).join(cut, "source_key")
+    # An entry's rows are alike: the first ``extras`` of them get the copies.
+    edge = _edge(sized, cuts)
+    shares = F.array(F.struct(F.col("extras").alias("rows"), F.lit(True).alias("extra")),
+                     F.struct((F.col("n") - F.col("extras")).alias("rows"), F.lit(False).alias("extra")))
+    edge = edge.select("doc_id", "source_key", "size", F.explode(shares).alias("share"))
+    edge = edge.select("doc_id", "source_key", "size", "share.rows", "share.extra").filter("rows > 0")
+    edge = expand(edge, "rows").join(cut, "source_key")
     taken = (F.col("size") * (F.col("cut.whole") + F.col("extra").cast("int"))).alias("taken")
     columns = ["doc_id", "size", "cut.source_size", "cut.target", taken]
     return clear.select(*columns).unionAll(edge.select(*columns))
@@ -203,18 +216,43 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = _ranked(whole, u, rank, cut)
     some = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))  # a text without words is not taken
     clear = (whole.filter(~_near(rank, cut)).filter(some)
-             .withColumn(copies, F.col(f"{cut}.whole") + (F.col(rank) < F.col(f"{cut}.lo")).cast("int")))
-    # Next to a cut: rows of equal id, rank and size are alike, so the first of them get the copies.
-    alike = _edge(sized, cuts).groupBy("source_key", "doc_id", "size", "rank").agg(
-        F.sum(F.col("extra").cast("int")).alias("extras"))
+             .withColumn(copies, (F.col(f"{cut}.whole") + (F.col(rank) < F.col(f"{cut}.lo")).cast("int")).cast("long")))
+    # Next to a cut: of the rows of equal id, rank and size some ``extras`` get a further copy.
+    alike = _edge(sized, cuts).select("source_key", "doc_id", "size", "rank", "extras")
     more = fresh(docs, "mix_extra")
     found = alike.select(F.struct(*alike.columns).alias(more))
     edge = whole.filter(_near(rank, cut))
     same = ((edge[key] == found[f"{more}.source_key"]) & (edge[rank] == found[f"{more}.rank"])
             & edge[id_col].eqNullSafe(found[f"{more}.doc_id"]) & (_size(text_col) == found[f"{more}.size"]))
     edge = edge.filter(some).join(found, same)
-    number = F.row_number().over(Window.partitionBy(key, rank, id_col, F.col(f"{more}.size")).orderBy(rank))
-    edge = edge.withColumn(copies, F.col(f"{cut}.whole") + (number <= F.col(f"{more}.extras")).cast("int"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    out = clear.select(*columns, copies).unionAll(edge.select(*columns, copies)).filter(F.col(copies) > 0)
-    return out.select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)
+    out = clear.select(*columns, copies).unionAll(_with_copies(edge, docs, key, rank, cut, more, copies, id_col))
+    return expand(out.filter(F.col(copies) > 0), copies)
+
+
+def _with_copies(edge: DataFrame, docs: DataFrame, key: str, rank: str, cut: str, more: str, copies: str,
+                 id_col: str) -> DataFrame:
+    """Distinct boundary rows with the copies all rows like them get together.
+
+    Equal rows are counted before they are shuffled.  The rows of an entry that differ in
+    other columns are numbered in ``SALTS`` parts, whose sizes tell where each part begins.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    n, salt, part, at = (fresh(docs, f"mix_{x}") for x in ("n", "salt", "part", "at"))
+    extras, whole, size = (fresh(docs, f"mix_{x}") for x in ("extras", "whole", "size"))
+    rows = (edge.select(*columns, key, rank, F.col(f"{more}.size").alias(size), F.col(f"{more}.extras").alias(extras),
+                        F.col(f"{cut}.whole").alias(whole))
+            .groupBy(*columns, key, rank, size, extras, whole).agg(F.count(F.lit(1)).alias(n))
+            .withColumn(salt, F.pmod(F.xxhash64(*columns), F.lit(SALTS))))
+    entry = [key, rank, id_col, size]
+    sums = rows.groupBy(*entry, salt).agg(F.sum(n).alias(part))
+    before = Window.partitionBy(*entry).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*entry, salt, F.coalesce(F.sum(part).over(before), F.lit(0)).alias(part))
+    sums = sums.select(F.struct(*sums.columns).alias(at))
+    same = ((rows[key] == sums[f"{at}.{key}"]) & (rows[rank] == sums[f"{at}.{rank}"])
+            & rows[id_col].eqNullSafe(sums[f"{at}.{id_col}"]) & (rows[size] == sums[f"{at}.{size}"])
+            & (rows[salt] == sums[f"{at}.{salt}"]))
+    inside = Window.partitionBy(*entry, salt).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col(f"{at}.{part}") + F.coalesce(F.sum(n).over(inside), F.lit(0))
+    lucky = F.greatest(F.lit(0), F.least(F.col(n), F.col(extras) - first))
+    return rows.join(sums, same).select(*columns, (F.col(whole) * F.col(n) + lucky).alias(copies))
