@@ -16,9 +16,11 @@
 
 Owners hold a hash range each, so nothing is skewed by a text that a third of
 the rows repeat: a partition sends it once, and the suspects' grouping is
-pre-aggregated.  The two passes must see the same partitions: an input whose
-plan has a shuffle is pinned first, and a pass that meets a hash missing from
-its own list fails instead of guessing.
+pre-aggregated.  The two passes must see the same partitions: an input that is
+not the scan of a stored table is pinned first, and a pass that meets a hash
+missing from its own list fails instead of guessing.  There are as many owners as
+hold the hashes ``OWNER_HASHES`` each, however many partitions the input has, and
+``SENDERS`` partitions' answers share a folder.
 
 Defined cases: NULL text counts as empty and equals it; only A-Z are folded;
 NULL ids sort below all others; of rows that repeat id and text the first one
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as pads
 import xxhash
 from pyspark import TaskContext
@@ -41,7 +44,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fresh, open_fs, pin, ship, shuffle_partitions, strings, work_dir
+from .common import fresh, open_fs, pin, ship, strings, work_dir
+
+OWNER_HASHES = 8 << 20  # hashes an owner compares
+SENDERS = 64  # partitions whose answers share a folder
 
 
 def normalised(text: str) -> bytes:
@@ -127,8 +133,8 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _received(path: str, sender: int) -> tuple[np.ndarray, np.ndarray]:
     """The hashes that partition ``sender`` sent, ascending, and which of them are duplicated."""
     store, root = open_fs(path)
-    table = pads.dataset(f"{root}/sender={sender}", filesystem=store, format="parquet").to_table(
-        columns=["owner", "hashes", "again"])
+    table = pads.dataset(f"{root}/senders={sender // SENDERS}", filesystem=store, format="parquet").to_table(
+        columns=["owner", "hashes", "again"], filter=pc.field("sender") == sender)
     rows = sorted(zip(*(table.column(i).to_pylist() for i in range(3))))
     hashes = [golomb_decode(code) for _, code, _ in rows]
     marks = [np.unpackbits(np.frombuffer(bits, np.uint8), count=len(h)).astype(bool)
@@ -136,20 +142,20 @@ def _received(path: str, sender: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(marks)
 
 
-def _marked(docs: DataFrame, text_col: str, narrow: bool) -> tuple[DataFrame, dict[str, str]]:
+def _marked(docs: DataFrame, text_col: str, narrow: bool, stored: bool) -> tuple[DataFrame, dict[str, str]]:
     """The pinned rows with suspect flag, digest, suspects' normalised text and a row number."""
     spark = docs.sparkSession
     ship(spark)
-    plan = docs._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "Adaptive" in plan:
+    if not stored:
         docs = pin(docs, "dedup-input")
-    owners = shuffle_partitions(spark)
+    owners = max(1, -(-docs.count() // OWNER_HASHES))
     path = work_dir(spark, "dedup-answers")
     lists = docs.select(text_col).mapInArrow(_lists(owners), "sender int, owner int, hashes binary, again binary")
     answers = lists.repartitionById(owners, "owner").mapInArrow(
         _answers, "sender int, owner int, hashes binary, again binary")
-    (answers.repartition(owners, "sender").sortWithinPartitions("sender")
-     .write.partitionBy("sender").option("compression", "none").parquet(path))
+    (answers.withColumn("senders", F.floor(F.col("sender") / SENDERS).cast("int"))
+     .repartition("senders").sortWithinPartitions("senders", "sender")
+     .write.partitionBy("senders").option("compression", "none").parquet(path))
 
     names = {k: fresh(docs, k) for k in ("suspect", "sha256", "norm", "row")}
     at = docs.columns.index(text_col)
@@ -192,10 +198,13 @@ def _groups(marked: DataFrame, names: dict[str, str], id_col: str) -> DataFrame:
                     (-F.col("best.first")).alias("keep_row"), "group_size"))
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` of every document, dropped ones too."""
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stored: bool = False) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` of every document, dropped ones too.
+
+    ``stored``: the rows are a scan of a stored table, so they need not be pinned to be read twice.
+    """
     two = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    marked, names = _marked(two, "text", narrow=True)
+    marked, names = _marked(two, "text", narrow=True, stored=stored)
     sha = F.lower(F.hex(names["sha256"])).alias("text_sha256")
     alone = marked.filter(~F.col(names["suspect"])).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
@@ -206,9 +215,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return alone.unionAll(shared)
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          stored: bool = False) -> DataFrame:
     """The documents with one row left of each group of equal texts: the largest id's.  All columns stay."""
-    marked, names = _marked(docs, text_col, narrow=False)
+    marked, names = _marked(docs, text_col, narrow=False, stored=stored)
     stays = _groups(marked, names, id_col).select(F.col("keep_row"))
     alone = marked.filter(~F.col(names["suspect"]))
     shared = marked.filter(F.col(names["suspect"])).join(stays, marked[names["row"]] == stays["keep_row"], "left_semi")
