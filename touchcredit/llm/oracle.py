@@ -23,6 +23,19 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+# base32 of the SHA-1: five hex digits are 20 bits, four letters.
+_OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS kept FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT)
+                   // [32768, 1024, 32, 1][i % 4 + 1]) % 32 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM w
+"""
+
 _OP12 = """
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
 w AS (SELECT r, coalesce(doc_id, -9223372036854775808) AS k, p, substr(h, 2 * p + 1, 100) AS s
@@ -61,5 +74,5 @@ FROM p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op12_passages": _OP12,
+    return {"op7_warc": _OP7, "op9_exact_dedup": _OP9, "op10_top_k": _OP10, "op12_passages": _OP12,
             "op13_fill_in_middle": _OP13}

@@ -48,7 +48,7 @@ def op8_mixing(spark, sf_dir):
 
 
 def op9_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir), stored=True)
 
 
 def op10_top_k(spark, sf_dir):

@@ -346,8 +346,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = whole.select(F.col(id_col).alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
     roots = components(fingerprint_links(prints, max_bits))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    first = prints.groupBy("fp").agg(F.min(order).alias("low"))
+    first = prints.groupBy("fp").agg(F.min(order).alias("low"), F.count(F.lit(1)).alias("n"))
     rooted = (first.join(roots, first["fp"] == roots["node"], "left")
-              .select("low", F.coalesce("root", "fp").alias("root")))
-    stays = rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.row").alias("stays"))
-    return whole.join(stays, whole[row] == stays["stays"], "left_semi").drop(fp, row)
+              .select("fp", "low", "n", F.coalesce("root", "fp").alias("root")))
+    stays = rooted.groupBy("root").agg(F.min("low").alias("stay"), F.sum("n").alias("all"))
+    # Only rows that go are looked up: those of a group of several, but for its first.
+    several = rooted.join(stays.filter("all > 1"), "root").select(F.col("fp").alias("of"), F.col("stay.row").alias("stays"))
+    gone = prints.join(several, prints["fp"] == several["of"]).filter("row <> stays").select(F.col("row").alias("gone"))
+    return whole.join(gone, whole[row] == gone["gone"], "left_anti").drop(fp, row)
