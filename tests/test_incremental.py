@@ -18,12 +18,12 @@ def rows(df):
     return sorted(map(repr, round_doubles(df, 9).collect()))
 
 
-@pytest.mark.parametrize("cfg", [AttributionConfig(), AttributionConfig(session_key="user_session", chunk_rows=4)])
-def test_random_loads_equal_a_rebuild(spark, scratch_dir, cfg):
+@pytest.mark.parametrize("cfg, loads", [(AttributionConfig(), 3), (AttributionConfig(session_key="user_session", chunk_rows=4), 2)])
+def test_random_loads_equal_a_rebuild(spark, scratch_dir, cfg, loads):
     export = landed_export(spark, SF0001, irregular=True)
-    part = F.pmod(F.xxhash64("user_pseudo_id", "event_timestamp", "event_name"), F.lit(3))  # late rows in every load
+    part = F.pmod(F.xxhash64("user_pseudo_id", "event_timestamp", "event_name"), F.lit(loads))  # late rows in every load
     table = AttributionTable(spark, os.path.join(scratch_dir, "attribution"), cfg, buckets=8)
-    for n in range(3):
+    for n in range(loads):
         done = table.refresh(export.filter(part == n))
         assert done.version == n + 1
         with Attribution(export.filter(part <= n), cfg) as full:
