@@ -159,7 +159,8 @@ def derive_sessions(export: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG)
     """
     base_cols = tuple(c for c in SESSION_COLUMNS if c not in ("session_end_ts", "events"))
     rows = session_start_rows(export, cfg, base_cols)
-    heavy = ck.heavy_by_kind({"visitor": visitor_counts(rows), "session": session_counts(rows)}, cfg.chunk_rows)
+    heavy = ck.heavy_by_kind({"visitor": visitor_counts(rows), "session": session_counts(rows)}, cfg.chunk_rows,
+                             rows)
     ended = with_session_end(rows, cfg, heavy["visitor"]).rows()
     counted = attach_event_count(ended, session_event_count(export, cfg), heavy["session"])
     return expand(counted).select(*SESSION_COLUMNS)

@@ -115,11 +115,15 @@ class Ordered:
         return plain if self.cut is None else plain.unionByName(drop_internal(self.cut))
 
 
-def heavy_by_kind(counts: dict[str, DataFrame], limit: int) -> dict[str, DataFrame | None]:
+def heavy_by_kind(counts: dict[str, DataFrame], limit: int, rows: DataFrame | None = None
+                  ) -> dict[str, DataFrame | None]:
     """Per kind the keys (``_ck_key``) whose ``n`` add up to more than ``limit``; None if there are none.
 
-    One job finds and pins them all: at most rows / limit keys a kind.
+    One job finds and pins them all: at most rows / limit keys a kind.  ``rows``, if given, are what
+    all kinds count: no key has more rows than they are, so up to ``limit`` of them nothing is counted by key.
     """
+    if rows is not None and rows.count() <= limit:
+        return dict.fromkeys(counts)
     parts = [c.groupBy(KEY).agg(F.sum("n").alias("n")).filter(F.col("n") > limit).select(F.lit(k).alias(_KIND), KEY)
              for k, c in counts.items()]
     table = parts[0]
@@ -130,9 +134,9 @@ def heavy_by_kind(counts: dict[str, DataFrame], limit: int) -> dict[str, DataFra
     return {k: table.filter(F.col(_KIND) == k).select(KEY) if k in present else None for k in counts}
 
 
-def heavy_keys(counts: DataFrame, limit: int = DEFAULT_CHUNK_ROWS) -> DataFrame | None:
+def heavy_keys(counts: DataFrame, limit: int = DEFAULT_CHUNK_ROWS, rows: DataFrame | None = None) -> DataFrame | None:
     """:func:`heavy_by_kind` of one kind."""
-    return heavy_by_kind({"": counts}, limit)[""]
+    return heavy_by_kind({"": counts}, limit, rows)[""]
 
 
 def key_counts(rows: DataFrame, key: Column) -> DataFrame:

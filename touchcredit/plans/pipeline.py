@@ -71,13 +71,20 @@ class Attribution:
 
     @_stage
     def heavy(self) -> dict[str, DataFrame | None]:
-        """Keys with more than ``chunk_rows`` rows, for every stage and join that deals rows by them."""
-        starts, converting = roles.start_rows(self.roles), roles.conversion_rows(self.roles)
-        visitors, converters = sessions.visitor_counts(starts), sessions.visitor_counts(converting)
+        """Keys with more than ``chunk_rows`` session starts, for the stages and joins that deal them by key."""
+        starts = roles.start_rows(self.roles)
+        visitors = sessions.visitor_counts(starts)
         return ck.heavy_by_kind(
-            {"visitor": visitors, "user": identity.user_counts(visitors, self.logins), "converter": converters,
-             "buyer": identity.user_counts(converters, self.logins), "session": sessions.session_counts(starts)},
-            self.cfg.chunk_rows)
+            {"visitor": visitors, "user": identity.user_counts(visitors, self.logins),
+             "session": sessions.session_counts(starts)}, self.cfg.chunk_rows, starts)
+
+    @_stage
+    def heavy_converters(self) -> dict[str, DataFrame | None]:
+        """The same of conversions: visitors and the users they belong to."""
+        converting = roles.conversion_rows(self.roles)
+        visitors = sessions.visitor_counts(converting)
+        return ck.heavy_by_kind({"visitor": visitors, "user": identity.user_counts(visitors, self.logins)},
+                                self.cfg.chunk_rows, converting)
 
     @_stage
     def sessions(self) -> ck.Ordered:
@@ -92,7 +99,7 @@ class Attribution:
     def conversion_candidates(self) -> DataFrame:
         """Order and registration events with blended ids, only the columns that are scored."""
         return identity.blend_users(roles.conversion_rows(self.roles), self.logins, self.logins,
-                                    self.heavy["converter"])
+                                    self.heavy_converters["visitor"])
 
     @_stage
     def converting_events_filtered(self) -> DataFrame:
@@ -103,7 +110,8 @@ class Attribution:
     @_stage
     def converting_events(self) -> DataFrame:
         return conversions.score_conversions(
-            conversions.select_converting_events(self.conversion_candidates, self.cfg, self.heavy["buyer"]), self.cfg)
+            conversions.select_converting_events(self.conversion_candidates, self.cfg,
+                                                  self.heavy_converters["user"]), self.cfg)
 
     @_stage
     def converting_sessions(self) -> DataFrame:

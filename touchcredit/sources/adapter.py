@@ -68,7 +68,7 @@ def sessionize(events: DataFrame) -> DataFrame:
                           F.get_json_object("props", "$.k").cast("long").alias("k")))
     order = ck.Order(("ts", "event_id"))
     key = non_null_key(F.col("user_id"))
-    tagged = ck.arrange(base, key, order, ["event_id"], heavy=ck.heavy_keys(ck.key_counts(base, key)))
+    tagged = ck.arrange(base, key, order, ["event_id"], heavy=ck.heavy_keys(ck.key_counts(base, key), rows=base))
     with_prev = ck.ordered_scan(tagged, order, lag={"prev_ts": "ts"})
     flagged = with_prev.withColumn(
         "is_new", F.when(F.col("prev_ts").isNull() | (F.col("ts") > F.col("prev_ts") + F.expr(SESSION_GAP)), 1)
