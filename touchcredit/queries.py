@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from .config import DEFAULT_CONFIG, FIRST_NON_DIRECT, AttributionConfig
 from .functions.columns import device_class, event_param, micros_to_ts
-from .operators import conversions, cycles, events, identity, models, sessions, touchpoints, weights
+from .operators import conversions, cycles, events, identity, models, roles, sessions, touchpoints, weights
 from .plans import chunked as ck
 from .plans.pipeline import Attribution
 from .schema import DEVICE
@@ -185,8 +185,7 @@ def q_converting_sessions(spark, sf_dir, irregular=False):
 
 def q_lost_conversions(spark, sf_dir, irregular=False):
     p = _pipe(spark, sf_dir, irregular=irregular)
-    starts = sessions.session_start_rows(p.export, p.cfg, ("session_id",))
-    return conversions.lost_conversions(p.converting_sessions, starts)
+    return conversions.lost_conversions(p.converting_sessions, roles.start_rows(p.roles))
 
 
 def q_channel_flags(spark, sf_dir):

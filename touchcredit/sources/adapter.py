@@ -55,11 +55,16 @@ def _epoch_ntz():
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
-def _pick(index, values, cast="string"):
-    expr = F.lit(None).cast(cast)
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v).cast(cast)).otherwise(expr)
-    return expr
+def _named(names: list[str], values: tuple) -> Column:
+    return F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, values, strict=True)])
+
+
+def _pick(index: Column, structs: list[Column], absent: Column) -> Column:
+    """The ``index``-th of constant structs, looked up in one constant array; ``absent`` outside of them.
+
+    A CASE per field makes the generated row code too long for the JVM to compile.
+    """
+    return F.coalesce(F.get(F.array(*structs), index.cast("int")), absent)
 
 
 def sessionize(events: DataFrame) -> DataFrame:
@@ -91,15 +96,17 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
     named = F.when(F.col("event_type") == "signup", F.lit("Form Submitted")) \
         .when((F.col("event_type") == "purchase") & (F.col("k") % 5 == 0), F.lit("file_download")) \
         .otherwise(F.col("event_type"))
-    rows = s.select("event_id", "ts", "user_id", "value", "sn", "sk", "k", named.alias("event_name"))
-    starts = s.filter(F.col("is_new") == 1).select(
-        "event_id", "ts", "user_id", F.lit(None).cast("double").alias("value"), "sn", "sk",
-        F.col("sk").alias("k"), F.lit("session_start").alias("event_name"))
+    # A row that opens a session comes once more as its start: one pass over the scanned events.
+    times = F.lit(1)
     if irregular:
         times = F.when(_rule("sk", NO_START), 0).when(_rule("sk", TWO_STARTS), 2).otherwise(1)
-        starts = (starts.withColumn("_n", times).filter("_n > 0")
-                  .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"))
-    u = rows.unionByName(starts)
+    copies = F.concat(F.array(F.lit(False)),
+                      F.array_repeat(F.lit(True), F.when(F.col("is_new") == 1, times).otherwise(0)))
+    start = F.col("_start")
+    u = s.select("event_id", "ts", "user_id", "event_type", "value", "sn", "sk", "k", F.explode(copies).alias("_start")).select(
+        "event_id", "ts", "user_id", F.when(~start, F.col("value")).alias("value"), "sn", "sk",
+        F.when(start, F.col("sk")).otherwise(F.col("k")).alias("k"),
+        F.when(start, F.lit("session_start")).otherwise(named).alias("event_name"))
 
     c = F.floor(F.col("sk") / 5) % 6
     uid = F.col("user_id")
@@ -118,8 +125,18 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
             F.lit(None).cast("double").alias("float_value"),
             F.lit(None).cast("double").alias("double_value")).alias("value"))
 
+    def device(category):
+        return F.struct(F.lit(category).cast("string").alias("category"),
+                        *[F.lit(None).cast("string").alias(n) for n in (
+                            "operating_system", "operating_system_version", "language", "mobile_brand_name",
+                            "mobile_model_name", "mobile_marketing_name", "mobile_os_hardware_model", "vendor_id",
+                            "advertising_id", "is_limited_ad_tracking")],
+                        F.lit(None).cast("int").alias("time_zone_offset_seconds"),
+                        F.struct(F.lit(None).cast("string").alias("browser_version")).alias("web_info"))
+
+    traffic_names = ["source", "medium", "name"]
+    geo_names = ["continent", "country", "region", "city"]
     is_order = F.col("event_name") == "file_download"
-    null_s = F.lit(None).cast("string")
     return u.select(
         F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts").cast("timestamp_ntz")).alias("event_timestamp"),
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
@@ -128,9 +145,8 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
         F.when(F.col("event_name") == "Form Submitted",
                F.concat(F.lit("u"), F.floor(uid / 2).cast("string"))).alias("user_id"),
         F.lit("WEB").alias("platform"),
-        F.struct(_pick(c, [t[2] for t in TRAFFIC_CLASSES]).alias("name"),
-                 _pick(c, [t[1] for t in TRAFFIC_CLASSES]).alias("medium"),
-                 _pick(c, [t[0] for t in TRAFFIC_CLASSES]).alias("source")).alias("traffic_source"),
+        _pick(c, [_named(traffic_names[::-1], t[::-1]) for t in TRAFFIC_CLASSES],
+              _named(traffic_names[::-1], (None,) * 3)).alias("traffic_source"),
         F.array(
             param("ga_session_id", integer=session_id),
             param("ga_session_number", integer=F.col("sn").cast("long")),
@@ -142,17 +158,8 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
                                   F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("transaction_id"))
                ).alias("ecommerce"),
         F.struct(F.when(uid % 3 == 0, F.lit("app")).alias("id")).alias("app_info"),
-        F.struct(_pick(uid % 4, DEVICE_CATEGORIES).alias("category"),
-                 *[null_s.alias(n) for n in ("operating_system", "operating_system_version", "language",
-                                             "mobile_brand_name", "mobile_model_name", "mobile_marketing_name",
-                                             "mobile_os_hardware_model", "vendor_id", "advertising_id",
-                                             "is_limited_ad_tracking")],
-                 F.lit(None).cast("int").alias("time_zone_offset_seconds"),
-                 F.struct(null_s.alias("browser_version")).alias("web_info")).alias("device"),
-        F.struct(_pick(uid % 5, [g[0] for g in GEO_NAMES]).alias("continent"),
-                 _pick(uid % 5, [g[1] for g in GEO_NAMES]).alias("country"),
-                 _pick(uid % 5, [g[2] for g in GEO_NAMES]).alias("region"),
-                 _pick(uid % 5, [g[3] for g in GEO_NAMES]).alias("city")).alias("geo"),
+        _pick(uid % 4, [device(d) for d in DEVICE_CATEGORIES], device(None)).alias("device"),
+        _pick(uid % 5, [_named(geo_names, g) for g in GEO_NAMES], _named(geo_names, (None,) * 4)).alias("geo"),
     )
 
 

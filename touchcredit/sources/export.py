@@ -74,10 +74,10 @@ def land_export(export: DataFrame, path: str | None = None, partition_by_date: b
     earlier sessions), so it reads every partition.
     """
     if partition_by_date:
-        # Range-partition by (day, time): few files per day, and a day holding
-        # a large share of the export is still split over several tasks.
-        writer = (export.repartitionByRange(F.col("event_date"), F.col("event_timestamp"))
-                  .write.mode(mode).partitionBy("event_date"))
+        # Few files per day, and a day holding a large share of the export is still split
+        # over several tasks (by measured size).  A range split would compute the
+        # whole export twice: once for its sample.
+        writer = export.hint("rebalance", F.col("event_date")).write.mode(mode).partitionBy("event_date")
     else:
         writer = export.write.mode(mode)
     if table is None:
