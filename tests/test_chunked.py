@@ -80,3 +80,16 @@ def test_split_points_are_searched_by_halving(spark):
     df = spark.createDataFrame(rows, "p array<long>, x long")
     got = df.select("p", "x", ck._points_passed(F.col("p"), F.col("x")).alias("n")).collect()
     assert all(r.n == sum(p <= r.x for p in r.p) for r in got if r.p)
+
+
+@pytest.mark.parametrize("hot_rows", [10 ** 6, 500])
+def test_many_heavy_keys_are_not_broadcast(spark, monkeypatch, hot_rows):
+    """More heavy keys and chunks than may be broadcast: the same results, with only the hot keys known everywhere."""
+    monkeypatch.setattr(ck, "BROADCAST_KEYS", 5, raising=False)
+    monkeypatch.setattr(ck, "BROADCAST_ROWS", 5, raising=False)
+    monkeypatch.setattr(ck, "DEFAULT_CHUNK_ROWS", hot_rows)
+    sent = []
+    hint = F.broadcast
+    monkeypatch.setattr(ck.F, "broadcast", lambda df: sent.append(df.count()) or hint(df))
+    test_scan_and_group_stats_match_plain_windows(spark, 3)
+    assert max(sent, default=0) <= 5

@@ -29,7 +29,7 @@ CANDIDATE_COLUMNS = ("event_ts", "event_id", "user_pseudo_id", "event_type", "se
 
 def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                           logins: DataFrame | None = None, columns: tuple[str, ...] | None = None,
-                          heavy: DataFrame | None = None) -> DataFrame:
+                          heavy: ck.Heavy | None = None) -> DataFrame:
     """Order and registration events with ``blended_user_id`` (all event columns, or ``columns``).
 
     The first-registration / first-order lookups only ever read these two
@@ -41,7 +41,7 @@ def conversion_candidates(events: DataFrame, ids: DataFrame, cfg: AttributionCon
 
 
 def select_converting_events(blended_events: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                             heavy: DataFrame | None = None) -> DataFrame:
+                             heavy: ck.Heavy | None = None) -> DataFrame:
     """Every order, plus each blended user's first registration.
 
     Adds ``first_registration_event_id`` and ``first_order_event_id``: the

@@ -53,7 +53,7 @@ def login_map(ids: DataFrame) -> DataFrame:
 
 
 def blend_users(df: DataFrame, ids: DataFrame, logins: DataFrame | None = None,
-                heavy: DataFrame | None = None) -> DataFrame:
+                heavy: ck.Heavy | None = None) -> DataFrame:
     """``df`` + ``blended_user_id = coalesce(login, user_pseudo_id)``.
 
     Left join on ``user_pseudo_id``, in one pass over ``df``.  A NULL pseudo id
@@ -93,7 +93,10 @@ def blend_ordered(rows: ck.Ordered, logins: DataFrame) -> DataFrame:
     plain = joined(rows.plain, lookup)
     if rows.cut is None:
         return plain
-    known = lookup.join(F.broadcast(rows.heavy), ck.KEY, "left_semi")
+    if rows.heavy.many:
+        named = ck.join_unique(rows.cut, lookup.withColumnRenamed(ck.KEY, "_pk"), F.col(ck.KEY), F.col("_pk"), rows.heavy)
+        return plain.unionByName(ck.drop_internal(named.withColumn("blended_user_id", blended).drop("_login", "_pk")))
+    known = lookup.join(F.broadcast(rows.heavy.hot), ck.KEY, "left_semi")
     return plain.unionByName(joined(rows.cut, F.broadcast(known)))
 
 

@@ -89,7 +89,7 @@ def visitor_counts(rows: DataFrame) -> DataFrame:
 
 
 def with_session_end(rows: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                     heavy: DataFrame | None = None) -> ck.Ordered:
+                     heavy: ck.Heavy | None = None) -> ck.Ordered:
     """Distinct start rows with ``session_end_ts`` and the multiplicity ``_mult``, dealt by pseudo id.
 
     ``heavy``: pseudo ids with more than ``cfg.chunk_rows`` rows (``ck.heavy_keys`` of
@@ -128,7 +128,7 @@ def session_counts(rows: DataFrame) -> DataFrame:
     return ck.key_counts(rows, non_null_key(F.col("session_id")))
 
 
-def attach_event_count(df: DataFrame, counts: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def attach_event_count(df: DataFrame, counts: DataFrame, heavy: ck.Heavy | None = None) -> DataFrame:
     """``df`` + ``events`` by NULL-safe match on ``session_id``; ``heavy`` ids (``session_counts``) stay spread."""
     return ck.join_unique(df, counts.withColumnRenamed("session_id", "_sid"), non_null_key(F.col("session_id")),
                           non_null_key(F.col("_sid")), heavy).drop("_sid")

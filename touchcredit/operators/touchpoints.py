@@ -48,7 +48,7 @@ def channel_flags(df: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                            "is_paid_channel": is_paid(F.col(medium), cfg)})
 
 
-def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig, heavy: DataFrame | None) -> DataFrame:
+def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig, heavy: ck.Heavy | None) -> DataFrame:
     """Sessions with the conversions of their session id (of the user's session id, if so configured)."""
     keys = ["session_id"] if cfg.session_key == "session" else ["blended_user_id", "session_id"]
     known = conv.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(x).alias(f"c_{x}") for x in _C_COLS])
@@ -67,7 +67,7 @@ def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig, hea
 
 
 def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
-                              heavy: dict[str, DataFrame | None] | None = None) -> ck.Ordered:
+                              heavy: dict[str, ck.Heavy | None] | None = None) -> ck.Ordered:
     """O14 on the skew-safe plan; keeps the ``_ck_`` columns for later passes.
 
     ``sessions``: blended sessions with ends and multiplicity ``_mult``
@@ -118,7 +118,7 @@ def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: Attribu
 
 def label_touchpoints(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,
                       event_counts: DataFrame | None = None,
-                      heavy: dict[str, DataFrame | None] | None = None) -> DataFrame:
+                      heavy: dict[str, ck.Heavy | None] | None = None) -> DataFrame:
     """O14 output: 34 columns (``events`` NULL unless ``event_counts`` is given)."""
     tp = label_touchpoints_chunked(sessions, conv, cfg, heavy).rows()
     if event_counts is not None:

@@ -63,6 +63,8 @@ _KIND = "_ck_kind"
 _JOIN = "_ck_join"
 
 SAMPLE = 32  # sampled rows per chunk
+BROADCAST_KEYS = 1 << 13  # heavy keys that are broadcast; of more, only those too large for one task
+BROADCAST_ROWS = 1 << 16  # rows of a correction table that is broadcast; a larger one is joined by (key, chunk)
 
 _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
@@ -81,13 +83,30 @@ class Order:
         return [F.col(c).desc_nulls_first() for c in self.columns] + [F.col(TB).desc_nulls_first()]
 
 
+@dataclass(frozen=True)
+class Heavy:
+    """Keys with more than ``chunk_rows`` rows.
+
+    ``hot`` are broadcast: all of them, or, if they or their chunks are too many for that, those with more
+    than ``DEFAULT_CHUNK_ROWS`` rows (at most rows / ``DEFAULT_CHUNK_ROWS``; None if there are none).  Of the
+    others a task holds whole keys.
+    """
+
+    keys: DataFrame
+    hot: DataFrame | None
+    many: bool = False
+
+    def count(self) -> int:
+        return self.keys.count()
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows of an ordered stage: those of ordinary keys, and those of heavy keys, cut into chunks."""
 
     plain: DataFrame
     cut: DataFrame | None = None
-    heavy: DataFrame | None = None  # the keys of ``cut``
+    heavy: Heavy | None = None  # the keys of ``cut``
 
     def each(self, step: Callable[[DataFrame], DataFrame]) -> "Ordered":
         """The same row-wise step on both."""
@@ -116,7 +135,7 @@ class Ordered:
 
 
 def heavy_by_kind(counts: dict[str, DataFrame], limit: int, rows: DataFrame | None = None
-                  ) -> dict[str, DataFrame | None]:
+                  ) -> dict[str, Heavy | None]:
     """Per kind the keys (``_ck_key``) whose ``n`` add up to more than ``limit``; None if there are none.
 
     One job finds and pins them all: at most rows / limit keys a kind.  ``rows``, if given, are what
@@ -124,17 +143,27 @@ def heavy_by_kind(counts: dict[str, DataFrame], limit: int, rows: DataFrame | No
     """
     if rows is not None and rows.count() <= limit:
         return dict.fromkeys(counts)
-    parts = [c.groupBy(KEY).agg(F.sum("n").alias("n")).filter(F.col("n") > limit).select(F.lit(k).alias(_KIND), KEY)
+    parts = [c.groupBy(KEY).agg(F.sum("n").alias("n")).filter(F.col("n") > limit).select(F.lit(k).alias(_KIND), KEY, "n")
              for k, c in counts.items()]
     table = parts[0]
     for p in parts[1:]:
         table = table.unionAll(p)
     table = checkpoint(table)
-    present = {r[0] for r in table.select(_KIND).distinct().collect()}  # at most one row a kind
-    return {k: table.filter(F.col(_KIND) == k).select(KEY) if k in present else None for k in counts}
+    large = F.col("n") > DEFAULT_CHUNK_ROWS
+    found = table.groupBy(_KIND).agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"),
+                                     F.max(large).alias("large")).collect()  # at most one row a kind
+
+    def heavy(kind: str, n_keys: int, n_rows: int, any_large: bool) -> Heavy:
+        of_kind = table.filter(F.col(_KIND) == kind)
+        keys = of_kind.select(KEY)
+        if n_keys <= BROADCAST_KEYS and n_rows // limit <= BROADCAST_ROWS:
+            return Heavy(keys, keys)
+        return Heavy(keys, of_kind.filter(large).select(KEY) if any_large else None, many=True)
+
+    return dict.fromkeys(counts) | {r[_KIND]: heavy(*r) for r in found}
 
 
-def heavy_keys(counts: DataFrame, limit: int = DEFAULT_CHUNK_ROWS, rows: DataFrame | None = None) -> DataFrame | None:
+def heavy_keys(counts: DataFrame, limit: int = DEFAULT_CHUNK_ROWS, rows: DataFrame | None = None) -> Heavy | None:
     """:func:`heavy_by_kind` of one kind."""
     return heavy_by_kind({"": counts}, limit, rows)[""]
 
@@ -144,11 +173,12 @@ def key_counts(rows: DataFrame, key: Column) -> DataFrame:
     return rows.groupBy(key.alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column, heavy: DataFrame | None) -> DataFrame:
+def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column, heavy: Heavy | None) -> DataFrame:
     """``big`` LEFT JOIN ``small``, which has one row per key.
 
     Keys are strings (as in ``heavy``); a NULL key matches nothing.  Rows of ``big`` under a heavy key
-    never share a task because of it: their matches are a broadcast of at most one row per heavy key.
+    never share a task because of it: their matches are a broadcast of at most one row per heavy key (per
+    ``hot`` key if there are many; the rows of any other fit a task).
     """
     small = small.withColumn(_JOIN, small_key)
     big = big.withColumn(KEY, key)
@@ -156,21 +186,24 @@ def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column
     def joined(rows: DataFrame, matches: DataFrame) -> DataFrame:
         return rows.join(matches, F.col(KEY) == F.col(_JOIN), "left").drop(KEY, _JOIN)
 
-    if heavy is None:
+    if heavy is None or heavy.hot is None:
         return joined(big, small)
-    known = F.broadcast(heavy)
-    matches = small.join(F.broadcast(heavy.withColumnRenamed(KEY, _JOIN)), _JOIN, "left_semi")
+    known = F.broadcast(heavy.hot)
+    matches = small.join(F.broadcast(heavy.hot.withColumnRenamed(KEY, _JOIN)), _JOIN, "left_semi")
     return joined(big.join(known, KEY, "left_anti"), small).unionByName(
         joined(big.join(known, KEY, "left_semi"), F.broadcast(matches)))
 
 
 def arrange(rows: DataFrame, key: Column, order: Order, tiebreak: list[str], mult: str | None = None,
-            heavy: DataFrame | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Ordered:
+            heavy: Heavy | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Ordered:
     """``rows`` with ``_ck_key`` and ``_ck_tb``, dealt by key; those of ``heavy`` keys cut into chunks.
 
     ``mult`` names a multiplicity: rows equal in all other columns become one,
     with the sum.  For plain rows that grouping reuses the key's exchange; copies
     under a heavy key are combined before they are shuffled.
+
+    Where heavy keys are many, those whose rows fit a task are dealt by key like the plain rows, and cut by
+    their row numbers; only hot keys are broadcast and cut at split points.
     """
     tagged = rows.withColumn(KEY, key)
 
@@ -180,9 +213,20 @@ def arrange(rows: DataFrame, key: Column, order: Order, tiebreak: list[str], mul
 
     if heavy is None:
         return Ordered(collapsed(tagged.repartition(KEY)))
-    plain = tagged.join(F.broadcast(heavy), KEY, "left_anti")
-    cut = checkpoint(collapsed(tagged.join(F.broadcast(heavy), KEY, "left_semi")))
-    return Ordered(collapsed(plain.repartition(KEY)), _in_chunks(cut, order, chunk_rows), heavy)
+    rest, cut = tagged, None
+    if heavy.hot is not None:
+        rest = tagged.join(F.broadcast(heavy.hot), KEY, "left_anti")
+        cut = _in_chunks(checkpoint(collapsed(tagged.join(F.broadcast(heavy.hot), KEY, "left_semi"))), order, chunk_rows)
+    dealt = collapsed(rest.repartition(KEY))
+    if not heavy.many:
+        return Ordered(dealt, cut, heavy)
+    # Most rows are cut: all are pinned at once, so that the few plain ones do not compute them again.
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy(*order.asc()))
+    sized = checkpoint(dealt.withColumn(CNT, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
+                       .withColumn(CHUNK, F.floor((place - 1) / chunk_rows).cast("int")))
+    middle = sized.filter(F.col(CNT) > chunk_rows).drop(CNT)
+    plain = sized.filter(F.col(CNT) <= chunk_rows).drop(CNT, CHUNK).repartition(KEY)
+    return Ordered(plain, middle if cut is None else middle.unionByName(cut), heavy)
 
 
 def _in_chunks(cut: DataFrame, order: Order, chunk_rows: int) -> DataFrame:
@@ -287,6 +331,18 @@ def _correction(table: DataFrame, local: DataFrame) -> DataFrame:
     return out
 
 
+def _join_correction(local: DataFrame, *tables: DataFrame) -> DataFrame:
+    """``local`` with the corrections of its chunks, one row a chunk in each table.
+
+    Small tables are broadcast.  Larger ones are dealt by (key, chunk), as ``local`` is already: no chunk
+    is larger than a task, and nothing grows on the driver.
+    """
+    for table in tables:
+        few = table.count() <= BROADCAST_ROWS
+        local = local.join(F.broadcast(table) if few else table, [KEY, CHUNK], "left")
+    return local
+
+
 def release() -> None:
     """Unpersist the cached rows of rounds that were built outside a pipeline."""
     _retire()
@@ -389,14 +445,10 @@ def _cut_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag,
         both = _correction(carry_table.withColumn(_KIND, F.lit(0)).unionByName(
             _group_cross(local, group_aggs).withColumn(_KIND, F.lit(1)), allowMissingColumns=True), local)
         carry = both.filter(F.col(_KIND) == 0).select(*carry_table.columns)
-        cross = both.filter(F.col(_KIND) == 1).select(
-            KEY, _G, *[f"_ck_x_{name}" for name in group_aggs], "_ck_x")
+        cross = both.filter(F.col(_KIND) == 1).select(KEY, CHUNK, _FIRST, _LAST)
+        joined = _group_apply(_join_correction(local, carry, cross), group_aggs)
     else:
-        carry = _correction(carry_table, local)
-
-    joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
-    if group_aggs:
-        joined = _group_apply(joined.join(F.broadcast(cross), [KEY, _G], "left"), group_aggs)
+        joined = _join_correction(local, _correction(carry_table, local))
     out_cols: dict[str, Column] = {}
     if row_number:
         out_cols[row_number] = (F.col(RN) + F.coalesce(F.col("_ck_c_rn"), F.lit(0))).cast("long")
@@ -421,22 +473,27 @@ def _cut_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag,
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
 _G = "_ck_g"
+_FIRST = "_ck_x_first"
+_LAST = "_ck_x_last"
 
 
 def _group_cross(local: DataFrame, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
-    """Merged statistics of groups that span chunks (<= 4 rows per chunk)."""
+    """Per chunk the merged statistics of its first and last group, the only ones that other chunks may share."""
+    whole = Window.partitionBy(KEY, _G)
     edge = (local.filter((F.col(RN) == 1) | (F.col(RN) == F.col(CNT)))
             .select(KEY, CHUNK, _G, *aggs.keys())
             .dropDuplicates([KEY, CHUNK, _G]))
-    return (edge.groupBy(KEY, _G)
-            .agg(*[_COMBINE[comb](name).alias(f"_ck_x_{name}") for name, (_, comb) in aggs.items()],
-                 F.lit(True).alias("_ck_x")))
+    merged = edge.withColumns({name: _COMBINE[comb](name).over(whole) for name, (_, comb) in aggs.items()})
+    group = F.struct(_G, *aggs.keys())  # groups never fall along the order, so the least is the first
+    return merged.groupBy(KEY, CHUNK).agg(F.min(group).alias(_FIRST), F.max(group).alias(_LAST))
 
 
 def _group_apply(joined: DataFrame, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+    first, last = F.col(_FIRST), F.col(_LAST)
     fixed = joined.withColumns({
-        name: F.when(F.col("_ck_x"), F.col(f"_ck_x_{name}")).otherwise(F.col(name)) for name in aggs})
-    return fixed.drop(_G, "_ck_x", *[f"_ck_x_{name}" for name in aggs])
+        name: F.when(F.col(_G) == first[_G], first[name]).when(F.col(_G) == last[_G], last[name])
+        .otherwise(F.col(name)) for name in aggs})
+    return fixed.drop(_G, _FIRST, _LAST)
 
 
 def group_stats(df: Ordered, group: Column, aggs: dict[str, tuple[Column, str]]) -> Ordered:
@@ -455,7 +512,7 @@ def group_stats(df: Ordered, group: Column, aggs: dict[str, tuple[Column, str]])
         wg = Window.partitionBy(KEY, CHUNK, _G)
         local = _stage(df.cut.withColumn(_G, group).withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
         cross = _correction(_group_cross(local, aggs), local)
-        cut = _group_apply(local.join(F.broadcast(cross), [KEY, _G], "left"), aggs)
+        cut = _group_apply(_join_correction(local, cross), aggs)
     return Ordered(_plain_stats(df.plain, group, aggs), cut, df.heavy)
 
 

@@ -70,7 +70,7 @@ class Attribution:
         return identity.login_map(identity.last_logins(roles.login_rows(self.roles)))
 
     @_stage
-    def heavy(self) -> dict[str, DataFrame | None]:
+    def heavy(self) -> dict[str, ck.Heavy | None]:
         """Keys with more than ``chunk_rows`` session starts, for the stages and joins that deal them by key."""
         starts = roles.start_rows(self.roles)
         visitors = sessions.visitor_counts(starts)
@@ -79,7 +79,7 @@ class Attribution:
              "session": sessions.session_counts(starts)}, self.cfg.chunk_rows, starts)
 
     @_stage
-    def heavy_converters(self) -> dict[str, DataFrame | None]:
+    def heavy_converters(self) -> dict[str, ck.Heavy | None]:
         """The same of conversions: visitors and the users they belong to."""
         converting = roles.conversion_rows(self.roles)
         visitors = sessions.visitor_counts(converting)
