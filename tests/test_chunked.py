@@ -93,3 +93,22 @@ def test_many_heavy_keys_are_not_broadcast(spark, monkeypatch, hot_rows):
     monkeypatch.setattr(ck.F, "broadcast", lambda df: sent.append(df.count()) or hint(df))
     test_scan_and_group_stats_match_plain_windows(spark, 3)
     assert max(sent, default=0) <= 5
+
+
+def test_many_heavy_keys_that_fit_a_task_run_no_rounds(spark, monkeypatch):
+    """Chunks of keys that a task holds: carried in one lazy plan, no checkpoint, no cached rows, one exchange."""
+    monkeypatch.setattr(ck, "BROADCAST_KEYS", 5)
+    df = _data(spark)
+    order = ck.Order(("t", "id"))
+    heavy = ck.heavy_keys(ck.key_counts(df, non_null_key(F.col("k"))), 3)
+    pinned = []
+    pin = ck.checkpoint
+    monkeypatch.setattr(ck, "checkpoint", lambda d: pinned.append(d) or pin(d))
+    with ck.owned_by(ck.Rounds()) as rounds:
+        out = ck.arrange(df, non_null_key(F.col("k")), order, ["id"], heavy=heavy, chunk_rows=3)
+        out = ck.ordered_scan(out, order, row_number="rn", running_sums={"s": "v"}, next_non_null={"nn": "v"},
+                              group=F.floor(F.col("t") / 50).cast("long"), group_aggs={"g": (F.sum("v"), "sum")})
+        out = ck.group_stats(out, F.floor(F.col("t") / 90).cast("long"), {"h": (F.max("v"), "max")})
+        assert out.cut.agg(F.max(ck.CHUNK)).first()[0] > 400
+    assert not pinned and not rounds.staged
+    assert out.rows()._jdf.queryExecution().sparkPlan().toString().count("REPARTITION") == 1

@@ -80,9 +80,9 @@ def login_keys(logins: DataFrame) -> DataFrame:
 def blend_ordered(rows: ck.Ordered, logins: DataFrame) -> DataFrame:
     """:func:`blend_users` of rows that are dealt by pseudo id.
 
-    Plain rows stay where they are: the join reuses their exchange and only the
-    login map moves.  Cut rows take their logins from a broadcast of at most one
-    row per heavy key.
+    Dealt rows stay where they are: the join reuses their exchange and only the
+    login map moves.  Pinned rows take their logins from a broadcast of at most one
+    row per hot key.
     """
     lookup = login_keys(logins)
     blended = F.coalesce(F.col("_login"), F.col("user_pseudo_id"))
@@ -90,14 +90,11 @@ def blend_ordered(rows: ck.Ordered, logins: DataFrame) -> DataFrame:
     def joined(part: DataFrame, known: DataFrame) -> DataFrame:
         return ck.drop_internal(part.join(known, ck.KEY, "left").withColumn("blended_user_id", blended).drop("_login"))
 
-    plain = joined(rows.plain, lookup)
-    if rows.cut is None:
-        return plain
-    if rows.heavy.many:
-        named = ck.join_unique(rows.cut, lookup.withColumnRenamed(ck.KEY, "_pk"), F.col(ck.KEY), F.col("_pk"), rows.heavy)
-        return plain.unionByName(ck.drop_internal(named.withColumn("blended_user_id", blended).drop("_login", "_pk")))
+    dealt = joined(rows.dealt, lookup)
+    if rows.pinned is None:
+        return dealt
     known = lookup.join(F.broadcast(rows.heavy.hot), ck.KEY, "left_semi")
-    return plain.unionByName(joined(rows.cut, F.broadcast(known)))
+    return dealt.unionByName(joined(rows.pinned, F.broadcast(known)))
 
 
 def user_counts(counts: DataFrame, logins: DataFrame) -> DataFrame:

@@ -27,7 +27,12 @@ work per task:
    pin is a function of checkpointed data, so a lost block is recomputed to the
    same values.
 
-:class:`Ordered` holds the two sets of rows; a table without heavy keys never has
+Many heavy keys that each fit a task (a small ``chunk_rows``) are dealt whole, like plain
+rows, and cut by their row numbers.  Their windows run per (key, chunk) too, and what
+crosses a chunk is carried by windows over the chunks of the key in the same task
+(:func:`_dealt_scan`), so nothing of them is pinned, cached, broadcast or moved once more.
+
+:class:`Ordered` holds the two sets of rows; a table without hot keys never has
 the second.  Cached rounds belong to a :class:`Rounds`; a pipeline opens its own
 (:func:`owned_by`), so pipelines in one session never drop each other's rows.
 
@@ -60,6 +65,8 @@ RN = "_ck_rn"      # row number inside (key, chunk), cut rows only
 CNT = "_ck_cnt"    # rows inside (key, chunk), cut rows only
 _AT = "_ck_at"
 _KIND = "_ck_kind"
+_IS_CUT = "_ck_is_cut"
+_BACK = "_ck_back"
 _JOIN = "_ck_join"
 
 SAMPLE = 32  # sampled rows per chunk
@@ -102,19 +109,35 @@ class Heavy:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows of an ordered stage: those of ordinary keys, and those of heavy keys, cut into chunks."""
+    """Rows of an ordered stage: those whose key a task holds whole, and those of other keys, pinned in chunks.
+
+    Where heavy keys are many, dealt rows have a ``_ck_chunk`` as well.
+    """
+
+    dealt: DataFrame
+    pinned: DataFrame | None = None
+    heavy: Heavy | None = None  # the keys whose rows are cut
 
-    plain: DataFrame
-    cut: DataFrame | None = None
-    heavy: Heavy | None = None  # the keys of ``cut``
+    @property
+    def plain(self) -> DataFrame:
+        """Rows of ordinary keys."""
+        return self.dealt.filter(~F.col(_IS_CUT)) if _IS_CUT in self.dealt.columns else self.dealt
+
+    @property
+    def cut(self) -> DataFrame | None:
+        """Rows of heavy keys, in chunks."""
+        if _IS_CUT not in self.dealt.columns:
+            return self.pinned
+        inside = self.dealt.filter(_IS_CUT)
+        return inside if self.pinned is None else inside.unionByName(self.pinned, allowMissingColumns=True)
 
     def each(self, step: Callable[[DataFrame], DataFrame]) -> "Ordered":
         """The same row-wise step on both."""
-        return Ordered(step(self.plain), None if self.cut is None else step(self.cut), self.heavy)
+        return Ordered(step(self.dealt), None if self.pinned is None else step(self.pinned), self.heavy)
 
     @property
     def columns(self) -> list[str]:
-        return self.plain.columns
+        return self.dealt.columns
 
     def withColumn(self, name: str, column: Column) -> "Ordered":
         return self.each(lambda d: d.withColumn(name, column))
@@ -130,8 +153,8 @@ class Ordered:
 
     def rows(self) -> DataFrame:
         """All rows, without internal columns."""
-        plain = drop_internal(self.plain)
-        return plain if self.cut is None else plain.unionByName(drop_internal(self.cut))
+        dealt = drop_internal(self.dealt)
+        return dealt if self.pinned is None else dealt.unionByName(drop_internal(self.pinned))
 
 
 def heavy_by_kind(counts: dict[str, DataFrame], limit: int, rows: DataFrame | None = None
@@ -203,7 +226,7 @@ def arrange(rows: DataFrame, key: Column, order: Order, tiebreak: list[str], mul
     under a heavy key are combined before they are shuffled.
 
     Where heavy keys are many, those whose rows fit a task are dealt by key like the plain rows, and cut by
-    their row numbers; only hot keys are broadcast and cut at split points.
+    their row numbers in the same plan; only hot keys are broadcast, pinned and cut at split points.
     """
     tagged = rows.withColumn(KEY, key)
 
@@ -220,13 +243,10 @@ def arrange(rows: DataFrame, key: Column, order: Order, tiebreak: list[str], mul
     dealt = collapsed(rest.repartition(KEY))
     if not heavy.many:
         return Ordered(dealt, cut, heavy)
-    # Most rows are cut: all are pinned at once, so that the few plain ones do not compute them again.
-    place = F.row_number().over(Window.partitionBy(KEY).orderBy(*order.asc()))
-    sized = checkpoint(dealt.withColumn(CNT, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
-                       .withColumn(CHUNK, F.floor((place - 1) / chunk_rows).cast("int")))
-    middle = sized.filter(F.col(CNT) > chunk_rows).drop(CNT)
-    plain = sized.filter(F.col(CNT) <= chunk_rows).drop(CNT, CHUNK).repartition(KEY)
-    return Ordered(plain, middle if cut is None else middle.unionByName(cut), heavy)
+    by_key = Window.partitionBy(KEY).orderBy(*order.asc())
+    placed = dealt.withColumns({CHUNK: F.floor((F.row_number().over(by_key) - 1) / chunk_rows).cast("int"),
+                                _IS_CUT: F.count(F.lit(1)).over(by_key.rowsBetween(_UNB, _UNF)) > chunk_rows})
+    return Ordered(placed, cut, heavy)
 
 
 def _in_chunks(cut: DataFrame, order: Order, chunk_rows: int) -> DataFrame:
@@ -371,8 +391,9 @@ def ordered_scan(df: Ordered, order: Order, *, row_number: str | None = None,
     """
     scans = {"running_sums": running_sums or {}, "lead": lead or {}, "lag": lag or {},
              "next_non_null": next_non_null or {}, "prev_non_null": prev_non_null or {}}
-    cut = None if df.cut is None else _cut_scan(df.cut, order, row_number, group=group, group_aggs=group_aggs, **scans)
-    return Ordered(_plain_scan(df.plain, order, row_number, group, group_aggs, **scans), cut, df.heavy)
+    pinned = None if df.pinned is None else _cut_scan(df.pinned, order, row_number, group, group_aggs, **scans)
+    scan = _dealt_scan if CHUNK in df.columns else _plain_scan
+    return Ordered(scan(df.dealt, order, row_number, group, group_aggs, **scans), pinned, df.heavy)
 
 
 def _plain_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag, next_non_null, prev_non_null):
@@ -396,6 +417,73 @@ def _plain_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str
     return df.withColumn(_G, group).withColumns({name: agg.over(w) for name, (agg, _) in aggs.items()}).drop(_G)
 
 
+def _dealt_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag, next_non_null, prev_non_null):
+    """The same over (key, chunk) where a task holds the key: carries are windows over the edges of its chunks."""
+
+    def frames(chunk: str, along: list[Column]) -> tuple[Window, ...]:
+        inside, across = Window.partitionBy(KEY, chunk).orderBy(*along), Window.partitionBy(KEY).orderBy(chunk, *along)
+        return (inside, inside.rowsBetween(_UNB, Window.currentRow), inside.rowsBetween(_UNB, _UNF), across,
+                across.rowsBetween(_UNB, -1))
+
+    def at_edge(value: Column, edge: Column) -> Column:
+        return F.when(F.col(RN) == edge, value)
+
+    def sized(w: Window, wall: Window) -> dict[str, Column]:
+        return {RN: F.row_number().over(w), CNT: F.count(F.lit(1)).over(wall)}
+
+    size = F.col(CNT)
+    if next_non_null:  # backwards first, so that the forward order is left for what follows
+        w, wrun, wall, _, before = frames(_BACK, order.desc())
+        df = df.withColumn(_BACK, -F.col(CHUNK)).withColumns(
+            sized(w, wall) | {f"_ck_ln_{out}": F.last(c, ignorenulls=True).over(wrun) for out, c in next_non_null.items()})
+        df = df.withColumns({
+            f"_ck_c_{out}": F.last(at_edge(F.col(f"_ck_ln_{out}"), size), ignorenulls=True).over(before)
+            for out in next_non_null}).withColumns({
+                out: F.coalesce(f"_ck_ln_{out}", f"_ck_c_{out}") for out in next_non_null})
+        df = df.drop(_BACK, *[f"_ck_{x}_{out}" for out in next_non_null for x in ("ln", "c")])
+    w, wrun, wall, across, before = frames(CHUNK, order.asc())
+    local = sized(w, wall)
+    carry = {"_ck_c_rn": F.sum(at_edge(size, size)).over(before)}
+    final: dict[str, Column] = {}
+    if row_number:
+        final[row_number] = (F.col(RN) + F.coalesce(F.col("_ck_c_rn"), F.lit(0))).cast("long")
+    for out, c in running_sums.items():
+        x, y = f"_ck_l_{out}", f"_ck_c_{out}"
+        local[x], carry[y] = F.sum(c).over(wrun), F.sum(at_edge(F.col(x), size)).over(before)
+        final[out] = F.when(F.col(x).isNotNull() | F.col(y).isNotNull(),
+                            F.coalesce(F.col(x), F.lit(0)) + F.coalesce(F.col(y), F.lit(0)))
+    for out, c in lead.items():
+        x, y = f"_ck_l_{out}", f"_ck_c_{out}"
+        local[x] = F.lead(c).over(w)
+        carry[y] = F.lead(at_edge(F.struct(F.col(c).alias("v")), F.lit(1))).over(across)
+        final[out] = F.when(F.col(RN) == size, F.col(y)["v"]).otherwise(F.col(x))
+    for out, c in lag.items():
+        x, y = f"_ck_l_{out}", f"_ck_c_{out}"
+        local[x] = F.lag(c).over(w)
+        carry[y] = F.lag(at_edge(F.struct(F.col(c).alias("v")), size)).over(across)
+        final[out] = F.when(F.col(RN) == 1, F.col(y)["v"]).otherwise(F.col(x))
+    for out, c in prev_non_null.items():
+        x, y = f"_ck_l_{out}", f"_ck_c_{out}"
+        local[x] = F.last(c, ignorenulls=True).over(wrun)
+        carry[y] = F.last(at_edge(F.col(x), size), ignorenulls=True).over(before)
+        final[out] = F.coalesce(x, y)
+    done = df.withColumns(local).withColumns(carry).withColumns(final)
+    done = done.drop(*[c for c in done.columns if c.startswith(("_ck_l_", "_ck_c_"))])
+    return done if not group_aggs else _dealt_stats(done, group, group_aggs)
+
+
+def _dealt_stats(df: DataFrame, group: Column, aggs: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Statistics per (key, chunk, group), and those of all chunks of the group put together in the same task."""
+    inside = Window.partitionBy(KEY, _G, CHUNK).orderBy(RN)
+    wall, whole = inside.rowsBetween(_UNB, _UNF), Window.partitionBy(KEY, _G)
+    once = F.col(_FIRST) == 1
+    return (df.withColumn(_G, group)
+            .withColumns({_FIRST: F.row_number().over(inside)} | {name: agg.over(wall) for name, (agg, _) in aggs.items()})
+            .withColumns({name: _COMBINE[comb](F.when(once, F.col(name))).over(whole)
+                          for name, (_, comb) in aggs.items()})
+            .drop(_G, _FIRST))
+
+
 def _cut_scan(df, order, row_number, group, group_aggs, running_sums, lead, lag, next_non_null, prev_non_null):
     """The same over (key, chunk), and what must be carried from chunk to chunk."""
     w, wrun, wall, wrev = _frames([KEY, CHUNK], order)
@@ -504,16 +592,18 @@ def group_stats(df: Ordered, group: Column, aggs: dict[str, tuple[Column, str]])
     ``aggs`` maps output column -> (aggregate Column, combine) where combine
     in {"sum", "min", "max"} merges partial results across chunks (use "sum"
     for counts).  Needs an :func:`ordered_scan` before.  Windows run per (key,
-    group) inside the existing partitioning; groups of cut rows that span
+    group) inside the existing partitioning; groups of pinned rows that span
     chunks are corrected from a table of at most 4 rows per chunk.
     """
-    cut = None
-    if df.cut is not None:
+    pinned = None
+    if df.pinned is not None:
         wg = Window.partitionBy(KEY, CHUNK, _G)
-        local = _stage(df.cut.withColumn(_G, group).withColumns({name: agg.over(wg) for name, (agg, _) in aggs.items()}))
+        local = _stage(df.pinned.withColumn(_G, group).withColumns(
+            {name: agg.over(wg) for name, (agg, _) in aggs.items()}))
         cross = _correction(_group_cross(local, aggs), local)
-        cut = _group_apply(_join_correction(local, cross), aggs)
-    return Ordered(_plain_stats(df.plain, group, aggs), cut, df.heavy)
+        pinned = _group_apply(_join_correction(local, cross), aggs)
+    stats = _dealt_stats if CHUNK in df.columns else _plain_stats
+    return Ordered(stats(df.dealt, group, aggs), pinned, df.heavy)
 
 
 def internal(df: DataFrame) -> list[str]:

@@ -52,7 +52,7 @@ def _landed(spark: SparkSession, sf_dir: str, form: str, land: Callable[[DataFra
 def landed_path(spark: SparkSession, sf_dir: str, irregular: bool = False) -> str:
     """Folder of the export derived from ``sf_dir``'s events, by day."""
     return _landed(spark, sf_dir, "-irregular" if irregular else "",
-                   lambda events, path: land_export(events_to_export(events, irregular), path, partition_by_date=True))
+                   lambda events, path: land_export(events_to_export(events, irregular, by_day=True), path, by_day=True))
 
 
 def landed_export(spark: SparkSession, sf_dir: str, irregular: bool = False) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import non_null_key
 from ..plans import chunked as ck
+from .export import rebalanced_by_day
 
 # Fixed values of the adapter rules: the session gap, the mapping of event
 # types to export event names, the traffic-source classes picked by
@@ -87,8 +88,11 @@ def _rule(column: str, rule: tuple[int, int]) -> Column:
     return F.coalesce(F.col(column) % rule[0] == rule[1], F.lit(False))
 
 
-def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
-    """Driver ``events`` -> rows in ``schema.EXPORT_SCHEMA`` (plus session starts)."""
+def events_to_export(events: DataFrame, irregular: bool = False, by_day: bool = False) -> DataFrame:
+    """Driver ``events`` -> rows in ``schema.EXPORT_SCHEMA`` (plus session starts).
+
+    ``by_day``: in ``export.rebalanced_by_day``'s order, dealt and sorted before the nested columns are built.
+    """
     if irregular:
         late = _rule("user_id", GAP_USERS) & (F.dayofmonth("ts") >= 16)
         events = events.withColumn("ts", F.when(late, F.col("ts") + F.expr("INTERVAL 40 DAYS")).otherwise(F.col("ts")))
@@ -106,7 +110,10 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
     u = s.select("event_id", "ts", "user_id", "event_type", "value", "sn", "sk", "k", F.explode(copies).alias("_start")).select(
         "event_id", "ts", "user_id", F.when(~start, F.col("value")).alias("value"), "sn", "sk",
         F.when(start, F.col("sk")).otherwise(F.col("k")).alias("k"),
-        F.when(start, F.lit("session_start")).otherwise(named).alias("event_name"))
+        F.when(start, F.lit("session_start")).otherwise(named).alias("event_name"),
+        F.date_format("ts", "yyyyMMdd").alias("event_date"))
+    if by_day:
+        u = rebalanced_by_day(u)
 
     c = F.floor(F.col("sk") / 5) % 6
     uid = F.col("user_id")
@@ -139,8 +146,7 @@ def events_to_export(events: DataFrame, irregular: bool = False) -> DataFrame:
     is_order = F.col("event_name") == "file_download"
     return u.select(
         F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("ts").cast("timestamp_ntz")).alias("event_timestamp"),
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
-        F.col("event_name"),
+        "event_date", "event_name",
         pseudo.alias("user_pseudo_id"),
         F.when(F.col("event_name") == "Form Submitted",
                F.concat(F.lit("u"), F.floor(uid / 2).cast("string"))).alias("user_id"),

@@ -62,10 +62,21 @@ def load_export(spark: SparkSession, path: str, pattern: str | None = None) -> D
     return with_event_date(matching).select(*EXPORT_SCHEMA.names)
 
 
+def rebalanced_by_day(rows: DataFrame) -> DataFrame:
+    """Rows dealt and sorted for a landing by day.
+
+    Few files per day, and a day holding a large share of the export is still split over several tasks (by
+    measured size).  A range split would compute the whole export twice: once for its sample.
+    """
+    return rows.hint("rebalance", F.col("event_date")).sortWithinPartitions("event_date")
+
+
 def land_export(export: DataFrame, path: str | None = None, partition_by_date: bool = True, mode: str = "overwrite",
-                table: str | None = None) -> None:
+                table: str | None = None, by_day: bool = False) -> None:
     """Write a typed landing copy of the export, partitioned by ``event_date``.
 
+    ``by_day``: the rows come from :func:`rebalanced_by_day` and only need to be written.
+
     ``table`` names a catalog table to create or replace, at ``path`` when one
     is given; without it the copy is files under ``path``.
 
@@ -74,10 +85,8 @@ def land_export(export: DataFrame, path: str | None = None, partition_by_date: b
     earlier sessions), so it reads every partition.
     """
     if partition_by_date:
-        # Few files per day, and a day holding a large share of the export is still split
-        # over several tasks (by measured size).  A range split would compute the
-        # whole export twice: once for its sample.
-        writer = export.hint("rebalance", F.col("event_date")).write.mode(mode).partitionBy("event_date")
+        dealt = export if by_day else export.hint("rebalance", F.col("event_date"))
+        writer = dealt.write.mode(mode).partitionBy("event_date")
     else:
         writer = export.write.mode(mode)
     if table is None:
