@@ -131,7 +131,7 @@ def session_counts(rows: DataFrame) -> DataFrame:
 def attach_event_count(df: DataFrame, counts: DataFrame, heavy: ck.Heavy | None = None) -> DataFrame:
     """``df`` + ``events`` by NULL-safe match on ``session_id``; ``heavy`` ids (``session_counts``) stay spread."""
     return ck.join_unique(df, counts.withColumnRenamed("session_id", "_sid"), non_null_key(F.col("session_id")),
-                          non_null_key(F.col("_sid")), heavy).drop("_sid")
+                          non_null_key(F.col("_sid")), heavy, distinct=True).drop("_sid")
 
 
 _BLOCK = 1 << 16

@@ -63,7 +63,7 @@ def _join_conversions(s: DataFrame, conv: DataFrame, cfg: AttributionConfig, hea
     nowhere = F.concat(F.lit("0"), F.xxhash64(*SESSION_KEYS).cast("string"))
     names = [f"_{k}" for k in keys]
     known = known.filter(key("_").isNotNull())
-    return ck.join_unique(s, known, F.coalesce(key(""), nowhere), key("_"), heavy).drop(*names)
+    return ck.join_unique(s, known, F.coalesce(key(""), nowhere), key("_"), heavy, distinct=True).drop(*names)
 
 
 def label_touchpoints_chunked(sessions: DataFrame, conv: DataFrame, cfg: AttributionConfig = DEFAULT_CONFIG,

@@ -68,6 +68,7 @@ _KIND = "_ck_kind"
 _IS_CUT = "_ck_is_cut"
 _BACK = "_ck_back"
 _JOIN = "_ck_join"
+_HOT = "_ck_hot"
 
 SAMPLE = 32  # sampled rows per chunk
 BROADCAST_KEYS = 1 << 13  # heavy keys that are broadcast; of more, only those too large for one task
@@ -196,13 +197,16 @@ def key_counts(rows: DataFrame, key: Column) -> DataFrame:
     return rows.groupBy(key.alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column, heavy: Heavy | None) -> DataFrame:
+def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column, heavy: Heavy | None,
+                distinct: bool = False) -> DataFrame:
     """``big`` LEFT JOIN ``small``, which has one row per key.
 
     Keys are strings (as in ``heavy``); a NULL key matches nothing.  Rows of ``big`` under a heavy key
     never share a task because of it: their matches are a broadcast of at most one row per heavy key (per
-    ``hot`` key if there are many; the rows of any other fit a task).
+    ``hot`` key if there are many; the rows of any other fit a task).  ``distinct``: no two rows of ``big`` are
+    equal, so those under a heavy key spread by a hash of the row, and ``big`` is computed once.
     """
+    names = small.columns
     small = small.withColumn(_JOIN, small_key)
     big = big.withColumn(KEY, key)
 
@@ -211,6 +215,16 @@ def join_unique(big: DataFrame, small: DataFrame, key: Column, small_key: Column
 
     if heavy is None or heavy.hot is None:
         return joined(big, small)
+    if distinct:
+        wanted = heavy.hot.withColumnRenamed(KEY, _JOIN)
+        found = small.join(F.broadcast(wanted), _JOIN, "left_semi").select(_JOIN, F.struct(*names).alias(_HOT))
+        known = wanted.join(found, _JOIN, "left").select(F.col(_JOIN).alias(KEY), F.struct(_HOT).alias(_HOT))
+        nowhere = F.concat(F.lit("-"), F.xxhash64(*[F.col(c) for c in big.columns]).cast("string"))  # no key of small's
+        routed = big.join(F.broadcast(known), KEY, "left").withColumn(
+            KEY, F.when(F.col(_HOT).isNotNull(), nowhere).otherwise(F.col(KEY)))
+        return routed.join(small, F.col(KEY) == F.col(_JOIN), "left").select(
+            *[c for c in big.columns if c != KEY],
+            *[F.when(F.col(_HOT).isNotNull(), F.col(_HOT)[_HOT][n]).otherwise(F.col(n)).alias(n) for n in names])
     known = F.broadcast(heavy.hot)
     matches = small.join(F.broadcast(heavy.hot.withColumnRenamed(KEY, _JOIN)), _JOIN, "left_semi")
     return joined(big.join(known, KEY, "left_anti"), small).unionByName(
