@@ -87,6 +87,19 @@ def test_learned_pieces_equal_the_plain_way():
         assert learned.steps(t) == plain.steps(t), t
 
 
+def test_lines_share_their_pieces():
+    """A word before or behind a single line break is learned once, whatever is on the other side of it."""
+    texts = ["an end.\nThe next", "an end.\nA last one", "it ends\nThe next, then\n\nThe next", "\nThe next", "end.\n The\n"]
+    learned, plain = (token_counts.PrefixCounter(public_tokenizers.path("byte_bpe_50k.json")) for _ in range(2))
+    learned.learn(texts[:1])
+    assert {"end.", "\nThe", "next"} <= set(learned.after_space)
+    learned.learn(texts)
+    for t in [*texts, *(t[i:] for t in texts for i in range(len(t)))]:
+        want = [len(e.ids) for e in plain.bpe.library.encode_batch(
+            [t[:i] for i in range(1, len(t) + 1)], add_special_tokens=False)]
+        assert token_counts.decode_steps(learned.steps(t)).tolist() == [0, *want], t
+
+
 # ---- Mixing
 
 def brute_mix(rows, seed=7):

@@ -24,10 +24,13 @@ input are not read.
 from __future__ import annotations
 
 import functools
+import gc
+import itertools
 import operator
+import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +46,13 @@ _SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(
 _UNIT = regex.compile(rf"'(?:[sdmt]|ll|ve|re)|[{_SPACE}]*[{_SPACE[:5] + _SPACE[6:]}]'(?:[sdmt]|ll|ve|re)"
                       rf"|[{_SPACE}]*\p{{L}}+|[{_SPACE}]*\p{{N}}+|[{_SPACE}]*[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+")
 _CONTRACTION = {"'re", "'ve", "'ll"}
+_UNEVEN_BREAK = re.compile(r"(?:\A|\s)\n|\n(?:\s|\Z)")
+_ENDS = frozenset(",.;:!?")  # single marks behind a word
 PAIR_MEMO = 1_000_000
 LEARN = 4096  # texts whose new words are sorted together
 
+Pieces = tuple[str | None, list[str]]
+
 
 class PrefixCounter:
     """Prefix token counts of one byte-level vocabulary."""
@@ -110,31 +117,56 @@ class PrefixCounter:
             else:
                 raise ValueError(f"no token of the vocabulary ends {raw[:i]!r}")
 
-    def learn(self, texts: list[str]) -> None:
-        """Remember the steps of all new pieces of some texts, their words in sorted order.
+    def learn(self, texts: list[str]) -> list[Pieces]:
+        """Remember the steps of all new pieces of some texts, their words in sorted order; returns the pieces.
 
         Neighbours share a prefix, and the table of a prefix does not depend on
         what follows, so each word continues the table of the one before it.
         """
+        collecting = gc.isenabled()
+        gc.disable()  # very many small objects and no cycles among them
+        try:
+            pieces = list(map(_pieces, texts))
+            self._learn_pieces(pieces)
+        finally:
+            if collecting:
+                gc.enable()
+        return pieces
+
+    def _learn_pieces(self, pieces: list[Pieces]) -> None:
         even, other = set(), set()
-        for text in texts:
-            if bpe._UNEVEN_SPACE.search(text):
-                other.update(bpe._BEFORE_SPACE.split(text))
+        for first, rest in pieces:
+            if first is None:
+                other.update(rest)
             else:
-                first, *rest = text.split(" ")
                 other.add(first)
                 even.update(rest)
-        even = {w for w in even.difference(self.after_space) if len(w) <= bpe.MEMO_CHARS}
-        other = {w for w in other.difference(self.alone) if len(w) <= bpe.MEMO_CHARS}
-        words = {" " + w for w in even if w.isalpha()}
-        mixed = [(self.after_space, w, _UNIT.findall(" " + w)) for w in even if not w.isalpha()]
-        mixed += [(self.alone, w, _UNIT.findall(w)) for w in other]
+        even = [w for w in even.difference(self.after_space) if len(w) <= bpe.MEMO_CHARS]
+        other = [w for w in other.difference(self.alone) if len(w) <= bpe.MEMO_CHARS]
+        spaced = {" " + w: w for w in even if w.isalpha()}
+        lone = set(spaced.values())
+        two, mixed = [], [(self.alone, w, _UNIT.findall(w)) for w in other]  # two: pieces of two units
+        for w in even:
+            if w not in lone:
+                if w[-1:] in _ENDS and w[:-1].isalpha():
+                    two.append((w, " " + w[:-1], w[-1]))
+                elif w[:1] == "\n" and w[1:].isalpha():
+                    two.append((w, "\n", w[1:]))
+                else:
+                    mixed.append((self.after_space, w, _UNIT.findall(_after_space(w))))
+        words = {*spaced, "\n"}
+        for _, a, b in two:
+            words.add(a)
+            words.add(b)
         for _, _, units in mixed:
             words.update(map(_word_of, units))
         self._learn_words(sorted(words.difference(self.units)))
-        for w in even:
-            if w.isalpha() and (known := self.units.get(" " + w)) is not None:
-                _keep(self.after_space, w, known)
+        if len(self.after_space) + len(spaced) + len(two) > bpe.MEMO_ENTRIES:
+            self.after_space.clear()
+        units = self.units
+        known = {w: units[s] for s, w in spaced.items() if s in units}
+        known.update([(w, units[a] + units[b]) for w, a, b in two if a in units and b in units])
+        self.after_space.update(itertools.islice(known.items(), bpe.MEMO_ENTRIES))
         for memo, w, units in mixed:
             steps = None if self.bpe.special in w else self._of_units(units)
             if steps is not None:
@@ -143,7 +175,7 @@ class PrefixCounter:
     def _learn_words(self, words: list[str]) -> None:
         if len(self.units) + len(words) > bpe.MEMO_ENTRIES:
             self.units.clear()
-        before, last, count = b"", [-1], [0]
+        before, last, count, step = b"", [-1], [0], []  # step: from one byte's count to the next
         for word in words[:bpe.MEMO_ENTRIES]:
             raw = word.encode()
             k = 0
@@ -151,11 +183,13 @@ class PrefixCounter:
                 if a != b:
                     break
                 k += 1
-            del last[k + 1:], count[k + 1:]
+            del last[k + 1:], count[k + 1:], step[k:]
             self._extend(raw, last, count)
+            step += map(operator.sub, count[k + 1:], count[k:])
             before = raw
             if word not in _CONTRACTION:
-                self.units[word] = _packed_steps(_at_code_points(word, raw, count))
+                self.units[word] = (_bytes_of(step) if len(raw) == len(word)
+                                    else _packed_steps(_at_code_points(word, raw, count)))
 
     def _of_units(self, units: list[str]) -> bytes | None:
         """Steps of a piece whose units are single words, or words behind one line break or tab."""
@@ -218,15 +252,43 @@ class PrefixCounter:
 
     def steps(self, text: str) -> bytes:
         """Little-endian 32-bit steps between the counts of successive prefixes of ``text``."""
-        if bpe._UNEVEN_SPACE.search(text):
-            return b"".join([bpe._remember(self.alone, p, p, self._steps) for p in bpe._BEFORE_SPACE.split(text)])
-        first, *rest = text.split(" ")
-        return (bpe._remember(self.alone, first, first, self._steps)
-                + bpe._join(self.after_space, rest, " ", self._steps))
+        return self.steps_of(_pieces(text))
+
+    def steps_of(self, pieces: Pieces) -> bytes:
+        """:meth:`steps` of a text that is in pieces already."""
+        first, rest = pieces
+        if first is None:
+            return bpe._join(self.alone, rest, "", self._steps)
+        out = list(map(self.after_space.get, rest))
+        if None in out:
+            for i, known in enumerate(out):
+                if known is None:
+                    out[i] = bpe._remember(self.after_space, rest[i], _after_space(rest[i]), self._steps)
+        return bpe._remember(self.alone, first, first, self._steps) + b"".join(out)
+
+
+def _pieces(text: str) -> Pieces:
+    """The pieces between single spaces and before single line breaks, the first one apart.
+
+    None and pieces that keep their spaces if some are not single.
+    """
+    if bpe._UNEVEN_SPACE.search(text):
+        return None, bpe._BEFORE_SPACE.split(text)
+    if "\n" in text and not _UNEVEN_BREAK.search(text):
+        text = text.replace("\n", " \n")
+    first, *rest = text.split(" ")
+    return first, rest
+
+
+def _after_space(piece: str) -> str:
+    """What a piece behind the first one stands for: a line break keeps its place, others have lost a space."""
+    return piece if piece[:1] == "\n" else " " + piece
 
 
 def _tails(ranks: dict[bytes, int]) -> tuple[dict, dict, dict, dict]:
-    """By the last four, three, two bytes and one byte: lengths of the tokens that may end there, longest first.
+    """By the last four, three, two bytes and one byte: lengths of the tokens that may end there.
+
+    The order decides nothing (one of them is stable), so those that need no lookup come first, longest first.
 
     Tokens of at most four bytes come with their id, longer ones are looked up (None).
     """
@@ -238,7 +300,7 @@ def _tails(ranks: dict[bytes, int]) -> tuple[dict, dict, dict, dict]:
     def short(tail: bytes) -> tuple[tuple[int, int], ...]:
         return tuple((n, ranks[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in ranks)
 
-    four = {t: (*((n, None) for n in sorted(ns - {4}, reverse=True)), *short(t)) for t, ns in by_tail.items()}
+    four = {t: (*short(t), *((n, None) for n in sorted(ns - {4}))) for t, ns in by_tail.items()}
     return four, *({t: short(t) for t in ranks if len(t) == k} for k in (3, 2, 1))
 
 
@@ -262,7 +324,11 @@ def _at_code_points(word: str, raw: bytes, count: list[int]) -> list[int]:
 
 
 def _packed_steps(counts: list[int]) -> bytes:
-    out = array("i", map(operator.sub, counts, [0, *counts]))
+    return _bytes_of(map(operator.sub, counts, [0, *counts]))
+
+
+def _bytes_of(steps: Iterable[int]) -> bytes:
+    out = array("i", steps)
     if sys.byteorder == "big":
         out.byteswap()
     return out.tobytes()
@@ -306,9 +372,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, keep_prefixe
         counter = prefix_counter(tokenizer)
         for b in batches:
             texts = strings(b.column(1))
-            for i in range(0, len(texts), LEARN):
-                counter.learn(texts[i:i + LEARN])
-            steps = [counter.steps(t) for t in texts]
+            steps = [counter.steps_of(p) for i in range(0, len(texts), LEARN) for p in counter.learn(texts[i:i + LEARN])]
             total = [count_at(s, len(t)) for s, t in zip(steps, texts)]
             cut = [cut_for_budget(s, limit) if n > limit else len(t) for s, n, t in zip(steps, total, texts)]
             cols = [b.column(0).cast(pa.int64()), pa.array([len(t.encode()) for t in texts], pa.int64()),
