@@ -127,3 +127,11 @@ def test_whole_table(spark, nasty, docs):
 def test_empty_table(empty):
     out = passages.passage_digests(empty)
     assert out.collect() == [] and out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_rows_are_ordered_by_key_then_mark_then_place():
+    """As a sort by both, with few, many and only repeated keys."""
+    rng = np.random.default_rng(5)
+    for n, keys in ((0, 1), (1, 1), (500, 1), (500, 40), (500, 10 ** 9)):
+        key, mark = rng.integers(0, keys, n).astype(np.uint64), rng.integers(0, 3, n).astype(np.uint64)
+        assert passages._by_key_and_mark(key, mark).tolist() == np.lexsort((mark, key)).tolist()

@@ -258,9 +258,22 @@ def _by_owner(key: np.ndarray, owners: int) -> Iterator[tuple[int, slice]]:
         yield int(owner[low]), slice(int(low), int(high))
 
 
+def _by_key_and_mark(key: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Order by key, then mark, then place; only rows that share their key are compared further."""
+    by = np.argsort(key)
+    k = key[by]
+    same = k[1:] == k[:-1]
+    several = np.zeros(len(k), bool)
+    several[1:] |= same
+    several[:-1] |= same
+    some = by[several]
+    by[several] = some[np.lexsort((some, mark[some], key[some]))]
+    return by
+
+
 def _distinct(key: np.ndarray, doc: np.ndarray, mark: np.ndarray | None = None):
     """Per distinct key, ascending: the key, whether two documents hold it, its number of marks and their sum."""
-    by = np.argsort(key, kind="stable") if mark is None else np.lexsort((mark, key))
+    by = np.argsort(key) if mark is None else _by_key_and_mark(key, mark)
     k, d = key[by], doc[by]
     new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
     first = np.flatnonzero(new)
@@ -357,7 +370,7 @@ def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[in
     take = shared & ~hot
     both = marked(block, Pieces(*(np.concatenate([getattr(p, f)[take], getattr(w, f)[again]])
                     for f in ("start", "windows", "key", "mark", "doc"))))
-    by = np.lexsort((both.mark, both.key))
+    by = _by_key_and_mark(both.key, both.mark)
     new = np.ones(len(by), bool)
     new[1:] = (both.key[by][1:] != both.key[by][:-1]) | (both.mark[by][1:] != both.mark[by][:-1])
     kind = np.empty(len(by), np.int64)
@@ -385,7 +398,7 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
     """Least id of the documents that hold each window, windows in piece order.  Pieces come by ascending key."""
     size = windows + LENGTH - 1
     out = np.empty(int(windows.sum()), np.int64)
-    window_at = np.cumsum(windows) - windows
+    window_at, id_of = np.cumsum(windows) - windows, np.repeat(ids, windows)
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = np.flatnonzero(new)  # pieces of one anchor are one text
     held = np.diff(np.append(first, len(key)))
@@ -407,18 +420,18 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
         owner = np.full(len(symbols), -1, np.int64)  # of the places where a window starts: its number
         owner[ragged(at, windows[piece])] = ragged(window_at[piece], windows[piece])
         order = suffix_arrays(symbols, bounds)
-        order = order[owner[order] >= 0]
-        problem = np.searchsorted(bounds, order, side="right")
-        views = np.lib.stride_tricks.sliding_window_view((symbols - 2).astype(np.uint8), LENGTH)
+        window = owner[order]
+        starts = window >= 0
+        order, window = order[starts], window[starts]
+        problem = np.repeat(np.arange(len(some)), np.diff(bounds))[starts]
+        words = _words((symbols - 2).astype(np.uint8))
         same = np.zeros(len(order), bool)
-        for k in range(1, len(order), 1 << 16):
-            there = views[order[k - 1:k - 1 + (1 << 16) + 1]]
-            same[k:k + (1 << 16)] = (there[1:] == there[:-1]).all(axis=1)
-        same[1:] &= problem[1:] == problem[:-1]
+        same[1:] = problem[1:] == problem[:-1]
+        for step in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+            there = words[order + step]
+            same[1:] &= there[1:] == there[:-1]
         run = np.flatnonzero(~same)
-        window = owner[order]
-        holder = np.searchsorted(window_at, window, side="right") - 1
-        least = np.minimum.reduceat(ids[holder], run)
+        least = np.minimum.reduceat(id_of[window], run)
         out[window] = np.repeat(least, np.diff(np.append(run, len(order))))
     return out
 
