@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -198,3 +199,14 @@ def test_small_languages_are_learned(spark):
                                  "doc_id long, text string, lang string")  # one id on all the rows
     words = lang_id.train(same, max_train_docs=40).words
     assert 10 < len([w for w in words if w.startswith("w")]) < 120
+
+
+def test_language_counts_come_one_language_at_a_time():
+    """Counts leave a worker by language and kind, and add up to those of all texts."""
+    texts = [("de", "Das Haus das"), ("en", "the house"), ("de", "Haus"), ("en", None)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in texts]), pa.array([t for _, t in texts])], ["lang", "text"])
+    got = list(lang_id._count(iter([batch])))
+    assert len(got) == 4 and all(len(set(zip(*(c.to_pylist() for c in b.columns[:2])))) == 1 for b in got)
+    rows = {tuple(r.values())[:3]: r["n"] for b in got for r in b.to_pylist()}
+    assert rows["de", "w", "haus"] == rows["de", "w", "das"] == 2 and rows["en", "w", "the"] == 1
+    assert rows["de", "g", "a"] == 4 and rows["en", "g", "<the>"] == 1 and ("en", "w", "haus") not in rows

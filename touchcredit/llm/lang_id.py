@@ -59,28 +59,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
 
     def out():
-        rows: dict[tuple[str, str, str], int] = {}
-        for lang, seen in words.items():
+        """What was counted, a language and a kind at a time, so that little is held twice."""
+        while words:
+            lang, seen = words.popitem()
             sub: Counter = Counter()
             for w, c in seen.items():
-                rows[lang, "w", w] = c
                 for n in GRAMS:
                     for g in grams(w, n) if n > 1 else w:
                         sub[g] += c
-            rows.update({(lang, "g", g): c for g, c in sub.items()})
-        keys = list(rows)
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array(rows.values(), pa.int64())],
-            ["lang", "kind", "item", "n"])
+            for kind, counted in (("w", seen), ("g", sub)):
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([x], pa.string()).take(pa.array(np.zeros(len(counted), np.int32))) for x in (lang, kind)),
+                     pa.array(counted.keys(), pa.string()), pa.array(counted.values(), pa.int64())],
+                    ["lang", "kind", "item", "n"])
+                counted.clear()
+        pa.default_memory_pool().release_unused()
 
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), strings(b.column(1))):
             words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
         if sum(map(len, words.values())) > _MEMO:
-            yield out()
-            words.clear()
-    if words:
-        yield out()
+            yield from out()
+    yield from out()
 
 
 class BackoffModel:
