@@ -135,3 +135,31 @@ def test_rows_are_ordered_by_key_then_mark_then_place():
     for n, keys in ((0, 1), (1, 1), (500, 1), (500, 40), (500, 10 ** 9)):
         key, mark = rng.integers(0, keys, n).astype(np.uint64), rng.integers(0, 3, n).astype(np.uint64)
         assert passages._by_key_and_mark(key, mark).tolist() == np.lexsort((mark, key)).tolist()
+
+
+def test_suffix_arrays_hold_pieces_to_compare(monkeypatch):
+    """A piece that is its anchor's only one needs none; of the others every symbol is in one."""
+    built, found = [], []
+
+    def arrays(symbols, bounds):
+        built.extend(int((symbols[a:b] == 1).sum()) for a, b in zip(bounds, bounds[1:]))  # pieces of each text
+        return suffix_arrays(symbols, bounds)
+
+    def ids(text, start, windows, key, least, plain=passages._window_ids):
+        found.extend(np.unique(key, return_counts=True)[1].tolist())
+        return plain(text, start, windows, key, least)
+
+    monkeypatch.setattr(passages, "suffix_arrays", arrays)
+    monkeypatch.setattr(passages, "_window_ids", ids)
+    rows = corpus(7, 120)
+    assert rounds(rows, 20, 2) == slow(rows)
+    assert sorted(built) == sorted(n for n in found if n > 1) and built and 1 in found
+
+
+@pytest.mark.parametrize("hot", [24, 2])
+def test_copies_are_told_by_their_bytes(monkeypatch, hot):
+    """Pieces of one anchor whose hashes are all equal stay apart, in blocks and at owners."""
+    monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "_mark_of", lambda text, start, windows: np.zeros(len(start), np.uint64))
+    rows = corpus(3, 90)
+    assert rounds(rows, 15, 2) == slow(rows)

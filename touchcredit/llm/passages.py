@@ -13,16 +13,17 @@ document with a smaller id.  The corpus is dealt so that equal strings meet:
    go on from in their own way) would be one large shard.  Its windows are dealt by
    their own hash instead, after one more such round tells which of them repeat.
 4. Blocks send the pieces that are left, each once with the least id that holds
-   it.  An owner builds the suffix arrays (``suffix_array``, grouping by Lyndon
-   prefixes) of all pieces of each anchor, finds the neighbours in them that agree
-   on ``LENGTH`` bytes, and answers every window's least id.
+   it.  An owner puts copies together again.  Of each anchor with several different
+   pieces it builds the suffix array (``suffix_array``, grouping by Lyndon prefixes)
+   and finds the neighbours in it that agree on ``LENGTH`` bytes; a piece that is its
+   anchor's only one has no other to agree with.  It answers every window's least id.
 5. Blocks, read again, mark the windows whose least id is below the document's own.
 
 A block is one row of the pinned table, so what it sends and the order it sends it
 in are the same each time it is read; answers come back by its number, in files.
 Copies of a text, however many, send their pieces once a block.  Hashes only route: a
-string counts as repeated because the suffix arrays' neighbours agree byte by
-byte.  (Copies of a piece are told apart from others by 128 bits of hash.)
+string counts as repeated because the suffix arrays' neighbours, or copies of a piece, agree
+byte by byte.
 
 Defined cases: a NULL text is empty; a text under ``LENGTH`` bytes loses nothing; NULL ids
 count as the least long, below other ids; documents of equal ids take nothing from
@@ -137,10 +138,16 @@ def _chain(parts: Iterator[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _hash_at(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+def _words_at(text: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """The ``size`` bytes from each place of ``at`` on, 8 at a time (the last 8 may overlap those before)."""
+    rows = np.ndarray((max(len(text) - size + 1, 0),), f"V{size}", text, 0, (1,))[at]
+    for step in (*range(0, size - 7, 8), *([size - 8] if size % 8 else [])):
+        yield np.ndarray((len(at),), "<u8", rows, step, (size,))
+
+
+def _hash_at(text: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes from each place of ``at`` on."""
-    steps = [*range(0, size - 7, 8)] + ([size - 8] if size % 8 else [])
-    return _chain(words[at + s] for s in steps)
+    return _chain(_words_at(text, at, size))
 
 
 _ANCHOR_STEPS = [*range(0, ANCHOR - 7, 8)] + ([ANCHOR - 8] if ANCHOR % 8 else [])
@@ -206,9 +213,8 @@ def pieces(block: Block) -> Pieces:
     number = np.cumsum(windows) - windows  # of the first window, among those of all documents
     doc = np.searchsorted(fit, number, side="right") - 1
     start = block.offsets[doc] + number - fit[doc]
-    words = _words(block.text)
     # Anchors are least hashes, so small ones: hashed once more they fall to all owners alike.
-    key = _chain(iter((_hash_at(words, start + block.anchors, ANCHOR), np.uint64(LENGTH)))) if len(start) \
+    key = _chain(iter((_hash_at(block.text, start + block.anchors, ANCHOR), np.uint64(LENGTH)))) if len(start) \
         else np.zeros(0, np.uint64)
     return Pieces(start, windows, key, key, doc)
 
@@ -217,13 +223,13 @@ def marked(block: Block, p: Pieces) -> Pieces:
     """The same with ``mark`` filled in."""
     if not len(p.start):
         return p
-    return replace(p, mark=_mark_of(_words(block.text), p.start, p.windows))
+    return replace(p, mark=_mark_of(block.text, p.start, p.windows))
 
 
-def _mark_of(words: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
+def _mark_of(text: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """Hash of whole pieces: their first window, the end of their last, and how many they have."""
-    head = _hash_at(words, start, LENGTH)
-    tail = _hash_at(words, start + windows - 1 + LENGTH - ANCHOR, ANCHOR)
+    head = _hash_at(text, start, LENGTH)
+    tail = _hash_at(text, start + windows - 1 + LENGTH - ANCHOR, ANCHOR)
     return _chain(iter((head + tail * _FINISH, windows.astype(np.uint64))))
 
 
@@ -271,6 +277,25 @@ def _by_key_and_mark(key: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return by
 
 
+def _kinds(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: np.ndarray,
+           mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of pieces that puts copies together, the first of each run of copies in it, and every piece's run.
+
+    Copies have the same bytes: hashes bring them together, neighbours are compared.
+    """
+    by = _by_key_and_mark(key, mark)
+    new = np.ones(len(by), bool)
+    if len(by):
+        at, size = start[by], windows[by]
+        tail = at + size - 1 + LENGTH - ANCHOR  # with the first window all of the piece
+        new[1:] = (key[by][1:] != key[by][:-1]) | (size[1:] != size[:-1])
+        for words in (*_words_at(text, at, LENGTH), *_words_at(text, tail, ANCHOR)):
+            new[1:] |= words[1:] != words[:-1]
+    kind = np.empty(len(by), np.int64)
+    kind[by] = np.cumsum(new) - 1
+    return by, np.flatnonzero(new), kind
+
+
 def _distinct(key: np.ndarray, doc: np.ndarray, mark: np.ndarray | None = None):
     """Per distinct key, ascending: the key, whether two documents hold it, its number of marks and their sum."""
     by = np.argsort(key) if mark is None else _by_key_and_mark(key, mark)
@@ -304,7 +329,7 @@ def _answer_keys(messages: list[bytes]) -> list[bytes]:
     several = np.concatenate([np.unpackbits(x[1], count=n).astype(bool) for x, n in zip(lists, sizes)])
     count = np.concatenate([x[2] for x in lists]).astype(np.int64)
     mark = np.concatenate([x[3] for x in lists])
-    by = np.lexsort((mark, key))
+    by = _by_key_and_mark(key, mark)
     k, m = key[by], mark[by]
     new = np.concatenate([[True], k[1:] != k[:-1]])
     first = np.flatnonzero(new)
@@ -347,8 +372,7 @@ def _hot_windows(block: Block, p: Pieces, hot: np.ndarray) -> Pieces:
     one = np.ones(len(start), np.int64)
     if not len(start):
         return Pieces(start, one, start.astype(np.uint64), start.astype(np.uint64), start)
-    words = _words(block.text)
-    key = _hash_at(words, start, LENGTH)
+    key = _hash_at(block.text, start, LENGTH)
     return Pieces(start, one, key, key, np.repeat(p.doc[hot], p.windows[hot]))
 
 
@@ -370,12 +394,7 @@ def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[in
     take = shared & ~hot
     both = marked(block, Pieces(*(np.concatenate([getattr(p, f)[take], getattr(w, f)[again]])
                     for f in ("start", "windows", "key", "mark", "doc"))))
-    by = _by_key_and_mark(both.key, both.mark)
-    new = np.ones(len(by), bool)
-    new[1:] = (both.key[by][1:] != both.key[by][:-1]) | (both.mark[by][1:] != both.mark[by][:-1])
-    kind = np.empty(len(by), np.int64)
-    kind[by] = np.cumsum(new) - 1
-    return both, by, np.flatnonzero(new), kind
+    return both, *_kinds(block.text, both.start, both.windows, both.key, both.mark)
 
 
 def _send_pieces(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int,
@@ -395,14 +414,18 @@ def _send_pieces(block: Block, keys_said: dict[int, bytes], windows_said: dict[i
 
 def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: np.ndarray,
                 ids: np.ndarray) -> np.ndarray:
-    """Least id of the documents that hold each window, windows in piece order.  Pieces come by ascending key."""
+    """Least id of the documents that hold each window, windows in piece order.  Pieces come by ascending key.
+
+    The windows of a piece that is its anchor's only one are in no other piece, so their least id is the piece's.
+    """
     size = windows + LENGTH - 1
-    out = np.empty(int(windows.sum()), np.int64)
     window_at, id_of = np.cumsum(windows) - windows, np.repeat(ids, windows)
+    out = id_of.copy()
     new = np.concatenate([[True], key[1:] != key[:-1]])
     first = np.flatnonzero(new)  # pieces of one anchor are one text
     held = np.diff(np.append(first, len(key)))
     total = np.add.reduceat(size + 1, first) + 1
+    first, held, total = (x[held > 1] for x in (first, held, total))
     shortest = np.argsort(total, kind="stable")
     upto = np.cumsum(total[shortest])
     low = 0
@@ -424,11 +447,9 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
         starts = window >= 0
         order, window = order[starts], window[starts]
         problem = np.repeat(np.arange(len(some)), np.diff(bounds))[starts]
-        words = _words((symbols - 2).astype(np.uint8))
         same = np.zeros(len(order), bool)
         same[1:] = problem[1:] == problem[:-1]
-        for step in (*range(0, LENGTH - 7, 8), LENGTH - 8):
-            there = words[order + step]
+        for there in _words_at((symbols - 2).astype(np.uint8), order, LENGTH):
             same[1:] &= there[1:] == there[:-1]
         run = np.flatnonzero(~same)
         least = np.minimum.reduceat(id_of[window], run)
@@ -447,13 +468,7 @@ def _answer_pieces(messages: list[bytes]) -> list[bytes]:
     del lists
     size = windows + LENGTH - 1
     start = np.cumsum(size) - size
-    mark = _mark_of(_words(text), start, windows)
-    by = np.lexsort((mark, key))
-    new = np.ones(len(by), bool)
-    new[1:] = (key[by][1:] != key[by][:-1]) | (mark[by][1:] != mark[by][:-1])
-    first = np.flatnonzero(new)
-    kind = np.empty(len(by), np.int64)
-    kind[by] = np.cumsum(new) - 1
+    by, first, kind = _kinds(text, start, windows, key, _mark_of(text, start, windows))
     one = by[first]
     found = _window_ids(text, start[one], windows[one], key[one], np.minimum.reduceat(ids[by], first))
     at = np.cumsum(windows[one]) - windows[one]
@@ -523,8 +538,8 @@ def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shard
             least[at[mine.start]:at[mine.stop - 1] + sizes[mine.stop - 1]] = np.repeat(ids, runs)
         own = np.repeat(block.ids[both.doc], both.windows)
         gone = ragged(both.start, both.windows)[least[ragged(at[kind], both.windows)] < own]
-        np.add.at(change, gone, 1)
-        np.add.at(change, gone + LENGTH, -1)
+        change[gone] += 1  # every window of a block is in one piece
+        change[gone + LENGTH] -= 1
     out = np.cumsum(change)[:-1] > 0
     edge = np.zeros(len(text) + 1, bool)
     edge[offsets] = True  # runs end with their document

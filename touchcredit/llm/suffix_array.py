@@ -47,7 +47,7 @@ def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     order = order[np.argsort(text[order], kind="stable")].astype(kind)
     place = np.empty(n, kind)
     place[order] = np.arange(n, dtype=kind)
-    by_symbol, by_text = symbols[order], text[order]
+    by_symbol, by_text = symbols.take(order), text.take(order)
     heads = np.flatnonzero(np.concatenate([[True], (by_symbol[1:] != by_symbol[:-1]) | (by_text[1:] != by_text[:-1])]))
     heads = heads.astype(kind)
     sizes = np.diff(np.append(heads, kind.type(n)))
@@ -62,28 +62,29 @@ def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     times_of, last_of = np.zeros(n, kind), np.empty(n, kind)  # scratch, by place
     low, high = bounds[:-1], bounds[1:]
     while len(high):
-        head = group[order[high - 1]]
+        head = group.take(order.take(high - 1))
         count = high - head
-        member = order[ragged(head, count)]
+        member = order.take(ragged(head, count))
         floor = np.repeat(head, count)
-        to = smaller[member]
-        way = np.flatnonzero((to >= 0) & (group[to] >= floor))
+        to = smaller.take(member)
+        way = np.flatnonzero((to >= 0) & (group.take(to, mode="wrap") >= floor))
         while len(way):
-            to[way] = smaller[to[way]]
-            smaller[member[way]] = to[way]
-            way = way[(to[way] >= 0) & (group[to[way]] >= floor[way])]
+            next_to = smaller.take(to.take(way))
+            to[way] = next_to
+            smaller[member.take(way)] = next_to
+            way = way[(next_to >= 0) & (group.take(next_to, mode="wrap") >= floor.take(way))]
         hit = np.flatnonzero(to >= 0)
         if len(hit):
-            to, member = to[hit], member[hit]
+            to, member = to.take(hit), member.take(hit)
             number = np.arange(len(to), dtype=kind)
             last_of[to] = number
-            one = last_of[to] == number  # of equal targets the last
+            one = last_of.take(to) == number  # of equal targets the last
             target = to[one]
             more, extra = np.unique(to[~one], return_counts=True)
             times_of[more] = extra
-            times = times_of[target] + kind.type(1)
+            times = times_of.take(target) + kind.type(1)
             times_of[more] = 0
-            length[target] += times * length[member[one]]
+            length[target] += times * length.take(member[one])
             _split(target, times, order, place, group, size, pointed)
         go = head > low
         low, high = low[go], head[go]
@@ -92,19 +93,19 @@ def _lyndon_groups(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
 
 def _split(target, times, order, place, group, size, pointed) -> None:
     """Move ``target`` behind the rest of their groups, into new groups by ``times``."""
-    old = group[target]
+    old = group.take(target)
     by = np.argsort(old.astype(np.int64) << 31 | times)
-    target, times, old = target[by], times[by], old[by]
+    target, times, old = target.take(by), times.take(by), old.take(by)
     new_old = np.concatenate([[True], old[1:] != old[:-1]])
     segment = np.flatnonzero(new_old)
     moving = np.diff(np.append(segment, len(old))).astype(old.dtype)
     home = old[segment]
     tail = home + size[home] - moving
     to = ragged(tail, moving)
-    at = place[target]
+    at = place.take(target)
     pointed[target] = True
-    there = order[to]
-    displaced = there[~pointed[there]]
+    there = order.take(to)
+    displaced = there[~pointed.take(there)]
     pointed[target] = False
     freed = at[at < np.repeat(tail, moving)]  # as many a group as are displaced
     order[freed] = displaced
@@ -134,10 +135,10 @@ def _emit(group: np.ndarray, length: np.ndarray, bounds: np.ndarray) -> np.ndarr
     base, falling = bounds[:-1][longest], -sizes[longest]
     for i in range(int(sizes.max(initial=0))):
         live = np.searchsorted(falling, -i)  # texts longer than i
-        x = out[base[:live] + i]
-        s = by[ragged(first[x], count[x])]
-        g = group[s]
-        at = free[g]
+        x = out.take(base[:live] + kind.type(i))
+        s = by.take(ragged(first.take(x), count.take(x)))
+        g = group.take(s)
+        at = free.take(g)
         out[at] = s
         free[g] = at + 1
     return out
