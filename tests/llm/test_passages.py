@@ -163,3 +163,68 @@ def test_copies_are_told_by_their_bytes(monkeypatch, hot):
     monkeypatch.setattr(passages, "_mark_of", lambda text, start, windows: np.zeros(len(start), np.uint64))
     rows = corpus(3, 90)
     assert rounds(rows, 15, 2) == slow(rows)
+
+
+def test_every_block_is_a_row_group(spark):
+    """However many blocks a task has, it holds one of them: no row group has two, no footer a text."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from touchcredit.session import ensure_checkpoint_dir
+
+    rows = [(i, f"{i} and " * 500_000 if i else "x") for i in range(7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    folders = f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/llm/passage-blocks-*"
+    before = set(glob.glob(folders))
+    got = {r.doc_id: (r.n_bytes, len(r.kept)) for r in passages.repeated_passages(df).collect()}
+    assert got == {i: (len(t), len(t)) for i, t in rows}
+    folder, = set(glob.glob(folders)) - before
+    files = [pq.read_metadata(f) for f in glob.glob(f"{folder}/*.parquet")]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    assert len(groups) >= 6 and {g.num_rows for g in groups} == {1}
+    assert not any(g.column(c).is_stats_set for g in groups for c in range(g.num_columns))
+
+
+@pytest.mark.parametrize("hot", [24, 2, 0])
+def test_answers_tell_what_the_next_round_sends(monkeypatch, hot):
+    """The number of owners follows from it: pieces of keys that are not hot, and windows of hot ones."""
+    monkeypatch.setattr(passages, "HOT", hot)
+    told, sent, plain = [], [], passages._answer_keys
+
+    def answer_keys(messages):
+        replies = plain(messages)
+        told.append(np.sum([passages._unpack(r)[2] for r in replies], axis=0))
+        return replies
+
+    def answer_pieces(messages, plain=passages._answer_pieces):
+        sent.append(sum(len(passages._unpack(m)[0]) for m in messages))
+        return plain(messages)
+
+    monkeypatch.setattr(passages, "_answer_keys", answer_keys)
+    monkeypatch.setattr(passages, "_answer_pieces", answer_pieces)
+    rows = corpus(11, 90)
+    assert rounds(rows, 15, 1) == slow(rows)
+    (light, heavy), *windows = told  # without hot keys nothing is asked about windows
+    assert light + np.sum(windows) == sum(sent) and (light > 0) == (hot > 0) and (heavy > 0) == (hot < 24)
+
+
+def test_windows_of_a_block_do_not_lie_in_memory_together():
+    """A window has 50 bytes; of a text whose windows are all hot, or all pieces of their own, far fewer are kept for each."""
+    import tracemalloc
+
+    n = 1 << 20
+    text = np.frombuffer(b"ab" * (n // 2), np.uint8)
+    block = passages.Block(0, np.array([5], np.int64), np.array([False]), text, np.array([0, n]),
+                           *passages.find_pieces(text, np.array([0, n])))
+    p = passages.pieces(block)
+    tracemalloc.start()
+    try:
+        for step in (lambda: passages._hot_windows(block, p, np.ones(len(p.start), bool)),
+                     lambda: passages._mark_of(text, p.start, p.windows)):
+            tracemalloc.reset_peak()
+            low = tracemalloc.get_traced_memory()[0]
+            step()
+            assert tracemalloc.get_traced_memory()[1] - low < 45 * n
+    finally:
+        tracemalloc.stop()

@@ -21,6 +21,9 @@ document with a smaller id.  The corpus is dealt so that equal strings meet:
 
 A block is one row of the pinned table, so what it sends and the order it sends it
 in are the same each time it is read; answers come back by its number, in files.
+It is a row group of its own too: tasks write and read one block at a time, by path,
+whatever the size of the files and of the input's own row groups.  Answers of a round
+tell how much the next one sends, and that sets its number of owners.
 Copies of a text, however many, send their pieces once a block.  Hashes only route: a
 string counts as repeated because the suffix arrays' neighbours, or copies of a piece, agree
 byte by byte.
@@ -39,19 +42,22 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as pads
+import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import open_fs, pin, ship, text_bytes, work_dir
+from .common import open_fs, ship, text_bytes, work_dir
 from .suffix_array import ragged, suffix_arrays
 
 LENGTH, ANCHOR = 50, 25
 HOT = 24  # different pieces of an anchor that are compared in one suffix array
 BLOCK_BYTES = 4 << 20
 OWNER_BYTES = 16 << 20  # text per owner of anchors
-SHARD_BYTES = 8 << 20  # text per owner of pieces
+OWNER_WINDOWS = 1 << 19  # windows of hot anchors per owner
+SHARD_BYTES = 16 << 20  # pieces sent to an owner
+SENT_BYTES = 4 << 20  # messages that leave a task together
 SLICE = (1 << 16) - 2 * LENGTH  # windows hashed at a time; places in a slice fit 16 bits
 SYMBOLS, TEXTS = 1 << 18, 512  # suffix arrays built together: so many symbols, or so many texts
 _MULTIPLY, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -59,7 +65,7 @@ _LOW16 = np.uint64(0xFFFF)
 NO_ID = np.iinfo(np.int64).min
 
 Send = Callable[["Block"], Iterator[tuple[int, bytes]]]
-Answer = Callable[[list[bytes]], list[bytes]]
+Answer = Callable[[list[bytes | pa.Buffer]], list[bytes]]
 
 
 # ---- blocks
@@ -95,8 +101,9 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              *(pa.array([x.tobytes()], pa.binary()) for x in cut)], schema=schema)
 
     for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-            t = t or b""
+        flat, offsets = text_bytes(b.column(1))
+        for k, i in enumerate(b.column(0).to_pylist()):
+            t = flat[offsets[k]:offsets[k + 1]].tobytes()
             if ids and held + len(t) > BLOCK_BYTES:
                 yield out()
                 number += 1
@@ -109,10 +116,35 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+#: Parquet options by which every row is a row group: sizes are looked at after each row, and any is enough.
+#: Statistics would hold the least and greatest text of each, the text itself, until the file is closed.
+ROW_GROUPS = {"parquet.block.size": "1", "parquet.page.size.row.check.min": "1", "parquet.column.statistics.enabled": "false",
+              "compression": "zstd"}
+PLACES = ["block", "n_bytes", "_metadata.file_name", "_metadata.row_index"]
+
+
+def pin_blocks(rows: DataFrame) -> tuple[str, DataFrame]:
+    """The folder of the blocks of ``rows`` (id, text), and where each one lies in it."""
+    spark = rows.sparkSession
+    path = work_dir(spark, "passage-blocks")
+    (rows.mapInArrow(_blocks_of, "block long, n_bytes long, ids array<long>, sizes array<long>, text binary, "
+                                 "windows binary, anchors binary")
+     .write.options(**ROW_GROUPS).parquet(path))
+    return path, spark.read.schema("block long, n_bytes long").parquet(path).select(*PLACES)
+
+
+def _read_blocks(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The blocks at the places given, one row group at a time."""
+    store, root = open_fs(path)
+    opened = None
     for b in batches:
-        for i in range(b.num_rows):
-            row = {name: b.column(k)[i] for k, name in enumerate(b.schema.names)}
+        for name, at in zip(b.column("file_name").to_pylist(), b.column("row_index").to_pylist()):
+            if name != opened:
+                file, opened = pq.ParquetFile(store.open_input_file(f"{root}/{name}")), name
+                ends = np.cumsum([file.metadata.row_group(g).num_rows for g in range(file.metadata.num_row_groups)])
+            group = int(np.searchsorted(ends, at, side="right"))
+            table = file.read_row_group(group, use_threads=False)
+            row = {c: table.column(c)[at - int(ends[group])] for c in table.column_names}  # from its end
             sizes = row["sizes"].values.to_numpy(zero_copy_only=False)
             text, windows, anchors = (np.frombuffer(row[c].as_buffer(), np.uint8) if len(row[c].as_buffer())
                                       else np.zeros(0, np.uint8) for c in ("text", "windows", "anchors"))
@@ -147,7 +179,21 @@ def _words_at(text: np.ndarray, at: np.ndarray, size: int) -> Iterator[np.ndarra
 
 def _hash_at(text: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes from each place of ``at`` on."""
-    return _chain(_words_at(text, at, size))
+    out = np.empty(len(at), np.uint64)
+    for low in range(0, len(at), SLICE):
+        out[low:low + SLICE] = _chain(_words_at(text, at[low:low + SLICE], size))
+    return out
+
+
+def _as_before(text: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Whether the ``size`` bytes from a place of ``at`` on are those from the place before it on."""
+    out = np.zeros(len(at), bool)
+    for low in range(1, len(at), SLICE):
+        same = out[low:low + SLICE]
+        same[:] = True
+        for words in _words_at(text, at[low - 1:low + SLICE], size):
+            same &= words[1:] == words[:-1]
+    return out
 
 
 _ANCHOR_STEPS = [*range(0, ANCHOR - 7, 8)] + ([ANCHOR - 8] if ANCHOR % 8 else [])
@@ -205,14 +251,20 @@ class Pieces:
     mark: np.ndarray  # hash of the whole piece
     doc: np.ndarray
 
+    def where(self, take: np.ndarray) -> Pieces:
+        """Those of ``take``, not marked."""
+        key = self.key[take]
+        return Pieces(self.start[take], self.windows[take], key, key, self.doc[take])
+
 
 def pieces(block: Block) -> Pieces:
     """The block's pieces, not yet marked: documents' windows follow each other, so run lengths tell where each starts."""
-    windows = block.windows.astype(np.int64)
+    kind = np.int32 if len(block.text) < 2 ** 30 else np.int64
+    windows = block.windows.astype(kind)
     fit = np.concatenate([[0], np.cumsum(np.maximum(np.diff(block.offsets) - LENGTH + 1, 0))])
-    number = np.cumsum(windows) - windows  # of the first window, among those of all documents
-    doc = np.searchsorted(fit, number, side="right") - 1
-    start = block.offsets[doc] + number - fit[doc]
+    number = np.cumsum(windows, dtype=kind) - windows  # of the first window, among those of all documents
+    doc = (np.searchsorted(fit, number, side="right") - 1).astype(kind)
+    start = (block.offsets[:-1] - fit[:-1]).astype(kind)[doc] + number
     # Anchors are least hashes, so small ones: hashed once more they fall to all owners alike.
     key = _chain(iter((_hash_at(block.text, start + block.anchors, ANCHOR), np.uint64(LENGTH)))) if len(start) \
         else np.zeros(0, np.uint64)
@@ -228,9 +280,13 @@ def marked(block: Block, p: Pieces) -> Pieces:
 
 def _mark_of(text: np.ndarray, start: np.ndarray, windows: np.ndarray) -> np.ndarray:
     """Hash of whole pieces: their first window, the end of their last, and how many they have."""
-    head = _hash_at(text, start, LENGTH)
-    tail = _hash_at(text, start + windows - 1 + LENGTH - ANCHOR, ANCHOR)
-    return _chain(iter((head + tail * _FINISH, windows.astype(np.uint64))))
+    out = np.empty(len(start), np.uint64)
+    for low in range(0, len(start), SLICE):
+        at, size = start[low:low + SLICE], windows[low:low + SLICE]
+        head = _hash_at(text, at, LENGTH)
+        tail = _hash_at(text, at + size - 1 + LENGTH - ANCHOR, ANCHOR)
+        out[low:low + SLICE] = _chain(iter((head + tail * _FINISH, size.astype(np.uint64))))
+    return out
 
 
 # ---- messages
@@ -244,10 +300,10 @@ def _pack(*arrays: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _unpack(message: bytes) -> list[np.ndarray]:
-    out, at = [], 2
+def _unpack(message: bytes | pa.Buffer) -> list[np.ndarray]:
+    out, at, message = [], 2, memoryview(message)
     for _ in range(int.from_bytes(message[:2], "little")):
-        kind = np.dtype(message[at:at + 4].decode().strip())
+        kind = np.dtype(bytes(message[at:at + 4]).decode().strip())
         size = int.from_bytes(message[at + 4:at + 12], "little")
         data = np.frombuffer(message, np.uint8, size, at + 12)
         out.append(np.ascontiguousarray(data.reshape(8, -1).T).view(kind).ravel() if kind.itemsize == 8
@@ -265,15 +321,21 @@ def _by_owner(key: np.ndarray, owners: int) -> Iterator[tuple[int, slice]]:
 
 
 def _by_key_and_mark(key: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Order by key, then mark, then place; only rows that share their key are compared further."""
-    by = np.argsort(key)
+    """Order by key, then mark, then place; only rows whose key has several marks are compared further."""
+    by = np.argsort(key, kind="stable")
+    if not len(by):
+        return by
     k = key[by]
-    same = k[1:] == k[:-1]
-    several = np.zeros(len(k), bool)
-    several[1:] |= same
-    several[:-1] |= same
+    new = np.concatenate([[True], k[1:] != k[:-1]])
+    del k
+    m = mark[by]
+    other = np.zeros(len(by), bool)
+    other[1:] = (m[1:] != m[:-1]) & ~new[1:]
+    del m
+    first = np.flatnonzero(new)
+    several = np.repeat(np.logical_or.reduceat(other, first), np.diff(np.append(first, len(by))))
     some = by[several]
-    by[several] = some[np.lexsort((some, mark[some], key[some]))]
+    by[several] = some[np.lexsort((mark[some], key[some]))]
     return by
 
 
@@ -288,9 +350,10 @@ def _kinds(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: np.nda
     if len(by):
         at, size = start[by], windows[by]
         tail = at + size - 1 + LENGTH - ANCHOR  # with the first window all of the piece
-        new[1:] = (key[by][1:] != key[by][:-1]) | (size[1:] != size[:-1])
-        for words in (*_words_at(text, at, LENGTH), *_words_at(text, tail, ANCHOR)):
-            new[1:] |= words[1:] != words[:-1]
+        k = key[by]
+        new[1:] = (k[1:] != k[:-1]) | (size[1:] != size[:-1])
+        del k
+        new |= ~(_as_before(text, at, LENGTH) & _as_before(text, tail, ANCHOR))
     kind = np.empty(len(by), np.int64)
     kind[by] = np.cumsum(new) - 1
     return by, np.flatnonzero(new), kind
@@ -318,17 +381,18 @@ def _send_keys(block: Block, owners: int) -> Iterator[tuple[int, bytes]]:
     key, several, count, total = _distinct(p.key, p.doc, p.mark)
     for owner, mine in _by_owner(key, owners):
         yield owner, _pack(np.diff(key[mine], prepend=np.uint64(0)), np.packbits(several[mine]),
-                           np.minimum(count[mine], 255).astype(np.uint8), (total[mine] & _LOW16).astype(np.uint16))
+                           np.minimum(count[mine], 65535).astype(np.uint16), (total[mine] & _LOW16).astype(np.uint16))
 
 
 def _answer_keys(messages: list[bytes]) -> list[bytes]:
-    """For every list: which keys two documents hold, and which of those are hot."""
+    """For every list: which keys two documents hold, which of those are hot, and how many pieces of either it has."""
     lists = [_unpack(m) for m in messages]
     sizes = [len(x[0]) for x in lists]
     key = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in lists])
     several = np.concatenate([np.unpackbits(x[1], count=n).astype(bool) for x, n in zip(lists, sizes)])
-    count = np.concatenate([x[2] for x in lists]).astype(np.int64)
+    count = np.concatenate([x[2] for x in lists])
     mark = np.concatenate([x[3] for x in lists])
+    del lists
     by = _by_key_and_mark(key, mark)
     k, m = key[by], mark[by]
     new = np.concatenate([[True], k[1:] != k[:-1]])
@@ -337,11 +401,17 @@ def _answer_keys(messages: list[bytes]) -> list[bytes]:
     shared = (held > 1) | np.logical_or.reduceat(several[by], first)
     other = new.copy()
     other[1:] |= m[1:] != m[:-1]  # lists with the same pieces (sum of their marks) count once
-    hot = shared & (np.add.reduceat(np.where(other, count[by], 0), first) > HOT)
+    hot = shared & (np.add.reduceat(np.where(other, count[by], 0), first, dtype=np.int64) > HOT)
     bits = np.zeros((2, len(key)), bool)
     bits[0, by], bits[1, by] = np.repeat(shared, held), np.repeat(hot, held)
-    end = np.cumsum(sizes)
-    return [_pack(*np.packbits(bits[:, e - n:e], axis=1)) for e, n in zip(end.tolist(), sizes)]
+    out, low = [], 0
+    for n in sizes:
+        mine = slice(low, low + n)
+        low = mine.stop
+        shared, hot = bits[:, mine]
+        out.append(_pack(*np.packbits(bits[:, mine], axis=1),
+                         np.array([count[mine][shared & ~hot].sum(), count[mine][hot].sum()], np.int64)))
+    return out
 
 
 def _bits(answers: dict[int, bytes], key: np.ndarray, owners: int, which: int) -> np.ndarray:
@@ -369,37 +439,41 @@ def _told(key: np.ndarray, said: dict[int, bytes], owners: int, which: tuple[int
 def _hot_windows(block: Block, p: Pieces, hot: np.ndarray) -> Pieces:
     """The single windows of hot pieces, dealt by their own hash."""
     start = ragged(p.start[hot], p.windows[hot])
-    one = np.ones(len(start), np.int64)
+    one = np.ones(len(start), start.dtype)
     if not len(start):
         return Pieces(start, one, start.astype(np.uint64), start.astype(np.uint64), start)
     key = _hash_at(block.text, start, LENGTH)
     return Pieces(start, one, key, key, np.repeat(p.doc[hot], p.windows[hot]))
 
 
-def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int) -> Iterator[tuple[int, bytes]]:
+def _send_windows(block: Block, keys_said: dict[int, bytes], owners: int,
+                  window_owners: int | None = None) -> Iterator[tuple[int, bytes]]:
     p = pieces(block)
     w = _hot_windows(block, p, *_told(p.key, keys_said, owners, (1,)))
+    del p
     key, several = _distinct(w.key, w.doc)
-    for owner, mine in _by_owner(key, owners):
+    for owner, mine in _by_owner(key, window_owners or owners):
         yield owner, _pack(np.diff(key[mine], prepend=np.uint64(0)), np.packbits(several[mine]),
-                           np.ones(mine.stop - mine.start, np.uint8), np.zeros(mine.stop - mine.start, np.uint16))
+                           np.ones(mine.stop - mine.start, np.uint16), np.zeros(mine.stop - mine.start, np.uint16))
 
 
-def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int) -> tuple:
+def _candidates(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int,
+                window_owners: int | None) -> tuple:
     """Pieces that other documents may hold, and per distinct one, in the order sent, its first place in the list."""
     p = pieces(block)
     shared, hot = _told(p.key, keys_said, owners, (0, 1))
     w = _hot_windows(block, p, hot)
-    again, = _told(w.key, windows_said, owners, (0,))
-    take = shared & ~hot
-    both = marked(block, Pieces(*(np.concatenate([getattr(p, f)[take], getattr(w, f)[again]])
-                    for f in ("start", "windows", "key", "mark", "doc"))))
-    return both, *_kinds(block.text, both.start, both.windows, both.key, both.mark)
+    p = p.where(shared & ~hot)
+    w = w.where(*_told(w.key, windows_said, window_owners or owners, (0,)))
+    fields = [np.concatenate(x) for x in zip((p.start, p.windows, p.key, p.doc), (w.start, w.windows, w.key, w.doc))]
+    del p, w
+    both = Pieces(*fields[:3], fields[2], fields[3])
+    return both, *_kinds(block.text, both.start, both.windows, both.key, marked(block, both).mark)
 
 
 def _send_pieces(block: Block, keys_said: dict[int, bytes], windows_said: dict[int, bytes], owners: int,
-                 shards: int) -> Iterator[tuple[int, bytes]]:
-    both, by, first, _ = _candidates(block, keys_said, windows_said, owners)
+                 shards: int, window_owners: int | None = None) -> Iterator[tuple[int, bytes]]:
+    both, by, first, _ = _candidates(block, keys_said, windows_said, owners, window_owners)
     if not len(by):
         return
     one = by[first]
@@ -447,10 +521,8 @@ def _window_ids(text: np.ndarray, start: np.ndarray, windows: np.ndarray, key: n
         starts = window >= 0
         order, window = order[starts], window[starts]
         problem = np.repeat(np.arange(len(some)), np.diff(bounds))[starts]
-        same = np.zeros(len(order), bool)
-        same[1:] = problem[1:] == problem[:-1]
-        for there in _words_at((symbols - 2).astype(np.uint8), order, LENGTH):
-            same[1:] &= there[1:] == there[:-1]
+        same = _as_before((symbols - 2).astype(np.uint8), order, LENGTH)
+        same[1:] &= problem[1:] == problem[:-1]
         run = np.flatnonzero(~same)
         least = np.minimum.reduceat(id_of[window], run)
         out[window] = np.repeat(least, np.diff(np.append(run, len(order))))
@@ -485,6 +557,25 @@ def _answer_pieces(messages: list[bytes]) -> list[bytes]:
 # ---- rounds
 
 MESSAGES = "block long, owner int, payload binary"
+REPLIES = f"{MESSAGES}, light long, heavy long"
+
+
+def _together(messages: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Messages, payload third, in batches of about ``SENT_BYTES``."""
+    rows, held = [], 0
+    for m in messages:
+        rows.append(m)
+        held += len(m[2])
+        if held >= SENT_BYTES:
+            yield _batch(rows, names)
+            rows, held = [], 0
+    if rows:
+        yield _batch(rows, names)
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def _answers(path: str, block: int) -> dict[int, bytes]:
@@ -493,41 +584,54 @@ def _answers(path: str, block: int) -> dict[int, bytes]:
     folder = f"{root}/block={block}"
     if store.get_file_info(folder).type == pafs.FileType.NotFound:
         return {}
-    table = pads.dataset(folder, filesystem=store, format="parquet").to_table(columns=["owner", "payload"])
+    table = pads.dataset(folder, filesystem=store, format="parquet").to_table(
+        columns=["owner", "payload"], use_threads=False)
     return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
 
 
-def _round(blocks: DataFrame, send: Send, answer: Answer, owners: int, name: str) -> str:
+def _round(path: str, blocks: DataFrame, send: Send, answer: Answer, owners: int, name: str,
+           amounts: Callable[[bytes], tuple[int, int]] = lambda reply: (0, 0)) -> str:
     """Blocks send, owners answer; returns the folder of the answers, by block."""
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _read_blocks(batches):
-            for owner, payload in send(block):
-                yield pa.RecordBatch.from_arrays([pa.array([block.number], pa.int64()), pa.array([owner], pa.int32()),
-                                                  pa.array([payload], pa.binary())], ["block", "owner", "payload"])
+        for block in _read_blocks(path, batches):
+            yield from _together(((block.number, *m) for m in send(block)), ["block", "owner", "payload"])
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mail: dict[int, list[tuple[int, bytes]]] = {}
+        mail: dict[int, list[tuple[int, pa.Buffer]]] = {}
         for b in batches:
-            for block, owner, payload in zip(*(c.to_pylist() for c in b.columns)):
-                mail.setdefault(owner, []).append((block, payload))
+            for block, owner, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                mail.setdefault(owner, []).append((block, payload.as_buffer()))
         for owner, letters in mail.items():
-            for (block, _), reply in zip(letters, answer([p for _, p in letters])):
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([owner], pa.int32()),
-                                                  pa.array([reply], pa.binary())], ["block", "owner", "payload"])
+            replies = answer([p for _, p in letters])
+            yield from _together(((block, owner, r, *amounts(r)) for (block, _), r in zip(letters, replies)),
+                                 ["block", "owner", "payload", "light", "heavy"])
 
-    path = work_dir(blocks.sparkSession, name)
-    replies = (blocks.mapInArrow(sent, MESSAGES).repartitionById(owners, "owner").mapInArrow(answered, MESSAGES))
+    answers = work_dir(blocks.sparkSession, name)
+    replies = (blocks.mapInArrow(sent, MESSAGES).repartitionById(owners, "owner").mapInArrow(answered, REPLIES))
     (replies.repartition("block").sortWithinPartitions("block", "owner")
-     .write.partitionBy("block").option("compression", "zstd").parquet(path))
-    return path
+     .write.partitionBy("block").option("compression", "zstd").parquet(answers))
+    return answers
+
+
+def _amounts(reply: bytes) -> tuple[int, int]:
+    """What ``_answer_keys`` counts: pieces of shared keys that are not hot, and of hot ones."""
+    return tuple(_unpack(reply)[2].tolist())
+
+
+def _amounts_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """The same of a whole round."""
+    told = spark.read.schema(f"{REPLIES.split(', ', 1)[1]}, block long").parquet(path)
+    light, heavy = told.agg(F.sum("light"), F.sum("heavy")).first()
+    return light or 0, heavy or 0
 
 
-def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shards: int) -> pa.RecordBatch:
+def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shards: int,
+          window_owners: int | None = None) -> pa.RecordBatch:
     """The block's documents with their removed runs and what is left."""
-    both, by, first, kind = _candidates(block, keys_said, windows_said, owners)
+    both, by, first, kind = _candidates(block, keys_said, windows_said, owners, window_owners)
     text, offsets = block.text, block.offsets
-    change = np.zeros(len(text) + 1, np.int32)
+    change = np.zeros(len(text) + 1, np.int8)  # every window of a block is in one piece, so no place has two of a kind
     if len(by):
         one = by[first]
         sizes = both.windows[one]
@@ -536,11 +640,15 @@ def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shard
         for owner, mine in _by_owner(both.key[one], shards):
             ids, runs = _unpack(pieces_said[owner])
             least[at[mine.start]:at[mine.stop - 1] + sizes[mine.stop - 1]] = np.repeat(ids, runs)
-        own = np.repeat(block.ids[both.doc], both.windows)
-        gone = ragged(both.start, both.windows)[least[ragged(at[kind], both.windows)] < own]
-        change[gone] += 1  # every window of a block is in one piece
-        change[gone + LENGTH] -= 1
-    out = np.cumsum(change)[:-1] > 0
+        step = max(1, SLICE // LENGTH)  # pieces
+        for low in range(0, len(kind), step):
+            mine = slice(low, low + step)
+            size = both.windows[mine]
+            own = np.repeat(block.ids[both.doc[mine]], size)
+            gone = ragged(both.start[mine], size)[least[ragged(at[kind[mine]], size)] < own]
+            change[gone] += 1
+            change[gone + LENGTH] -= 1
+    out = np.cumsum(change, dtype=np.int8)[:-1] > 0  # at most LENGTH windows cover a byte
     edge = np.zeros(len(text) + 1, bool)
     edge[offsets] = True  # runs end with their document
     before = np.concatenate([[False], out[:-1]])
@@ -550,7 +658,7 @@ def _mark(block: Block, keys_said, windows_said, pieces_said, owners: int, shard
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(runs_at))
     spans = pa.ListArray.from_arrays(pa.array(runs_at, pa.int32()), pa.StructArray.from_arrays(
         [pa.array(begin - offsets[doc]), pa.array(end - offsets[doc])], ["start", "end"]))
-    left = np.concatenate([[0], np.cumsum(~out)])[offsets]
+    left = offsets - np.concatenate([[0], np.cumsum(end - begin)])[runs_at]
     kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1,
                                             [None, pa.py_buffer(left.astype(np.int64)), pa.py_buffer(text[~out])])
     return pa.RecordBatch.from_arrays(
@@ -563,19 +671,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = pin(rows.mapInArrow(_blocks_of, "block long, n_bytes long, ids array<long>, sizes array<long>, text binary, "
-                                         "windows binary, anchors binary"), "passage-blocks")
+    path, blocks = pin_blocks(rows)
     size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    owners, shards = max(1, -(-size // OWNER_BYTES)), max(1, -(-size // SHARD_BYTES))
-    said = _round(blocks, lambda b: _send_keys(b, owners), _answer_keys, owners, "passage-anchors")
-    hot = _round(blocks, lambda b: _send_windows(b, _answers(said, b.number), owners), _answer_keys, owners,
-                 "passage-windows")
-    found = _round(blocks, lambda b: _send_pieces(b, _answers(said, b.number), _answers(hot, b.number), owners, shards),
-                   _answer_pieces, shards, "passage-pieces")
+    owners = max(1, -(-size // OWNER_BYTES))
+    said = _round(path, blocks, lambda b: _send_keys(b, owners), _answer_keys, owners, "passage-anchors", _amounts)
+    light, heavy = _amounts_of(spark, said)
+    window_owners = max(1, -(-heavy * (LENGTH - ANCHOR + 1) // OWNER_WINDOWS))  # the most windows that a piece has
+    hot = _round(path, blocks, lambda b: _send_windows(b, _answers(said, b.number), owners, window_owners), _answer_keys,
+                 window_owners, "passage-windows", _amounts)
+    sent = light * (2 * LENGTH - ANCHOR) + sum(_amounts_of(spark, hot)) * LENGTH
+    shards = max(1, -(-sent // SHARD_BYTES))
+    found = _round(path, blocks, lambda b: _send_pieces(b, _answers(said, b.number), _answers(hot, b.number), owners, shards,
+                                                        window_owners), _answer_pieces, shards, "passage-pieces")
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _read_blocks(batches):
-            yield _mark(b, _answers(said, b.number), _answers(hot, b.number), _answers(found, b.number), owners, shards)
+        for b in _read_blocks(path, batches):
+            yield _mark(b, _answers(said, b.number), _answers(hot, b.number), _answers(found, b.number), owners, shards,
+                        window_owners)
 
     return blocks.mapInArrow(cleaned, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
